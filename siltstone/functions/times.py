@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone import vocab
@@ -66,3 +66,8 @@ def elapsed_days(start: Column, end: Column) -> Column:
 
 def age_seconds(newest: Column, now: Column) -> Column:
     return elapsed_seconds(newest, now)
+
+
+def unparsed(df: DataFrame, raw: str, parsed: str) -> DataFrame:
+    """D4. Rows whose text is present and did not parse."""
+    return df.filter(F.col(raw).isNotNull() & F.col(parsed).isNull())

@@ -3,8 +3,8 @@
 `percentile` keeps every distinct value of the column in one aggregation buffer, which does not
 survive a large table. Selection needs only counts: values are taken as fixed-point integers, and
 each round counts them by the next group of bits, keeping the one bucket that holds the wanted
-rank. A round is a map-side-combined count into at most 2**BITS buckets per surviving prefix, so
-neither skew nor the number of distinct values matters.
+rank. A round is a map-side-combined count into at most 2**MAX_BITS buckets per surviving prefix,
+so neither skew nor the number of distinct values matters.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from siltstone.operators.skew import skew_join
 
-BITS = 16
+MAX_BITS = 16
 DEFAULT_PRECISION, DEFAULT_SCALE = 18, 2
 
 
@@ -36,16 +36,16 @@ def _fixed_point(df: DataFrame, column: str, scale: int | None) -> tuple[Column,
     return units, math.ceil(precision * math.log2(10)) + 1, digits
 
 
-def _narrow(counts: DataFrame, wanted: DataFrame, by: list[str], prefix: list[str]) -> DataFrame:
-    """For every wanted rank, the bucket that contains it and the rank inside that bucket."""
-    running = Window.partitionBy(*by, *prefix).orderBy("_bucket")
-    edges = counts.withColumn("_upto", F.sum("_n").over(running))
-    return (
-        edges.join(wanted, [*by, *prefix], "inner")
-        .filter((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n")))
-        .withColumn("_rank", F.col("_rank") - (F.col("_upto") - F.col("_n")))
-        .drop("_n", "_upto")
+def _select_bucket(counts: DataFrame, within: list[str], targets: Column) -> DataFrame:
+    """Keep the buckets that hold a wanted rank; their ranks are restated inside the bucket."""
+    running = Window.partitionBy(*within).orderBy("_bucket")
+    edges = counts.withColumn("_targets", targets).withColumn("_upto", F.sum("_n").over(running))
+    below = F.col("_upto") - F.col("_n")
+    inside = F.filter(
+        "_targets", lambda t: (t["rank"] >= below) & (t["rank"] < F.col("_upto"))
     )
+    restated = F.transform(inside, lambda t: t.withField("rank", t["rank"] - below))
+    return edges.withColumn("_targets", restated).filter(F.size("_targets") > 0).drop("_n", "_upto")
 
 
 def exact_quantiles(
@@ -62,72 +62,58 @@ def exact_quantiles(
     floating-point columns are read at `scale` decimals (2 by default: money).
     """
     units, width, digits = _fixed_point(df, column, scale)
-    groups = list(by) or ["_all"]
-    # Group keys are matched as structs so that a NULL group joins with itself.
-    tagged = [F.struct(*[F.col(g) for g in by]).alias("_group")] if by else [F.lit(0).alias("_group")]
-    values = df.select(*tagged, units.alias("_units")).filter(F.col("_units").isNotNull())
-
-    shifts = list(range((math.ceil(width / BITS) - 1) * BITS, -1, -BITS))
-    mask = (1 << BITS) - 1
+    # Groups are matched as one struct, so that a NULL group meets itself.
+    group = F.struct(*[F.col(g) for g in by]) if by else F.lit(0)
+    values = df.select(group.alias("_group"), units.alias("_units")).filter(F.col("_units").isNotNull())
 
-    def bucket(shift: int, first: bool) -> Column:
-        digit = F.shiftright("_units", shift)
-        return digit if first else digit.bitwiseAND(F.lit(mask).cast("bigint"))
+    rounds = math.ceil(width / MAX_BITS)
+    bits = math.ceil(width / rounds)
+    shifts = [bits * r for r in reversed(range(rounds))]
+    low_bits = F.lit((1 << bits) - 1).cast("bigint")
 
-    counts = values.groupBy("_group", bucket(shifts[0], True).alias("_bucket")).agg(
+    counts = values.groupBy("_group", F.shiftright("_units", shifts[0]).alias("_bucket")).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    sizes = counts.groupBy("_group").agg(F.sum("_n").alias("_size"))
-    targets = F.array(*[
-        F.struct(F.lit(i).alias("probe"), F.lit(side).alias("side"), F.lit(float(p)).alias("p"))
-        for i, p in enumerate(probabilities) for side in (0, 1)
-    ])
-    wanted = (
-        sizes.select("_group", "_size", F.explode(targets).alias("_t"))
-        .select(
-            "_group",
-            F.col("_t.probe").alias("_probe"),
-            F.col("_t.side").alias("_side"),
-            ((F.col("_size") - 1) * F.col("_t.p")).alias("_position"),
-        )
-        .withColumn(
-            "_rank",
-            F.when(F.col("_side") == 0, F.floor("_position")).otherwise(F.ceil("_position")),
-        )
+    counts = counts.withColumn("_size", F.sum("_n").over(Window.partitionBy("_group")))
+    targets = []
+    for probe, p in enumerate(probabilities):
+        position = (F.col("_size") - 1) * F.lit(float(p))
+        for rank in (F.floor(position), F.ceil(position)):
+            targets.append(F.struct(
+                F.lit(probe).alias("probe"), (position - F.floor(position)).alias("weight"), rank.alias("rank")
+            ))
+    found = _select_bucket(counts, ["_group"], F.array(*targets)).select(
+        "_group", F.col("_bucket").alias("_prefix"), "_targets"
     )
-    found = _narrow(counts, wanted, ["_group"], []).withColumnRenamed("_bucket", "_prefix")
     for earlier, shift in zip(shifts, shifts[1:]):
-        keep = found.select("_group", "_prefix").distinct()
         prefixed = values.withColumn("_prefix", F.shiftright("_units", earlier))
         if by:
-            inside = skew_join(prefixed, keep, ["_group", "_prefix"], "left_semi")
+            narrowed = skew_join(prefixed, found, ["_group", "_prefix"], "inner")
         else:  # at most two prefixes per probability
-            inside = prefixed.join(F.broadcast(keep), ["_group", "_prefix"], "left_semi")
-        counts = inside.groupBy("_group", "_prefix", bucket(shift, False).alias("_bucket")).agg(
+            narrowed = prefixed.join(F.broadcast(found), ["_group", "_prefix"])
+        digit = F.shiftright("_units", shift).bitwiseAND(low_bits)
+        # The targets follow from the prefix; as a grouping key they ride along.
+        counts = narrowed.groupBy("_group", "_prefix", "_targets", digit.alias("_bucket")).agg(
             F.count(F.lit(1)).alias("_n")
         )
-        found = (
-            _narrow(counts, found, ["_group"], ["_prefix"])
-            .withColumn("_prefix", F.shiftleft("_prefix", BITS).bitwiseOR(F.col("_bucket")))
-            .drop("_bucket")
+        found = _select_bucket(counts, ["_group", "_prefix"], F.col("_targets")).select(
+            "_group", F.shiftleft("_prefix", bits).bitwiseOR(F.col("_bucket")).alias("_prefix"), "_targets"
         )
-    at = found.withColumn("_value", F.col("_prefix").cast("double") / F.lit(float(10**digits)))
-    weight = F.col("_position") - F.floor("_position")
+    low, high = F.min("_value"), F.max("_value")
     return (
-        at.groupBy("_group", "_probe")
-        .agg(
-            F.min("_value").alias("_low"),
-            F.max("_value").alias("_high"),
-            F.max(weight).alias("_w"),
+        found.select(
+            "_group",
+            (F.col("_prefix").cast("double") / F.lit(float(10**digits))).alias("_value"),
+            F.inline("_targets"),
         )
-        .withColumn("_q", F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_w"))
+        .groupBy("_group", "probe")
+        .agg((low + (high - low) * F.max("weight")).alias("_q"))
         .groupBy("_group")
-        .agg(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct("_probe", "_q"))), lambda s: s["_q"]
-            ).alias("quantiles")
+        .agg(F.array_sort(F.collect_list(F.struct("probe", "_q"))).alias("_all"))
+        .select(
+            *[F.col("_group")[g].alias(g) for g in by],
+            F.transform("_all", lambda s: s["_q"]).alias("quantiles"),
         )
-        .select(*([F.col("_group")[g].alias(g) for g in groups] if by else []), "quantiles")
     )
 
 

@@ -1 +1,208 @@
-"""."""
+"""Keys, duplicates, references and gaps."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from siltstone.functions.keys import surrogate_key
+from siltstone.functions.times import elapsed_days
+from siltstone.operators import dedup, references
+from siltstone.operators.skew import skew_join
+from workload.registry import query
+
+
+@query("surrogate_key", """
+SELECT o_orderkey, md5('erp:' || o_orderkey) AS erp_key, md5('payment_gw:' || o_orderkey) AS gateway_key,
+  md5('warehouse:' || o_orderkey) AS warehouse_key FROM orders""")
+def surrogate(t):
+    i = F.col("o_orderkey")
+    return t.orders.select("o_orderkey", *[
+        surrogate_key(s, i).alias(n)
+        for s, n in (("erp", "erp_key"), ("payment_gw", "gateway_key"), ("warehouse", "warehouse_key"))
+    ])
+
+
+@query("surrogate_join", """
+SELECT md5('erp:' || c_custkey) AS customer_sk, o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey""")
+def surrogate_join(t):
+    """Two systems meet on the key of the system that owns the id."""
+    orders = t.orders.select("o_orderkey", surrogate_key("erp", F.col("o_custkey")).alias("customer_sk"))
+    customers = t.customer.select("c_name", surrogate_key("erp", F.col("c_custkey")).alias("customer_sk"))
+    return skew_join(orders, customers, ["customer_sk"], "inner").select("customer_sk", "o_orderkey", "c_name")
+
+
+@query("dup_exact", """
+SELECT min(doc_id) AS first_id, count(*) AS copies FROM documents GROUP BY text HAVING count(*) > 1""")
+def dup_exact(t):
+    return dedup.repeated_text(t.documents, "text", "doc_id")
+
+
+@query("dup_count", """
+SELECT (SELECT count(*) FROM dirty_orders) AS total_rows, count(*) AS distinct_rows,
+  (SELECT count(*) FROM dirty_orders) - count(*) AS duplicate_rows FROM (SELECT DISTINCT * FROM dirty_orders) d""", uses=("dirty_orders",))
+def dup_count(t):
+    return dedup.duplicate_count(t.dirty_orders)
+
+
+@query("dedup_exact", "SELECT DISTINCT * FROM dirty_orders", uses=("dirty_orders",))
+def dedup_exact(t):
+    return dedup.dedup_exact(t.dirty_orders)
+
+
+@query("cdc_latest", """
+SELECT id, status, __op, __source_ts_ms FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY __source_ts_ms DESC) AS rn
+FROM cdc_orders) c WHERE rn = 1""", uses=("cdc_orders",))
+def cdc_latest(t):
+    return dedup.latest_per_key(t.cdc_orders, ["id"], "__source_ts_ms").select("id", "status", "__op", "__source_ts_ms")
+
+
+@query("dedup_events", """
+SELECT event_id, transaction_id, ts AS seen_at FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY ts, event_id) AS rn
+FROM (SELECT event_id, ts, CASE WHEN event_type <> 'error' THEN txn END AS transaction_id FROM gateway) g WHERE transaction_id IS NOT NULL) r
+WHERE rn = 1""", uses=("gateway",))
+def dedup_events(t):
+    """Every event redelivered once, then one event per transaction; events without one are dropped."""
+    events = t.gateway.select(
+        "event_id", F.when(F.col("event_type") != "error", F.col("txn")).alias("transaction_id"), F.col("ts").alias("seen_at"))
+    return dedup.dedup_events(events.unionByName(events), "event_id", "transaction_id", "seen_at")
+
+
+LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query("dedup_business", f"""
+SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {', '.join(LINE_ORDER)}) AS rn
+FROM lineitem) l WHERE rn = 1""")
+def dedup_business(t):
+    return dedup.dedup_by(t.lineitem, ["l_orderkey", "l_linenumber"], [F.col(c).asc_nulls_last() for c in LINE_ORDER])
+
+
+@query("flag_dups", f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {', '.join(LINE_ORDER)}) > 1 AS is_repeat
+FROM lineitem""")
+def flag_dups(t):
+    rows = dedup.flag_repeats(t.lineitem, ["l_orderkey", "l_linenumber"], LINE_ORDER)
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "is_repeat")
+
+
+@query("pk_violations", """
+SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY ALL HAVING count(*) > 1""")
+def pk_violations(t):
+    return dedup.key_violations(t.lineitem, ["l_orderkey", "l_linenumber"])
+
+
+@query("near_dups", """
+SELECT b.id, b.customer_id, CAST(b.total_amount AS DOUBLE) AS total_amount, min(a.id) AS twin_id,
+  CAST(count(a.id) AS BIGINT) AS near_rows
+FROM near_orders b JOIN near_orders a ON a.customer_id = b.customer_id AND a.order_date = b.order_date
+  AND lower(trim(a.status)) = lower(trim(b.status)) AND abs(a.total_amount - b.total_amount) <= 0.01
+GROUP BY ALL HAVING min(a.id) < b.id""", uses=("near_orders",))
+def near_dups(t):
+    found = dedup.near_duplicates(t.near_orders, "id", ["customer_id", "order_date"], ["status"], "total_amount")
+    return found.select("id", "customer_id", F.col("total_amount").cast("double").alias("total_amount"), "twin_id", "near_rows")
+
+
+# --- references ---------------------------------------------------------------------------------
+
+
+@query("orphans", """
+SELECT id, customer_id, total_amount FROM dirty_orders WHERE customer_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = customer_id)""", uses=("dirty_orders",))
+def orphans(t):
+    return references.orphans(t.dirty_orders, "customer_id", t.customer, "c_custkey").select("id", "customer_id", "total_amount")
+
+
+@query("referenced_only", """
+SELECT id, customer_id, total_amount FROM dirty_orders WHERE EXISTS (SELECT 1 FROM customer WHERE c_custkey = customer_id)""", uses=("dirty_orders",))
+def referenced_only(t):
+    return references.keep_referenced(t.dirty_orders, "customer_id", t.customer, "c_custkey").select("id", "customer_id", "total_amount")
+
+
+EDGES = (
+    ("dirty_orders", "customer_id", "customer", "c_custkey"),
+    ("orders", "o_custkey", "customer", "c_custkey"),
+    ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    ("lineitem", "l_partkey", "part", "p_partkey"),
+    ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    ("customer", "c_nationkey", "nation", "n_nationkey"),
+    ("supplier", "s_nationkey", "nation", "n_nationkey"),
+    ("nation", "n_regionkey", "region", "r_regionkey"),
+    ("labels", "doc_id", "documents", "doc_id"),
+)
+
+
+@query("fk_report", " UNION ALL ".join(f"""
+SELECT '{c}' AS child_table, '{fk}' AS fk, '{p}' AS parent_table, count(*) AS child_rows,
+  count(*) FILTER (WHERE c.{fk} IS NULL) AS null_refs,
+  count(*) FILTER (WHERE c.{fk} IS NOT NULL AND p.k IS NULL) AS orphans
+FROM {c} c LEFT JOIN (SELECT DISTINCT {pk} AS k FROM {p}) p ON c.{fk} = p.k""" for c, fk, p, pk in EDGES), uses=("dirty_orders",))
+def fk_report(t):
+    names = {n for c, _, p, _ in EDGES for n in (c, p)}
+    return references.fk_report({n: getattr(t, n) for n in names}, EDGES)
+
+
+STATUS = "CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'pending' ELSE 'cancelled' END"
+
+
+def _orders(t):
+    return t.orders.select(F.col("o_orderkey").alias("order_id"), "o_custkey", F.expr(STATUS).alias("status"))
+
+
+def _lines(t):
+    return t.lineitem.withColumnsRenamed({"l_orderkey": "order_id", "l_partkey": "product_id"})
+
+
+@query("gap_unpaid", f"""
+SELECT o_orderkey AS order_id, o_custkey, {STATUS} AS status FROM orders WHERE o_orderstatus <> 'P'
+  AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""")
+def gap_unpaid(t):
+    return references.unpaid_orders(_orders(t), _lines(t))
+
+
+PAID = "CASE l_returnflag WHEN 'A' THEN 'completed' WHEN 'N' THEN 'pending' ELSE 'failed' END"
+
+
+@query("gap_unshipped", f"""
+SELECT o_orderkey AS order_id, o_custkey, {STATUS} AS status FROM orders o WHERE o_orderstatus <> 'P'
+  AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'A')
+  AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_linestatus = 'F')""")
+def gap_unshipped(t):
+    payments = _lines(t).withColumn("payment_status", F.expr(PAID))
+    return references.unshipped_paid_orders(_orders(t), payments, _lines(t).filter(F.col("l_linestatus") == "F"))
+
+
+@query("gap_unreviewed", """
+SELECT DISTINCT l_orderkey AS order_id, l_partkey AS product_id FROM lineitem l
+WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus = 'F')
+  AND NOT EXISTS (SELECT 1 FROM lineitem r WHERE r.l_returnflag = 'R' AND r.l_orderkey = l.l_orderkey AND r.l_partkey = l.l_partkey)""")
+def gap_unreviewed(t):
+    reviews = _lines(t).filter(F.col("l_returnflag") == "R")
+    return references.unreviewed_items(_orders(t), _lines(t), reviews)
+
+
+@query("orders_without_items", """
+SELECT o_orderkey AS order_id, o_totalprice FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""")
+def orders_without_items(t):
+    heads = t.orders.select(F.col("o_orderkey").alias("order_id"), "o_totalprice")
+    return references.orders_without_items(heads, _lines(t))
+
+
+@query("amount_mismatch", """
+WITH s AS (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS paid FROM lineitem GROUP BY 1),
+j AS (SELECT o_orderkey AS order_id, CAST(o_totalprice AS DECIMAL(12,2)) AS due, paid FROM orders JOIN s ON o_orderkey = l_orderkey)
+SELECT order_id, CAST(due AS DOUBLE) AS expected_amount, CAST(paid AS DOUBLE) AS paid_amount, CAST(paid - due AS DOUBLE) AS delta,
+  CASE WHEN due <> 0 THEN CAST(paid - due AS DOUBLE) / CAST(due AS DOUBLE) END AS relative_delta FROM j WHERE abs(paid - due) > 0.01""")
+def amount_mismatch(t):
+    return references.amount_mismatch(
+        t.orders.withColumnRenamed("o_orderkey", "order_id"), "order_id", "o_totalprice",
+        t.lineitem, "l_orderkey", "l_extendedprice")
+
+
+@query("delivery_days", """
+SELECT l_orderkey, l_linenumber, l_partkey, (epoch(l_shipdate) - epoch(o_orderdate)) / 86400.0 AS days
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+def delivery_days(t):
+    heads = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    joined = skew_join(t.lineitem, heads, ["l_orderkey"], "inner")
+    return joined.select(
+        "l_orderkey", "l_linenumber", "l_partkey", elapsed_days(F.col("o_orderdate"), F.col("l_shipdate")).alias("days"))
