@@ -8,11 +8,17 @@ from pyspark.sql import functions as F
 MONEY = "decimal(12,2)"
 
 
+_NUMBER_TEXT = r"^([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d{1,2})?)$"
+
+
 def clean_number(c: Column) -> Column:
-    """Double from text carrying `$`, thousands commas or `USD`; NaN and infinities are no numbers."""
+    """Double from text carrying `$`, thousands commas or `USD`; anything else is NULL.
+
+    The text is checked before the cast, because a cast also reads `NaN`, `Infinity` and `1d`. The
+    expression mentions its argument once, so plans that inline it do not multiply.
+    """
     bare = F.trim(F.regexp_replace(c.cast("string"), r"\$|,|USD", ""))
-    number = bare.try_cast("double")
-    return F.when(~F.isnan(number) & (F.abs(number) != F.lit(float("inf"))), number)
+    return F.regexp_extract(bare, _NUMBER_TEXT, 1).try_cast("double")
 
 
 def numeric_or_null(c: Column) -> Column:

@@ -1,10 +1,11 @@
 """Exact quantiles by radix selection (M4, A10).
 
 `percentile` keeps every distinct value of the column in one aggregation buffer, which does not
-survive a large table. Selection needs only counts: values are taken as fixed-point integers, and
-each round counts them by the next group of bits, keeping the one bucket that holds the wanted
-rank. A round is a map-side-combined count into at most 2**MAX_BITS buckets per surviving prefix,
-so neither skew nor the number of distinct values matters.
+survive a large table. Selection needs only counts: values are taken as fixed-point integers and
+counted once (combined map-side, one exchange that all rounds read); each round then sums the
+counts by the next group of bits and keeps the one bucket that holds the wanted rank. A round
+yields at most 2**MAX_BITS buckets per surviving prefix, so no task ever holds the column, a
+frequent value is one row, and the source is read once.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from pyspark.sql import types as T
 
 from siltstone.operators.skew import skew_join
 
-MAX_BITS = 16
-DEFAULT_PRECISION, DEFAULT_SCALE = 18, 2
+MAX_BITS = 17
+DEFAULT_PRECISION, DEFAULT_SCALE = 15, 2  # up to ten trillion
 
 
 def _fixed_point(df: DataFrame, column: str, scale: int | None) -> tuple[Column, int, int]:
@@ -64,7 +65,15 @@ def exact_quantiles(
     units, width, digits = _fixed_point(df, column, scale)
     # Groups are matched as one struct, so that a NULL group meets itself.
     group = F.struct(*[F.col(g) for g in by]) if by else F.lit(0)
-    values = df.select(group.alias("_group"), units.alias("_units")).filter(F.col("_units").isNotNull())
+    values = (
+        df.select(group.alias("_group"), units.alias("_units"))
+        .filter(F.col("_units").isNotNull())
+        .groupBy("_group", F.col("_units").alias("_key"))
+        # The value is also returned as an aggregate: filters on a grouping key would be pushed
+        # below the exchange, and each round would then need an exchange of its own.
+        .agg(F.count(F.lit(1)).alias("_copies"), F.max("_units").alias("_units"))
+        .drop("_key")
+    )
 
     rounds = math.ceil(width / MAX_BITS)
     bits = math.ceil(width / rounds)
@@ -72,7 +81,7 @@ def exact_quantiles(
     low_bits = F.lit((1 << bits) - 1).cast("bigint")
 
     counts = values.groupBy("_group", F.shiftright("_units", shifts[0]).alias("_bucket")).agg(
-        F.count(F.lit(1)).alias("_n")
+        F.sum("_copies").alias("_n")
     )
     counts = counts.withColumn("_size", F.sum("_n").over(Window.partitionBy("_group")))
     targets = []
@@ -94,7 +103,7 @@ def exact_quantiles(
         digit = F.shiftright("_units", shift).bitwiseAND(low_bits)
         # The targets follow from the prefix; as a grouping key they ride along.
         counts = narrowed.groupBy("_group", "_prefix", "_targets", digit.alias("_bucket")).agg(
-            F.count(F.lit(1)).alias("_n")
+            F.sum("_copies").alias("_n")
         )
         found = _select_bucket(counts, ["_group", "_prefix"], F.col("_targets")).select(
             "_group", F.shiftleft("_prefix", bits).bitwiseOR(F.col("_bucket")).alias("_prefix"), "_targets"

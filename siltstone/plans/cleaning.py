@@ -30,6 +30,7 @@ class CleaningConfig:
     order: Sequence[str] = ()
     outliers: Sequence[str] = ()
     typos: dict[str, str] = field(default_factory=dict)
+    epoch_dates: bool = False
     accuracy: int | None = None
     scale: int = 2
 
@@ -39,13 +40,13 @@ def clean_table(df: DataFrame, config: CleaningConfig) -> DataFrame:
     if CORRUPT in df.columns:
         df, _ = split_corrupt(df)
     df = trim_text(placeholders_to_null(df))
-    formats = ("yyyy-MM-dd HH:mm:ss", *vocab.DATE_FORMATS)
+    formats = (vocab.DATETIME_FORMAT, *vocab.DATE_FORMATS)
     repaired = {}
     for c in config.categorical:
         word = snake_category(F.col(c))
         repaired[c] = fix_typos(word, config.typos) if config.typos else word
     for c in config.dates:
-        repaired[c] = parse_date_formats(F.col(c), formats)
+        repaired[c] = parse_date_formats(F.col(c), formats, epoch=config.epoch_dates)
     for c in config.numbers:
         number = clean_number(F.col(c))
         repaired[c] = non_negative(number) if c in config.positive else number

@@ -1 +1,210 @@
-"""."""
+"""Silver recipes and the whole course from change messages to the revenue report."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from siltstone.operators.quality import dead_letters
+from siltstone.operators.reports import monthly_revenue
+from siltstone.plans import gold, silver
+from workload import reports
+from workload.registry import query
+
+AT = "TIMESTAMP '2024-01-01 00:00:00'"
+
+
+def _message(topic, *columns):
+    """A landing record: the columns as JSON text on a topic."""
+    return [
+        F.to_json(F.struct(*columns)).alias("raw_data"), F.lit(topic).alias("_source_topic"),
+        F.expr(AT).alias("_bronze_ingested_at"), F.lit(0).alias("_kafka_partition"), F.lit(0).cast("bigint").alias("_kafka_offset"),
+    ]
+
+
+def _ms(c):
+    return F.unix_millis(F.col(c).cast("timestamp"))
+
+
+def orders_bronze(t):
+    return t.cdc_orders.withColumn("order_date", _ms("order_date")).select(*_message("erp.public.orders", "*"))
+
+
+def items_bronze(t):
+    return t.cdc_items.select(*_message("erp.public.order_items", "*"))
+
+
+def customers_bronze(t):
+    rows = t.dirty_customers.select(
+        "id", F.split_part("name", F.lit("#"), F.lit(1)).alias("first_name"), F.split_part("name", F.lit("#"), F.lit(2)).alias("last_name"),
+        "email", "phone", "gender", F.lit(0).alias("date_of_birth"), F.lit(1577836800000).alias("created_at"),
+        F.lit("c").alias("__op"), F.lit(1700000000000).alias("__source_ts_ms"))
+    return rows.select(*_message("erp.public.customers", "*"))
+
+
+def products_bronze(t):
+    rows = t.dirty_parts.select(
+        "id", F.lit(1).alias("category_id"), "name", "sku", F.col("price").cast("decimal(12,2)").alias("price"), F.lit("1.50").alias("cost"),
+        "stock_quantity", "brand", F.lit("0.5").alias("weight"), F.lit(1577836800000).alias("created_at"),
+        F.lit(1577836800000).alias("updated_at"), F.lit("c").alias("__op"), F.lit(1700000000000).alias("__source_ts_ms"))
+    return rows.select(*_message("erp.public.products", "*"))
+
+
+def erp_bronze(t):
+    """All change topics in one landing table, as they arrive."""
+    return orders_bronze(t).unionByName(items_bronze(t)).unionByName(customers_bronze(t)).unionByName(products_bronze(t))
+
+
+@query("silver_orders", """
+SELECT id, customer_id, upper(status) AS status, CAST(total_amount AS DOUBLE) AS total_amount, order_date, 'silver' AS route
+FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY __source_ts_ms DESC) AS rn FROM cdc_orders) c WHERE rn = 1 AND __op <> 'd'""", uses=("cdc_orders",))
+def silver_orders(t):
+    out = silver.orders(erp_bronze(t))
+    return out.select("id", "customer_id", "status", F.col("total_amount").cast("double").alias("total_amount"),
+                      F.col("order_date").cast("timestamp_ntz").alias("order_date"), F.col("_route").alias("route"))
+
+
+@query("silver_dirty_orders", """
+WITH m AS (SELECT *, CASE WHEN trim(total_amount) IN ('N/A', '') THEN NULL ELSE TRY_CAST(total_amount AS DECIMAL(12,2)) END AS amount,
+  upper(trim(status)) AS s FROM dirty_orders),
+k AS (SELECT DISTINCT * FROM m)
+SELECT id, CAST(amount AS DOUBLE) AS total_amount, CASE WHEN s IN ('PENDING','PROCESSING','SHIPPED','DELIVERED','CANCELLED','RETURNED') THEN s END AS status,
+  CASE WHEN amount IS NULL OR amount <= 0 THEN 'dead_letter' ELSE 'silver' END AS route,
+  concat_ws(',', CASE WHEN amount IS NULL THEN 'null_total_amount' END, CASE WHEN amount <= 0 THEN 'non_positive_total_amount' END,
+    CASE WHEN s NOT IN ('PENDING','PROCESSING','SHIPPED','DELIVERED','CANCELLED','RETURNED','N/A','') THEN 'status_typo' END) AS reasons,
+  amount IS NULL OR amount <= 0 AS has_raw FROM k""", uses=("dirty_orders",))
+def silver_dirty_orders(t):
+    """Broken amounts end as dead letters with their message; a misspelt state is reported only."""
+    rows = t.dirty_orders.select("id", "customer_id", "status", "total_amount", F.lit("u").alias("__op"), F.lit(1).alias("__source_ts_ms"))
+    out = silver.orders(rows.select(*_message("erp.public.orders", "*")))
+    return out.select("id", F.col("total_amount").cast("double").alias("total_amount"), "status", F.col("_route").alias("route"),
+                      F.array_join("_reasons", ",").alias("reasons"), F.col("raw_data").isNotNull().alias("has_raw"))
+
+
+@query("silver_customers", r"""
+WITH c AS (SELECT id, lower(trim(CASE WHEN trim(email) = '' THEN NULL ELSE email END)) AS email, upper(trim(gender)) AS gender,
+  split_part(name, '#', 1) AS first_name FROM dirty_customers)
+SELECT id, first_name, email, gender, DATE '1970-01-01' AS date_of_birth,
+  CASE WHEN email IS NULL OR NOT regexp_full_match(email, '[^@\s]+@[^@\s]+\.[^@\s]+') THEN 'dead_letter' ELSE 'silver' END AS route FROM c""", uses=("dirty_customers",))
+def silver_customers(t):
+    return silver.customers(erp_bronze(t)).select("id", "first_name", "email", "gender", "date_of_birth", F.col("_route").alias("route"))
+
+
+@query("silver_items", """
+SELECT id, order_id, product_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price, CAST(total_price AS DOUBLE) AS total_price,
+  CASE WHEN quantity <= 0 THEN 'dead_letter' ELSE 'silver' END AS route
+FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY __source_ts_ms DESC) AS rn FROM cdc_items) c WHERE rn = 1""", uses=("cdc_items",))
+def silver_items(t):
+    out = silver.order_items(erp_bronze(t))
+    return out.select("id", "order_id", "product_id", "quantity", *[F.col(c).cast("double").alias(c) for c in ("unit_price", "total_price")],
+                      F.col("_route").alias("route"))
+
+
+PRODUCT_ROUTE = "CASE WHEN sku IS NULL OR price IS NULL OR price <= 0 THEN 'dead_letter' ELSE 'silver' END"
+PRODUCT_ROWS = r"""SELECT id, trim(name) AS name, CASE WHEN trim(sku) = '' THEN NULL ELSE regexp_replace(upper(trim(sku)), '[_\s]', '-', 'g') END AS sku,
+  CAST(price AS DECIMAL(12,2)) AS price, brand FROM dirty_parts"""
+
+
+@query("silver_products", f"""
+SELECT id, name, sku, CAST(price AS DOUBLE) AS price, brand, {PRODUCT_ROUTE} AS route FROM ({PRODUCT_ROWS}) p""", uses=("dirty_parts",))
+def silver_products(t):
+    return silver.products(erp_bronze(t)).select("id", "name", "sku", F.col("price").cast("double").alias("price"), "brand", F.col("_route").alias("route"))
+
+
+def warehouse_bronze(t):
+    """Each part created, then updated a day later at a higher price; every event delivered twice."""
+    def events(kind, day, factor):
+        return t.dirty_parts.select(
+            F.lit("warehouse").alias("_source_system"), F.concat(F.lit(f"{kind}-"), "id").alias("_event_id"),
+            F.lit(f"product.{kind}").alias("_event_type"), F.lit(f"2024-01-{day}T00:00:00").alias("_ingested_at"), F.lit("CLEAN").alias("_quality_flag"),
+            "name", F.concat(F.lit("wh_"), "id").alias("sku"), (F.col("price") * factor).cast("decimal(12,2)").alias("price"),
+            F.col("brand"), F.lit("True").alias("is_active"), "stock_quantity", F.lit(f"2024-01-{day}T00:00:00").alias("updated_at"))
+    rows = events("created", "01", 1).unionByName(events("updated", "02", 2)).unionByName(events("stock_updated", "03", 3))
+    once = rows.select(*_message("warehouse.events", "*"))
+    return once.unionByName(once)
+
+
+@query("silver_warehouse", """
+SELECT concat('WH-', id) AS sku, CAST(CAST(price * 2 AS DECIMAL(12,2)) AS DOUBLE) AS price, true AS is_active, TIMESTAMP '2024-01-02' AS updated_at,
+  CASE WHEN price IS NULL OR price <= 0 THEN 'dead_letter' ELSE 'silver' END AS route FROM dirty_parts""", uses=("dirty_parts",))
+def silver_warehouse(t):
+    out = silver.warehouse_products(warehouse_bronze(t))
+    return out.select("sku", F.col("price").cast("double").alias("price"), "is_active", F.col("updated_at").cast("timestamp_ntz").alias("updated_at"),
+                      F.col("_route").alias("route"))
+
+
+METHODS = "CASE event_id % 4 WHEN 0 THEN 'Credit Card' WHEN 1 THEN 'paypal' WHEN 2 THEN 'bitcoin' ELSE 'APPLE_PAY' END"
+
+
+def gateway_bronze(t):
+    """Purchases create payments, clicks complete them; signups create shipments, views move them."""
+    rows = t.gateway.withColumn("at", F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    created = F.col("kind").isin("payment.created", "shipping.created")
+    payload = F.struct(
+        F.when(F.col("kind") == "payment.created", F.col("event_id")).alias("payment_id"),
+        F.when(F.col("kind") == "shipping.created", F.col("event_id")).alias("shipping_id"),
+        F.col("user_id").alias("order_id"), F.when(created, F.expr(METHODS)).alias("payment_method"),
+        (F.col("value") - 5).cast("decimal(12,2)").alias("amount"), F.when(created, F.lit("pending")).alias("status"),
+        F.col("txn").alias("transaction_id"), F.concat(F.lit("TRK"), "user_id").alias("tracking_number"), F.lit("DHL").alias("carrier"),
+        F.when(F.col("kind") == "payment.status_updated", "completed").when(F.col("kind") == "shipping.status_updated",
+                F.when(F.col("event_id") % 2 == 0, "picked_up").otherwise("delivered")).alias("status_to"))
+    return rows.select(*_message(
+        "payment.events", F.lit("payment_gw").alias("_source_system"), F.concat(F.lit("e-"), "event_id").alias("_event_id"),
+        F.col("kind").alias("_event_type"), F.lit("c").alias("_op_type"), F.col("at").alias("_ingested_at"),
+        F.lit("CLEAN").alias("_quality_flag"), payload.alias("payload")))
+
+
+@query("silver_payments", f"""
+WITH c AS (SELECT * FROM (SELECT *, {METHODS} AS m, CAST(value - 5 AS DECIMAL(12,2)) AS amount, row_number() OVER (PARTITION BY txn ORDER BY ts, concat('e-', event_id)) AS rn
+  FROM gateway WHERE kind = 'payment.created') x WHERE rn = 1),
+u AS (SELECT txn, min(ts) AS paid_at FROM gateway WHERE kind = 'payment.status_updated' GROUP BY 1)
+SELECT event_id AS id, txn AS transaction_id, user_id AS order_id, CAST(amount AS DOUBLE) AS amount,
+  CASE m WHEN 'Credit Card' THEN 'CREDIT_CARD' WHEN 'paypal' THEN 'PAYPAL' WHEN 'APPLE_PAY' THEN 'APPLE_PAY' END AS payment_method,
+  CASE WHEN u.txn IS NULL THEN 'PENDING' ELSE 'COMPLETED' END AS status, paid_at,
+  CASE WHEN amount <= 0 THEN 'dead_letter' ELSE 'silver' END AS route FROM c LEFT JOIN u USING (txn)""", uses=("gateway",))
+def silver_payments(t):
+    out = silver.payments(gateway_bronze(t))
+    return out.select("id", "transaction_id", "order_id", F.col("amount").cast("double").alias("amount"), "payment_method", "status",
+                      F.col("paid_at").cast("timestamp_ntz").alias("paid_at"), F.col("_route").alias("route"))
+
+
+@query("silver_shipping", """
+WITH c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, concat('e-', event_id)) AS rn
+  FROM gateway WHERE kind = 'shipping.created') x WHERE rn = 1),
+s AS (SELECT user_id, ts, event_id, CASE WHEN event_id % 2 = 0 THEN 'PICKED_UP' ELSE 'DELIVERED' END AS st FROM gateway WHERE kind = 'shipping.status_updated'),
+u AS (SELECT user_id, arg_max(st, (ts, concat('e-', event_id))) AS st, min(ts) FILTER (WHERE st = 'PICKED_UP') AS shipped_at, min(ts) FILTER (WHERE st = 'DELIVERED') AS delivered_at FROM s GROUP BY 1)
+SELECT event_id AS id, concat('TRK', user_id) AS tracking_number, user_id AS order_id, coalesce(st, 'PENDING') AS status, shipped_at, delivered_at, 'silver' AS route
+FROM c LEFT JOIN u USING (user_id)""", uses=("gateway",))
+def silver_shipping(t):
+    out = silver.shipping(gateway_bronze(t))
+    return out.select("id", "tracking_number", "order_id", "status", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("shipped_at", "delivered_at")],
+                      F.col("_route").alias("route"))
+
+
+@query("silver_dead_letters", r"""
+WITH c AS (SELECT id, lower(trim(CASE WHEN trim(email) = '' THEN NULL ELSE email END)) AS email FROM dirty_customers),
+p AS (SELECT id, CASE WHEN trim(sku) = '' THEN NULL ELSE sku END AS sku, CAST(price AS DECIMAL(12,2)) AS price FROM dirty_parts)
+SELECT CAST(id AS VARCHAR) AS id, 'erp.customers' AS _source, 'DIRTY' AS _quality_flag, CASE WHEN email IS NULL THEN 'null_email' ELSE 'invalid_email' END AS reasons,
+  CAST(CASE WHEN email IS NULL THEN 3 ELSE 2 END AS INTEGER) AS _dirty_score FROM c WHERE email IS NULL OR NOT regexp_full_match(email, '[^@\s]+@[^@\s]+\.[^@\s]+')
+UNION ALL SELECT CAST(id AS VARCHAR), 'erp.products', 'DIRTY', concat_ws(',', CASE WHEN sku IS NULL THEN 'null_sku' END, CASE WHEN price IS NULL THEN 'null_price' END, CASE WHEN price <= 0 THEN 'non_positive_price' END),
+  CAST((CASE WHEN sku IS NULL THEN 3 ELSE 0 END) + (CASE WHEN price IS NULL THEN 3 ELSE 0 END) + (CASE WHEN price <= 0 THEN 3 ELSE 0 END) AS INTEGER)
+FROM p WHERE sku IS NULL OR price IS NULL OR price <= 0""", uses=("dirty_customers", "dirty_parts"))
+def silver_dead_letters(t):
+    bronze = erp_bronze(t)
+    rejects = {"erp.customers": silver.rejected(silver.customers(bronze)), "erp.products": silver.rejected(silver.products(bronze))}
+    out = dead_letters(rejects, F.expr(AT))
+    return out.select("id", "_source", "_quality_flag", F.array_join("_reasons", ",").alias("reasons"), "_dirty_score")
+
+
+@query("monthly_revenue", """
+WITH o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY __source_ts_ms DESC) AS rn FROM cdc_orders) c WHERE rn = 1 AND __op <> 'd' AND total_amount > 0),
+i AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY __source_ts_ms DESC) AS rn FROM cdc_items) c WHERE rn = 1 AND quantity > 0)
+SELECT CAST(year(o.order_date) AS INTEGER) AS order_year, CAST(month(o.order_date) AS INTEGER) AS order_month, count(*) AS total_items,
+  CAST(sum(i.total_price) AS DOUBLE) AS total_revenue FROM i JOIN o ON i.order_id = o.id GROUP BY 1, 2""", uses=("cdc_orders", "cdc_items"))
+def revenue(t):
+    """Messages -> silver entities -> star schema -> report, in one plan."""
+    bronze = erp_bronze(t)
+    fact = gold.fact_sales(
+        silver.accepted(silver.order_items(bronze)), silver.accepted(silver.orders(bronze)),
+        gold.dim_customers(silver.accepted(silver.customers(bronze))), gold.dim_products(silver.accepted(silver.products(bronze))),
+        gold.dim_payments(t.sql(reports.PAYMENTS)), gold.dim_shipping(t.sql(reports.SHIPMENTS)))
+    return monthly_revenue(fact)

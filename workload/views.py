@@ -70,7 +70,7 @@ SELECT id, customer_id, status, total_amount, order_date, __op, __source_ts_ms F
     # One change message per line; the same line key may come several times.
     "cdc_items": """
 SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS order_id, l_partkey AS product_id,
-       CAST(l_quantity AS INT) AS quantity, CAST(l_extendedprice / l_quantity AS DECIMAL(12,2)) AS unit_price,
+       CAST(l_quantity AS INT) AS quantity, CAST(floor(l_extendedprice / l_quantity) AS DECIMAL(12,2)) AS unit_price,
        CAST(l_extendedprice AS DECIMAL(12,2)) AS total_price, 'c' AS __op,
        1700000000000 + l_partkey * 100000 + l_suppkey * 100 + CAST(l_quantity AS BIGINT) AS __source_ts_ms
 FROM lineitem""",
