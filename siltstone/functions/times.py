@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -26,10 +27,31 @@ def _epoch_text(c: Column) -> Column:
     return F.when(F.rlike(c, F.lit(r"^\d{1,12}$")), F.timestamp_seconds(c.try_cast("bigint")))
 
 
+_TOKEN_SHAPES = {
+    "yyyy": r"\d{4}", "MMM": "[A-Za-z]{3}", "MM": r"\d{2}", "dd": r"\d{2}", "d": r"\d{1,2}",
+    "HH": r"\d{2}", "mm": r"\d{2}", "ss": r"\d{2}",
+}
+
+
+def _shape(pattern: str) -> str:
+    """Regular expression of the texts a date pattern can fit."""
+    tokens = re.findall("|".join([*_TOKEN_SHAPES, "."]), pattern)
+    return "^" + "".join(_TOKEN_SHAPES.get(t, re.escape(t)) for t in tokens) + "$"
+
+
+def _by_format(text: Column, pattern: str) -> Column:
+    """Timestamp where the text fits the pattern, else NULL.
+
+    The shape is checked before the parser is called: a parser that meets the wrong shape raises
+    and catches an exception per row, and tries the old calendar's parser on top.
+    """
+    return F.when(F.rlike(text, F.lit(_shape(pattern))), F.try_to_timestamp(text, F.lit(pattern)))
+
+
 def parse_mixed_ts(c: Column) -> Column:
     """`yyyy-MM-dd HH:mm:ss`, else digits as epoch seconds, else NULL."""
     text = F.trim(c)
-    return F.coalesce(F.try_to_timestamp(text, F.lit(vocab.DATETIME_FORMAT)), _epoch_text(text))
+    return F.coalesce(_by_format(text, vocab.DATETIME_FORMAT), _epoch_text(text))
 
 
 def parse_date_formats(
@@ -37,7 +59,7 @@ def parse_date_formats(
 ) -> Column:
     """First format that fits, else (with `epoch`) digits as epoch seconds, else NULL."""
     text = F.trim(c)
-    tries = [F.try_to_timestamp(text, F.lit(f)) for f in formats]
+    tries = [_by_format(text, f) for f in formats]
     if epoch:
         tries.append(_epoch_text(text))
     return F.coalesce(*tries)

@@ -139,7 +139,8 @@ def flagged(column: str, weight: int = 2) -> Rule:
 def tag_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Q2. `_reasons` (names of broken rules, in rule order) and `_dirty_score` (their weight)."""
     hit = {r.name: F.coalesce(r.broken, F.lit(False)) for r in rules}
-    reasons = F.array_compact(F.array(*[F.when(hit[r.name], F.lit(r.name)) for r in rules]))
+    names = F.array(*[F.when(hit[r.name], F.lit(r.name)) for r in rules])
+    reasons = F.array_except(names, F.array(F.lit(None).cast("string")))  # stays in codegen
     score = reduce(
         lambda total, r: total + F.when(hit[r.name], r.weight).otherwise(0), rules, F.lit(0)
     )

@@ -53,7 +53,10 @@ def clean_table(df: DataFrame, config: CleaningConfig) -> DataFrame:
     df = df.withColumns(repaired)
     if config.dedup:
         order = list(config.order) or [c for c in df.columns if c not in config.dedup]
-        df = dedup_by(df, config.dedup, [F.col(c).asc_nulls_last() for c in order])
+        # One packed key: a filter on a key column (the outlier bounds) is then not pushed below the
+        # window, where it would repeat the whole repair expression.
+        keyed = df.withColumn("_key", F.struct(*config.dedup))
+        df = dedup_by(keyed, ["_key"], [F.col(c).asc_nulls_last() for c in order]).drop("_key")
     else:
         df = df.dropDuplicates()
     for c in config.outliers:

@@ -1,7 +1,7 @@
 """Silver entities (Q13).
 
-Every recipe has the same course: parse, repair and type, tag broken rules, keep one version per
-key, drop deletes, route. Nothing is filtered before the version is chosen, so a bad new version
+Every recipe has the same course: parse, repair and type, keep one version per key, tag broken
+rules and route, drop deletes. Nothing is filtered before the version is chosen, so a bad new version
 never lets an old one back in, and rows in = silver + dead letters + superseded versions + deletes.
 """
 
@@ -27,23 +27,29 @@ from siltstone.operators.status import PAYMENT_STAMPS, SHIPPING_STAMPS, apply_st
 SILVER, DEAD_LETTER, QUARANTINE = "silver", "dead_letter", "quarantine"
 
 
-def _tag(df: DataFrame, rules: Sequence[q.Rule]) -> DataFrame:
-    """Tag and decide, and keep the raw message only where it will be needed: on rejected rows."""
+def _is_bad(df: DataFrame, rules: Sequence[q.Rule]) -> Column:
     bad = q.any_rejects(rules)
     if "_quality_flag" in df.columns:
         bad = bad | F.coalesce(F.col("_quality_flag").isin(vocab.DIRTY, vocab.QUARANTINE), F.lit(False))
-    return q.tag_rules(df, rules).withColumns({
-        "_route": F.when(bad, DEAD_LETTER).otherwise(SILVER),
-        "_raw": F.when(bad, F.col("raw_data")),
-    })
+    return bad
 
 
-def _one_version(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
-    """One row per key. Messages without a key are all kept (identical ones once)."""
-    tagged = df.withColumn("_keyless", F.when(F.col(key).isNull(), F.col("raw_data")))
+def _resolve(df: DataFrame, rules: Sequence[q.Rule], key: str, order: Sequence[Column]) -> DataFrame:
+    """One version per key, tagged and routed.
+
+    Whether a row is bad is settled before the shuffle, so that only bad rows carry their message
+    through it; reasons and score are worked out for the surviving rows only. Messages without a
+    key are all kept (identical ones once).
+    """
+    bad = _is_bad(df, rules)
+    slim = df.withColumns({
+        "_raw": F.when(bad, F.col("raw_data")),
+        "_keyless": F.when(F.col(key).isNull(), F.col("raw_data")),
+    }).drop("raw_data")
     place = F.row_number().over(Window.partitionBy(key, "_keyless").orderBy(*order))
-    kept = tagged.withColumn("_place", place).filter(F.col("_place") == 1)
-    return kept.drop("_place", "_keyless", "raw_data").withColumnRenamed("_raw", "raw_data")
+    kept = slim.withColumn("_place", place).filter(F.col("_place") == 1).drop("_place", "_keyless")
+    route = F.when(_is_bad(kept, rules), DEAD_LETTER).otherwise(SILVER)
+    return q.tag_rules(kept, rules).withColumn("_route", route).withColumnRenamed("_raw", "raw_data")
 
 
 def _newest(df: DataFrame) -> list[Column]:
@@ -72,8 +78,8 @@ def orders(bronze: DataFrame, topic: str = "erp.public.orders", schema: str = sc
         q.null_rule("id"), q.null_rule("customer_id"), q.null_rule("total_amount"),
         q.not_positive("total_amount"), q.status_typo(),
     ]
-    tagged = _tag(typed, rules).withColumn("status", text.enum_or_null(F.col("status"), vocab.ORDER_STATUSES))
-    return drop_deletes(_one_version(tagged, "id", _newest(tagged)))
+    current = drop_deletes(_resolve(typed, rules, "id", _newest(typed)))
+    return current.withColumn("status", text.enum_or_null(F.col("status"), vocab.ORDER_STATUSES))
 
 
 def customers(bronze: DataFrame, topic: str = "erp.public.customers", schema: str = schemas.CDC["customers"]) -> DataFrame:
@@ -86,8 +92,8 @@ def customers(bronze: DataFrame, topic: str = "erp.public.customers", schema: st
         "date_of_birth": epoch_to_ts(F.col("date_of_birth"), "ms").cast("date"),
         "created_at": epoch_to_ts(F.col("created_at"), "ms"),
     })
-    tagged = _tag(typed, [q.null_rule("id"), q.null_rule("email"), q.invalid_email()])
-    return drop_deletes(_one_version(tagged, "id", _newest(tagged)))
+    rules = [q.null_rule("id"), q.null_rule("email"), q.invalid_email()]
+    return drop_deletes(_resolve(typed, rules, "id", _newest(typed)))
 
 
 def order_items(bronze: DataFrame, topic: str = "erp.public.order_items", schema: str = schemas.CDC["order_items"]) -> DataFrame:
@@ -97,8 +103,7 @@ def order_items(bronze: DataFrame, topic: str = "erp.public.order_items", schema
         q.null_rule("id"), q.null_rule("order_id"), q.null_rule("product_id"),
         q.null_rule("quantity"), q.not_positive("quantity"),
     ]
-    tagged = _tag(typed, rules)
-    return drop_deletes(_one_version(tagged, "id", _newest(tagged)))
+    return drop_deletes(_resolve(typed, rules, "id", _newest(typed)))
 
 
 def products(bronze: DataFrame, topic: str = "erp.public.products", schema: str = schemas.CDC["products"]) -> DataFrame:
@@ -112,8 +117,7 @@ def products(bronze: DataFrame, topic: str = "erp.public.products", schema: str
         **{c: epoch_to_ts(F.col(c), "ms") for c in ("created_at", "updated_at")},
     })
     rules = [q.null_rule(c) for c in ("id", "sku", "name", "price")] + [q.not_positive("price")]
-    tagged = _tag(typed, rules)
-    return drop_deletes(_one_version(tagged, "id", _newest(tagged)))
+    return drop_deletes(_resolve(typed, rules, "id", _newest(typed)))
 
 
 def warehouse_products(bronze: DataFrame, schema: str = schemas.WAREHOUSE_LIFECYCLE) -> DataFrame:
@@ -131,9 +135,8 @@ def warehouse_products(bronze: DataFrame, schema: str = schemas.WAREHOUSE_LIFECY
         **{c: iso_ts(F.col(c)) for c in ("_ingested_at", "created_at", "updated_at")},
     })
     rules = [q.null_rule(c) for c in ("sku", "name", "price")] + [q.not_positive("price")]
-    tagged = _tag(typed, rules)
     order = [F.col("_ingested_at").desc_nulls_last(), F.col("_event_id").desc_nulls_last()]
-    return _one_version(tagged, "sku", order)
+    return _resolve(typed, rules, "sku", order)
 
 
 def _is_update() -> Column:
@@ -162,10 +165,9 @@ def payments(bronze: DataFrame, schema: str = schemas.PAYLOAD["payment"], *, fol
         q.not_positive("amount"), q.invalid_payment_method(),
     ]
     method = F.upper(text.snake_category(F.col("payment_method")))
-    tagged = _tag(typed, rules).withColumn(
+    kept = _resolve(typed, rules, "transaction_id", _earliest()).withColumn(
         "payment_method", text.enum_or_null(method, vocab.PAYMENT_METHODS)
     )
-    kept = _one_version(tagged, "transaction_id", _earliest())
     if not fold:
         return kept
     updates = events.filter(_is_update()).select(
@@ -188,8 +190,8 @@ def shipping(bronze: DataFrame, schema: str = schemas.PAYLOAD["shipping"], *, fo
         **{c: iso_ts(F.col(c)) for c in ("shipped_at", "delivered_at")},
         "estimated_delivery": iso_ts(F.col("estimated_delivery")).cast("date"),
     }).drop("shipping_id", "status_from", "status_to")
-    tagged = _tag(typed, [q.null_rule("order_id"), q.null_rule("tracking_number")])
-    kept = _one_version(tagged, "tracking_number", _earliest())
+    rules = [q.null_rule("order_id"), q.null_rule("tracking_number")]
+    kept = _resolve(typed, rules, "tracking_number", _earliest())
     if not fold:
         return kept
     updates = events.filter(_is_update()).select(

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siltstone.sources.files import spread_scan
 from workload import views
 
 TABLES = (
@@ -22,20 +24,32 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._seen: dict[str, DataFrame] = {}
         spark.conf.set("spark.sql.session.timeZone", "UTC")  # results are compared as UTC
 
     def __getattr__(self, name: str) -> DataFrame:
+        if name in self._seen:
+            return self._seen[name]
         if name in TABLES:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        if name in views.VIEWS:
-            return self.sql(views.VIEWS[name])
-        raise AttributeError(name)
+            found = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        elif name in views.VIEWS:
+            found = self.sql(views.VIEWS[name])
+        else:
+            raise AttributeError(name)
+        self._seen[name] = found
+        return found
 
     def sql(self, statement: str) -> DataFrame:
-        """A statement over the base tables, analysed now against this folder."""
+        """A statement over the base tables, analysed now against this folder.
+
+        The statements are heavy on text; a table that comes as one split is spread first.
+        """
         for table in TABLES:
-            if table in statement:
-                getattr(self, table).createOrReplaceTempView(table)
+            if re.search(rf"\b{table}\b", statement):
+                key = f"{table} (spread)"
+                if key not in self._seen:
+                    self._seen[key] = spread_scan(getattr(self, table))
+                self._seen[key].createOrReplaceTempView(table)
         return self.spark.sql(statement)
 
     def stream(self, name: str) -> DataFrame:
