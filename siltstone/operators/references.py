@@ -88,9 +88,10 @@ def unreviewed_items(
     order_id: str = "order_id", product_id: str = "product_id", status: str = "status",
 ) -> DataFrame:
     """J10. Distinct (order, product) pairs of delivered orders without a review."""
-    delivered = orders.filter(F.lower(status) == "delivered")
+    delivered = orders.filter(F.lower(status) == "delivered").select(order_id)
     pairs = items.select(order_id, product_id).dropna().distinct()
-    return without_match(with_match(pairs, delivered, [order_id]), reviews, [order_id, product_id])
+    # One order may hold many of the pairs, so this join salts hot orders.
+    return without_match(skew_join(pairs, delivered, [order_id], "left_semi"), reviews, [order_id, product_id])
 
 
 def orders_without_items(orders: DataFrame, items: DataFrame, order_id: str = "order_id") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.operators.dedup import latest_per_key
-from siltstone.operators.skew import previous_value
+from siltstone.operators.skew import previous_value, skew_join
 
 PAYMENT_STAMPS = {"paid_at": "completed"}
 SHIPPING_STAMPS = {"shipped_at": "picked_up", "delivered_at": "delivered"}
@@ -34,10 +34,13 @@ def apply_status_events(
     entity: DataFrame, events: DataFrame, key: str, at: str, tie: str, status: str = "status",
     status_to: str = "status_to", stamps: Mapping[str, str] = SHIPPING_STAMPS,
 ) -> DataFrame:
-    """Q7. `entity` (one row per key) with its status moved forward and its times stamped."""
+    """Q7. `entity` (one row per key) with its status moved forward and its times stamped.
+
+    Entities without a key are kept as they are, however many there are.
+    """
     fold = fold_status(events, key, at, tie, status_to, stamps)
     fold = fold.select(key, "current_status", *[F.col(s).alias(f"_{s}") for s in stamps])
-    out = entity.join(fold, key, "left")
+    out = skew_join(entity, fold.dropna(subset=[key]), [key], "left")
     have = set(entity.columns)
     changed = {status: F.coalesce("current_status", F.col(status))}
     for name in stamps:

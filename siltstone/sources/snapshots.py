@@ -13,10 +13,13 @@ from siltstone.operators.parse import drop_deletes
 
 
 def read_jdbc_table(
-    spark: SparkSession, url: str, table: str, *, key: str = "id", partitions: int = 32,
-    low: int = 1, high: int = 1, fetch: int = 50000, properties: Mapping[str, str] | None = None,
+    spark: SparkSession, url: str, table: str, *, low: int, high: int, key: str = "id",
+    partitions: int = 32, fetch: int = 50000, properties: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """S12. A database table read in parallel ranges of its key; decimals stay decimals."""
+    """S12. A database table read in parallel ranges of its key; decimals stay decimals.
+
+    `low` and `high` (the key's range) only place the cuts between ranges; no row is left out.
+    """
     return spark.read.jdbc(
         url, table, column=key, lowerBound=low, upperBound=high, numPartitions=partitions,
         properties={"fetchsize": str(fetch), **(properties or {})},
