@@ -46,9 +46,9 @@ def read_bronze(spark: SparkSession, root: str, sink: str, since: str | None = N
 
 def read_routed(spark: SparkSession, root: str, entity: str, route: str) -> DataFrame:
     """One branch of a silver entity. `_route` is a partition column: other branches are not read."""
-    recipe = ENTITIES[entity]
-    empty = recipe[1](spark.createDataFrame([], schemas.BRONZE))
-    rows = read_or_empty(spark, f"{root}/silver/{entity}", empty.schema.simpleString()[7:-1])
+    _, recipe, _ = ENTITIES[entity]
+    shape = recipe(spark.createDataFrame([], schemas.BRONZE)).schema
+    rows = read_or_empty(spark, f"{root}/silver/{entity}", shape)
     return rows.filter(F.col("_route") == route)
 
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 CORRUPT = "_corrupt_record"
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     """S5. Parquet at `path`, or no rows of the declared schema when nothing was written yet.
 
     Only a missing path counts as empty; every other failure is raised.
