@@ -6,18 +6,49 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 # A key is hot when it holds more than 1/HOT_SHARE of the rows, so there are fewer than HOT_SHARE
-# hot keys whatever the size of the data. That bound is what makes broadcasting them safe.
+# hot keys whatever the size of the data.
 HOT_SHARE = 1000
 SALTS = 64
+_LANES = 256
+_TRACKED = 4096
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
-    """Keys holding more than 1/share of the rows: fewer than `share` rows by construction."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total")).scalar()
-    return counts.filter(F.col("_n") * share > total).select(*keys)
+def _hash(keys: Sequence[str], kinds: Sequence[DataType]) -> Column:
+    """Hash of the keys read as the given types, so that both sides of a join agree on it."""
+    return F.xxhash64(*[F.col(k).try_cast(kind) for k, kind in zip(keys, kinds)])
+
+
+def _kinds(df: DataFrame, keys: Sequence[str]) -> list[DataType]:
+    return [df.schema[k].dataType for k in keys]
+
+
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE, kinds: Sequence[DataType] | None = None
+) -> list[int]:
+    """Hashes of the keys that hold more than 1/share of the rows: fewer than `share` numbers.
+
+    One pass over the key columns with a frequent-items sketch, so the keys themselves are not
+    shuffled. Input partitions are folded into lanes first, to keep any one task from merging the
+    sketches of all of them. A missing key counts as a key.
+    """
+    hashes = df.select(
+        _hash(keys, kinds or _kinds(df, keys)).alias("_hash"),
+        F.pmod(F.spark_partition_id(), F.lit(_LANES)).alias("_lane"),
+    )
+    lanes = hashes.groupBy("_lane").agg(
+        F.expr(f"approx_top_k(_hash, {share}, {_TRACKED})").alias("_top"), F.count(F.lit(1)).alias("_rows")
+    )
+    merged = lanes.agg(F.sum("_rows").alias("_total"), F.flatten(F.collect_list("_top")).alias("_top"))
+    found = (
+        merged.select("_total", F.inline("_top"))
+        .groupBy("item")
+        .agg(F.sum("count").alias("_n"), F.max("_total").alias("_total"))
+        .filter(F.col("_n") * share > F.col("_total"))
+    )
+    return [row["item"] for row in found.collect()]
 
 
 def _broadcast_limit(df: DataFrame) -> int:
@@ -40,28 +71,35 @@ def skew_join(
     keys: Sequence[str],
     how: str = "inner",
     *,
+    counted: DataFrame | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """Equi-join `big` with a side that has one row per key, spreading hot keys over `salts` tasks.
 
-    Rows of `big` with a hot key get a salt taken from their own content (stable under retries), and
-    only the hot rows of `unique` are repeated once per salt. `how` is any join that keeps or drops
-    rows of `big`: inner, left, left_semi, left_anti. A `unique` side Spark broadcasts anyway needs
-    no salt. NULL keys never match, so under `left`/`left_anti` they are spread like a hot key.
+    `how` is any join that keeps or drops rows of `big`: inner, left, left_semi, left_anti. A
+    `unique` side below the broadcast threshold is left to Spark. Otherwise hot keys are looked for
+    (a job of its own over the key columns, answering with at most a few hundred numbers); without
+    any, this is a plain join. With some, their rows in `big` get a salt taken from the row's own
+    content, stable under retries, and only their rows in `unique` are repeated once per salt. The
+    list enters the plan as a literal, so both sides always agree on it. Missing keys never match;
+    where they are many they are spread as well.
+
+    Where `big` is itself the result of costly steps, give a cheaper frame with the same keys as
+    `counted` (say, the table `big` was made from). Which keys are called hot decides only how work
+    is spread, never the result.
     """
     keys = list(keys)
     if fits_broadcast(unique):
         return big.join(unique, keys, how)
-    hot = F.broadcast(hot_keys(big.dropna(subset=keys), keys).withColumn("_hot", F.lit(True)))
-    any_null = F.lit(False)
-    for k in keys:
-        any_null = any_null | F.col(k).isNull()
-    spread = F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")
-    salted_big = big.join(hot, keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | any_null, spread).otherwise(0)
-    ).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_unique = unique.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    kinds = _kinds(big, keys)
+    hot = hot_keys(big if counted is None else counted, keys, kinds=kinds)
+    if not hot:
+        return big.join(unique, keys, how)
+    crowded = _hash(keys, kinds).isin(*hot)
+    own = F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")
+    salted_big = big.withColumn("_salt", F.when(crowded, own).otherwise(0))
+    copies = F.when(crowded, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_unique = unique.withColumn("_salt", F.explode(copies))
     return salted_big.join(salted_unique, [*keys, "_salt"], how).drop("_salt")
 
 
@@ -104,7 +142,3 @@ def previous_value(
     columns = [*df.columns, into]
     return rest.select(*columns).unionByName(led.select(*columns))
 
-
-def rows_total(df: DataFrame) -> Column:
-    """Row count of `df` as a scalar subquery, for use inside another plan."""
-    return df.agg(F.count(F.lit(1)).alias("_rows")).scalar()

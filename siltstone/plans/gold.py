@@ -89,15 +89,18 @@ def fact_sales(
     goods = products.select(
         F.col("product_key").alias("product_id"), "product_key", "sku", "product_name", "brand", "list_price"
     )
-    per_order = skew_join(head, buyers, ["customer_id"], "left").join(
+    per_order = skew_join(head, buyers, ["customer_id"], "left", counted=orders).join(
         pay.drop("paid_at"), "order_id", "left"
     ).join(ship.drop("shipped_at"), "order_id", "left")
     lines = items.select(
         F.col("id").alias("order_item_key"), "order_id", "product_id", "quantity", "unit_price",
         F.col("total_price").alias("item_total"),
     )
-    placed = lines.join(per_order, "order_id") if fanout else skew_join(lines, per_order, ["order_id"], "inner")
-    sold = skew_join(placed, goods, ["product_id"], "left")
+    if fanout:
+        placed = lines.join(per_order, "order_id")
+    else:
+        placed = skew_join(lines, per_order, ["order_id"], "inner", counted=items)
+    sold = skew_join(placed, goods, ["product_id"], "left", counted=items)
     return sold.select(
         "order_item_key", F.col("order_id").alias("order_key"), "customer_key", "product_key",
         "payment_key", "shipping_key",

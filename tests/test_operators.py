@@ -89,7 +89,20 @@ def test_skew_join_agrees_with_a_plain_join(hot, no_broadcast, how):
 
 
 def test_hot_keys_are_few_and_found(hot):
-    assert [r[0] for r in skew.hot_keys(hot, ["k"], share=5).collect()] == [7]
+    want = hot.sparkSession.range(7, 8).select(F.xxhash64("id")).first()[0]
+    assert skew.hot_keys(hot, ["k"], share=5) == [want]
+    assert skew.hot_keys(hot.filter("id < 0"), ["k"]) == []
+    even = hot.sparkSession.range(5000).withColumnRenamed("id", "k")
+    assert skew.hot_keys(even, ["k"]) == []
+
+
+def test_skew_join_across_key_types(hot, no_broadcast):
+    """The sides agree on a hot key although they store it in different types."""
+    narrow = hot.sparkSession.createDataFrame([(7, "x"), (8, "y")], "k int, v string")
+    assert hot.schema["k"].dataType.simpleString() == "bigint"
+    assert skew.skew_join(hot, narrow, ["k"], "left").filter("v = 'x'").count() == hot.filter("k = 7").count()
+    for big, unique in ((hot, narrow), (hot.withColumn("k", F.col("k").cast("int")), narrow.withColumn("k", F.col("k").cast("bigint")))):
+        assert skew.skew_join(big, unique, ["k"], "inner").count() == hot.filter("k IN (7, 8)").count()
 
 
 def test_previous_value_across_chunks(spark):

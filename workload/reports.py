@@ -11,6 +11,7 @@ from siltstone.operators.quality import Rule, any_rejects, not_positive, null_ru
 from siltstone.operators.skew import skew_join
 from siltstone.plans import gold
 from siltstone.sources.bronze import to_bronze
+from siltstone.sources.files import spread_scan
 from workload.landing import TOPIC_SQL, as_messages
 from workload.registry import TABLES, query
 
@@ -97,7 +98,7 @@ def silver_orders(t):
 
 
 def silver_items(t):
-    return t.lineitem.select(
+    return spread_scan(t.lineitem).select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"), F.col("l_quantity").cast("int").alias("quantity"),
         F.floor(F.col("l_extendedprice") / F.col("l_quantity")).cast(MONEY).alias("unit_price"),

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from siltstone.operators.quality import dead_letters
 from siltstone.operators.reports import monthly_revenue
 from siltstone.plans import gold, silver
+from siltstone.session import scratch_folder
+from siltstone.sources.tables import overwrite_table
 from workload import reports
 from workload.registry import query
 
@@ -201,10 +203,16 @@ i AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY __sou
 SELECT CAST(year(o.order_date) AS INTEGER) AS order_year, CAST(month(o.order_date) AS INTEGER) AS order_month, count(*) AS total_items,
   CAST(sum(i.total_price) AS DOUBLE) AS total_revenue FROM i JOIN o ON i.order_id = o.id GROUP BY 1, 2""", uses=("cdc_orders", "cdc_items"))
 def revenue(t):
-    """Messages -> silver entities -> star schema -> report, in one plan."""
+    """Messages -> stored silver tables -> star schema -> report."""
+    root = scratch_folder(t.spark, "revenue")
     bronze = erp_bronze(t)
+    recipes = {"orders": silver.orders, "customers": silver.customers, "order_items": silver.order_items, "products": silver.products}
+    tables = {}
+    for entity, recipe in recipes.items():
+        routed = recipe(bronze)
+        overwrite_table(routed, f"{root}/{entity}", ["_route"])
+        tables[entity] = silver.accepted(t.spark.read.schema(routed.schema).parquet(f"{root}/{entity}"))
     fact = gold.fact_sales(
-        silver.accepted(silver.order_items(bronze)), silver.accepted(silver.orders(bronze)),
-        gold.dim_customers(silver.accepted(silver.customers(bronze))), gold.dim_products(silver.accepted(silver.products(bronze))),
+        tables["order_items"], tables["orders"], gold.dim_customers(tables["customers"]), gold.dim_products(tables["products"]),
         gold.dim_payments(t.sql(reports.PAYMENTS)), gold.dim_shipping(t.sql(reports.SHIPMENTS)))
     return monthly_revenue(fact)
