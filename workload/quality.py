@@ -313,3 +313,36 @@ def cleaned(t):
         dedup=["customer_id", "order_date", "total_amount"], order=["id"], outliers=["total_amount"], typos=vocab.STATUS_TYPOS)
     out = clean_table(t.dirty_orders.drop("category", "_quality_flag"), config)
     return out.select("id", "customer_id", "status", "total_amount", F.col("order_date").cast("timestamp_ntz").alias("order_date"))
+
+
+@query("duplicate_review", """
+WITH n AS (SELECT l_orderkey, l_partkey, count(*) AS n FROM lineitem GROUP BY ALL)
+SELECT l_orderkey, l_linenumber, l_partkey, n > 1 AS duplicate_review FROM lineitem JOIN n USING (l_orderkey, l_partkey)""")
+def duplicate_review(t):
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
+    return q.with_repeat_flag(rows, ["l_orderkey", "l_partkey"], "duplicate_review")
+
+
+@query("tag_product_rules", """
+WITH n AS (SELECT sku, count(*) AS n FROM dirty_parts WHERE sku IS NOT NULL GROUP BY 1),
+p AS (SELECT d.id, d.price, d.stock_quantity, d.sku, coalesce(n.n > 1, false) AS dup,
+  CASE d.id % 5 WHEN 0 THEN upper(d.name) WHEN 1 THEN concat(d.name, '...') WHEN 2 THEN concat(d.name, ' ') WHEN 3 THEN substr(d.name, 1, 5) ELSE d.name END AS name,
+  TIMESTAMP '2024-01-01' + (d.id % 400) * INTERVAL 1 DAY AS created_at FROM dirty_parts d LEFT JOIN n ON d.sku = n.sku)
+SELECT id, array_to_string(list_filter([CASE WHEN price IS NULL THEN 'null_price' END, CASE WHEN price = 0 THEN 'zero_price' END,
+  CASE WHEN stock_quantity < 0 THEN 'negative_stock' END, CASE WHEN dup THEN 'duplicate_sku' END,
+  CASE WHEN created_at > TIMESTAMP '2024-12-01' THEN 'future_created_at' END, CASE WHEN length(name) BETWEEN 3 AND 8 THEN 'truncated_name' END,
+  CASE WHEN ends_with(name, '...') THEN 'cut_name' END, CASE WHEN regexp_matches(lower(name), 'aa|ee|ii|oo|uu') THEN 'doubled_vowel_name' END,
+  CASE WHEN name = upper(name) AND lower(name) <> upper(name) THEN 'shouting_name' END, CASE WHEN name <> trim(name) THEN 'hidden_space_name' END], lambda x: x IS NOT NULL), ',') AS reasons
+FROM p""", uses=("dirty_parts",))
+def tag_product_rules(t):
+    """The product rules, on names cut, shouted or padded by turns."""
+    name, turn = F.col("name"), F.col("id") % 5
+    rows = t.dirty_parts.withColumns({
+        "name": F.when(turn == 0, F.upper(name)).when(turn == 1, F.concat(name, F.lit("..."))).when(turn == 2, F.concat(name, F.lit(" ")))
+        .when(turn == 3, F.substring(name, 1, 5)).otherwise(name),
+        "created_at": F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(CAST(id % 400 AS INT))"),
+    })
+    rows = q.with_repeat_flag(rows, ["sku"], "duplicate_sku")
+    rules = [q.null_rule("price"), q.zero_price(), q.negative("stock_quantity", "negative_stock"), q.flagged("duplicate_sku"),
+             q.future_created_at(F.expr("TIMESTAMP_NTZ '2024-12-01 00:00:00'")), q.truncated_name(), *q.text_rules("name")]
+    return q.tag_rules(rows, rules).select("id", F.array_join("_reasons", ",").alias("reasons"))
