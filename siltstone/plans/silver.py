@@ -7,7 +7,7 @@ never lets an old one back in, and rows in = silver + dead letters + superseded
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ from siltstone.operators.parse import (
     LINEAGE, drop_deletes, keep_event_types, parse_cdc, parse_flat_envelope, parse_nested_envelope,
     parse_payload,
 )
-from siltstone.operators.status import PAYMENT_STAMPS, SHIPPING_STAMPS, apply_status_events
+from siltstone.operators.status import PAYMENT_STAMPS, SHIPPING_STAMPS
 
 SILVER, DEAD_LETTER, QUARANTINE = "silver", "dead_letter", "quarantine"
 
@@ -139,65 +139,84 @@ def warehouse_products(bronze: DataFrame, schema: str = schemas.WAREHOUSE_LIFECY
     return _resolve(typed, rules, "sku", order)
 
 
-def _is_update() -> Column:
-    return F.endswith("_event_type", F.lit(".status_updated"))
+def _gateway_events(bronze: DataFrame, prefix: str, schema: str) -> DataFrame:
+    """Events of one kind, parsed once for both creations and status steps.
 
+    `_created` is a column and not a filter: filters are pushed into the scan, where each would
+    parse the JSON text again.
+    """
+    events = parse_payload(parse_nested_envelope(bronze, raw=True), prefix, schema)
+    return events.withColumns({
+        "_ingested_at": iso_ts(F.col("_ingested_at")),
+        "_created": ~F.endswith("_event_type", F.lit(".status_updated")),
+        "status_to": F.upper("status_to"),
+    })
+
+
+def _current_state(
+    events: DataFrame, rules: Sequence[q.Rule], key: str, stamps: Mapping[str, str], fold: bool
+) -> DataFrame:
+    """One row per key: the earliest creation, moved forward by the key's status events.
 
-def _earliest() -> list[Column]:
-    return [F.col("_ingested_at").asc_nulls_last(), F.col("_event_id").asc_nulls_last()]
+    Creations and steps meet in one aggregate over one shuffle (combined map-side). Creations
+    without a key are all kept (identical ones once); steps without a creation have nothing to move.
+    """
+    bad = _is_bad(events, rules)
+    slim = events.withColumns({
+        "_raw": F.when(bad, F.col("raw_data")),
+        "_keyless": F.when(F.col(key).isNull(), F.col("raw_data")),
+    }).drop("raw_data", "status_from")
+    grouping = {key, "_keyless", "_created", "status_to"}
+    body = [c for c in slim.columns if c not in grouping]
+    at, event = F.col("_ingested_at"), F.col("_event_id")
+    created, step = F.col("_created"), ~F.col("_created")
+    first = F.when(created, F.struct(at.isNull().alias("late"), at, event))  # missing times last
+    last = F.when(step, F.struct(at, event))
+    merged = slim.groupBy(key, "_keyless").agg(
+        F.min_by(F.struct(*body), first).alias("_body"),
+        F.max_by("status_to", last).alias("_status"),
+        *[F.min(F.when(step & (F.col("status_to") == v.upper()), at)).alias(f"_{n}") for n, v in stamps.items()],
+    )
+    kept = merged.filter(F.col("_body").isNotNull()).select(
+        key, "_body.*", "_status", *[f"_{n}" for n in stamps]
+    )
+    route = F.when(_is_bad(kept, rules), DEAD_LETTER).otherwise(SILVER)
+    out = q.tag_rules(kept, rules).withColumn("_route", route).withColumnRenamed("_raw", "raw_data")
+    if fold:
+        out = out.withColumns({
+            "status": F.coalesce("_status", "status"), **{n: F.coalesce(n, f"_{n}") for n in stamps}
+        })
+    return out.drop("_status", *[f"_{n}" for n in stamps])
 
 
 def payments(bronze: DataFrame, schema: str = schemas.PAYLOAD["payment"], *, fold: bool = True) -> DataFrame:
     """Payments: the earliest creation per transaction, moved forward by its status events."""
-    events = parse_payload(parse_nested_envelope(bronze, raw=True), "payment.", schema)
-    events = events.withColumn("_ingested_at", iso_ts(F.col("_ingested_at")))
-    created = placeholders_to_null(
-        events.filter(~_is_update()), ["payment_method", "status", "transaction_id"]
+    events = placeholders_to_null(
+        _gateway_events(bronze, "payment.", schema), ["payment_method", "status", "transaction_id"]
     )
-    typed = created.withColumns({
+    typed = events.withColumns({
         "id": F.coalesce("id", "payment_id"),
         "amount": to_money(F.col("amount")),
         "paid_at": iso_ts(F.col("paid_at")),
         "status": text.enum_or_null(F.col("status"), vocab.PAYMENT_STATUSES),
-    }).drop("payment_id", "status_from", "status_to")
+    }).drop("payment_id")
     rules = [
         q.null_rule("order_id"), q.null_rule("transaction_id"), q.null_rule("amount"),
         q.not_positive("amount"), q.invalid_payment_method(),
     ]
     method = F.upper(text.snake_category(F.col("payment_method")))
-    kept = _resolve(typed, rules, "transaction_id", _earliest()).withColumn(
+    return _current_state(typed, rules, "transaction_id", PAYMENT_STAMPS, fold).withColumn(
         "payment_method", text.enum_or_null(method, vocab.PAYMENT_METHODS)
     )
-    if not fold:
-        return kept
-    updates = events.filter(_is_update()).select(
-        "transaction_id", F.upper("status_to").alias("status_to"), "_ingested_at", "_event_id"
-    )
-    stamps = {name: value.upper() for name, value in PAYMENT_STAMPS.items()}
-    return apply_status_events(
-        kept, updates.dropna(subset=["transaction_id"]), "transaction_id", "_ingested_at", "_event_id", stamps=stamps
-    )
 
 
 def shipping(bronze: DataFrame, schema: str = schemas.PAYLOAD["shipping"], *, fold: bool = True) -> DataFrame:
     """Shipments: the earliest creation per tracking number, moved forward by its status events."""
-    events = parse_payload(parse_nested_envelope(bronze, raw=True), "shipping.", schema)
-    events = events.withColumn("_ingested_at", iso_ts(F.col("_ingested_at")))
-    created = events.filter(~_is_update())
-    typed = created.withColumns({
+    typed = _gateway_events(bronze, "shipping.", schema).withColumns({
         "id": F.coalesce("id", "shipping_id"),
         "status": text.enum_or_null(F.col("status"), vocab.SHIPPING_STATUSES),
         **{c: iso_ts(F.col(c)) for c in ("shipped_at", "delivered_at")},
         "estimated_delivery": iso_ts(F.col("estimated_delivery")).cast("date"),
-    }).drop("shipping_id", "status_from", "status_to")
+    }).drop("shipping_id")
     rules = [q.null_rule("order_id"), q.null_rule("tracking_number")]
-    kept = _resolve(typed, rules, "tracking_number", _earliest())
-    if not fold:
-        return kept
-    updates = events.filter(_is_update()).select(
-        "tracking_number", F.upper("status_to").alias("status_to"), "_ingested_at", "_event_id"
-    )
-    stamps = {name: value.upper() for name, value in SHIPPING_STAMPS.items()}
-    return apply_status_events(
-        kept, updates.dropna(subset=["tracking_number"]), "tracking_number", "_ingested_at", "_event_id", stamps=stamps
-    )
+    return _current_state(typed, rules, "tracking_number", SHIPPING_STAMPS, fold)
