@@ -108,23 +108,31 @@ def text_rules(column: str) -> list[Rule]:
     ]
 
 
-def with_repeat_flag(df: DataFrame, keys: Sequence[str], into: str) -> DataFrame:
+def with_repeat_flag(
+    df: DataFrame, keys: Sequence[str], into: str, counted: DataFrame | None = None
+) -> DataFrame:
     """Boolean column: the (non-NULL) key occurs on more than one row.
 
-    Serves duplicate_email, duplicate_sku, duplicate_txn_id and duplicate_review.
+    Serves duplicate_email, duplicate_sku, duplicate_txn_id and duplicate_review. `counted` as in
+    `skew_join`.
     """
     repeated = (
         df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > 1).select(*keys, F.lit(True).alias("_repeated"))
     )
-    flagged = skew_join(df, repeated, keys, "left")
+    flagged = skew_join(df, repeated, keys, "left", counted=counted)
     return flagged.withColumn(into, F.coalesce("_repeated", F.lit(False))).select(*df.columns, into)
 
 
-def with_orphan_flag(df: DataFrame, fk: str, parent: DataFrame, parent_key: str, into: str) -> DataFrame:
-    """Boolean column: the reference is present and has no parent (mismatched_order_ref)."""
+def with_orphan_flag(
+    df: DataFrame, fk: str, parent: DataFrame, parent_key: str, into: str, counted: DataFrame | None = None
+) -> DataFrame:
+    """Boolean column: the reference is present and has no parent (mismatched_order_ref).
+
+    `counted` as in `skew_join`: when several flags are added in a row, give the first frame.
+    """
     known = parent.select(F.col(parent_key).alias(fk)).dropna().distinct().withColumn("_known", F.lit(True))
-    judged = skew_join(df, known, [fk], "left")
+    judged = skew_join(df, known, [fk], "left", counted=counted)
     return judged.withColumn(into, F.col(fk).isNotNull() & F.col("_known").isNull()).select(*df.columns, into)
 
 

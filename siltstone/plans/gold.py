@@ -61,22 +61,21 @@ def dim_date(df: DataFrame, column: str) -> DataFrame:
 
 def fact_sales(
     items: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame,
-    payments: DataFrame, shipping: DataFrame, *, fanout: bool = False,
+    payments: DataFrame, shipping: DataFrame,
 ) -> DataFrame:
     """J1 + J2. One row per order item, from silver orders/items and the four dimensions.
 
     Everything known per order is joined at order grain first, on small rows; items then meet one
     wide order row and one product, both through the hot-key-safe join. Payments and shipments are
-    reduced to the latest per order, so item rows and revenue are not multiplied; `fanout=True`
-    keeps one row per (item, payment, shipment) instead.
+    reduced to the latest per order, so item rows and revenue are not multiplied (`fanout_rows`
+    tells by how much they would be).
     """
     pay = payments.select("order_id", "payment_key", "payment_method", "payment_status", "paid_at")
     ship = shipping.select(
         "order_id", "shipping_key", "carrier", "shipping_status", "delivery_days", "shipped_at"
     )
-    if not fanout:
-        pay = latest_per_key(pay.dropna(subset=["order_id"]), ["order_id"], "paid_at", ["payment_key"])
-        ship = latest_per_key(ship.dropna(subset=["order_id"]), ["order_id"], "shipped_at", ["shipping_key"])
+    pay = latest_per_key(pay.dropna(subset=["order_id"]), ["order_id"], "paid_at", ["payment_key"])
+    ship = latest_per_key(ship.dropna(subset=["order_id"]), ["order_id"], "shipped_at", ["shipping_key"])
     head = orders.select(
         F.col("id").alias("order_id"), "customer_id", F.col("status").alias("order_status"),
         "order_date", *date_parts(F.col("order_date"), "order"),
@@ -96,10 +95,7 @@ def fact_sales(
         F.col("id").alias("order_item_key"), "order_id", "product_id", "quantity", "unit_price",
         F.col("total_price").alias("item_total"),
     )
-    if fanout:
-        placed = lines.join(per_order, "order_id")
-    else:
-        placed = skew_join(lines, per_order, ["order_id"], "inner", counted=items)
+    placed = skew_join(lines, per_order, ["order_id"], "inner", counted=items)
     sold = skew_join(placed, goods, ["product_id"], "left", counted=items)
     return sold.select(
         "order_item_key", F.col("order_id").alias("order_key"), "customer_key", "product_key",
@@ -110,3 +106,22 @@ def fact_sales(
         "customer_name", "gender", "sku", "product_name", "brand", "list_price",
         "payment_method", "payment_status", "carrier", "shipping_status", "delivery_days",
     )
+
+
+def fanout_rows(items: DataFrame, orders: DataFrame, payments: DataFrame, shipping: DataFrame) -> DataFrame:
+    """Item rows a star join without reduction would repeat for each payment (NULL: none).
+
+    Worked out from counts per order; the repeated rows themselves are never formed.
+    """
+    lines = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("_lines"))
+    ships = shipping.groupBy("order_id").agg(F.count(F.lit(1)).alias("_ships"))
+    per_order = (
+        orders.select(F.col("id").alias("order_id")).join(lines, "order_id").join(ships, "order_id", "left")
+        .select("order_id", (F.col("_lines") * F.coalesce("_ships", F.lit(1))).alias("_rows"))
+    )
+    paid = skew_join(payments.select("order_id", "payment_key"), per_order, ["order_id"], "inner")
+    unpaid = per_order.join(payments.select("order_id").dropna().distinct(), "order_id", "left_anti")
+    both = paid.select("payment_key", "_rows").unionByName(
+        unpaid.select(F.lit(None).cast(payments.schema["payment_key"].dataType).alias("payment_key"), "_rows")
+    )
+    return both.groupBy("payment_key").agg(F.sum("_rows").alias("rows"))

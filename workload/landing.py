@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone import schemas, vocab
-from siltstone.operators.dedup import earliest_per_key
 from siltstone.operators.references import classify_late_arrivals
 from siltstone.operators.reports import newest_rows
 from siltstone.plans.guarded import describe_schema, guarded_sql
@@ -162,27 +161,28 @@ def stream_event_counts(t):
     return t.spark.read.parquet(f"{path}/out").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
-# A purchase pays the order its user and product class stand for; a view is the order's creation.
-ORDER_REF = "user_id * 10 + CAST(event_id % 10 AS BIGINT)"
+# A view creates the order of its own id; a purchase pays the order at the head of its run of seven
+# events, which exists where that event is a view.
+ORDER_REF = "event_id - event_id % 7"
 
 
 @query("stream_interval_join", f"""
 WITH p AS (SELECT event_id AS payment_id, ts AS paid_at, {ORDER_REF} AS order_id FROM events WHERE event_type = 'purchase'),
-o AS (SELECT event_id AS order_event, ts AS ordered_at, {ORDER_REF} AS order_id FROM events WHERE event_type = 'view'),
+o AS (SELECT event_id AS order_event, ts AS ordered_at, event_id AS order_id FROM events WHERE event_type = 'view'),
 j AS (SELECT p.payment_id, p.order_id, p.paid_at, o.order_event FROM p LEFT JOIN o ON p.order_id = o.order_id
-  AND p.paid_at BETWEEN o.ordered_at - INTERVAL 600 MINUTE AND o.ordered_at + INTERVAL 600 MINUTE),
-w AS (SELECT least((SELECT max(paid_at) FROM p), (SELECT max(ordered_at) FROM o)) - INTERVAL 600 MINUTE AS wm)
+  AND p.paid_at BETWEEN o.ordered_at - INTERVAL 10 MINUTE AND o.ordered_at + INTERVAL 10 MINUTE),
+w AS (SELECT least((SELECT max(paid_at) FROM p), (SELECT max(ordered_at) FROM o)) - INTERVAL 10 MINUTE AS wm)
 SELECT payment_id, order_id, order_event, order_event IS NULL AS dead_letter FROM j, w
-WHERE order_event IS NOT NULL OR paid_at + INTERVAL 600 MINUTE < wm""")
+WHERE order_event IS NOT NULL OR paid_at + INTERVAL 10 MINUTE < wm""")
 def stream_interval_join(t):
     """Payments without an order in the band come out once the watermark has passed; the rest wait."""
     path = scratch_folder(t.spark, "band")
-    events = t.stream("events").withColumn("ts", F.col("ts").cast("timestamp")).withColumn("order_id", F.expr(ORDER_REF))
+    events = t.stream("events").withColumn("ts", F.col("ts").cast("timestamp"))
     paid = events.filter(F.col("event_type") == "purchase").select(
-        F.col("event_id").alias("payment_id"), F.col("ts").alias("paid_at"), "order_id")
+        F.col("event_id").alias("payment_id"), F.col("ts").alias("paid_at"), F.expr(ORDER_REF).alias("order_id"))
     made = events.filter(F.col("event_type") == "view").select(
-        F.col("event_id").alias("order_event"), F.col("ts").alias("ordered_at"), "order_id")
-    joined = late_arrival_stream(paid, made, "order_id", "paid_at", "ordered_at", minutes=600)
+        F.col("event_id").alias("order_event"), F.col("ts").alias("ordered_at"), F.col("event_id").alias("order_id"))
+    joined = late_arrival_stream(paid, made, "order_id", "paid_at", "ordered_at", minutes=10)
     drain(joined, f"{path}/out", f"{path}/checkpoint")
     return t.spark.read.parquet(f"{path}/out").select(
         "payment_id", "order_id", "order_event", F.col("order_event").isNull().alias("dead_letter")
@@ -271,20 +271,18 @@ def described(t):
 # `late_arrival` in batch form shares the order reference above.
 @query("late_arrival", f"""
 WITH p AS (SELECT event_id AS payment_id, ts AS paid_at, {ORDER_REF} AS order_id FROM events WHERE event_type = 'purchase'),
-o AS (SELECT order_id, ts AS ordered_at FROM (SELECT *, {ORDER_REF} AS order_id,
-  row_number() OVER (PARTITION BY {ORDER_REF} ORDER BY ts, event_id) AS rn FROM events WHERE event_type = 'view') v WHERE rn = 1),
+o AS (SELECT event_id AS order_id, ts AS ordered_at FROM events WHERE event_type = 'view'),
 j AS (SELECT p.*, o.ordered_at, CAST(floor(epoch(p.paid_at)) AS BIGINT) - CAST(floor(epoch(o.ordered_at)) AS BIGINT) AS lag FROM p LEFT JOIN o USING (order_id))
 SELECT payment_id, order_id, lag AS _join_lag_sec,
-  CASE WHEN ordered_at IS NULL THEN 'waiting' WHEN abs(lag) <= 14400 * 60 THEN 'joined' ELSE 'late' END AS _join_result,
-  CASE WHEN ordered_at IS NOT NULL AND abs(lag) > 14400 * 60 THEN concat('payment ', CAST(abs(lag) AS VARCHAR), 's ',
-    CASE WHEN lag < 0 THEN 'before' ELSE 'after' END, ' its order, allowed 14400 min') END AS _dlq_reason
+  CASE WHEN ordered_at IS NULL THEN 'waiting' WHEN abs(lag) <= 10 * 60 THEN 'joined' ELSE 'late' END AS _join_result,
+  CASE WHEN ordered_at IS NOT NULL AND abs(lag) > 10 * 60 THEN concat('payment ', CAST(abs(lag) AS VARCHAR), 's ',
+    CASE WHEN lag < 0 THEN 'before' ELSE 'after' END, ' its order, allowed 10 min') END AS _dlq_reason
 FROM j""")
 def late_arrival(t):
-    events = t.events.withColumn("order_id", F.expr(ORDER_REF))
-    paid = events.filter(F.col("event_type") == "purchase").select(
-        F.col("event_id").alias("payment_id"), F.col("ts").alias("paid_at"), "order_id")
-    made = earliest_per_key(events.filter(F.col("event_type") == "view"), ["order_id"], "ts", ["event_id"]).select(
-        "order_id", F.col("ts").alias("ordered_at"))
-    return classify_late_arrivals(paid, made, minutes=14400).select(
+    paid = t.events.filter(F.col("event_type") == "purchase").select(
+        F.col("event_id").alias("payment_id"), F.col("ts").alias("paid_at"), F.expr(ORDER_REF).alias("order_id"))
+    made = t.events.filter(F.col("event_type") == "view").select(
+        F.col("event_id").alias("order_id"), F.col("ts").alias("ordered_at"))
+    return classify_late_arrivals(paid, made, minutes=10).select(
         "payment_id", "order_id", "_join_lag_sec", "_join_result", "_dlq_reason"
     )

@@ -61,7 +61,7 @@ def tag_order_rules(t):
         "order_date": times.parse_date_formats(F.col("order_date")),
     })
     rows = q.with_orphan_flag(rows, "customer_id", t.customer, "c_custkey", "mismatched_customer_ref")
-    rows = q.with_orphan_flag(rows, "id", t.lineitem, "l_orderkey", "missing_items")
+    rows = q.with_orphan_flag(rows, "id", t.lineitem, "l_orderkey", "missing_items", counted=t.dirty_orders)
     rules = [
         q.status_typo(), q.future_order_date(as_of), q.negative("amount"), q.flagged("mismatched_customer_ref"),
         q.flagged("missing_items"), q.implausible_year("order_date", as_of),

@@ -38,10 +38,10 @@ SELECT * FROM r UNION ALL SELECT * FROM r WHERE id % 20 = 0""",
 SELECT o_orderkey AS id, o_custkey AS customer_id, o_orderstatus AS status, o_orderdate AS order_date,
        CAST(o_totalprice AS DECIMAL(12,2)) AS total_amount FROM orders
 UNION ALL
-SELECT o_orderkey + 100000000, o_custkey, concat(lower(o_orderstatus), ' '), o_orderdate,
+SELECT o_orderkey + 1000000000000000, o_custkey, concat(lower(o_orderstatus), ' '), o_orderdate,
        CAST(CAST(o_totalprice AS DECIMAL(12,2)) + 0.01 AS DECIMAL(12,2)) FROM orders WHERE o_orderkey % 50 = 0
 UNION ALL
-SELECT o_orderkey + 200000000, o_custkey, o_orderstatus, o_orderdate,
+SELECT o_orderkey + 2000000000000000, o_custkey, o_orderstatus, o_orderdate,
        CAST(CAST(o_totalprice AS DECIMAL(12,2)) + 0.02 AS DECIMAL(12,2)) FROM orders WHERE o_orderkey % 50 = 1""",
     "dirty_parts": """
 SELECT p_partkey AS id, p_name AS name, p_brand AS brand,
