@@ -50,10 +50,11 @@ def guarded_sql(spark: SparkSession, query: str, max_rows: int = vocab.SQL_ROW_C
 def describe_schema(spark: SparkSession, database: str | None = None, tables: Sequence[str] | None = None) -> DataFrame:
     """X2. `(table_name, column_name, data_type, nullable)` of the allowed tables."""
     database = database or spark.catalog.currentDatabase()
-    names = [t.name for t in spark.catalog.listTables(database) if tables is None or t.name in tables]
     rows = []
-    for name in names:
-        frame = spark.table(name) if spark.catalog.tableExists(name) and database == spark.catalog.currentDatabase() \
-            else spark.table(f"{database}.{name}")
-        rows += [(name, f.name, f.dataType.simpleString(), f.nullable) for f in frame.schema.fields]
+    for table in spark.catalog.listTables(database):
+        if tables is not None and table.name not in tables:
+            continue
+        # Temporary views are listed with every database but belong to none.
+        frame = spark.table(f"`{table.name}`" if table.isTemporary else f"`{database}`.`{table.name}`")
+        rows += [(table.name, f.name, f.dataType.simpleString(), f.nullable) for f in frame.schema.fields]
     return spark.createDataFrame(rows, "table_name string, column_name string, data_type string, nullable boolean")
