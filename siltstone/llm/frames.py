@@ -7,18 +7,31 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType, _parse_datatype_string
 
 from siltstone.session import scratch_folder
 
 SLICE_BYTES = 8 << 20
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def stored(frame: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared folder and read back: lineage ends here, and an executor
-    that is lost later takes nothing with it."""
-    path = scratch_folder(frame.sparkSession, label)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    that is lost later takes nothing with it. The shuffle files behind them are then of no use, and go."""
+    spark, path = frame.sparkSession, scratch_folder(frame.sparkSession, label)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        frame.select("*").write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def typed(**fields: str | DataType) -> StructType:
+    """A schema of fields given by their type or its name."""
+    return StructType([
+        StructField(n, k if isinstance(k, DataType) else _parse_datatype_string(k)) for n, k in fields.items()])
 
 
 def row_print(text: Column) -> Column:

@@ -11,8 +11,8 @@ is missed with a probability below 1e-5.
 
 No list is expanded into its pairs. First every set is compared with one set of each of its lists, the one whose lists are
 longest over all: in a group of copies that is the text nearest to all others. The links found join most of a group into one
-component. Then, list by list, pairs from different components are compared, so far as their sizes and the
-number of shingles that they can share at all leave a link possible; the result is that of comparing all pairs.
+component. Lists that then still hold several components are settled exactly: their sets are joined on a prefix of
+the shingles themselves, so that the result is that of comparing all pairs.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.frames import row_print, slices, stored
@@ -124,39 +124,91 @@ def _links(close: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return stored(both.where(alike).select("a", "b"), "links")
 
 
-def _size_class(n):
-    """Sizes up to 200 apart, larger ones in classes 2 per cent wide."""
-    return F.when(n <= 200, n).otherwise(200 + F.floor(F.log(n / 200.0) / math.log(1.02))).cast("int")
+def _size_class(n: Column) -> Column:
+    """Sizes up to 50 apart, larger ones in classes 2 per cent wide."""
+    return F.when(n <= 50, n).otherwise(50 + F.floor(F.log(n / 50.0) / math.log(1.02))).cast("int")
 
 
-def _across(left: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Pairs (a, b) from different components that share a list and may be links, going by their sizes alone.
+def _least_of_class(k: Column) -> Column:
+    """A size that no member of the class is below."""
+    return F.when(k <= 50, k).otherwise(F.ceil(50 * F.pow(F.lit(1.02), k - 50) - 1e-6)).cast("long")
 
-    `left` has post, node, component. What two sets of different components have in common are shingles that more than one
-    component has; a set has `u` of them. A pair of sizes n_a >= n_b needs (100 + s) * u >= s * (n_a + n_b) of both,
-    with s per cent. So each set looks only at the sizes that this leaves, list by list, and components meet before their members do.
+
+def _facing(posts: DataFrame, on: list[str], also: Column) -> DataFrame:
+    """Pairs (a, b) of rows of different components, each in the other's class of size, equal in `on`.
+
+    Rows have node, component, own, other, hub, free. Components meet before their members do.
+    """
+    keys = [*on, "own", "other"]
+    unit = ["component", "hub", "free"]
+    there = [F.col("component").alias("component_y"), F.col("hub").alias("hub_y"), F.col("free").alias("free_y")]
+    mirror = posts.select(*on, F.col("other").alias("own"), F.col("own").alias("other"), *there, F.col("node").alias("y"))
+    parts = posts.select(*keys, *unit).distinct().join(
+        mirror.select(*keys, "component_y", "hub_y", "free_y").distinct(), keys).where("component < component_y").where(also)
+    pairs = parts.join(posts, [*keys, *unit]).join(mirror, [*keys, "component_y", "hub_y", "free_y"])
+    return pairs.select(F.greatest("node", "y").alias("a"), F.least("node", "y").alias("b"))
+
+
+def _split_by_component(rows: DataFrame, on: list[str]) -> DataFrame:
+    """The rows of keys `on` that more than one component has."""
+    spread = rows.groupBy(*on).agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    return rows.join(spread.select(*on), on)
+
+
+def _across(left: DataFrame, hubs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Pairs (a, b) of nodes from different components of `left` (post, node, component) that may be links.
+
+    With s per cent, a link of sizes n_a and n_b needs o = s * (n_a + n_b) / (100 + s) common shingles, all of them among
+    those that several components have. Of the `u` such shingles of a set, rarest first, the first u - o + 1 must hold a
+    common one. How many that is depends on the other's size, so sets meet by class of size.
+
+    Sets near the same hub have most shingles in common with it, rare ones too; what tells them apart lies outside it. A set
+    with `c` shingles of its hub shares at most those inside it with another, so t = o - c of the common ones are outside: of
+    its `p` outer shingles that several components have, the first p - t + 1 must hold one. Only two sets that both have c >= o
+    need no outer one in common; these meet by their classes.
     """
     owners = left.select("node", "component").distinct()
-    spread = sets.select("node", F.explode("shingles").alias("shingle")).join(owners, "node")
-    common = spread.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    useful = spread.join(common.select("shingle"), "shingle").groupBy("node").agg(F.count("*").alias("u"))
-    sizes = sets.select("node", F.size("shingles").cast("long").alias("n")).join(useful, "node")
-    most = F.floor((100 + similarity) * F.col("u") / similarity).cast("long") - F.col("n")
-    sizes = stored(sizes.withColumn("most", most).where(100 * F.col("u") >= similarity * F.col("n")), "sizes")
-    rows = left.join(sizes, "node")
-    lowest, highest = F.ceil(similarity * F.col("n") / 100), F.least("n", "most")
-    large = rows.where(lowest <= highest).withColumn("class", F.explode(F.sequence(_size_class(lowest), _size_class(highest))))
-    small = rows.withColumn("class", _size_class(F.col("n")))
-    parts = large.select("post", "class", "component").distinct().join(
-        small.select("post", "class", F.col("component").alias("other")).distinct(), ["post", "class"]).where("component != other")
-    pairs = parts.join(
-        large.select("post", "class", "component", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("most").alias("m_x")),
-        ["post", "class", "component"],
-    ).join(
-        small.select("post", "class", F.col("component").alias("other"), F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("most").alias("m_y")),
-        ["post", "class", "other"],
-    ).where("n_y <= n_x and n_y <= m_x and n_x <= m_y")
-    return pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+    near = left.join(hubs, "post").groupBy("node").agg(F.max(F.struct("weight", "hub")).alias("h")).select("node", "h.hub")
+    own = sets.select("node", F.size("shingles").cast("long").alias("n"), "shingles").join(owners, "node").join(near, "node")
+    spread = own.select("node", "component", F.explode("shingles").alias("shingle"))
+    common = spread.groupBy("shingle").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("held")).where("low < high")
+    ranked = spread.join(common.select("shingle", "held"), "shingle").groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("ranked"))
+    ranked = own.join(ranked, "node").where(100 * F.size("ranked") >= similarity * F.col("n"))
+    core = sets.select(F.col("node").alias("hub"), F.col("shingles").alias("core"))
+    ranked = stored(ranked.join(core, "hub").select(
+        "node", "component", "hub", "n", "ranked", F.size(F.array_intersect("shingles", "core")).cast("long").alias("c"),
+        F.array_except("shingles", "core").alias("outer")), "ranked")
+
+    least, most = F.ceil(similarity * F.col("n") / 100).cast("long"), F.floor(100 * F.col("n") / similarity).cast("long")
+
+    def partners(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("own", _size_class(F.col("n"))).withColumn(
+            "other", F.explode(F.sequence(_size_class(least), _size_class(most))))
+        smallest = F.greatest(_least_of_class(F.col("other")), least)
+        return rows.withColumn("o", F.ceil(similarity * (F.col("n") + smallest) / (100 + similarity)).cast("int"))
+
+    def prefixes(rows: DataFrame, values: str, first: Column, label: str) -> DataFrame:
+        rows = rows.withColumn("first", first).where("first > 0")
+        return stored(rows.select("node", "component", "own", "other", "hub", "free", F.explode(F.slice(values, F.lit(1), F.col("first"))).alias("p"))
+                      .select("node", "component", "own", "other", "hub", "free", "p.shingle"), label)
+
+    apart = prefixes(partners(ranked).withColumn("free", F.lit(False)), "ranked", F.size("ranked") - F.col("o") + 1, "apart")
+    found = _facing(apart, ["shingle"], F.col("hub") != F.col("hub_y"))
+
+    outside = ranked.select("node", "component", "hub", F.explode("outer").alias("shingle"))
+    common = outside.groupBy("hub", "shingle").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("held")).where("low < high")
+    outer = outside.join(common.select("hub", "shingle", "held"), ["hub", "shingle"]).groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("outer"))
+    rows = partners(ranked.select("node", "component", "hub", "n", "c")).withColumn("free", F.col("o") <= F.col("c"))
+    first = F.when(F.col("free"), F.size("outer")).otherwise(F.size("outer") - (F.col("o") - F.col("c")) + 1).cast("int")
+    beside = prefixes(rows.join(outer, "node"), "outer", first, "beside")
+    same = F.col("hub") == F.col("hub_y")
+    found = found.union(_facing(beside, ["shingle"], same & ~(F.col("free") & F.col("free_y"))))
+    inner = stored(rows.where("free").select("node", "component", "own", "other", "hub", "free", F.col("hub").alias("group")), "inner")
+    return found.union(_facing(inner, ["group"], same)).distinct()
 
 
 def near_duplicates(
@@ -194,20 +246,19 @@ def near_duplicates(
         lists.where(F.size("posts") >= matches)
         .select("node", "weight", F.explode(F.slice("posts", F.lit(1), F.size("posts") - (matches - 1))).alias("p"))
         .select("node", "weight", "p.post"), "prefixes")
-    hubs = prefix.groupBy("post").agg(F.max(F.struct("weight", "node")).alias("hub"))
+    hubs = stored(prefix.groupBy("post").agg(F.max(F.struct("weight", "node")).alias("hub")).select("post", "hub.weight", F.col("hub.node").alias("hub")), "hubs")
     pairs = stored(
-        prefix.join(hubs, "post").where("node != hub.node").select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct(), "pairs")
+        prefix.join(hubs, "post").where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "pairs")
     close = _colliding(pairs, classes, matches, similarity)
     sets = _shingles_of(close.select(F.col("a").alias("node")).union(close.select("b")), classes, texts, width)
     links = _links(close, sets, similarity)
     named = components(links)
 
     joined = prefix.join(named, "node", "left").select("post", "node", F.coalesce("component", "node").alias("component"))
-    mixed = joined.groupBy("post").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    left = stored(joined.join(mixed.select("post"), "post"), "mixed")
+    left = stored(_split_by_component(joined, ["post"]), "mixed")
     sets = _shingles_of(left.select("node"), classes, texts, width)
     tried = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    rest = stored(_across(left, sets, similarity).join(tried, ["a", "b"], "left_anti"), "pairs")
+    rest = stored(_across(left, hubs, sets, similarity).join(tried, ["a", "b"], "left_anti"), "pairs")
     links = links.union(_links(_colliding(rest, classes, matches, similarity), sets, similarity))
     named = components(links)
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("n_links"))

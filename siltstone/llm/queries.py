@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from siltstone.llm import minhash
+from siltstone.llm import bpe, decontaminate, html, lines, minhash, passages, quality, sharding, unigram, urls
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -13,6 +14,31 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = lines.remove_repeated_lines(_table(spark, folder, "documents"))
+    return found.select("doc_id", "text", "n_lines", "n_removed_lines")
+
+
+_OP1 = """
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+m AS (SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS mark FROM l),
+o AS (SELECT *, i = 1 OR (lag(mark, 1) OVER w + 31 * coalesce(lag(mark, 2) OVER w, 0)) % 3 = 0 AS opens
+    FROM m WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+c AS (SELECT *, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM o),
+b AS (SELECT doc_id, k, count(*) AS lines, string_agg(line, chr(10) ORDER BY i) AS body FROM c GROUP BY 1, 2),
+f AS (SELECT *, lines > 1 AND row_number() OVER (PARTITION BY body ORDER BY doc_id, k) > 1 AS gone FROM b)
+SELECT d.doc_id, CASE WHEN any_value(d.text) IS NOT NULL THEN coalesce(string_agg(body, chr(10) ORDER BY k) FILTER (NOT gone), '') END AS text,
+    coalesce(sum(lines), 0)::BIGINT AS n_lines, coalesce(sum(lines) FILTER (gone), 0)::BIGINT AS n_removed_lines
+FROM documents d LEFT JOIN f USING (doc_id) GROUP BY 1
+"""
+
+
 def op2_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = minhash.near_duplicates(_table(spark, folder, "documents"), width=4)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -33,10 +59,153 @@ c AS (SELECT doc_id, min(other) AS component_id FROM r GROUP BY 1)
 SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c USING (doc_id)
 """
 
+def op3_sampled_splitters(spark: SparkSession, folder: str) -> DataFrame:
+    found = sharding.shard_by_bytes(_table(spark, folder, "documents"))
+    return found.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+_OP3 = """
+WITH r AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+s AS (SELECT doc_id, (octet_length(encode(t)) + 1)::BIGINT AS size, md5(t) AS digest,
+    list_transform(regexp_extract_all(hex(t), '..'), lambda h: ('0x' || h)::BIGINT) AS bytes FROM r),
+c AS (SELECT doc_id, size, digest, xor(list_reduce(
+    flatten(list_transform(bytes, lambda b: [b & 1, (b >> 1) & 1, (b >> 2) & 1, (b >> 3) & 1, (b >> 4) & 1, (b >> 5) & 1, (b >> 6) & 1, (b >> 7) & 1])),
+    lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1)), 4294967295), 4294967295)::BIGINT AS text_crc32 FROM s),
+o AS (SELECT *, sum(size) OVER w - size AS before, sum(size) OVER () AS total FROM c
+    WINDOW w AS (ORDER BY digest, doc_id ROWS UNBOUNDED PRECEDING)),
+p AS (SELECT *, (before * 8 // total)::INT AS shard FROM o)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, (row_number() OVER (PARTITION BY shard ORDER BY digest, doc_id) - 1)::BIGINT AS slot,
+    NULL::INT AS grown_shard FROM p
+"""
+
+RULES = (
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
+
+
+def op4_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
+    """A page's outcome is the label of the document that the number in its path names: bad if poor or toxic."""
+    pages, labels = _table(spark, folder, "pages"), _table(spark, folder, "labels")
+    path = urls.path_of(F.col("url"))
+    named = pages.select(
+        urls.host_of(F.col("url")).alias("host"),
+        F.regexp_extract(path, r"/([0-9]{1,18})(?:\.html)?/?$", 1).try_cast("bigint").alias("doc_id"))
+    bad = labels.where("doc_id is not null").groupBy("doc_id").agg(
+        F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    outcomes = named.where("doc_id is not null").join(bad, "doc_id").select("host", "bad")
+    return urls.judge(pages, outcomes, RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def _op4_level(unit: str, parent: str, prior: str) -> str:
+    return f"""
+{unit}_k AS (SELECT CASE WHEN coalesce(under, 0) = 0 OR coalesce(over_, 0) <= 0 THEN 10000.0 ELSE least(greatest(under / over_ - 1, 1.0), 10000.0) END AS k
+    FROM (SELECT sum((bad - n * mean) ** 2 - n * mean * (1 - mean)) AS over_, sum(n * (n - 1) * mean * (1 - mean)) AS under FROM {parent})),
+{unit}_m AS (SELECT * EXCLUDE (mean), (k * mean + bad) / (k + n) AS mean FROM {parent}, {unit}_k){prior}"""
+
+
+_OP4 = rf"""
+WITH p AS (SELECT page_id, translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+l AS (SELECT doc_id, max((quality = 0 OR toxic = 1)::INT) AS bad FROM labels GROUP BY 1),
+o AS (SELECT host, count(*) AS n, sum(bad) AS bad FROM p JOIN l ON doc_id = try_cast(regexp_extract(path, '/([0-9]{{1,18}})(?:\.html)?/?$', 1) AS BIGINT) GROUP BY 1),
+h AS (SELECT host, coalesce(n, 0) AS n, coalesce(bad, 0) AS bad, array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain,
+    string_split(host, '.')[-1] AS suffix FROM (SELECT DISTINCT host FROM p) LEFT JOIN o USING (host)),
+d AS (SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY 1, 2),
+s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, any_value(g) AS mean FROM d, (SELECT (sum(bad) + 0.5) / (sum(n) + 1.0) AS g FROM h) GROUP BY 1),
+{_op4_level("s", "s", ",")}
+dm AS (SELECT d.*, mean FROM d JOIN s_m USING (suffix)),
+{_op4_level("d", "dm", ",")}
+hm AS (SELECT h.*, mean FROM h JOIN d_m USING (domain)),
+{_op4_level("h", "hm", ",")}
+b AS (SELECT host, mean - 1.645 * sqrt(mean * (1 - mean) / (k + n + 1)) > 0.5 AS block FROM h_m),
+r AS (SELECT * FROM (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')) AS r(verdict, rh, rp)),
+f AS (SELECT page_id, rh || rp AS rule, verdict FROM p JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+    QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rh || rp) DESC) = 1)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN block THEN 'block' ELSE 'allow' END) AS verdict
+FROM p JOIN b USING (host) LEFT JOIN f USING (page_id)
+"""
+
+
+def op5_count_viterbi(spark: SparkSession, folder: str) -> DataFrame:
+    found = unigram.count_tokens(_table(spark, folder, "documents"), _tokenizer("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_tokens")
+
+
+def op6_simhash_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "start", "n_words", F.round("similarity", 6).alias("similarity"))
+
+
+_OP6 = rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w FROM benchmark),
+e AS (SELECT doc_id, len(w) AS words, unnest(range(len(w) - 4)) AS pos, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS x FROM w WHERE len(w) > 4),
+i AS (SELECT item_id, any_value(n) AS n, x, count(*) AS c FROM (SELECT item_id, len(w) AS n,
+    unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS x FROM b WHERE len(w) > 4) GROUP BY 1, 3),
+s AS (SELECT DISTINCT doc_id, item_id, n, words, unnest(range(greatest(0, least(pos - (least(n, words) - 5), words - n)), least(pos, greatest(words - n, 0)) + 1)) AS s FROM e JOIN i USING (x)),
+c AS (SELECT s.doc_id, s.item_id, s.n, s.words, s.s, e.x, count(*) AS cw FROM s JOIN e ON e.doc_id = s.doc_id AND e.pos >= s.s AND e.pos <= s.s + least(s.n, s.words) - 5 GROUP BY ALL),
+m AS (SELECT doc_id, item_id, c.n, words, s, sum(least(cw, c)) AS common FROM c JOIN i USING (item_id, x) GROUP BY ALL),
+v AS (SELECT *, common / (least(n, words) - 4 + n - 4 - common) AS similarity FROM m WHERE 100 * common >= 80 * (least(n, words) - 4 + n - 4 - common))
+SELECT doc_id, item_id, s::INT AS start, least(n, words)::INT AS n_words, round(similarity, 6) AS similarity FROM v
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, s) = 1
+"""
+
+
+def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path, pattern = _tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    coded = bpe.encode(_table(spark, folder, "documents").select("doc_id", "text"), path, pattern)
+    found = bpe.decode(coded.select("token_ids", "doc_id"), path, pattern)
+    return found.select(
+        "doc_id", F.expr("cast(octet_length(token_ids) div 4 as bigint)").alias("n_tokens"),
+        F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op8_difference_cover(spark: SparkSession, folder: str) -> DataFrame:
+    found = passages.remove_passages(_table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+_OP8 = rf"""
+WITH w AS (SELECT doc_id, row_number() OVER () AS row, coalesce(regexp_extract_all(text, '{WORD}'), []) AS w FROM documents),
+g AS (SELECT row, unnest(range(1, len(w) - 33)) AS s, unnest(list_transform(range(1, len(w) - 33), lambda i: array_to_string(w[i:i + 34], ' '))) AS x FROM w WHERE len(w) > 34),
+r AS (SELECT row, s FROM g QUALIFY count(*) OVER (PARTITION BY x) > 1),
+q AS (SELECT DISTINCT row, unnest(range(s, s + 35)) AS i FROM r),
+k AS (SELECT row, i, word FROM (SELECT row, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM w) ANTI JOIN q USING (row, i)),
+t AS (SELECT row, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t FROM k GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM w LEFT JOIN t USING (row)
+"""
+
+
+def op9_decision_list(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality.judged(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op10_block_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = html.extract(_table(spark, folder, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_sampled_splitters": op3_sampled_splitters,
+    "op4_host_reputation": op4_host_reputation,
+    "op5_count_viterbi": op5_count_viterbi,
+    "op6_simhash_decontamination": op6_simhash_decontamination,
+    "op7_byte_bpe": op7_byte_bpe,
+    "op8_difference_cover": op8_difference_cover,
+    "op9_decision_list": op9_decision_list,
+    "op10_block_rules": op10_block_rules,
 }
 
 ORACLES = {
+    "op1_line_dedup": _OP1,
     "op2_minhash_near_dedup": _OP2,
+    "op3_sampled_splitters": _OP3,
+    "op4_host_reputation": _OP4,
+    "op6_simhash_decontamination": _OP6,
+    "op8_difference_cover": _OP8,
 }
