@@ -39,9 +39,12 @@ def row_print(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())
 
 
-def slices(batch: pa.RecordBatch, column: int = 0, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """A batch in runs of rows of about `limit` bytes of text (one row at least)."""
-    texts = batch.column(column)
+def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES, field: str | None = None) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows of about `limit` bytes of text (one row at least).
+
+    The text is the first column, or a field of it.
+    """
+    texts = batch.column(0) if field is None else batch.column(0).field(field)
     if texts.nbytes <= limit:
         if batch.num_rows:
             yield batch
