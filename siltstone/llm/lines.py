@@ -42,8 +42,9 @@ def remove_repeated_lines(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(
         F.col("doc_id").alias("own_id"), F.col("text"), row_print(F.col("text")).alias("own_print"))
+    # explode_outer: a plain one has the optimizer copy the chunks' expression into filters, and its lambdas into each other.
     chunks = _chunked(rows.select("own_id", "own_print", "text")).select(
-        "own_id", "own_print", F.explode("chunks").alias("c")).where("c.lines > 1").select(
+        "own_id", "own_print", F.explode_outer("chunks").alias("c")).where("c.lines > 1").select(
         "own_id", "own_print", F.col("c.at").alias("at"), F.col("c.body").alias("body"), F.xxhash64("c.body").alias("hash"))
     repeated = chunks.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
     suspects = stored(chunks.join(repeated.select("hash"), "hash"), "suspects")
@@ -54,17 +55,16 @@ def remove_repeated_lines(docs: DataFrame) -> DataFrame:
         .groupBy("own_id", "own_print").agg(F.collect_set("at").alias("gone"))
     )
     gone = stored(gone, "gone").withColumnsRenamed({"own_id": "gone_id", "own_print": "gone_print"})
+    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed_lines")]
     rows = docs.select(
-        F.struct(*[c for c in docs.columns if c not in ("n_lines", "n_removed_lines")]).alias("row"),
-        F.col("text"), F.col("doc_id").alias("own_id"), row_print(F.col("text")).alias("own_print"))
+        F.struct(F.lit(0).alias("_"), *[c for c in columns if c != "text"]).alias("row"), F.col("text"), F.col("doc_id").alias("own_id"), row_print(F.col("text")).alias("own_print"))
     marked = rows.join(gone, rows.own_id.eqNullSafe(gone.gone_id) & (rows.own_print == gone.gone_print), "left")
     marked = _chunked(marked.select("row", "text", "gone"))
     stay = F.filter("chunks", lambda c: ~F.array_contains("gone", c["at"]))
     marked = marked.withColumn("stay", F.when(F.col("gone").isNotNull(), stay))
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform("stay", lambda c: c["body"]), "\n"))
     return marked.select(
-        F.col("row").withField("text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(
-            F.array_join(F.transform("stay", lambda c: c["body"]), "\n"))).alias("row"),
+        *[(text if c == "text" else F.col("row").getField(c)).alias(c) for c in columns],
         F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),
         F.when(F.col("gone").isNull(), 0).otherwise(
-            F.size("lines") - F.aggregate("stay", F.lit(0), lambda n, c: n + c["lines"])).cast("long").alias("n_removed_lines"),
-    ).select("row.*", "n_lines", "n_removed_lines")
+            F.size("lines") - F.aggregate("stay", F.lit(0), lambda n, c: n + c["lines"])).cast("long").alias("n_removed_lines"))
