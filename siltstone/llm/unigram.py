@@ -125,12 +125,12 @@ def _count(path: str):
 
 
 def count_tokens(docs: DataFrame, path: str) -> DataFrame:
-    """The columns of `docs` (text and anything else), then n_tokens: the pieces of the best path over the whole text.
+    """The columns of `docs` but text, then n_tokens: the pieces of the best path over the whole text.
 
     `path` is a vocabulary file that every executor has. A null or empty text has none. Repeated rows are counted alike. A
     column of the name `n_tokens` is replaced; an empty table gives an empty result.
     """
-    columns = [c for c in docs.columns if c != "n_tokens"]
-    rows = docs.select(F.col("text").alias("own_text"), F.struct(*columns).alias("own_row"))
-    return rows.mapInArrow(_count(path), typed(n="bigint", own_row=rows.schema["own_row"].dataType)).select(
-        "own_row.*", F.col("n").alias("n_tokens"))
+    columns = [c for c in docs.columns if c not in ("text", "n_tokens")]
+    rows = docs.select(F.col("text").alias("own_text"), F.struct(F.lit(0).alias("_"), *columns).alias("own_row"))
+    found = rows.mapInArrow(_count(path), typed(n="bigint", own_row=rows.schema["own_row"].dataType))
+    return found.select(*[F.col("own_row").getField(c).alias(c) for c in columns], F.col("n").alias("n_tokens"))
