@@ -142,22 +142,26 @@ def _search(items: Items, hashes: np.ndarray, similarity: int) -> Iterator[tuple
             yield (item, *found)
 
 
+def _matches(items: Items, texts: pa.Array, similarity: int) -> Iterator[tuple[int, tuple[int, int, int, int, int]]]:
+    """The hits of each text that has any, with its number."""
+    words, offsets = split_words(texts, lower=True)
+    hashes = hash_words(words)
+    hit = np.zeros(len(hashes) + 1, np.int64)
+    for kind, sieve in items.sieves.items():
+        marks = sieve[window_hashes(hashes, kind) & np.uint64(_SIEVE - 1)]
+        hit[1:len(marks) + 1] += marks
+    hit = np.cumsum(hit)
+    for i in np.flatnonzero(hit[offsets[1:]] > hit[offsets[:-1]]).tolist():
+        for found in _search(items, hashes[offsets[i]:offsets[i + 1]], similarity):
+            yield i, found
+
+
 def _scan(items: Items, similarity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                words, offsets = split_words(part.column(0), lower=True)
-                hashes = hash_words(words)
-                whole = {k: items.sieves[k][window_hashes(hashes, k) & np.uint64(_SIEVE - 1)] for k in items.owners}
-                any_hit = np.zeros(len(hashes) + 1, np.int64)
-                for marks in whole.values():
-                    any_hit[1:len(marks) + 1] += marks
-                any_hit = np.cumsum(any_hit)
-                rows, found = [], []
-                for i in np.flatnonzero(any_hit[offsets[1:]] > any_hit[offsets[:-1]]).tolist():
-                    for hit in _search(items, hashes[offsets[i]:offsets[i + 1]], similarity):
-                        rows.append(i)
-                        found.append(hit)
+                hits = list(_matches(items, part.column(0), similarity))
+                rows, found = [i for i, _ in hits], [f for _, f in hits]
                 at = pa.array(rows, pa.int64())
                 column = lambda k, kind: pa.array([f[k] for f in found], kind)
                 yield pa.RecordBatch.from_arrays([
@@ -168,6 +172,27 @@ def _scan(items: Items, similarity: int):
     return run
 
 
+def _drop(items: Items, similarity: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, field="text"):
+                clean = np.ones(part.num_rows, bool)
+                clean[[i for i, _ in _matches(items, part.column(0).field("text"), similarity)]] = False
+                yield part.filter(pa.array(clean))
+
+    return run
+
+
+def _blocks(benchmark: DataFrame, width: int, radius: int, block_words: int) -> Iterator[Items]:
+    """The items that have a text, in blocks of about `block_words` words (of six bytes)."""
+    given = benchmark.where("text is not null").select("item_id", "text")
+    size = given.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    blocks = max(1, -(-size // (6 * block_words)))
+    for k in range(blocks):
+        block = given.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
+        yield Items([r["item_id"] for r in block], [r["text"] for r in block], width, radius)
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_WORDS, similarity: int = SIMILARITY,
     radius: int = RADIUS, block_words: int = BLOCK_WORDS,
@@ -182,13 +207,8 @@ def contaminated(
     spark = docs.sparkSession
     kind, item_kind = docs.schema["doc_id"].dataType, benchmark.schema["item_id"].dataType
     rows = docs.select("text", "doc_id", row_print(F.col("text")).alias("text_print"))
-    given = benchmark.where("text is not null").select("item_id", "text")
-    size = given.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    blocks = max(1, -(-size // (6 * block_words)))
     found = None
-    for k in range(blocks):
-        block = given.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
-        items = Items([r["item_id"] for r in block], [r["text"] for r in block], width, radius)
+    for items in _blocks(benchmark, width, radius, block_words):
         schema = typed(doc_id=kind, text_print="bigint", item="int", start="int", n_words="int", similarity="double")
         names = spark.createDataFrame(list(enumerate(items.ids)), typed(item="int", item_id=item_kind))
         hits = rows.mapInArrow(_scan(items, similarity), schema).join(F.broadcast(names), "item").select(
@@ -197,9 +217,13 @@ def contaminated(
     return found
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """`docs` without the rows that hold a benchmark item; the columns are unchanged."""
-    found = contaminated(docs, benchmark, **options).select("doc_id", "text_print").distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("own_id"), row_print(F.col("text")).alias("own_print"))
-    return rows.join(
-        found, rows.own_id.eqNullSafe(found.doc_id) & (rows.own_print == found.text_print), "left_anti").select("row.*")
+def remove_contaminated(
+    docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_WORDS, similarity: int = SIMILARITY,
+    radius: int = RADIUS, block_words: int = BLOCK_WORDS,
+) -> DataFrame:
+    """`docs` without the rows that hold a benchmark item; the columns are unchanged, nothing is shuffled."""
+    rows = docs.select(F.struct(*docs.columns).alias("own_row"))
+    schema = rows.schema
+    for items in _blocks(benchmark, width, radius, block_words):
+        rows = rows.mapInArrow(_drop(items, similarity), schema)
+    return rows.select("own_row.*")
