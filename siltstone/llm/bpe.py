@@ -111,17 +111,15 @@ def codec(path: str, pattern: str) -> Codec:
 Batches = Iterator[pa.RecordBatch]
 
 
-def _encode(path: str, pattern: str, text: int) -> Callable[[Batches], Batches]:
-    """Replaces the column numbered `text` by the ids; the result has them in the first place."""
+def _encode(path: str, pattern: str) -> Callable[[Batches], Batches]:
+    """Replaces the first column, texts, by their ids."""
 
     def run(batches: Batches) -> Batches:
         own = codec(path, pattern)
         for batch in batches:
-            for part in slices(batch, text):
-                ids = pa.array([own.encode(t.as_py() or "") for t in part.column(text)], pa.binary())
-                rest = [i for i in range(part.num_columns) if i != text]
-                yield pa.RecordBatch.from_arrays(
-                    [ids, *map(part.column, rest)], ["ids", *(part.schema.names[i] for i in rest)])
+            for part in slices(batch):
+                ids = pa.array([own.encode(t.as_py() or "") for t in part.column(0)], pa.binary())
+                yield pa.RecordBatch.from_arrays([ids, *part.columns[1:]], ["ids", *part.schema.names[1:]])
 
     return run
 
@@ -168,17 +166,17 @@ def _joined(batches: Batches) -> Batches:
 
 
 def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """The columns of `docs` (text and anything else) after a first column `token_ids`: binary, 4 bytes for each id.
+    """The columns of `docs` but text, after a first column `token_ids`: binary, 4 bytes for each id.
 
     The ids are those of whole texts: each match of `pattern` is merged on its own, without special tokens. `path` is a
     file of ranks that every executor has. A null or empty text has no ids. Repeated rows are encoded alike. A column of
     the name `token_ids` is replaced; an empty table gives an empty result.
     """
-    columns = [c for c in docs.columns if c != "token_ids"]
-    rows = docs.select(F.coalesce("text", F.lit("")).alias("own_text"), F.struct(*columns).alias("own_row"))
+    columns = [c for c in docs.columns if c not in ("text", "token_ids")]
+    rows = docs.select(F.coalesce("text", F.lit("")).alias("own_text"), F.struct(F.lit(0).alias("_"), *columns).alias("own_row"))
     length = F.length("own_text")
     kind = rows.schema["own_row"].dataType
-    short = rows.where(length <= chunk).mapInArrow(_encode(path, pattern, 0), typed(ids="binary", own_row=kind))
+    short = rows.where(length <= chunk).mapInArrow(_encode(path, pattern), typed(ids="binary", own_row=kind))
 
     # Only long texts are shuffled.
     long = stored(rows.where(length > chunk).withColumn("row", F.monotonically_increasing_id()), "long")
@@ -199,20 +197,20 @@ def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap
         "piece", F.coalesce(F.size(F.filter("starts", lambda s: s <= F.col("k"))), F.lit(0)))
     pieces = pieces.groupBy("row", "piece").agg(F.array_sort(F.collect_list(F.struct("k", "part"))).alias("p")).select(
         F.array_join(F.transform("p", lambda x: x["part"]), "").alias("text"), "row", "piece")
-    encoded = stored(pieces.mapInArrow(_encode(path, pattern, 0), "ids binary, row bigint, piece int"), "pieces")
+    encoded = stored(pieces.mapInArrow(_encode(path, pattern), "ids binary, row bigint, piece int"), "pieces")
     whole = encoded.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("piece", "ids"))).alias("p")).select(
         F.transform("p", lambda x: x["ids"]).alias("parts"), "row").mapInArrow(_joined, "ids binary, row bigint")
     long = whole.join(long.select("row", "own_row"), "row").select("ids", "own_row")
-    return short.union(long).select(F.col("ids").alias("token_ids"), "own_row.*")
+    return short.union(long).select(F.col("ids").alias("token_ids"), *[F.col("own_row").getField(c).alias(c) for c in columns])
 
 
 def _decode(path: str, pattern: str):
     def run(batches: Batches) -> Batches:
         own = codec(path, pattern)
         for batch in batches:
-            for part in slices(batch):
-                found = pa.array([own.decode(i.as_py() or b"") for i in part.column(0)], pa.binary())
-                yield pa.RecordBatch.from_arrays([found, part.column(1)], ["decoded", "own_row"])
+            for part in slices(batch, field="token_ids"):
+                found = pa.array([own.decode(i.as_py() or b"") for i in part.column(0).field("token_ids")], pa.binary())
+                yield pa.RecordBatch.from_arrays([found, part.column(0)], ["decoded", "own_row"])
 
     return run
 
@@ -223,6 +221,6 @@ def decode(frame: DataFrame, path: str, pattern: str) -> DataFrame:
     Null ids decode to no bytes. An id that the vocabulary lacks fails. A column of the name `decoded` is replaced.
     """
     columns = [c for c in frame.columns if c != "decoded"]
-    rows = frame.select(F.col("token_ids").alias("ids"), F.struct(*columns).alias("own_row"))
+    rows = frame.select(F.struct(*columns).alias("own_row"))
     kind = rows.schema["own_row"].dataType
     return rows.mapInArrow(_decode(path, pattern), typed(decoded="binary", own_row=kind)).select("decoded", "own_row.*")
