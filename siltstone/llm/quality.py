@@ -92,23 +92,30 @@ def counts_of(texts: pa.Array) -> dict[str, np.ndarray]:
     return found | more
 
 
-def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch):
-            counts = counts_of(part.column(0))
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(counts[c].astype(np.int64)) for c in (*COUNTS, *_MORE)), part.column(1)], [*COUNTS, *_MORE, "own_row"])
+def _measure(carried: tuple[str, ...]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, field="text"):
+                rows = part.column(0)
+                counts = counts_of(rows.field("text"))
+                own = pa.StructArray.from_arrays([rows.field(c) for c in carried], carried)
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(counts[c].astype(np.int64)) for c in (*COUNTS, *_MORE)), own], [*COUNTS, *_MORE, "own_row"])
 
+    return run
 
-def measured(docs: DataFrame) -> DataFrame:
-    """For each row of `docs` (text and anything else) the counts, and the row itself as `own_row`.
+
+def measured(docs: DataFrame, *carried: str) -> DataFrame:
+    """For each row of `docs` (text and anything else) the counts, and the columns `carried` (or all) as `own_row`.
 
     Words are runs without white space. `n_symbols` counts SYMBOLS; `n_dup_lines` the lines with a word that equal an earlier
     one; `n_repeat_words` the words in runs of five that the text has twice or more. A null text has no words.
     """
-    rows = docs.select(F.col("text").alias("own_text"), F.struct(*docs.columns).alias("own_row"))
+    carried = carried or tuple(docs.columns)
     fields = {c: "bigint" for c in (*COUNTS, *_MORE)}
-    return rows.mapInArrow(_measure, typed(**fields, own_row=rows.schema["own_row"].dataType))
+    own = docs.select(F.struct(*carried).alias("own_row")).schema["own_row"].dataType
+    needed = [c for c in docs.columns if c in (*carried, "text")]
+    return docs.select(F.struct(*needed).alias("own_row")).mapInArrow(_measure(carried), typed(**fields, own_row=own))
 
 
 def base_failed() -> Column:
@@ -209,9 +216,9 @@ def learned_rules(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **op
     """
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).withColumnRenamed("doc_id", "known_id")
-    rows = docs.select("text", "doc_id").join(F.broadcast(known), F.col("doc_id") == F.col("known_id")).select("text", "quality", "doc_id")
-    rows = measured(rows).select("own_row.quality", *[share(n).alias(n) for n in SHARES],
-                                 F.xxhash64("own_row.doc_id", row_print(F.col("own_row.text"))).alias("order"))
+    rows = docs.select("text", "doc_id").join(F.broadcast(known), F.col("doc_id") == F.col("known_id")).select(
+        "text", "quality", F.xxhash64("doc_id", row_print(F.col("text"))).alias("order"))
+    rows = measured(rows, "quality", "order").select("own_row.*", *[share(n).alias(n) for n in SHARES])
     rows = rows.orderBy("order", *SHARES).limit(sample).collect()
     bad = np.array([r["quality"] == 0 for r in rows], bool)
     if not bad.any() or bad.all():
@@ -231,17 +238,17 @@ def rejects(rules: list[Rule]) -> Column:
 
 
 def judged(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """For each row of `docs` (doc_id, text, anything else): doc_id, the counts of COUNTS, base_failed, kept, and `own_row`.
+    """For each row of `docs` (doc_id, text, anything else): doc_id, the counts of COUNTS, base_failed, kept.
 
-    `kept` is false if `base_failed`, else what the list learned from `labels` says. Repeated rows are judged alike; an
-    empty table gives an empty result.
+    `kept` is false if `base_failed`, else what the list learned from `labels` says. A null text has no words and fails.
+    Repeated rows are judged alike; other columns are left out; an empty table gives an empty result.
     """
     rules = learned_rules(docs, labels, **options)
-    return measured(docs).select(
-        F.col("own_row.doc_id").alias("doc_id"), *COUNTS, base_failed().alias("base_failed"),
-        (~base_failed() & ~rejects(rules)).alias("kept"), "own_row")
+    return measured(docs, "doc_id").select(
+        "own_row.doc_id", *COUNTS, base_failed().alias("base_failed"), (~base_failed() & ~rejects(rules)).alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """`docs` without the rows that are rejected; the columns are unchanged."""
-    return judged(docs, labels, **options).where("kept").select("own_row.*")
+    rules = learned_rules(docs, labels, **options)
+    return measured(docs).where(~base_failed() & ~rejects(rules)).select("own_row.*")
