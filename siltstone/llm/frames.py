@@ -42,7 +42,7 @@ def row_print(text: Column) -> Column:
 def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES, field: str | None = None) -> Iterator[pa.RecordBatch]:
     """A batch in runs of rows of about `limit` bytes of text (one row at least).
 
-    The text is the first column, or a field of it.
+    The text is the first column, or a field of it. Rows are copied out: a cast of a sliced array of strings can go wrong.
     """
     texts = batch.column(0) if field is None else batch.column(0).field(field)
     if texts.nbytes <= limit:
@@ -53,7 +53,7 @@ def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES, field: str | None =
     for i in range(batch.num_rows):
         size = texts[i].as_buffer().size if texts[i].is_valid else 0
         if i > start and held + size > limit:
-            yield batch.slice(start, i - start)
+            yield batch.take(pa.array(range(start, i)))
             start, held = i, 0
         held += size
-    yield batch.slice(start)
+    yield batch.take(pa.array(range(start, batch.num_rows)))

@@ -194,7 +194,10 @@ def _across(left: DataFrame, hubs: DataFrame, sets: DataFrame, similarity: int)
         return stored(rows.select("node", "component", "own", "other", "hub", "free", F.explode(F.slice(values, F.lit(1), F.col("first"))).alias("p"))
                       .select("node", "component", "own", "other", "hub", "free", "p.shingle"), label)
 
-    apart = prefixes(partners(ranked).withColumn("free", F.lit(False)), "ranked", F.size("ranked") - F.col("o") + 1, "apart")
+    several = left.join(near, "node").groupBy("post").agg(F.min("hub").alias("low"), F.max("hub").alias("high")).where("low < high")
+    several = left.join(several.select("post"), "post").select("node").distinct()
+    apart = partners(ranked.join(several, "node")).withColumn("free", F.lit(False))
+    apart = prefixes(apart, "ranked", F.size("ranked") - F.col("o") + 1, "apart")
     found = _facing(apart, ["shingle"], F.col("hub") != F.col("hub_y"))
 
     outside = ranked.select("node", "component", "hub", F.explode("outer").alias("shingle"))

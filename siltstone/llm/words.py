@@ -18,6 +18,8 @@ def split_words(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndar
     `offsets` has one more entry than there are texts. A null text has no words. `lower` changes A-Z only.
     """
     texts = pc.fill_null(texts, "")
+    if texts.offset:  # a cast of a sliced array can go wrong
+        texts = texts.take(pa.array(range(len(texts))))
     if pa.types.is_string(texts.type):
         texts = texts.cast(pa.large_string())
     if lower:
