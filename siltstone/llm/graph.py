@@ -18,23 +18,22 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large-star and small-star steps in turn, until the links no longer change; every step is a sum by
     node and a join, so that a node with very many links is summed before the shuffle and its join is
-    split by Spark. Steps are written to the shared folder.
+    split by Spark. The links after each pair of steps are written to the shared folder.
     """
-    edges = stored(
-        edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "links")
-    seen = _print_of(edges)
-    while seen[0]:
+    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
+    seen = None
+    while True:
+        edges = stored(edges, "edges")
+        now = _print_of(edges)
+        if now in (seen, (0, None)):
+            break
+        seen = now
         both = edges.union(edges.select("b", "a"))
-        lowest = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).select(
-            "u", F.least("u", "m").alias("m"))
+        lowest = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(lowest, both.a == lowest.u).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = stored(large.where("a != b").distinct(), "links")
+        large = large.where("a != b").distinct()
         lowest = large.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
         small = large.join(lowest, large.a == lowest.u).where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = stored(small.union(lowest.select("u", "m")).distinct(), "links")
-        now = _print_of(edges)
-        if now == seen:
-            break
-        seen = now
+        edges = small.union(lowest.select("u", "m")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         edges.select("b", "b").distinct())

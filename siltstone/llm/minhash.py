@@ -210,7 +210,7 @@ def _across(left: DataFrame, hubs: DataFrame, sets: DataFrame, similarity: int)
     beside = prefixes(rows.join(outer, "node"), "outer", first, "beside")
     same = F.col("hub") == F.col("hub_y")
     found = found.union(_facing(beside, ["shingle"], same & ~(F.col("free") & F.col("free_y"))))
-    inner = stored(rows.where("free").select("node", "component", "own", "other", "hub", "free", F.col("hub").alias("group")), "inner")
+    inner = rows.where("free").select("node", "component", "own", "other", "hub", "free", F.col("hub").alias("group"))
     return found.union(_facing(inner, ["group"], same)).distinct()
 
 
@@ -249,7 +249,8 @@ def near_duplicates(
         lists.where(F.size("posts") >= matches)
         .select("node", "weight", F.explode(F.slice("posts", F.lit(1), F.size("posts") - (matches - 1))).alias("p"))
         .select("node", "weight", "p.post"), "prefixes")
-    hubs = stored(prefix.groupBy("post").agg(F.max(F.struct("weight", "node")).alias("hub")).select("post", "hub.weight", F.col("hub.node").alias("hub")), "hubs")
+    hubs = prefix.groupBy("post").agg(F.max(F.struct("weight", "node")).alias("hub")).select(
+        "post", "hub.weight", F.col("hub.node").alias("hub"))
     pairs = stored(
         prefix.join(hubs, "post").where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "pairs")
     close = _colliding(pairs, classes, matches, similarity)
@@ -261,9 +262,10 @@ def near_duplicates(
     left = stored(_split_by_component(joined, ["post"]), "mixed")
     sets = _shingles_of(left.select("node"), classes, texts, width)
     tried = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    rest = stored(_across(left, hubs, sets, similarity).join(tried, ["a", "b"], "left_anti"), "pairs")
-    links = links.union(_links(_colliding(rest, classes, matches, similarity), sets, similarity))
-    named = components(links)
+    rest = _across(left, hubs, sets, similarity).join(tried, ["a", "b"], "left_anti")
+    more = _links(_colliding(rest, classes, matches, similarity), sets, similarity)
+    links = links.union(more)
+    named = components(named.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("n_links"))
 
     nodes = (
