@@ -16,18 +16,19 @@ FILES_PER_CORE = 3
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(frame: DataFrame, label: str) -> DataFrame:
+def stored(frame: DataFrame, label: str, small: bool = False) -> DataFrame:
     """The rows written to the shared folder and read back: lineage ends here, and an executor
     that is lost later takes nothing with it. The shuffle files behind them are then of no use, and go.
 
-    There are a few files for each core at most, whatever number of partitions the rows came in.
+    A `small` table, of counts or links, gets a few files for each core at most, in however many partitions it came.
     """
     spark, path = frame.sparkSession, scratch_folder(frame.sparkSession, label)
-    files = FILES_PER_CORE * spark.sparkContext.defaultParallelism
+    if small:
+        frame = frame.coalesce(FILES_PER_CORE * spark.sparkContext.defaultParallelism)
     before = spark.conf.get(_CLEANUP)
     spark.conf.set(_CLEANUP, "true")
     try:
-        frame.coalesce(files).write.parquet(path)
+        frame.select("*").write.parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
     return spark.read.schema(frame.schema).parquet(path)

@@ -23,7 +23,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
     seen = None
     while True:
-        edges = stored(edges, "edges")
+        edges = stored(edges, "edges", small=True)
         now = _print_of(edges)
         if now in (seen, (0, None)):
             break

@@ -54,7 +54,7 @@ def remove_repeated_lines(docs: DataFrame) -> DataFrame:
         suspects.join(firsts, ["hash", "body"]).where(~place.eqNullSafe(F.col("first")))
         .groupBy("own_id", "own_print").agg(F.collect_set("at").alias("gone"))
     )
-    gone = stored(gone, "gone").withColumnsRenamed({"own_id": "gone_id", "own_print": "gone_print"})
+    gone = stored(gone, "gone", small=True).withColumnsRenamed({"own_id": "gone_id", "own_print": "gone_print"})
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed_lines")]
     rows = docs.select(
         F.struct(F.lit(0).alias("_"), *[c for c in columns if c != "text"]).alias("row"), F.col("text"), F.col("doc_id").alias("own_id"), row_print(F.col("text")).alias("own_print"))

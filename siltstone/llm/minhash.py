@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.frames import row_print, slices, stored
+from siltstone.llm.frames import row_print, slices, stored, typed
 from siltstone.llm.graph import components
 from siltstone.llm.words import hash_words, mix, split_words, starts_inside, window_hashes
 
@@ -105,7 +105,7 @@ def _colliding(pairs: DataFrame, classes: DataFrame, matches: int, similarity: i
     equal = F.aggregate(F.zip_with("s_a", "s_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda x, y: x + y)
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     both = both.where(100 * F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b")).where(equal >= matches)
-    return stored(both.select("a", "b", "n_a", "n_b"), "candidates")
+    return stored(both.select("a", "b", "n_a", "n_b"), "candidates", small=True)
 
 
 def _shingles_of(nodes: DataFrame, classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
@@ -121,7 +121,7 @@ def _links(close: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     one = lambda name: sets.select(F.col("node").alias(name), F.col("shingles").alias(f"s_{name}"))
     both = close.join(one("a"), "a").join(one("b"), "b").withColumn("common", F.size(F.array_intersect("s_a", "s_b")).cast("long"))
     alike = 100 * F.col("common") >= similarity * (F.col("n_a") + F.col("n_b") - F.col("common"))
-    return stored(both.where(alike).select("a", "b"), "links")
+    return stored(both.where(alike).select("a", "b"), "links", small=True)
 
 
 def _size_class(n: Column) -> Column:
@@ -229,11 +229,11 @@ def near_duplicates(
     Repeated rows get equal results. Other columns are left out; an empty table gives an empty result.
     """
     texts = docs.select("doc_id", "text", row_print(F.col("text")).alias("text_print"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kind = docs.schema["doc_id"].dataType
     signed = stored(
         texts.select("text", "doc_id", "text_print").mapInArrow(
             _sign(width, coordinates),
-            f"doc_id {kind}, text_print bigint, n_shingles bigint, set_print binary, signature array<bigint>"), "signatures")
+            typed(doc_id=kind, text_print="bigint", n_shingles="bigint", set_print="binary", signature="array<bigint>")), "signatures")
     rows = signed.where("n_shingles > 0")
     classes = stored(
         rows.groupBy("set_print").agg(
@@ -252,14 +252,14 @@ def near_duplicates(
     hubs = prefix.groupBy("post").agg(F.max(F.struct("weight", "node")).alias("hub")).select(
         "post", "hub.weight", F.col("hub.node").alias("hub"))
     pairs = stored(
-        prefix.join(hubs, "post").where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "pairs")
+        prefix.join(hubs, "post").where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "pairs", small=True)
     close = _colliding(pairs, classes, matches, similarity)
     sets = _shingles_of(close.select(F.col("a").alias("node")).union(close.select("b")), classes, texts, width)
     links = _links(close, sets, similarity)
     named = components(links)
 
     joined = prefix.join(named, "node", "left").select("post", "node", F.coalesce("component", "node").alias("component"))
-    left = stored(_split_by_component(joined, ["post"]), "mixed")
+    left = stored(_split_by_component(joined, ["post"]), "mixed", small=True)
     sets = _shingles_of(left.select("node"), classes, texts, width)
     tried = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     rest = _across(left, hubs, sets, similarity).join(tried, ["a", "b"], "left_anti")
@@ -273,7 +273,7 @@ def near_duplicates(
         .join(named, "node", "left").join(degree, "node", "left")
         .select("set_print", F.coalesce("component", "node").alias("component"), "first_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     )
-    nodes = stored(nodes, "nodes")
+    nodes = stored(nodes, "nodes", small=True)
     names = nodes.groupBy("component").agg(F.min("first_id").alias("name"))
     found = nodes.join(names, "component").select("set_print", "name", "n_links")
     result = signed.select("doc_id", "text_print", "n_shingles", "set_print").join(found, "set_print", "left")

@@ -12,10 +12,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.frames import row_print, slices, stored
+from siltstone.llm.frames import row_print, slices, stored, typed
 from siltstone.llm.words import hash_words, split_words, window_hashes
 
 WINDOW_WORDS = 35
@@ -50,6 +50,20 @@ def _cover_positions(count: int, cover: np.ndarray, period: int) -> np.ndarray:
     return whole[whole < count]
 
 
+def _salts(keys: np.ndarray) -> np.ndarray:
+    """0 for the only or first of equal keys, which stands for them all; the others are numbered from 1, apart from each other.
+
+    The first of several is negative: -1.
+    """
+    order = np.argsort(keys, kind="stable")
+    equal = np.zeros(len(keys) + 1, bool)
+    equal[1:-1] = keys[order][1:] == keys[order][:-1]
+    salts = np.zeros(len(keys), np.int32)
+    salts[order[equal[:-1]]] = np.arange(1, np.count_nonzero(equal) + 1)
+    salts[order[~equal[:-1] & equal[1:]]] = -1
+    return salts
+
+
 def _anchors(window: int, period: int):
     cover, length = np.array(difference_cover(period)), window - period + 1
 
@@ -57,16 +71,16 @@ def _anchors(window: int, period: int):
         for batch in batches:
             for part in slices(batch):
                 words, offsets = split_words(part.column(0))
-                hashes = window_hashes(hash_words(words), length).view(np.int64)
-                counts = np.diff(offsets)
-                at = [start + _cover_positions(n - length + 1, cover, period) if n >= window else np.zeros(0, np.int64)
-                      for start, n in zip(offsets[:-1].tolist(), counts.tolist())]
-                filled = np.zeros(len(at) + 1, np.int32)
-                filled[1:] = np.cumsum([len(a) for a in at])
-                values = hashes[np.concatenate(at)] if filled[-1] else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(1), part.column(2), pa.ListArray.from_arrays(pa.array(filled), pa.array(values))],
-                    ["doc_id", "text_print", "anchors"])
+                hashes = window_hashes(hash_words(words), length)
+                at = [_cover_positions(n - length + 1, cover, period) if n >= window else np.zeros(0, np.int64)
+                      for n in np.diff(offsets).tolist()]
+                sizes = [len(a) for a in at]
+                rows = pa.array(np.repeat(np.arange(len(at)), sizes))
+                numbers = np.concatenate([np.arange(n) for n in sizes])
+                values = hashes[np.concatenate(at) + np.repeat(offsets[:-1], sizes)] if len(rows) else np.zeros(0, np.uint64)
+                yield pa.RecordBatch.from_arrays([
+                    part.column(1).take(rows), part.column(2).take(rows), pa.array(numbers.astype(np.int32)),
+                    pa.array(values.view(np.int64)), pa.array(_salts(values))], ["doc_id", "text_print", "number", "anchor", "salt"])
 
     return run
 
@@ -77,7 +91,7 @@ def _windows(window: int, period: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, limit=2 << 20):
+            for part in slices(batch):
                 words, offsets = split_words(part.column(0))
                 hashes = hash_words(words)
                 one, two = window_hashes(hashes, window), window_hashes(hashes, window, _SECOND_BASE)
@@ -93,15 +107,28 @@ def _windows(window: int, period: int):
                     rows.append(np.full(len(found), i))
                     starts.append(found + begin)
                 rows, at = np.concatenate(rows), np.concatenate(starts)
+                low = (two[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     part.column(1).take(pa.array(rows)), part.column(2).take(pa.array(rows)),
-                    pa.array((at - offsets[rows]).astype(np.int32)), pa.array(one[at].view(np.int64)),
-                    pa.array((two[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
-                ], ["doc_id", "text_print", "start", "high", "low"])
+                    pa.array((at - offsets[rows]).astype(np.int32)), pa.array(one[at].view(np.int64)), pa.array(low),
+                    pa.array(_salts(one[at] ^ two[at])),
+                ], ["doc_id", "text_print", "start", "high", "low", "salt"])
 
     return run
 
 
+def _repeated(rows: DataFrame, *keys: str) -> DataFrame:
+    """The rows whose keys occur more than once.
+
+    Rows that a task has seen repeat are known to; each keeps to itself, under its own salt. Only the first of them stands
+    for its key here, so a key has one row for each slice of texts at most, however often it occurs.
+    """
+    known = F.col("salt") != 0
+    same = Window.partitionBy(*keys, F.greatest("salt", F.lit(0)))
+    counted = rows.withColumn("seen", F.sum(F.when(known, 2).otherwise(1)).over(same))
+    return counted.where("seen > 1")
+
+
 def _without(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,22 +164,19 @@ def remove_passages(docs: DataFrame, window: int = WINDOW_WORDS, period: int = P
     nothing (a null one comes back empty). Repeated rows are occurrences of each other. A null doc_id is like any other.
     Other columns are left out; an empty table gives an empty result.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kind = docs.schema["doc_id"].dataType
     texts = docs.select("text", "doc_id", row_print(F.col("text")).alias("text_print"))
-    anchors = stored(texts.mapInArrow(
-        _anchors(window, period), f"doc_id {kind}, text_print bigint, anchors array<bigint>"), "anchors")
-    repeated = anchors.select(F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    anchors = texts.mapInArrow(
+        _anchors(window, period), typed(doc_id=kind, text_print="bigint", number="int", anchor="bigint", salt="int"))
     hits = stored(
-        anchors.select("doc_id", "text_print", F.posexplode("anchors").alias("number", "anchor"))
-        .join(repeated.select("anchor"), "anchor").groupBy("doc_id", "text_print")
-        .agg(F.collect_set("number").alias("numbers")), "hits").withColumnsRenamed({"doc_id": "hit_id", "text_print": "hit_print"})
+        _repeated(anchors, "anchor").groupBy("doc_id", "text_print").agg(F.collect_set("number").alias("numbers")), "hits", small=True)
+    hits = hits.withColumnsRenamed({"doc_id": "hit_id", "text_print": "hit_print"})
     near = texts.join(hits, texts.doc_id.eqNullSafe(hits.hit_id) & (texts.text_print == hits.hit_print))
-    windows = stored(near.select("text", "doc_id", "text_print", "numbers").mapInArrow(
-        _windows(window, period), f"doc_id {kind}, text_print bigint, start int, high bigint, low int"), "windows")
-    again = windows.groupBy("high", "low").agg(F.count("*").alias("n")).where("n > 1")
+    windows = near.select("text", "doc_id", "text_print", "numbers").mapInArrow(
+        _windows(window, period), typed(doc_id=kind, text_print="bigint", start="int", high="bigint", low="int", salt="int"))
     spans = stored(
-        windows.join(again.select("high", "low"), ["high", "low"]).groupBy("doc_id", "text_print")
-        .agg(F.collect_set("start").alias("starts")), "spans").withColumnsRenamed({"doc_id": "hit_id", "text_print": "hit_print"})
+        _repeated(windows, "high", "low").groupBy("doc_id", "text_print").agg(F.collect_set("start").alias("starts")), "spans", small=True)
+    spans = spans.withColumnsRenamed({"doc_id": "hit_id", "text_print": "hit_print"})
     marked = texts.join(spans, texts.doc_id.eqNullSafe(spans.hit_id) & (texts.text_print == spans.hit_print), "left")
     return marked.select("text", "doc_id", "starts").mapInArrow(
-        _without(window), f"doc_id {kind}, text string, n_words bigint, n_removed bigint")
+        _without(window), typed(doc_id=kind, text="string", n_words="bigint", n_removed="bigint"))
