@@ -8,17 +8,18 @@ from pyspark.sql import functions as F
 MONEY = "decimal(12,2)"
 
 
-_NUMBER_TEXT = r"^([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d{1,2})?)$"
+_NUMBER_TEXT = r"^([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)$"
 
 
 def clean_number(c: Column) -> Column:
     """Double from text carrying `$`, thousands commas or `USD`; anything else is NULL.
 
-    The text is checked before the cast, because a cast also reads `NaN`, `Infinity` and `1d`. The
-    expression mentions its argument once, so plans that inline it do not multiply.
+    The text is checked before the cast, because a cast also reads `NaN`, `Infinity` and `1d`. What is too large for a
+    double is NULL too. The expression mentions its argument once, so plans that inline it do not multiply.
     """
     bare = F.trim(F.regexp_replace(c.cast("string"), r"\$|,|USD", ""))
-    return F.regexp_extract(bare, _NUMBER_TEXT, 1).try_cast("double")
+    value = F.regexp_extract(bare, _NUMBER_TEXT, 1).try_cast("double")
+    return F.get(F.filter(F.array(value), lambda x: F.abs(x) < float("inf")), F.lit(0))
 
 
 def numeric_or_null(c: Column) -> Column:

@@ -22,9 +22,14 @@ def epoch_to_ts(c: Column, unit: str = "ms") -> Column:
     return makers[unit](c.try_cast("bigint"))
 
 
-def _epoch_text(c: Column) -> Column:
-    """Timestamp from text made of digits only. Twelve digits reach past the year 30000."""
-    return F.when(F.rlike(c, F.lit(r"^\d{1,12}$")), F.timestamp_seconds(c.try_cast("bigint")))
+#: The largest epoch value that a timestamp (64-bit microseconds) can hold.
+_EPOCH_MAX = {"s": (1 << 63) // 10**6 - 1, "ms": (1 << 63) // 10**3 - 1, "us": (1 << 63) - 1}
+
+
+def _epoch_text(c: Column, unit: str = "s") -> Column:
+    """Timestamp from text made of digits only, counted in `unit`; NULL beyond what a timestamp can hold."""
+    value = F.when(F.rlike(c, F.lit(r"^\d+$")), c.try_cast("bigint"))
+    return epoch_to_ts(F.when(value <= _EPOCH_MAX[unit], value), unit)
 
 
 _TOKEN_SHAPES = {
@@ -48,20 +53,20 @@ def _by_format(text: Column, pattern: str) -> Column:
     return F.when(F.rlike(text, F.lit(_shape(pattern))), F.try_to_timestamp(text, F.lit(pattern)))
 
 
-def parse_mixed_ts(c: Column) -> Column:
-    """`yyyy-MM-dd HH:mm:ss`, else digits as epoch seconds, else NULL."""
+def parse_mixed_ts(c: Column, unit: str = "s") -> Column:
+    """`yyyy-MM-dd HH:mm:ss`, else digits as an epoch value (seconds unless `unit` says otherwise), else NULL."""
     text = F.trim(c)
-    return F.coalesce(_by_format(text, vocab.DATETIME_FORMAT), _epoch_text(text))
+    return F.coalesce(_by_format(text, vocab.DATETIME_FORMAT), _epoch_text(text, unit))
 
 
 def parse_date_formats(
-    c: Column, formats: Sequence[str] = vocab.DATE_FORMATS, *, epoch: bool = True
+    c: Column, formats: Sequence[str] = vocab.DATE_FORMATS, *, epoch: bool = True, unit: str = "s"
 ) -> Column:
-    """First format that fits, else (with `epoch`) digits as epoch seconds, else NULL."""
+    """First format that fits, else (with `epoch`) digits as an epoch value in `unit`, else NULL."""
     text = F.trim(c)
     tries = [_by_format(text, f) for f in formats]
     if epoch:
-        tries.append(_epoch_text(text))
+        tries.append(_epoch_text(text, unit))
     return F.coalesce(*tries)
 
 

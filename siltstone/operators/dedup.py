@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
+from siltstone.functions.numbers import clean_number
 from siltstone.functions.text import lower_trim
-from siltstone.operators.skew import skew_join
+from siltstone.operators.skew import SALTS
 
 
 def _first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -60,13 +61,13 @@ def repeated_text(df: DataFrame, text: str, row_id: str) -> DataFrame:
 
 def dedup_events(
     df: DataFrame, event_id: str = "_event_id", business_key: str = "transaction_id",
-    seen_at: str = "_ingested_at", *, redelivered_as_is: bool = True,
+    seen_at: str = "_ingested_at", *, redelivered_as_is: bool = False,
 ) -> DataFrame:
     """K4. One event per business key: the earliest, after redeliveries of one event are dropped.
 
-    Redelivered events are copies, so they share the business key and the earliest-per-key step
-    removes them too: one shuffle. With `redelivered_as_is=False` an event id may reappear under
-    another business key; then the earliest delivery of each event is taken first.
+    An event id that reappears, under another business key too, is a redelivery: the earliest delivery of each event is taken
+    first. With `redelivered_as_is=True` the caller vouches that redeliveries are copies and share the business key; the
+    earliest-per-key step then removes them too, with one shuffle less.
     """
     known = df.filter(F.col(business_key).isNotNull() & (F.col(business_key) != ""))
     if not redelivered_as_is:
@@ -85,16 +86,16 @@ def dedup_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
 def flag_repeats(df: DataFrame, keys: Sequence[str], order: Sequence[str], into: str = "is_repeat") -> DataFrame:
     """K6. True for every row but the first (by `order`, a total order) of its key.
 
-    The first row is found by aggregation, which combines map-side, and compared after a join that
-    salts hot keys; numbering the rows would sort a hot key in one task. Keys that are NULL form
-    one group, as they would in a window.
+    Of rows that are equal, one is the first. Numbering all rows of a key would sort a hot key in one task, so they are
+    numbered by (key, salt) first; only the leaders of the salts, a few rows for each key, meet. Keys that are NULL form
+    one group.
     """
-    solid = [f"_k{i}" for i in range(len(keys))]
-    packed = {s: F.struct(F.col(k)) for s, k in zip(solid, keys)}  # a struct key matches on NULL
-    rows = df.withColumns({**packed, "_at": F.struct(*order)})
-    firsts = rows.groupBy(*solid).agg(F.min("_at").alias("_first"))
-    joined = skew_join(rows, firsts, solid, "inner")
-    return joined.withColumn(into, F.col("_at") > F.col("_first")).select(*df.columns, into)
+    salt = F.pmod(F.xxhash64(*order), F.lit(SALTS))
+    place = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    rows = df.withColumn("_salt", salt).withColumn("_place", place(*keys, "_salt"))
+    leaders = rows.filter(F.col("_place") == 1).withColumn(into, place(*keys) > 1)
+    others = rows.filter(F.col("_place") > 1).withColumn(into, F.lit(True))
+    return leaders.select(*df.columns, into).unionByName(others.select(*df.columns, into))
 
 
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -103,35 +104,32 @@ def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def near_duplicates(
-    df: DataFrame, row_id: str, exact: Sequence[str], text: Sequence[str], amount: str,
-    tolerance: str = "0.01", scale: int = 2,
+    df: DataFrame, row_id: str, exact: Sequence[str], text: Sequence[str], amount: str, tolerance: str = "0.01",
 ) -> DataFrame:
     """K8. Rows with an earlier near twin: same `exact` columns, same folded text, amount within
     `tolerance`. Adds `twin_id` (smallest id of the neighbourhood) and `near_rows` (its size).
 
-    No pairs are formed. Amounts are counted per grid step, each step is announced to the steps
-    within the tolerance (a fixed fan-out), and rows look up their own step.
+    `amount` may be a number or the text of one ("$10.00", "1,234.56"); rows without an amount, or with a NULL among
+    the `exact` columns, have no twins. Amounts are compared as doubles, with a millionth of the tolerance to spare for what
+    a double can't hold.
+
+    No pairs are formed. Equal amounts are counted once; a range window then sums the counts around each amount. Its
+    partitions are bands of a thousand tolerances, into which the amounts near a band's edge are copied.
     """
-    reach = int(Decimal(tolerance).scaleb(scale))
-    folded = {f"_t{i}": F.struct(F.regexp_replace(lower_trim(F.col(t)), r"\s+", " ").alias("v"))
-              for i, t in enumerate(text)}
-    packed = {f"_e{i}": F.struct(F.col(e).alias("v")) for i, e in enumerate(exact)}
-    step = (F.col(amount).try_cast(f"decimal(18,{scale})") * 10**scale).cast("bigint")
-    group = [*packed, *folded]
-    rows = df.withColumns({**packed, **folded, "_step": step})
-    steps = (
-        rows.filter(F.col("_step").isNotNull())
-        .groupBy(*group, "_step")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(row_id).alias("_low"))
-    )
-    around = (
-        steps.withColumn("_step", F.explode(F.sequence(F.col("_step") - reach, F.col("_step") + reach)))
-        .groupBy(*group, "_step")
-        .agg(F.sum("_n").alias("near_rows"), F.min("_low").alias("twin_id"))
-        .filter(F.col("near_rows") > 1)
-    )
-    return (
-        skew_join(rows, around, [*group, "_step"], "inner")
-        .filter(F.col("twin_id") < F.col(row_id))
-        .select(*df.columns, "twin_id", "near_rows")
-    )
+    reach = float(tolerance) * (1 + 1e-6)
+    band = max(reach, 1e-300) * 1000
+    folded = {f"_t{i}": F.regexp_replace(lower_trim(F.col(t)), r"\s+", " ") for i, t in enumerate(text)}
+    group = [*exact, *folded]
+    numeric = isinstance(df.schema[amount].dataType, NumericType)
+    value = F.col(amount).cast("double") if numeric else clean_number(F.col(amount))
+    rows = df.withColumns({**folded, "_amount": value}).dropna(subset=["_amount", *exact])
+    rows = rows.withColumns({f"_t{i}": F.struct(f"_t{i}") for i in range(len(text))})  # a struct key matches on NULL
+    steps = rows.groupBy(*group, "_amount").agg(F.count(F.lit(1)).alias("_n"), F.min(row_id).alias("_low"))
+    home = F.floor(F.col("_amount") / band)
+    bands = F.array_distinct(F.array(home, F.floor((F.col("_amount") - reach) / band), F.floor((F.col("_amount") + reach) / band)))
+    copied = steps.withColumn("_home", home).withColumn("_band", F.explode(bands))
+    near = f"OVER (PARTITION BY {', '.join(f'`{g}`' for g in group)}, _band ORDER BY _amount RANGE BETWEEN {reach!r}D PRECEDING AND {reach!r}D FOLLOWING)"
+    around = copied.withColumns({"near_rows": F.expr(f"sum(_n) {near}"), "twin_id": F.expr(f"min(_low) {near}")}).filter(
+        (F.col("_band") == F.col("_home")) & (F.col("near_rows") > 1)
+    ).select(*group, "_amount", "near_rows", "twin_id")
+    return rows.join(around, [*group, "_amount"]).filter(F.col("twin_id") < F.col(row_id)).select(*df.columns, "twin_id", "near_rows")

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from siltstone import vocab
 from siltstone.functions.text import blank_to_null, strip_control
 from siltstone.operators.quantiles import quantiles
-from siltstone.operators.skew import skew_join
 
 
 def text_columns(df: DataFrame) -> list[str]:
@@ -51,13 +50,13 @@ def fill_constants(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
 
 def impute_median(
     df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), *,
-    accuracy: int | None = None, scale: int | None = None,
+    accuracy: int | None = None,
 ) -> DataFrame:
-    """M4. NULLs of numeric columns replaced by the column's (or the group's) median."""
+    """M4. NULLs of numeric columns replaced by the column's (or the group's) median. Rows whose group is NULL are a group."""
     if not by:
         filled = {}
         for c in columns:
-            median = quantiles(df, c, [0.5], accuracy=accuracy, scale=scale).select(
+            median = quantiles(df, c, [0.5], accuracy=accuracy).select(
                 F.col("quantiles")[0]
             ).scalar()
             filled[c] = F.coalesce(F.col(c), median.cast(df.schema[c].dataType))
@@ -65,13 +64,13 @@ def impute_median(
     out = df
     for c in columns:
         kind = df.schema[c].dataType
-        medians = quantiles(df, c, [0.5], by, accuracy, scale).select(
-            *by, F.col("quantiles")[0].cast(kind).alias("_median")
+        medians = quantiles(df, c, [0.5], by, accuracy).select(
+            F.struct(*by).alias("_group"), F.col("quantiles")[0].cast(kind).alias("_median")  # a struct key matches on NULL
         )
         out = (
-            skew_join(out, medians, by, "left")
+            out.withColumn("_group", F.struct(*by)).join(medians, "_group", "left")
             .withColumn(c, F.coalesce(F.col(c), F.col("_median")))
-            .drop("_median")
+            .drop("_median", "_group")
         )
     return out.select(*df.columns)
 

@@ -108,31 +108,23 @@ def text_rules(column: str) -> list[Rule]:
     ]
 
 
-def with_repeat_flag(
-    df: DataFrame, keys: Sequence[str], into: str, counted: DataFrame | None = None
-) -> DataFrame:
+def with_repeat_flag(df: DataFrame, keys: Sequence[str], into: str) -> DataFrame:
     """Boolean column: the (non-NULL) key occurs on more than one row.
 
-    Serves duplicate_email, duplicate_sku, duplicate_txn_id and duplicate_review. `counted` as in
-    `skew_join`.
+    Serves duplicate_email, duplicate_sku, duplicate_txn_id and duplicate_review.
     """
     repeated = (
         df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > 1).select(*keys, F.lit(True).alias("_repeated"))
     )
-    flagged = skew_join(df, repeated, keys, "left", counted=counted)
+    flagged = skew_join(df, repeated, keys, "left")
     return flagged.withColumn(into, F.coalesce("_repeated", F.lit(False))).select(*df.columns, into)
 
 
-def with_orphan_flag(
-    df: DataFrame, fk: str, parent: DataFrame, parent_key: str, into: str, counted: DataFrame | None = None
-) -> DataFrame:
-    """Boolean column: the reference is present and has no parent (mismatched_order_ref).
-
-    `counted` as in `skew_join`: when several flags are added in a row, give the first frame.
-    """
+def with_orphan_flag(df: DataFrame, fk: str, parent: DataFrame, parent_key: str, into: str) -> DataFrame:
+    """Boolean column: the reference is present and has no parent (mismatched_order_ref)."""
     known = parent.select(F.col(parent_key).alias(fk)).dropna().distinct().withColumn("_known", F.lit(True))
-    judged = skew_join(df, known, [fk], "left", counted=counted)
+    judged = skew_join(df, known, [fk], "left")
     return judged.withColumn(into, F.col(fk).isNotNull() & F.col("_known").isNull()).select(*df.columns, into)
 
 
@@ -290,19 +282,33 @@ def replay_dead_letters(
 # --- checks -------------------------------------------------------------------------------------
 
 
-def expectations(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
+def expectations(
+    df: DataFrame, checks: Mapping[str, Column], *, unique: Sequence[str] = (), near_keys: tuple | None = None,
+) -> DataFrame:
     """Q11. `(check, failed, total, passed)`; a check is a Column true on passing rows.
 
-    All checks share one pass. A NULL outcome is a failure.
+    All checks share one pass. A NULL outcome is a failure. Two checks are about rows together: with `unique`,
+    `no_exact_duplicate` fails rows that repeat an earlier one in these columns; with `near_keys` (the arguments of
+    `near_duplicates`), `no_near_duplicate` fails distinct rows with an earlier near twin.
     """
     names = list(checks)
     tallies = [
         F.count_if(~F.coalesce(checks[n], F.lit(False))).alias(n) for n in names
     ]
     one = df.agg(F.count(F.lit(1)).alias("total"), *tallies)
-    return one.unpivot(["total"], names, "check", "failed").select(
-        "check", "failed", "total", (F.col("failed") == 0).alias("passed")
-    )
+    found = one.unpivot(["total"], names, "check", "failed").select("check", "failed", "total")
+    if unique:
+        copies = df.groupBy(*unique).agg(F.count(F.lit(1)).alias("_n"))
+        found = found.unionByName(copies.agg(
+            F.lit("no_exact_duplicate").alias("check"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("failed"),
+            F.coalesce(F.sum("_n"), F.lit(0)).alias("total")))
+    if near_keys:
+        rows = df.dropDuplicates()
+        twins = near_duplicates(rows, *near_keys).select(F.lit(1).alias("twin"), F.lit(0).alias("row"))
+        found = found.unionByName(rows.select(F.lit(0).alias("twin"), F.lit(1).alias("row")).unionByName(twins).agg(
+            F.lit("no_near_duplicate").alias("check"), F.coalesce(F.sum("twin"), F.lit(0)).alias("failed"),
+            F.coalesce(F.sum("row"), F.lit(0)).alias("total")))
+    return found.withColumn("passed", F.col("failed") == 0)
 
 
 def conversion_failures(df: DataFrame, typed: Mapping[str, Column]) -> DataFrame:

@@ -1,8 +1,8 @@
 """Exact quantiles by radix selection (M4, A10).
 
 `percentile` keeps every distinct value of the column in one aggregation buffer, which does not
-survive a large table. Selection needs only counts: values are taken as fixed-point integers and
-counted once (combined map-side, one exchange that all rounds read); each round then sums the
+survive a large table. Selection needs only counts: values are taken as 64-bit integers that keep
+their order and counted once (combined map-side, one exchange that all rounds read); each round then sums the
 counts by the next group of bits and keeps the one bucket that holds the wanted rank. A round
 yields at most 2**MAX_BITS buckets per surviving prefix, so no task ever holds the column, a
 frequent value is one row, and the source is read once.
@@ -10,31 +10,43 @@ frequent value is one row, and the source is read once.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from siltstone.operators.skew import skew_join
+MAX_BITS = 16
+WIDTH = 64
+_FRACTION = 1 << 52
+_INFINITE, _NAN = 0x7FF << 52, 0x7FF8 << 48
 
-MAX_BITS = 17
-DEFAULT_PRECISION, DEFAULT_SCALE = 15, 2  # up to ten trillion
 
+def _ordered_bits(column: Column) -> Column:
+    """The bits of a double as an integer in the same order; negative values are mirrored.
 
-def _fixed_point(df: DataFrame, column: str, scale: int | None) -> tuple[Column, int, int]:
-    """(integer expression, its width in bits, number of decimals)."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, T.DecimalType) and kind.precision <= 18 and scale in (None, kind.scale):
-        precision, digits = kind.precision, kind.scale
-    elif isinstance(kind, T.IntegerType) and scale is None:
-        precision, digits = 10, 0
-    else:
-        precision, digits = DEFAULT_PRECISION, DEFAULT_SCALE if scale is None else scale
-    # A value outside the fixed-point range raises (ANSI) instead of being left out.
-    units = (F.col(column).cast(f"decimal({precision},{digits})") * F.lit(10**digits)).cast("bigint")
-    return units, math.ceil(precision * math.log2(10)) + 1, digits
+    |x| = m * 2**e with 1 <= m < 2 (below the least normal number e stays -1022); all steps scale by powers of two
+    and are exact. NaN is above everything, as Spark orders it; -0.0 is 0.
+    """
+    x = column.cast("double")
+    size = F.abs(x)
+    guess = F.greatest(F.least(F.floor(F.log2(size)), F.lit(1023)), F.lit(-1022)).cast("double")
+    near = size / F.pow(F.lit(2.0), guess)  # the logarithm may be rounded across a power of two
+    e = F.when(near >= 2, guess + 1).when((near < 1) & (guess > -1022), guess - 1).otherwise(guess)
+    bits = ((e + 1022) * float(_FRACTION)).cast("bigint") + (size / F.pow(F.lit(2.0), e) * float(_FRACTION)).cast("bigint")
+    bits = F.when(F.isnan(x), F.lit(_NAN)).when(size == float("inf"), F.lit(_INFINITE)).when(size == 0, F.lit(0).cast("bigint")).otherwise(bits)
+    return F.when(x < 0, -bits).otherwise(bits)
+
+
+def _double_of(bits: Column) -> Column:
+    """The double that `_ordered_bits` made the integer of."""
+    size = F.abs(bits)
+    e, fraction = F.shiftright(size, 52).cast("double"), size.bitwiseAND(F.lit(_FRACTION - 1)).cast("double")
+    value = (
+        F.when(size > _INFINITE, F.lit(float("nan"))).when(size == _INFINITE, F.lit(float("inf")))
+        .when(e == 0, fraction * F.pow(F.lit(2.0), F.lit(-1074.0)))
+        .otherwise((1 + fraction / float(_FRACTION)) * F.pow(F.lit(2.0), e - 1023))
+    )
+    return F.when(bits < 0, -value).otherwise(value)
 
 
 def _select_bucket(counts: DataFrame, within: list[str], targets: Column) -> DataFrame:
@@ -54,20 +66,17 @@ def exact_quantiles(
     column: str,
     probabilities: Sequence[float],
     by: Sequence[str] = (),
-    *,
-    scale: int | None = None,
 ) -> DataFrame:
     """One row per group (one row in all without `by`) with array `quantiles` of doubles.
 
-    Linear interpolation between neighbours, NULLs ignored. Decimals and integers are exact;
-    floating-point columns are read at `scale` decimals (2 by default: money).
+    Linear interpolation between neighbours, NULLs ignored, NaN above all numbers. The values are those of the wanted ranks
+    as doubles: exact for floating-point columns and integers up to 2**53, the nearest double of longer ones and of decimals.
     """
-    units, width, digits = _fixed_point(df, column, scale)
+    units = _ordered_bits(F.col(column))
     # Groups are matched as one struct, so that a NULL group meets itself.
     group = F.struct(*[F.col(g) for g in by]) if by else F.lit(0)
     values = (
-        df.select(group.alias("_group"), units.alias("_units"))
-        .filter(F.col("_units").isNotNull())
+        df.filter(F.col(column).isNotNull()).select(group.alias("_group"), units.alias("_units"))
         .groupBy("_group", F.col("_units").alias("_key"))
         # The value is also returned as an aggregate: filters on a grouping key would be pushed
         # below the exchange, and each round would then need an exchange of its own.
@@ -75,8 +84,7 @@ def exact_quantiles(
         .drop("_key")
     )
 
-    rounds = math.ceil(width / MAX_BITS)
-    bits = math.ceil(width / rounds)
+    bits, rounds = MAX_BITS, WIDTH // MAX_BITS
     shifts = [bits * r for r in reversed(range(rounds))]
     low_bits = F.lit((1 << bits) - 1).cast("bigint")
 
@@ -97,7 +105,7 @@ def exact_quantiles(
     for earlier, shift in zip(shifts, shifts[1:]):
         prefixed = values.withColumn("_prefix", F.shiftright("_units", earlier))
         if by:
-            narrowed = skew_join(prefixed, found, ["_group", "_prefix"], "inner")
+            narrowed = prefixed.join(found, ["_group", "_prefix"])
         else:  # at most two prefixes per probability
             narrowed = prefixed.join(F.broadcast(found), ["_group", "_prefix"])
         digit = F.shiftright("_units", shift).bitwiseAND(low_bits)
@@ -112,11 +120,11 @@ def exact_quantiles(
     return (
         found.select(
             "_group",
-            (F.col("_prefix").cast("double") / F.lit(float(10**digits))).alias("_value"),
+            _double_of(F.col("_prefix")).alias("_value"),
             F.inline("_targets"),
         )
         .groupBy("_group", "probe")
-        .agg((low + (high - low) * F.max("weight")).alias("_q"))
+        .agg(F.when(low == high, low).otherwise(low + (high - low) * F.max("weight")).alias("_q"))
         .groupBy("_group")
         .agg(F.array_sort(F.collect_list(F.struct("probe", "_q"))).alias("_all"))
         .select(
@@ -136,15 +144,16 @@ def approx_quantiles(
 
 def quantiles(
     df: DataFrame, column: str, probabilities: Sequence[float], by: Sequence[str] = (),
-    accuracy: int | None = None, scale: int | None = None,
+    accuracy: int | None = None,
 ) -> DataFrame:
+    """Exact, or with `accuracy` from a sketch."""
     if accuracy is None:
-        return exact_quantiles(df, column, probabilities, by, scale=scale)
+        return exact_quantiles(df, column, probabilities, by)
     return approx_quantiles(df, column, probabilities, by, accuracy)
 
 
-def _bounds(df: DataFrame, column: str, k: float, accuracy: int | None, scale: int | None) -> DataFrame:
-    q = quantiles(df, column, [0.25, 0.75], accuracy=accuracy, scale=scale)
+def _bounds(df: DataFrame, column: str, k: float, accuracy: int | None) -> DataFrame:
+    q = quantiles(df, column, [0.25, 0.75], accuracy=accuracy)
     spread = F.col("quantiles")[1] - F.col("quantiles")[0]
     return q.select(
         F.col("quantiles")[0].alias("q1"),
@@ -156,21 +165,21 @@ def _bounds(df: DataFrame, column: str, k: float, accuracy: int | None, scale: i
 
 
 def iqr_bounds(
-    df: DataFrame, column: str, k: float = 1.5, *, accuracy: int | None = None, scale: int | None = None
+    df: DataFrame, column: str, k: float = 1.5, *, accuracy: int | None = None
 ) -> DataFrame:
     """One row: q1, q3, iqr, low, high."""
-    return _bounds(df, column, k, accuracy, scale)
+    return _bounds(df, column, k, accuracy)
 
 
 def flag_outliers(
     df: DataFrame, column: str, k: float = 1.5, into: str = "is_outlier", *,
-    accuracy: int | None = None, scale: int | None = None,
+    accuracy: int | None = None,
 ) -> DataFrame:
     """Flag values outside the bounds; NULLs are not outliers.
 
     The bounds enter as a one-row scalar subquery, so nothing is collected and nothing is joined.
     """
-    fence = _bounds(df, column, k, accuracy, scale).select(F.struct("low", "high")).scalar()
+    fence = _bounds(df, column, k, accuracy).select(F.struct("low", "high")).scalar()
     value = F.col(column).cast("double")
     outside = (value < fence.getField("low")) | (value > fence.getField("high"))
     return df.withColumn(into, F.coalesce(outside, F.lit(False)))

@@ -68,8 +68,8 @@ def with_match(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFram
 
 
 def unpaid_orders(orders: DataFrame, payments: DataFrame, order_id: str = "order_id", status: str = "status") -> DataFrame:
-    """J8. Orders without any payment that are not cancelled."""
-    open_orders = orders.filter(F.lower(status) != "cancelled")
+    """J8. Orders without any payment that are not cancelled; an unknown status is not a cancellation."""
+    open_orders = orders.filter(~F.lower(status).eqNullSafe("cancelled"))
     return without_match(open_orders, payments, [order_id])
 
 
@@ -78,7 +78,7 @@ def unshipped_paid_orders(
     status: str = "status", payment_status: str = "payment_status",
 ) -> DataFrame:
     """J9. Paid orders, neither cancelled nor returned, without a shipment."""
-    active = orders.filter(~F.lower(status).isin("cancelled", "returned"))
+    active = orders.filter(~F.coalesce(F.lower(status).isin("cancelled", "returned"), F.lit(False)))
     paid = payments.filter(F.lower(payment_status) == "completed")
     return without_match(with_match(active, paid, [order_id]), shipments, [order_id])
 
@@ -104,19 +104,24 @@ def amount_mismatch(
     payments: DataFrame, payment_order_id: str, paid: str,
     tolerance: float = 0.01, kind: str = "decimal(12,2)",
 ) -> DataFrame:
-    """J12. Orders whose summed payments differ from the expected amount, with signed deltas."""
+    """J12. Orders whose summed payments differ from the expected amount, with signed deltas, and orders with payments
+    that have no readable amount (`unreadable` tells how many; they count as nothing)."""
+    amount = F.col(paid).try_cast(kind)
     sums = payments.groupBy(F.col(payment_order_id).alias(order_id)).agg(
-        F.sum(F.col(paid).cast(kind)).alias("_paid")
+        F.coalesce(F.sum(amount), F.lit(0).cast(kind)).alias("_paid"),
+        F.count_if(F.col(paid).isNotNull() & amount.isNull()).alias("unreadable"),
     )
-    both = orders.select(order_id, F.col(expected).cast(kind).alias("_due")).join(sums, order_id, "inner")
+    both = orders.select(order_id, F.col(expected).try_cast(kind).alias("_due")).join(sums, order_id, "inner")
     delta = F.col("_paid") - F.col("_due")
+    off = F.coalesce(F.abs(delta) > F.lit(tolerance).cast("decimal(12,4)"), F.lit(False))
     relative: Column = F.when(F.col("_due") != 0, delta.cast("double") / F.col("_due").cast("double"))
-    return both.filter(F.abs(delta) > F.lit(tolerance).cast("decimal(12,4)")).select(
+    return both.filter(off | (F.col("unreadable") > 0)).select(
         order_id,
         F.col("_due").cast("double").alias("expected_amount"),
         F.col("_paid").cast("double").alias("paid_amount"),
         delta.cast("double").alias("delta"),
         relative.alias("relative_delta"),
+        "unreadable",
     )
 
 
@@ -126,10 +131,11 @@ def classify_late_arrivals(
 ) -> DataFrame:
     """J6. Every payment with `_join_result`: joined, late (too far apart) or waiting (no order).
 
-    `orders` has one row per order. Adds `_join_lag_sec` (positive: payment after order) and, for
+    `orders` has one row per order. Adds `_join_lag_sec` (positive: payment after order, with its fraction) and, for
     late rows, `_dlq_reason` worded by the sign of the lag.
     """
-    lag = F.unix_timestamp(paid_at) - F.unix_timestamp(ordered_at)
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    lag = (micros(paid_at) - micros(ordered_at)) / F.lit(1e6)
     matched = skew_join(payments, orders.withColumn("_found", F.lit(True)), [order_id], "left")
     in_time = F.abs(F.col("_join_lag_sec")) <= minutes * 60
     side = F.when(F.col("_join_lag_sec") < 0, "before").otherwise("after")
@@ -146,7 +152,7 @@ def classify_late_arrivals(
             F.when(
                 F.col("_join_result") == "late",
                 F.concat(
-                    F.lit("payment "), F.abs(F.col("_join_lag_sec")).cast("string"), F.lit("s "), side,
+                    F.lit("payment "), F.abs(F.col("_join_lag_sec")).cast("decimal(20,3)").cast("string"), F.lit("s "), side,
                     F.lit(f" its order, allowed {minutes} min"),
                 ),
             ),

@@ -51,51 +51,24 @@ def hot_keys(
     return [row["item"] for row in found.collect()]
 
 
-def _broadcast_limit(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    text = text.strip().lower()
-    digits = text.rstrip("bkmg")
-    return int(digits) * units.get(text[len(digits):] or "b", 1)
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the optimizer's size estimate is below the session's broadcast threshold."""
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) <= _broadcast_limit(df)
-
-
 def skew_join(
-    big: DataFrame,
-    unique: DataFrame,
-    keys: Sequence[str],
-    how: str = "inner",
-    *,
-    counted: DataFrame | None = None,
-    salts: int = SALTS,
+    big: DataFrame, unique: DataFrame, keys: Sequence[str], how: str = "inner", *,
+    hot: Sequence[int] = (), salts: int = SALTS,
 ) -> DataFrame:
-    """Equi-join `big` with a side that has one row per key, spreading hot keys over `salts` tasks.
-
-    `how` is any join that keeps or drops rows of `big`: inner, left, left_semi, left_anti. A
-    `unique` side below the broadcast threshold is left to Spark. Otherwise hot keys are looked for
-    (a job of its own over the key columns, answering with at most a few hundred numbers); without
-    any, this is a plain join. With some, their rows in `big` get a salt taken from the row's own
-    content, stable under retries, and only their rows in `unique` are repeated once per salt. The
-    list enters the plan as a literal, so both sides always agree on it. Missing keys never match;
-    where they are many they are spread as well.
-
-    Where `big` is itself the result of costly steps, give a cheaper frame with the same keys as
-    `counted` (say, the table `big` was made from). Which keys are called hot decides only how work
-    is spread, never the result.
+    """Equi-join `big` with a side that has one row per key.
+
+    `how` is any join that keeps or drops rows of `big`: inner, left, left_semi, left_anti. Missing keys never match.
+
+    By itself this is a plain join: Spark broadcasts a small `unique`, and at run time splits the partitions of `big` in which
+    a hot key lies. Where that is not enough (a key whose rows outgrow a split, or adaptive execution switched off), give
+    the keys that `hot_keys` found: their rows in `big` get a salt taken from the row's own content, stable under
+    retries, and their rows in `unique` are repeated once per salt. The list enters the plan as a literal, so both sides always
+    agree on it; it decides only how work is spread, never the result.
     """
     keys = list(keys)
-    if fits_broadcast(unique):
-        return big.join(unique, keys, how)
-    kinds = _kinds(big, keys)
-    hot = hot_keys(big if counted is None else counted, keys, kinds=kinds)
     if not hot:
         return big.join(unique, keys, how)
-    crowded = _hash(keys, kinds).isin(*hot)
+    crowded = _hash(keys, _kinds(big, keys)).isin(*hot)
     own = F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")
     salted_big = big.withColumn("_salt", F.when(crowded, own).otherwise(0))
     copies = F.when(crowded, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
@@ -116,29 +89,22 @@ def previous_value(
     """The value of the preceding row of the same key, in (at, tie) order.
 
     A key's history is cut into time chunks so that a hot key is sorted by many tasks. Inside a
-    chunk this is a plain `lag`; the first row of a chunk takes the last value of the chunk before,
-    found from one row per (key, chunk).
+    chunk this is a plain `lag`; the first row of a chunk takes the last value of the chunk before. Those last
+    values come from the same sorted chunks, one row each, so the input is read and shuffled once.
+    Rows without a key are one history, as in a window.
     """
-    keys = list(keys)
-    cut = df.withColumn("_chunk", F.date_trunc(chunk, F.col(at).cast("timestamp")))
-    within = Window.partitionBy(*keys, "_chunk").orderBy(at, tie)
-    by_chunk = Window.partitionBy(*keys).orderBy("_chunk")
-    last = (
-        cut.groupBy(*keys, "_chunk")
-        .agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(at, tie)).alias("_last"))
-        .withColumn("_carried", F.lag("_last").over(by_chunk)["v"])
-        .drop("_last")
-    )
-    lagged = cut.withColumns(
-        {
-            "_inside": F.lag(value).over(within),
-            "_first": F.row_number().over(within) == 1,
-        }
-    )
-    edge = lagged.filter("_first")
-    rest = lagged.filter(~F.col("_first")).withColumn(into, F.col("_inside"))
-    # Only chunk-leading rows need the carried value: one row per (key, chunk) on both sides.
-    led = edge.join(last, [*keys, "_chunk"], "left").withColumn(into, F.col("_carried"))
-    columns = [*df.columns, into]
-    return rest.select(*columns).unionByName(led.select(*columns))
-
+    packed = F.struct(*[F.col(k) for k in keys])  # a struct key matches on NULL
+    cut = df.withColumns({"_key": packed, "_chunk": F.date_trunc(chunk, F.col(at).cast("timestamp"))})
+    within = Window.partitionBy("_key", "_chunk").orderBy(at, tie)
+    lagged = cut.withColumns({
+        "_inside": F.lag(value).over(within),
+        "_first": F.row_number().over(within) == 1,
+        "_end": F.lead(F.lit(True)).over(within).isNull(),
+    })
+    chunks = Window.partitionBy("_key").orderBy("_chunk")
+    ends = lagged.filter("_end").select("_key", "_chunk", F.struct(F.col(value).alias("v")).alias("_last"))
+    carried = ends.select(
+        F.col("_key").alias("_its_key"), F.col("_chunk").alias("_its_chunk"), F.lag("_last").over(chunks)["v"].alias("_carried"))
+    same = (F.col("_key") == F.col("_its_key")) & F.col("_chunk").eqNullSafe(F.col("_its_chunk"))
+    joined = lagged.join(carried, same, "left")
+    return joined.withColumn(into, F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_inside"))).select(*df.columns, into)

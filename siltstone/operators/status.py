@@ -20,9 +20,9 @@ def fold_status(
     stamps: Mapping[str, str] = SHIPPING_STAMPS,
 ) -> DataFrame:
     """One row per key: `current_status`, `changed_at`, `changes`, and the first time of each
-    stamped status. A plain aggregate, combined map-side."""
+    stamped status. A plain aggregate, combined map-side. Events that carry no status change nothing and are not counted."""
     newest = F.struct(F.col(at), F.col(tie))
-    return events.groupBy(key).agg(
+    return events.filter(F.col(status_to).isNotNull()).groupBy(key).agg(
         F.max_by(status_to, newest).alias("current_status"),
         F.max(at).alias("changed_at"),
         F.count(F.lit(1)).alias("changes"),

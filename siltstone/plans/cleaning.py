@@ -32,7 +32,6 @@ class CleaningConfig:
     typos: dict[str, str] = field(default_factory=dict)
     epoch_dates: bool = False
     accuracy: int | None = None
-    scale: int = 2
 
 
 def clean_table(df: DataFrame, config: CleaningConfig) -> DataFrame:
@@ -60,7 +59,7 @@ def clean_table(df: DataFrame, config: CleaningConfig) -> DataFrame:
     else:
         df = df.dropDuplicates()
     for c in config.outliers:
-        df = drop_outliers(df, c, accuracy=config.accuracy, scale=config.scale)
+        df = drop_outliers(df, c, accuracy=config.accuracy)
     return df
 
 

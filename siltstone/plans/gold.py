@@ -46,10 +46,11 @@ def dim_shipping(shipping: DataFrame) -> DataFrame:
     )
 
 
-def dim_date(df: DataFrame, column: str) -> DataFrame:
-    """G5. Every calendar day from the first to the last date of `column`."""
+def dim_date(df: DataFrame, column: str, first: str = "1900-01-01", last: str = "2199-12-31") -> DataFrame:
+    """G5. Every calendar day from the first to the last date of `column` that lies between `first` and `last`."""
     day = F.col("date")
-    span = df.agg(F.min(F.col(column).cast("date")).alias("a"), F.max(F.col(column).cast("date")).alias("b"))
+    dated = df.select(F.col(column).cast("date").alias("d")).filter(F.col("d").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    span = dated.agg(F.min("d").alias("a"), F.max("d").alias("b"))
     return span.select(F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 DAY"))).alias("date")).select(
         (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).alias("date_key"),
         "date",
@@ -61,21 +62,22 @@ def dim_date(df: DataFrame, column: str) -> DataFrame:
 
 def fact_sales(
     items: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame,
-    payments: DataFrame, shipping: DataFrame,
+    payments: DataFrame, shipping: DataFrame, *, fanout: bool = False,
 ) -> DataFrame:
     """J1 + J2. One row per order item, from silver orders/items and the four dimensions.
 
     Everything known per order is joined at order grain first, on small rows; items then meet one
-    wide order row and one product, both through the hot-key-safe join. Payments and shipments are
+    wide order row and one product. Payments and shipments are
     reduced to the latest per order, so item rows and revenue are not multiplied (`fanout_rows`
-    tells by how much they would be).
+    tells by how much they would be). With `fanout` every payment and shipment of an order repeats its items instead.
     """
     pay = payments.select("order_id", "payment_key", "payment_method", "payment_status", "paid_at")
     ship = shipping.select(
         "order_id", "shipping_key", "carrier", "shipping_status", "delivery_days", "shipped_at"
     )
-    pay = latest_per_key(pay.dropna(subset=["order_id"]), ["order_id"], "paid_at", ["payment_key"])
-    ship = latest_per_key(ship.dropna(subset=["order_id"]), ["order_id"], "shipped_at", ["shipping_key"])
+    if not fanout:
+        pay = latest_per_key(pay.dropna(subset=["order_id"]), ["order_id"], "paid_at", ["payment_key"])
+        ship = latest_per_key(ship.dropna(subset=["order_id"]), ["order_id"], "shipped_at", ["shipping_key"])
     head = orders.select(
         F.col("id").alias("order_id"), "customer_id", F.col("status").alias("order_status"),
         "order_date", *date_parts(F.col("order_date"), "order"),
@@ -88,15 +90,15 @@ def fact_sales(
     goods = products.select(
         F.col("product_key").alias("product_id"), "product_key", "sku", "product_name", "brand", "list_price"
     )
-    per_order = skew_join(head, buyers, ["customer_id"], "left", counted=orders).join(
+    per_order = skew_join(head, buyers, ["customer_id"], "left").join(
         pay.drop("paid_at"), "order_id", "left"
     ).join(ship.drop("shipped_at"), "order_id", "left")
     lines = items.select(
         F.col("id").alias("order_item_key"), "order_id", "product_id", "quantity", "unit_price",
         F.col("total_price").alias("item_total"),
     )
-    placed = skew_join(lines, per_order, ["order_id"], "inner", counted=items)
-    sold = skew_join(placed, goods, ["product_id"], "left", counted=items)
+    placed = skew_join(lines, per_order, ["order_id"], "inner")
+    sold = skew_join(placed, goods, ["product_id"], "left")
     return sold.select(
         "order_item_key", F.col("order_id").alias("order_key"), "customer_key", "product_key",
         "payment_key", "shipping_key",

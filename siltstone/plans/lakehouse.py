@@ -2,21 +2,33 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone import schemas, vocab
+from siltstone.functions.text import blank_to_null, sku_simple
 from siltstone.operators.quality import dead_letters
 from siltstone.operators.reports import monthly_revenue
 from siltstone.plans import gold, silver
 from siltstone.sources.bronze import read_topics, to_bronze
 from siltstone.sources.files import read_or_empty
+from siltstone.session import scratch_folder
 from siltstone.sources.tables import ensure_database, overwrite_table, publish
 from siltstone.streaming.flows import append_bronze
 
+# silver table -> (key of its rows, type of the key, whether records carry it in their payload)
+KEYS: dict[str, tuple[str, str, bool]] = {
+    "orders": ("id", "bigint", False),
+    "customers": ("id", "bigint", False),
+    "order_items": ("id", "bigint", False),
+    "products": ("id", "bigint", False),
+    "warehouse_events": ("sku", "string", False),
+    "payments": ("transaction_id", "string", True),
+    "shipping": ("tracking_number", "string", True),
+}
+
 # silver table -> (landing table, recipe, label in the dead-letter table)
 ENTITIES: dict[str, tuple[str, Callable[[DataFrame], DataFrame], str]] = {
     "orders": ("erp_raw", silver.orders, "erp.orders"),
@@ -52,15 +64,53 @@ def read_routed(spark: SparkSession, root: str, entity: str, route: str) -> Data
     return rows.filter(F.col("_route") == route)
 
 
-def run_silver(spark: SparkSession, root: str, now: Column | None = None, since: str | None = None) -> None:
-    """Rebuild every silver entity and the dead-letter table.
+def record_key(entity: str) -> Column:
+    """The key that a landing record gives the entity, spelled as in the entity; NULL where it has none."""
+    key, kind, nested = KEYS[entity]
+    record = F.col("raw_data")
+    if nested:
+        record = F.from_json(record, "payload string")["payload"]
+    value = F.from_json(record, f"{key} {kind}")[key]
+    if kind == "string":
+        value = blank_to_null(value)
+    return sku_simple(value) if key == "sku" else value
+
+
+def merge_silver(spark: SparkSession, root: str, entity: str, since: str) -> DataFrame:
+    """The entity after the landing folders from `since` on: rows of keys that these mention are worked out again, from
+    the whole history of those keys; all other stored rows stay as they are."""
+    sink, recipe, _ = ENTITIES[entity]
+    history = read_bronze(spark, root, sink).withColumn("_touched", record_key(entity))
+    topics = {"erp_raw": F.col("_source_topic") == f"erp.public.{entity}"}
+    if sink in topics:
+        history = history.filter(topics[sink])
+    fresh = history.filter(F.col("ingest_date") >= F.lit(since).cast("date"))
+    keys = fresh.select(F.col("_touched").alias("_key")).distinct()
+    again = recipe(history.join(keys, F.col("_touched").eqNullSafe(F.col("_key")), "left_semi").drop("_touched"))
+    stored = read_or_empty(spark, f"{root}/silver/{entity}", again.schema)
+    kept = stored.join(keys, F.col(KEYS[entity][0]).eqNullSafe(F.col("_key")), "left_anti")
+    return kept.unionByName(again.select(*kept.columns))
+
+
+def run_silver(
+    spark: SparkSession, root: str, now: Column | None = None, since: str | None = None, entities: Sequence[str] = tuple(ENTITIES),
+) -> None:
+    """Rebuild the silver entities and the dead-letter table; with `since` (a day) only what later landings touch.
 
     Each entity is computed once and written once, split into `_route` folders; the dead-letter
-    table is then assembled from the (small) rejected folders.
+    table is then assembled from the (small) rejected folders. A merged entity is written beside the stored one first,
+    as it is read from it.
     """
     now = F.current_timestamp() if now is None else now
-    for entity, (sink, recipe, _) in ENTITIES.items():
-        overwrite_table(recipe(read_bronze(spark, root, sink, since)), f"{root}/silver/{entity}", ["_route"])
+    for entity in entities:
+        sink, recipe, _ = ENTITIES[entity]
+        path = f"{root}/silver/{entity}"
+        if since is None:
+            overwrite_table(recipe(read_bronze(spark, root, sink)), path, ["_route"])
+            continue
+        merged, beside = merge_silver(spark, root, entity, since), scratch_folder(spark, entity)
+        overwrite_table(merged, beside, ["_route"])
+        overwrite_table(spark.read.schema(merged.schema).parquet(beside), path, ["_route"])
     rejects = {label: read_routed(spark, root, e, silver.DEAD_LETTER) for e, (_, _, label) in ENTITIES.items()}
     overwrite_table(dead_letters(rejects, now), f"{root}/silver/dlq")
 

@@ -25,6 +25,7 @@ from siltstone.operators.parse import (
 from siltstone.operators.status import PAYMENT_STAMPS, SHIPPING_STAMPS
 
 SILVER, DEAD_LETTER, QUARANTINE = "silver", "dead_letter", "quarantine"
+STEP_WEIGHT = 3  # of a status event that moves nothing
 
 
 def _is_bad(df: DataFrame, rules: Sequence[q.Rule]) -> Column:
@@ -156,20 +157,24 @@ def _gateway_events(bronze: DataFrame, prefix: str, schema: str) -> DataFrame:
 def _current_state(
     events: DataFrame, rules: Sequence[q.Rule], key: str, stamps: Mapping[str, str], fold: bool
 ) -> DataFrame:
-    """One row per key: the earliest creation, moved forward by the key's status events.
+    """One row per key: the earliest creation, moved forward by the key's good status events; and a dead letter for every
+    status event that moves nothing, because it is flagged, lacks its key or its status, or has no creation.
 
     Creations and steps meet in one aggregate over one shuffle (combined map-side). Creations
-    without a key are all kept (identical ones once); steps without a creation have nothing to move.
+    without a key are all kept (identical ones once).
     """
     bad = _is_bad(events, rules)
+    flagged = F.coalesce(F.col("_quality_flag").isin(vocab.DIRTY, vocab.QUARANTINE), F.lit(False))
+    unusable = flagged | F.col(key).isNull() | F.col("status_to").isNull()
     slim = events.withColumns({
         "_raw": F.when(bad, F.col("raw_data")),
-        "_keyless": F.when(F.col(key).isNull(), F.col("raw_data")),
+        "_keyless": F.when(F.col(key).isNull() & F.col("_created"), F.col("raw_data")),
+        "_moves": ~F.col("_created") & ~unusable,
     }).drop("raw_data", "status_from")
-    grouping = {key, "_keyless", "_created", "status_to"}
+    grouping = {key, "_keyless", "_created", "_moves", "status_to"}
     body = [c for c in slim.columns if c not in grouping]
     at, event = F.col("_ingested_at"), F.col("_event_id")
-    created, step = F.col("_created"), ~F.col("_created")
+    created, step = F.col("_created"), F.col("_moves")
     first = F.when(created, F.struct(at.isNull().alias("late"), at, event))  # missing times last
     last = F.when(step, F.struct(at, event))
     merged = slim.groupBy(key, "_keyless").agg(
@@ -177,7 +182,8 @@ def _current_state(
         F.max_by("status_to", last).alias("_status"),
         *[F.min(F.when(step & (F.col("status_to") == v.upper()), at)).alias(f"_{n}") for n, v in stamps.items()],
     )
-    kept = merged.filter(F.col("_body").isNotNull()).select(
+    known = F.col("_body").isNotNull()
+    kept = merged.filter(known).select(
         key, "_body.*", "_status", *[f"_{n}" for n in stamps]
     )
     route = F.when(_is_bad(kept, rules), DEAD_LETTER).otherwise(SILVER)
@@ -186,7 +192,16 @@ def _current_state(
         out = out.withColumns({
             "status": F.coalesce("_status", "status"), **{n: F.coalesce(n, f"_{n}") for n in stamps}
         })
-    return out.drop("_status", *[f"_{n}" for n in stamps])
+    out = out.drop("_status", *[f"_{n}" for n in stamps])
+    steps = events.filter(~F.col("_created"))
+    lost = merged.filter(~known & F.col(key).isNotNull()).select(key)
+    unmatched = steps.filter(~unusable).join(lost, key, "left_semi").withColumn("_reasons", F.array(F.lit("unmatched_step")))
+    why = F.filter(F.array(
+        F.when(flagged, "dirty_step"), F.when(F.col(key).isNull(), "step_without_key"),
+        F.when(F.col("status_to").isNull(), "step_without_status")), lambda x: x.isNotNull())
+    rejects = steps.filter(unusable).withColumn("_reasons", why).unionByName(unmatched).withColumns({
+        "_dirty_score": F.lit(STEP_WEIGHT), "_route": F.lit(DEAD_LETTER)})
+    return out.unionByName(rejects.select(*out.columns))
 
 
 def payments(bronze: DataFrame, schema: str = schemas.PAYLOAD["payment"], *, fold: bool = True) -> DataFrame:

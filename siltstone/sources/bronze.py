@@ -15,11 +15,13 @@ def whole_topic_matches(topic: Column, pattern: str) -> Column:
 def read_topics(
     spark: SparkSession, pattern: str, *, servers: str | None = None, files: str | None = None,
     starting: str = "earliest", fail_on_data_loss: bool = True, schema: str = schemas.MESSAGE,
+    batch_messages: int = 50_000_000, batch_files: int = 10_000,
 ) -> DataFrame:
     """S1. A stream of messages from every topic whose whole name matches `pattern`.
 
     With `servers` the messages come from Kafka (topics may appear later); with `files` from a
-    folder of Parquet messages that carry a `topic` column.
+    folder of Parquet messages that carry a `topic` column. A backlog is drained in micro-batches of at most
+    `batch_messages` or `batch_files`; all of them are read.
     """
     if servers:
         return (
@@ -28,10 +30,11 @@ def read_topics(
             .option("subscribePattern", pattern)
             .option("startingOffsets", starting)
             .option("failOnDataLoss", str(fail_on_data_loss).lower())
+            .option("maxOffsetsPerTrigger", batch_messages)
             .load()
         )
     if files:
-        messages = spark.readStream.schema(schema).parquet(files)
+        messages = spark.readStream.schema(schema).option("maxFilesPerTrigger", batch_files).parquet(files)
         return messages.filter(whole_topic_matches(F.col("topic"), pattern))
     raise ValueError("give either servers or files")
 

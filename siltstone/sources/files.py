@@ -56,13 +56,12 @@ def read_json_array(spark: SparkSession, path: str, schema: str | None = None) -
     return (reader.schema(schema) if schema else reader).json(path)
 
 
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than the cluster has slots over all slots.
+def spread_scan(df: DataFrame, slots: int) -> DataFrame:
+    """Spread a scan that has fewer than `slots` splits over that many tasks.
 
     For files that do not split (one row group, gzip, multi-line text). A scan with enough splits
     is returned as it is, so large tables are not shuffled. Give it a scan with at most narrow
     transformations.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
     splits = df._jdf.queryExecution().toRdd().getNumPartitions()
     return df.repartition(slots) if 0 < splits < slots else df

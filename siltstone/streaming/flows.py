@@ -4,16 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter
 
 from siltstone import vocab
 
 
-def _finish(query: StreamingQuery) -> int:
-    query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+_KEPT = "spark.sql.streaming.numRecentProgressUpdates"
+
+
+def _run(writer: DataStreamWriter, path: str, spark: SparkSession) -> int:
+    """Start, wait for the end, and add up the rows of all batches, of which Spark keeps a hundred unless told otherwise."""
+    before = spark.conf.get(_KEPT)
+    spark.conf.set(_KEPT, str(1 << 30))
+    try:
+        query = writer.start(path)
+        query.awaitTermination()
+        return sum(p["numInputRows"] for p in query.recentProgress)
+    finally:
+        spark.conf.set(_KEPT, before)
 
 
 def drain(stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()) -> int:
@@ -28,7 +38,7 @@ def drain(stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return _finish(writer.start(path))
+    return _run(writer, path, stream.sparkSession)
 
 
 def append_bronze(bronze: DataFrame, path: str, checkpoint: str) -> int:
@@ -57,13 +67,13 @@ def dedup_stream(stream: DataFrame, keys: Sequence[str], at: str, delay: str = "
 
 def late_arrival_stream(
     payments: DataFrame, orders: DataFrame, key: str, paid_at: str, ordered_at: str,
-    minutes: int = vocab.LATE_MINUTES, delay: str | None = None, *, salts: int = 8,
+    minutes: int = vocab.LATE_MINUTES, delay: str | None = None, *, salts: int = 1,
 ) -> DataFrame:
     """J7. Payments left-joined with orders at most `minutes` apart, both ways.
 
     A payment without an order comes out (with NULLs) once the watermark rules a match out: those
-    are the dead letters; payments still in state are the waiting ones. A salt spreads one busy
-    order over `salts` state partitions: each payment has one salt, each order is kept once per salt.
+    are the dead letters; payments still in state are the waiting ones. Where single orders have very many payments,
+    `salts` spreads each order over so many state partitions: each payment has one salt, each order is kept once per salt.
     """
     delay = delay or f"{minutes} minutes"
     left_key, right_key = f"_pay_{key}", f"_ord_{key}"

@@ -114,6 +114,45 @@ def test_dead_letters_keep_reason_and_message(spark, lake):
     assert got[("payment.payments", "9")]["_reasons"] == ["non_positive_amount", "invalid_payment_method"]
 
 
+def test_later_landings_are_merged(spark, lake, tmp_path):
+    """Full run = run + merging run, for every entity, with lost and flagged steps, deletes and records without a key."""
+    more = [
+        ("erp.public.orders", order(1, 9, "d")), ("erp.public.orders", order(7, 1)), ("erp.public.orders", order(3, 3, "u", total_amount="7.00")),
+        ("erp.public.orders", "{broken too"), ("erp.public.customers", {"id": 1, "first_name": "Ann", "email": "n@b.co", "__op": "u", "__source_ts_ms": 5}),
+        ("warehouse.events", {"_event_id": "w9", "_event_type": "product.updated", "_ingested_at": "2024-03-09T00:00:00", "_quality_flag": "CLEAN", "sku": "a_1", "name": "m", "price": "4"}),
+        ("payment.events", envelope("payment.status_updated", "p7", "2024-03-04T01:00:00", {"transaction_id": "T1", "status_to": "refunded"})),
+        ("payment.events", envelope("payment.status_updated", "p8", "2024-03-05T01:00:00", {"transaction_id": "T1", "status_to": "failed"}, "DIRTY")),
+        ("payment.events", envelope("payment.status_updated", "p9", "2024-03-05T01:00:00", {"transaction_id": "T9", "status_to": "completed"})),
+        ("payment.events", envelope("payment.status_updated", "p10", "2024-03-05T01:00:00", {"transaction_id": "T1"})),
+    ]
+    root, late = str(tmp_path / "lake"), timedelta(days=5)
+    first = [message(t, b, i) for i, (t, b) in enumerate(MESSAGES)]
+    second = [(k, v, t, p, o, at + late) for k, v, t, p, o, at in (message(t, b, 100 + i) for i, (t, b) in enumerate(more))]
+    spark.createDataFrame(first, schemas.MESSAGE).write.parquet(f"{root}/topics")
+    lakehouse.run_bronze(spark, root, files=f"{root}/topics")
+    lakehouse.run_silver(spark, root, F.lit(T0))
+    spark.createDataFrame(second, schemas.MESSAGE).write.mode("append").parquet(f"{root}/topics")
+    lakehouse.run_bronze(spark, root, files=f"{root}/topics")
+    lakehouse.run_silver(spark, root, F.lit(T0), since="2024-03-06")
+
+    def content():
+        found = {}
+        for entity in lakehouse.ENTITIES:
+            df = spark.read.parquet(f"{root}/silver/{entity}")
+            found[entity] = sorted(str(sorted(r.asDict().items())) for r in df.collect())
+        return found
+
+    merged = content()
+    lakehouse.run_silver(spark, root, F.lit(T0))
+    assert merged == content()
+    pay = {r["_event_id"]: r for r in spark.read.parquet(f"{root}/silver/payments").collect()}
+    assert pay["p1"]["status"] == "REFUNDED"
+    assert {e: pay[e]["_reasons"] for e in ("p8", "p9", "p10")} == {
+        "p8": ["dirty_step"], "p9": ["unmatched_step"], "p10": ["step_without_status"]}
+    kept = {r["id"] for r in spark.read.parquet(f"{root}/silver/orders").filter("_route = 'silver'").collect()}
+    assert kept == {3, 5, 7}
+
+
 def test_gold(spark, lake):
     root = lake[0]
     report = lakehouse.run_gold(spark, root, "gold_test")

@@ -23,13 +23,18 @@ def rows(df):
 
 
 def test_dedup_events(spark):
-    df = spark.createDataFrame([
-        ("evt-001", "TXN-ABC123", T0), ("evt-002", "TXN-ABC123", T0 + timedelta(seconds=2)),
-        ("evt-003", "TXN-XYZ789", T0 + timedelta(seconds=1)), ("evt-004", None, T0), ("evt-001", "TXN-ABC123", T0),
-    ], "_event_id string, transaction_id string, _ingested_at timestamp")
-    for as_is in (True, False):
-        kept = dedup.dedup_events(df, redelivered_as_is=as_is)
-        assert [r[0] for r in kept.orderBy("_event_id").collect()] == ["evt-001", "evt-003"]
+    """Every event delivered three times, the last time under another transaction."""
+    data = [(f"e{i}", f"t{i % 4}" if i % 5 else "", T0 + timedelta(seconds=7 * i % 11)) for i in range(12)]
+    copies = [(e, "moved", at + timedelta(seconds=60)) for e, _, at in data]
+    df = spark.createDataFrame(data * 2 + copies, "_event_id string, transaction_id string, _ingested_at timestamp")
+    first = {}
+    for e, t, at in data:
+        if t:
+            first[t] = min(first.get(t, (at, e)), (at, e))
+    want = sorted(e for _, e in first.values())
+    assert [r[0] for r in dedup.dedup_events(df).orderBy("_event_id").collect()] == want
+    vouched = df.filter("transaction_id != 'moved'")
+    assert [r[0] for r in dedup.dedup_events(vouched, redelivered_as_is=True).orderBy("_event_id").collect()] == want
 
 
 def test_latest_per_key_orders_missing_times_last(spark):
@@ -78,11 +83,32 @@ def test_flag_repeats_on_a_hot_key(hot, no_broadcast):
     assert {tuple(r) for r in firsts.select("k", "id").collect()} == {tuple(r) for r in best.collect()}
 
 
+def test_one_of_equal_rows_is_the_first(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (None, "a"), (None, "a"), (2, None)], "k int, v string")
+    out = dedup.flag_repeats(df, ["k"], ["v"])
+    assert out.filter("NOT is_repeat").count() == 3 and out.filter("is_repeat").count() == 3
+    assert out.filter("is_repeat AND v = 'b'").count() == 1
+
+
+def test_near_duplicates_of_dressed_amounts_and_missing_keys(spark):
+    df = spark.createDataFrame([
+        (1, 7, "a", "$10.00"), (2, 7, "A ", "10.009USD"), (3, 7, "a", "10.02"), (4, None, "a", "10.00"), (5, None, "a", "10.00"),
+        (6, 7, "a", "n/a"), (7, 7, "a", "1e30"), (8, 7, "a", "1e30"), (9, 8, None, "1,234.5"), (10, 8, None, "1234.50"),
+    ], "id int, k int, s string, amount string")
+    out = dedup.near_duplicates(df, "id", ["k"], ["s"], "amount")
+    assert rows(out.select("id", "twin_id", "near_rows")) == [(2, 1, 2), (8, 7, 2), (10, 9, 2)]
+    wide = dedup.near_duplicates(df.filter("id < 4"), "id", ["k"], ["s"], "amount", "0.015")
+    assert rows(wide.select("id", "twin_id", "near_rows")) == [(2, 1, 3), (3, 2, 2)]
+    far = spark.createDataFrame([(1, 7, 5.005), (2, 7, 5.0249), (3, 7, 5.0151)], "id int, k int, amount double")
+    assert rows(dedup.near_duplicates(far, "id", ["k"], [], "amount").select("id", "twin_id")) == [(3, 2)]
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_skew_join_agrees_with_a_plain_join(hot, no_broadcast, how):
     unique = hot.sparkSession.range(0, 100, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
     want = hot.join(unique, ["k"], how)
-    got = skew.skew_join(hot, unique, ["k"], how)
+    assert "_salt" not in skew.skew_join(hot, unique, ["k"], how)._jdf.queryExecution().optimizedPlan().toString()
+    got = skew.skew_join(hot, unique, ["k"], how, hot=skew.hot_keys(hot, ["k"], share=5))
     assert "_salt" in got._jdf.queryExecution().optimizedPlan().toString()
     key = lambda df: sorted(map(str, df.select(*want.columns).collect()))
     assert key(got) == key(want)
@@ -100,14 +126,15 @@ def test_skew_join_across_key_types(hot, no_broadcast):
     """The sides agree on a hot key although they store it in different types."""
     narrow = hot.sparkSession.createDataFrame([(7, "x"), (8, "y")], "k int, v string")
     assert hot.schema["k"].dataType.simpleString() == "bigint"
-    assert skew.skew_join(hot, narrow, ["k"], "left").filter("v = 'x'").count() == hot.filter("k = 7").count()
+    found = skew.hot_keys(hot, ["k"], share=5)
+    assert skew.skew_join(hot, narrow, ["k"], "left", hot=found).filter("v = 'x'").count() == hot.filter("k = 7").count()
     for big, unique in ((hot, narrow), (hot.withColumn("k", F.col("k").cast("int")), narrow.withColumn("k", F.col("k").cast("bigint")))):
-        assert skew.skew_join(big, unique, ["k"], "inner").count() == hot.filter("k IN (7, 8)").count()
+        assert skew.skew_join(big, unique, ["k"], "inner", hot=skew.hot_keys(big, ["k"], share=5)).count() == hot.filter("k IN (7, 8)").count()
 
 
-def test_previous_value_across_chunks(spark):
+def test_previous_value_across_chunks(spark, no_broadcast):
     df = spark.range(500).select(
-        (F.col("id") % 4).alias("k"), (F.col("id") % 7).cast("string").alias("s"), F.col("id"),
+        F.when(F.col("id") % 5 != 0, F.col("id") % 4).alias("k"), F.when(F.col("id") % 9 != 0, (F.col("id") % 7).cast("string")).alias("s"), F.col("id"),
         F.timestamp_seconds(F.col("id") * 997 % 90000).alias("at"))
     from pyspark.sql import Window
 
@@ -127,6 +154,32 @@ def test_exact_quantiles(spark, cents):
     assert np.allclose(got, np.quantile([c / 100 for c in cents], [0.0, 0.25, 0.5, 0.9, 1.0]))
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.floats(allow_nan=False, allow_infinity=False), min_size=1, max_size=40))
+def test_quantiles_of_any_doubles(spark, values):
+    """Without interpolation the result is one of the values, bit for bit."""
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    n = len(values) - 1
+    ranks = sorted({0, n // 3, n // 2, n})
+    got = exact_quantiles(df, "v", [r / n if n else 0.0 for r in ranks]).first()[0]
+    position = [(r / n if n else 0.0) * n for r in ranks]
+    for g, p in zip(got, position):
+        if p == int(p):
+            assert g == sorted(values)[int(p)]
+
+
+def test_quantiles_of_other_types(spark):
+    small = spark.createDataFrame([(0.001,), (0.002,), (0.004,)], "v double")
+    assert exact_quantiles(small, "v", [0.5]).first()[0] == [0.002]
+    big = spark.createDataFrame([(1_700_000_000_000_000 + i,) for i in range(3)], "v bigint")
+    assert exact_quantiles(big, "v", [0.5]).first()[0] == [1_700_000_000_000_001.0]
+    wide = spark.sql("SELECT CAST(v AS DECIMAL(38,6)) AS v FROM VALUES (12345678901234567890123.5BD), (-1BD), (3BD) t(v)")
+    assert exact_quantiles(wide, "v", [0.0, 0.5, 1.0]).first()[0] == [-1.0, 3.0, 12345678901234567890123.5]
+    odd = spark.createDataFrame([(float("nan"),), (1.0,), (float("inf"),), (-float("inf"),), (None,), (-0.0,)], "v double")
+    found = exact_quantiles(odd, "v", [0.0, 0.25, 0.5, 0.75, 1.0]).first()[0]
+    assert found[:4] == [-float("inf"), 0.0, 1.0, float("inf")] and np.isnan(found[4])
+
+
 def test_group_quantiles_with_null_group(spark, no_broadcast):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("a", None), (None, 5), (None, 9)], "g string, v int")
     assert {r[0]: r[1] for r in exact_quantiles(df, "v", [0.5], ["g"]).collect()} == {"a": [1.5], None: [7.0]}
@@ -148,6 +201,8 @@ def test_imputation(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", None), ("a", 3.0), ("b", 9.0), ("b", None)], "g string, v double")
     assert sorted(r[1] for r in missing.impute_median(df, ["v"]).collect()) == [1.0, 3.0, 3.0, 3.0, 9.0]
     assert rows(missing.impute_median(df, ["v"], by=["g"]))[:3] == [("a", 1.0), ("a", 2.0), ("a", 3.0)]
+    lone = spark.createDataFrame([(None, 4.0), (None, None), (None, 6.0)], "g string, v double")
+    assert sorted(r[1] for r in missing.impute_median(lone, ["v"], by=["g"]).collect()) == [4.0, 5.0, 6.0]
 
 
 def test_drop_incomplete(spark):
@@ -158,18 +213,37 @@ def test_drop_incomplete(spark):
 # --- references ---------------------------------------------------------------------------------
 
 
+LAGS = (0.0, 1.5, 599.999999, 600.0, 600.000001, 600.9, -600.0, -600.9, -3600.0)
+
+
 def test_late_arrivals(spark):
-    pay = spark.createDataFrame([
-        ("pay-001", 101, T0), ("pay-002", 999, T0), ("pay-003", 102, T0 - timedelta(minutes=15)), ("pay-004", 103, T0),
-    ], "pay string, order_id int, paid_at timestamp")
-    orders = spark.createDataFrame([
-        (101, T0 - timedelta(seconds=2)), (102, T0 - timedelta(minutes=30)), (103, T0 + timedelta(minutes=20)),
-    ], "order_id int, ordered_at timestamp")
-    out = {r["pay"]: r for r in references.classify_late_arrivals(pay, orders).collect()}
-    assert (out["pay-001"]["_join_result"], out["pay-001"]["_join_lag_sec"]) == ("joined", 2)
-    assert out["pay-002"]["_join_result"] == "waiting"
-    assert (out["pay-003"]["_join_result"], out["pay-003"]["_join_lag_sec"]) == ("late", 900)
-    assert "900s after" in out["pay-003"]["_dlq_reason"] and "1200s before" in out["pay-004"]["_dlq_reason"]
+    """Lags around the limit, to the microsecond; the stream's condition is the same."""
+    pay = spark.createDataFrame([(i, T0 + timedelta(seconds=s)) for i, s in enumerate(LAGS)] + [(99, T0)], "order_id int, paid_at timestamp")
+    orders = spark.createDataFrame([(i, T0) for i in range(len(LAGS))], "order_id int, ordered_at timestamp")
+    out = {r["order_id"]: r for r in references.classify_late_arrivals(pay, orders, minutes=10).collect()}
+    band = F.expr("INTERVAL 10 MINUTES")
+    near = pay.join(orders, "order_id").filter(F.col("paid_at").between(F.col("ordered_at") - band, F.col("ordered_at") + band))
+    joined = {r[0] for r in near.select("order_id").collect()}
+    for i, lag in enumerate(LAGS):
+        assert out[i]["_join_lag_sec"] == lag and out[i]["_join_result"] == ("joined" if i in joined else "late")
+        assert (abs(lag) <= 600) == (i in joined)
+    assert out[99]["_join_result"] == "waiting"
+    assert out[5]["_dlq_reason"].startswith("payment 600.900s after") and out[8]["_dlq_reason"].startswith("payment 3600.000s before")
+
+
+def test_missing_status_is_no_cancellation(spark):
+    orders = spark.createDataFrame([(1, None), (2, "Cancelled"), (3, "pending"), (4, "returned")], "order_id int, status string")
+    none = spark.createDataFrame([], "order_id int, payment_status string")
+    paid = spark.createDataFrame([(i, "completed") for i in (1, 2, 3, 4)], "order_id int, payment_status string")
+    assert rows(references.unpaid_orders(orders, none).select("order_id")) == [(1,), (3,), (4,)]
+    assert rows(references.unshipped_paid_orders(orders, paid, none).select("order_id")) == [(1,), (3,)]
+
+
+def test_unreadable_payments_are_reported(spark):
+    orders = spark.createDataFrame([(1, "10.00"), (2, "10.00"), (3, "10.00")], "order_id int, due string")
+    paid = spark.createDataFrame([(1, "10.00"), (2, "abc"), (2, "10.00"), (3, "9.00"), (3, None)], "o int, amount string")
+    out = references.amount_mismatch(orders, "order_id", "due", paid, "o", "amount")
+    assert rows(out.select("order_id", "delta", "unreadable")) == [(2, 0.0, 1), (3, -1.0, 0)]
 
 
 def test_orphans_ignore_missing_references(spark, no_broadcast):
@@ -197,23 +271,25 @@ def test_split_required_loses_nothing(spark):
 
 
 def test_auto_fix_and_routing(spark):
-    df = spark.createDataFrame([
-        ("e-001", "CLEAN", "SKU-AB1234CD", None, 500.0), ("e-002", "DIRTY", "skuAB1234CD-VN", None, 300.0),
-        ("e-003", "DIRTY", "SKU-XY5678ZW", None, None), ("e-004", "DIRTY", None, "0" + "1234567890" * 3, 1.0),
-        ("e-005", "QUARANTINE", None, None, -5.0), ("e-006", "DIRTY", "skuAB1", None, None),
-    ], "id string, _quality_flag string, sku string, phone string, price double")
+    """Every mix of flag, SKU spelling, phone and price."""
+    skus, phones, prices = (None, "SKU-QX77", "skuQX77-VN"), (None, "0123", "9" * 31), (None, -2.0, 8.0)
+    data = [(i, f, s, p, a) for i, (f, s, p, a) in enumerate(
+        (f, s, p, a) for f in ("CLEAN", "DIRTY", "QUARANTINE", None) for s in skus for p in phones for a in prices)]
+    df = spark.createDataFrame(data, "id int, _quality_flag string, sku string, phone string, price double")
     rules = [quality.sku_format_variant(), quality.phone_too_long(), quality.null_rule("price"), quality.negative("price")]
     routed = quality.route_quality(quality.auto_fix(quality.tag_rules(df, rules)), F.lit(T0))
-    parts = {k: sorted(r["id"] for r in v.collect()) for k, v in quality.routed(routed).items()}
-    assert parts == {
-        "silver": ["e-001", "e-002", "e-004"], "dead_letter": ["e-003", "e-006"],
-        "quarantine": ["e-005"], "auto_fixed": ["e-002", "e-004"],
-    }
+    parts = {k: {r["id"] for r in v.collect()} for k, v in quality.routed(routed).items()}
     by_id = {r["id"]: r for r in routed.collect()}
-    assert by_id["e-002"]["sku"] == "SKU-AB1234CD" and by_id["e-004"]["phone"] == "01234567890123456789"
-    assert by_id["e-003"]["_retry_count"] == 1 and by_id["e-003"]["_dlq_ingested_at"] == T0
-    assert by_id["e-006"]["sku"] == "skuAB1"  # not touched while another defect remains
-    assert by_id["e-001"]["_retry_count"] == 0
+    for i, flag, sku, phone, price in data:
+        wrong_sku, long_phone = sku == "skuQX77-VN", phone == "9" * 31
+        fixed = flag == "DIRTY" and price == 8.0 and (wrong_sku or long_phone)
+        where = "silver" if fixed or flag in ("CLEAN", None) else "dead_letter" if flag == "DIRTY" else "quarantine"
+        row = by_id[i]
+        assert i in parts[where] and (i in parts["auto_fixed"]) == fixed
+        assert row["sku"] == ("SKU-QX77" if fixed and wrong_sku else sku)
+        assert row["phone"] == (phone[:20] if fixed and long_phone else phone)
+        assert row["_retry_count"] == (where == "dead_letter") and row["_dlq_ingested_at"] == (T0 if where == "dead_letter" else None)
+    assert sum(len(parts[k]) for k in ("silver", "dead_letter", "quarantine")) == len(data)
 
 
 def test_replay_stops(spark):
@@ -238,6 +314,9 @@ def test_expectations_count_null_as_failure(spark):
     df = spark.createDataFrame([(1,), (None,), (-1,)], "v int")
     out = quality.expectations(df, {"positive": F.col("v") > 0, "small": F.coalesce("v", F.lit(0)) < 9})
     assert rows(out) == [("positive", 2, 3, False), ("small", 0, 3, True)]
+    twins = spark.createDataFrame([(1, 5, 1.0), (1, 5, 1.0), (2, 5, 1.01), (3, 6, 1.0)], "id int, k int, v double")
+    out = quality.expectations(twins, {"known": F.col("k").isNotNull()}, unique=twins.columns, near_keys=("id", ["k"], [], "v"))
+    assert rows(out) == [("known", 0, 4, True), ("no_exact_duplicate", 1, 4, False), ("no_near_duplicate", 1, 3, False)]
 
 
 def test_rule_library(spark):
@@ -269,6 +348,9 @@ def test_status_fold(spark):
     out = {r["k"]: r for r in status.apply_status_events(entity, events, "k", "at", "e").collect()}
     assert (out[1]["status"], out[1]["shipped_at"], out[1]["delivered_at"]) == ("delivered", T0, T0 + timedelta(hours=1))
     assert out[2]["status"] == "pending" and out[None]["status"] == "pending"
+    silent = spark.createDataFrame([(1, None, T0 + timedelta(days=1), 9)], events.schema)
+    again = status.apply_status_events(entity, events.unionByName(silent), "k", "at", "e").filter("k = 1").first()
+    assert again["status"] == "delivered"
 
 
 def test_illegal_steps(spark):

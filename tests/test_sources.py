@@ -100,9 +100,9 @@ def test_scratch_folder_uses_the_shared_folder(spark):
 def test_spread_scan(spark, tmp_path):
     tables.overwrite_table(spark.range(10).coalesce(1), str(tmp_path / "one"))
     one = spark.read.parquet(str(tmp_path / "one"))
-    assert files.spread_scan(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert files.spread_scan(one, spark.sparkContext.defaultParallelism).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     wide = spark.range(100, numPartitions=40)
-    assert files.spread_scan(wide) is wide
+    assert files.spread_scan(wide, 40) is wide
 
 
 # --- guarded SQL --------------------------------------------------------------------------------

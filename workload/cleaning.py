@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from siltstone import schemas, vocab
 from siltstone.functions import numbers, text, times
-from siltstone.operators import missing, parse
+from siltstone.operators import missing, parse, quantiles
 from siltstone.operators.dedup import latest_per_key
+from siltstone.plans.cleaning import CleaningConfig, clean_table
 from workload.registry import query
 
 
@@ -186,14 +187,45 @@ def impute_median(t):
 
 
 @query("impute_group_median", f"""
-WITH n AS (SELECT id, category, CAST(CAST({CLEAN_NUMBER} AS DECIMAL(12,2)) AS DOUBLE) AS amount FROM dirty_orders),
+WITH n AS (SELECT id, CASE WHEN id % 6 <> 0 THEN category END AS category, CAST(CAST({CLEAN_NUMBER} AS DECIMAL(12,2)) AS DOUBLE) AS amount FROM dirty_orders),
 m AS (SELECT category, quantile_cont(amount, 0.5) AS med FROM n GROUP BY category)
-SELECT id, category, coalesce(amount, med) AS amount FROM n JOIN m USING (category)""", uses=("dirty_orders",))
+SELECT id, n.category, coalesce(amount, med) AS amount FROM n JOIN m ON n.category IS NOT DISTINCT FROM m.category""", uses=("dirty_orders",))
 def impute_group_median(t):
-    rows = _amounts(t).select("id", "category", F.col("amount").cast("decimal(12,2)").cast("double").alias("amount"))
+    """Rows without a category are a group."""
+    category = F.when(F.col("id") % 6 != 0, F.col("category")).alias("category")
+    rows = _amounts(t).select("id", category, F.col("amount").cast("decimal(12,2)").cast("double").alias("amount"))
     return missing.impute_median(rows, ["amount"], by=["category"])
 
 
+@query("quantile_small_values", """
+WITH v AS (SELECT l_returnflag, l_tax / 1000 + l_quantity / 1e7 AS v FROM lineitem)
+SELECT l_returnflag, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS q2, quantile_cont(v, 0.75) AS q3 FROM v GROUP BY 1""")
+def quantile_small_values(t):
+    rows = t.lineitem.select("l_returnflag", (F.col("l_tax") / 1000 + F.col("l_quantity") / 1e7).alias("v"))
+    found = quantiles.exact_quantiles(rows, "v", [0.25, 0.5, 0.75], ["l_returnflag"])
+    return found.select("l_returnflag", *[F.col("quantiles")[i].alias(f"q{i + 1}") for i in range(3)])
+
+
+@query("quantile_big_integers", """
+WITH v AS (SELECT 1700000000000000 + o_orderkey * 1000003 AS v FROM orders)
+SELECT quantile_cont(CAST(v AS DOUBLE), 0.25) AS q1, quantile_cont(CAST(v AS DOUBLE), 0.5) AS q2, quantile_cont(CAST(v AS DOUBLE), 0.75) AS q3 FROM v""")
+def quantile_big_integers(t):
+    rows = t.orders.select((F.lit(1700000000000000) + F.col("o_orderkey").cast("bigint") * 1000003).alias("v"))
+    found = quantiles.exact_quantiles(rows, "v", [0.25, 0.5, 0.75])
+    return found.select(*[F.col("quantiles")[i].alias(f"q{i + 1}") for i in range(3)])
+
+
+SMALL = """SELECT o_orderkey AS id, CASE WHEN o_orderkey % 97 = 0 THEN '1.9' ELSE concat('1.00', CAST(o_orderkey % 7 + 1 AS STRING)) END AS amount FROM orders"""
+
+
+@query("clean_table_small_values", f"""
+WITH n AS (SELECT id, CAST(amount AS DOUBLE) AS amount FROM ({SMALL}) s),
+f AS (SELECT quantile_cont(amount, 0.25) AS q1, quantile_cont(amount, 0.75) AS q3 FROM n)
+SELECT id, amount FROM n, f WHERE amount BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)""")
+def clean_table_small_values(t):
+    return clean_table(t.sql(SMALL), CleaningConfig(numbers=("amount",), outliers=("amount",)))
+
+
 @query("drop_incomplete", f"""
 SELECT * FROM ({BLANKED}) b WHERE (CASE WHEN id IS NULL THEN 0 ELSE 1 END) + (CASE WHEN customer_id IS NULL THEN 0 ELSE 1 END)
  + (CASE WHEN status IS NULL THEN 0 ELSE 1 END) + (CASE WHEN total_amount IS NULL THEN 0 ELSE 1 END)
@@ -338,7 +370,7 @@ def epoch_ms(t):
     )
 
 
-EPOCH_TEXT = r"CASE WHEN regexp_full_match(trim(order_date), '\d{1,12}') THEN make_timestamp(TRY_CAST(trim(order_date) AS BIGINT) * 1000000) END"
+EPOCH_TEXT = r"CASE WHEN regexp_full_match(trim(order_date), '\d+') AND TRY_CAST(trim(order_date) AS BIGINT) <= 9223372036853 THEN make_timestamp(TRY_CAST(trim(order_date) AS BIGINT) * 1000000) END"
 DATES = f"coalesce(try_strptime(trim(order_date), ['%Y-%m-%d', '%d/%m/%Y', '%m-%d-%Y', '%d.%m.%Y', '%b %-d, %Y']), {EPOCH_TEXT})"
 
 

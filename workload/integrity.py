@@ -57,14 +57,18 @@ def cdc_latest(t):
 
 
 @query("dedup_events", """
+WITH g AS (SELECT event_id, ts, CASE WHEN event_type <> 'error' THEN txn END AS transaction_id FROM gateway),
+e AS (SELECT * FROM g UNION ALL SELECT * FROM g UNION ALL SELECT event_id, ts + INTERVAL 1 SECOND, concat(transaction_id, '-again') FROM g WHERE event_id % 9 = 0),
+f AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts, transaction_id) AS delivery FROM e)
 SELECT event_id, transaction_id, ts AS seen_at FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY ts, event_id) AS rn
-FROM (SELECT event_id, ts, CASE WHEN event_type <> 'error' THEN txn END AS transaction_id FROM gateway) g WHERE transaction_id IS NOT NULL) r
-WHERE rn = 1""", uses=("gateway",))
+FROM f WHERE delivery = 1 AND transaction_id IS NOT NULL) r WHERE rn = 1""", uses=("gateway",))
 def dedup_events(t):
-    """Every event redelivered once, then one event per transaction; events without one are dropped."""
+    """Every event redelivered, some under another transaction, then one event per transaction; events without one are dropped."""
     events = t.gateway.select(
         "event_id", F.when(F.col("event_type") != "error", F.col("txn")).alias("transaction_id"), F.col("ts").alias("seen_at"))
-    return dedup.dedup_events(events.unionByName(events), "event_id", "transaction_id", "seen_at")
+    again = events.filter(F.col("event_id") % 9 == 0).withColumns({
+        "transaction_id": F.concat("transaction_id", F.lit("-again")), "seen_at": F.col("seen_at") + F.expr("INTERVAL 1 SECOND")})
+    return dedup.dedup_events(events.unionByName(events).unionByName(again), "event_id", "transaction_id", "seen_at")
 
 
 LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax"]
@@ -85,6 +89,13 @@ def flag_dups(t):
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "is_repeat")
 
 
+@query("flag_exact_dups", """
+SELECT id, row_number() OVER (PARTITION BY id ORDER BY status) > 1 AS is_repeat FROM dirty_orders""", uses=("dirty_orders",))
+def flag_exact_dups(t):
+    """Of rows that are equal in every column, one is the first."""
+    return dedup.flag_repeats(t.dirty_orders, ["id"], t.dirty_orders.columns).select("id", "is_repeat")
+
+
 @query("pk_violations", """
 SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY ALL HAVING count(*) > 1""")
 def pk_violations(t):
@@ -92,14 +103,14 @@ def pk_violations(t):
 
 
 @query("near_dups", """
-SELECT b.id, b.customer_id, CAST(b.total_amount AS DOUBLE) AS total_amount, min(a.id) AS twin_id,
-  CAST(count(a.id) AS BIGINT) AS near_rows
-FROM near_orders b JOIN near_orders a ON a.customer_id = b.customer_id AND a.order_date = b.order_date
-  AND lower(trim(a.status)) = lower(trim(b.status)) AND abs(a.total_amount - b.total_amount) <= 0.01
+WITH n AS (SELECT *, CAST(replace(replace(total_amount, '$', ''), 'USD', '') AS DECIMAL(12,3)) AS amount FROM near_orders)
+SELECT b.id, b.customer_id, b.total_amount, min(a.id) AS twin_id, CAST(count(a.id) AS BIGINT) AS near_rows
+FROM n b JOIN n a ON a.customer_id = b.customer_id AND a.order_date = b.order_date
+  AND lower(trim(a.status)) = lower(trim(b.status)) AND abs(a.amount - b.amount) <= 0.01
 GROUP BY ALL HAVING min(a.id) < b.id""", uses=("near_orders",))
 def near_dups(t):
     found = dedup.near_duplicates(t.near_orders, "id", ["customer_id", "order_date"], ["status"], "total_amount")
-    return found.select("id", "customer_id", F.col("total_amount").cast("double").alias("total_amount"), "twin_id", "near_rows")
+    return found.select("id", "customer_id", "total_amount", "twin_id", "near_rows")
 
 
 # --- references ---------------------------------------------------------------------------------
@@ -141,7 +152,8 @@ def fk_report(t):
     return references.fk_report({n: getattr(t, n) for n in names}, EDGES)
 
 
-STATUS = "CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'pending' ELSE 'cancelled' END"
+# Some orders have no status; they are neither cancelled nor returned.
+STATUS = "CASE WHEN o_orderkey % 16 = 5 THEN NULL WHEN o_orderstatus = 'F' THEN 'delivered' WHEN o_orderstatus = 'O' THEN 'pending' ELSE 'cancelled' END"
 
 
 def _orders(t):
@@ -153,17 +165,17 @@ def _lines(t):
 
 
 @query("gap_unpaid", f"""
-SELECT o_orderkey AS order_id, o_custkey, {STATUS} AS status FROM orders WHERE o_orderstatus <> 'P'
-  AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""")
+SELECT o_orderkey AS order_id, o_custkey, {STATUS} AS status FROM orders WHERE (o_orderstatus <> 'P' OR o_orderkey % 16 = 5)
+  AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_linenumber > 1)""")
 def gap_unpaid(t):
-    return references.unpaid_orders(_orders(t), _lines(t))
+    return references.unpaid_orders(_orders(t), _lines(t).filter(F.col("l_linenumber") > 1))
 
 
 PAID = "CASE l_returnflag WHEN 'A' THEN 'completed' WHEN 'N' THEN 'pending' ELSE 'failed' END"
 
 
 @query("gap_unshipped", f"""
-SELECT o_orderkey AS order_id, o_custkey, {STATUS} AS status FROM orders o WHERE o_orderstatus <> 'P'
+SELECT o_orderkey AS order_id, o_custkey, {STATUS} AS status FROM orders o WHERE (o_orderstatus <> 'P' OR o_orderkey % 16 = 5)
   AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'A')
   AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_linestatus = 'F')""")
 def gap_unshipped(t):
@@ -173,7 +185,7 @@ def gap_unshipped(t):
 
 @query("gap_unreviewed", """
 SELECT DISTINCT l_orderkey AS order_id, l_partkey AS product_id FROM lineitem l
-WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus = 'F')
+WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus = 'F' AND o_orderkey % 16 <> 5)
   AND NOT EXISTS (SELECT 1 FROM lineitem r WHERE r.l_returnflag = 'R' AND r.l_orderkey = l.l_orderkey AND r.l_partkey = l.l_partkey)""")
 def gap_unreviewed(t):
     reviews = _lines(t).filter(F.col("l_returnflag") == "R")
@@ -188,14 +200,18 @@ def orders_without_items(t):
 
 
 @query("amount_mismatch", """
-WITH s AS (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS paid FROM lineitem GROUP BY 1),
-j AS (SELECT o_orderkey AS order_id, CAST(o_totalprice AS DECIMAL(12,2)) AS due, paid FROM orders JOIN s ON o_orderkey = l_orderkey)
+WITH s AS (SELECT l_orderkey, coalesce(sum(CASE WHEN l_partkey % 40 <> 3 THEN CAST(l_extendedprice AS DECIMAL(12,2)) END), 0) AS paid,
+  count(*) FILTER (WHERE l_partkey % 40 = 3) AS unreadable FROM lineitem GROUP BY 1),
+j AS (SELECT o_orderkey AS order_id, CAST(o_totalprice AS DECIMAL(12,2)) AS due, paid, unreadable FROM orders JOIN s ON o_orderkey = l_orderkey)
 SELECT order_id, CAST(due AS DOUBLE) AS expected_amount, CAST(paid AS DOUBLE) AS paid_amount, CAST(paid - due AS DOUBLE) AS delta,
-  CASE WHEN due <> 0 THEN CAST(paid - due AS DOUBLE) / CAST(due AS DOUBLE) END AS relative_delta FROM j WHERE abs(paid - due) > 0.01""")
+  CASE WHEN due <> 0 THEN CAST(paid - due AS DOUBLE) / CAST(due AS DOUBLE) END AS relative_delta, unreadable
+FROM j WHERE abs(paid - due) > 0.01 OR unreadable > 0""")
 def amount_mismatch(t):
+    """Payments as text, some of which is no number."""
+    paid = F.when(F.col("l_partkey") % 40 == 3, "abc").otherwise(F.col("l_extendedprice").cast("decimal(12,2)").cast("string"))
     return references.amount_mismatch(
         t.orders.withColumnRenamed("o_orderkey", "order_id"), "order_id", "o_totalprice",
-        t.lineitem, "l_orderkey", "l_extendedprice")
+        t.lineitem.withColumn("paid", paid), "l_orderkey", "paid")
 
 
 @query("delivery_days", """

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from siltstone import schemas, vocab
 from siltstone.operators.references import classify_late_arrivals
 from siltstone.operators.reports import newest_rows
-from siltstone.plans.guarded import describe_schema, guarded_sql
+from siltstone.operators.quality import with_orphan_flag, with_repeat_flag
+from siltstone.plans.guarded import guarded_sql
 from siltstone.session import scratch_folder
-from siltstone.sources.bronze import route_topic, to_bronze, whole_topic_matches
+from siltstone.sources.bronze import read_topics, route_topic, to_bronze
 from siltstone.sources.csv_drops import read_csv_drops
-from siltstone.sources.files import read_csv, split_corrupt
+from siltstone.sources.files import read_csv, read_json_array, read_or_empty, split_corrupt
 from siltstone.sources.snapshots import merge_history, snapshot_manifest, tag_snapshot
-from siltstone.sources.tables import ensure_database, publish
+from siltstone.sources.tables import ensure_database, list_tables, publish
 from siltstone.streaming.flows import (
     append_bronze, dedup_stream, dlq_route, drain, event_counts, late_arrival_stream, split_stream,
 )
@@ -58,8 +59,12 @@ def topic_route(t):
 @query("topic_subscribe", f"""
 SELECT {TOPIC_SQL} AS topic, count(*) AS messages FROM events WHERE event_type = 'purchase' GROUP BY ALL""")
 def topic_subscribe(t):
-    wanted = whole_topic_matches(F.col("topic"), vocab.TOPIC_ROUTES["pay_raw"])
-    return as_messages(t.events).filter(wanted).groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
+    """The messages of matching topics, drained from a folder of message files."""
+    path = scratch_folder(t.spark, "topics")
+    as_messages(t.events).write.parquet(f"{path}/in")
+    stream = read_topics(t.spark, vocab.TOPIC_ROUTES["pay_raw"], files=f"{path}/in")
+    drain(stream.select("topic", "offset"), f"{path}/out", f"{path}/checkpoint")
+    return t.spark.read.parquet(f"{path}/out").groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
 
 
 BRONZE_DAILY = f"""
@@ -172,10 +177,10 @@ o AS (SELECT event_id AS order_event, ts AS ordered_at, event_id AS order_id FRO
 j AS (SELECT p.payment_id, p.order_id, p.paid_at, o.order_event FROM p LEFT JOIN o ON p.order_id = o.order_id
   AND p.paid_at BETWEEN o.ordered_at - INTERVAL 10 MINUTE AND o.ordered_at + INTERVAL 10 MINUTE),
 w AS (SELECT least((SELECT max(paid_at) FROM p), (SELECT max(ordered_at) FROM o)) - INTERVAL 10 MINUTE AS wm)
-SELECT payment_id, order_id, order_event, order_event IS NULL AS dead_letter FROM j, w
-WHERE order_event IS NOT NULL OR paid_at + INTERVAL 10 MINUTE < wm""")
+SELECT payment_id, order_id, order_event, CASE WHEN order_event IS NOT NULL THEN 'joined'
+  WHEN paid_at + INTERVAL 10 MINUTE < wm THEN 'dead_letter' ELSE 'waiting' END AS bucket FROM j, w""")
 def stream_interval_join(t):
-    """Payments without an order in the band come out once the watermark has passed; the rest wait."""
+    """Payments without an order in the band come out once the watermark has passed; the rest wait in the state."""
     path = scratch_folder(t.spark, "band")
     events = t.stream("events").withColumn("ts", F.col("ts").cast("timestamp"))
     paid = events.filter(F.col("event_type") == "purchase").select(
@@ -184,9 +189,11 @@ def stream_interval_join(t):
         F.col("event_id").alias("order_event"), F.col("ts").alias("ordered_at"), F.col("event_id").alias("order_id"))
     joined = late_arrival_stream(paid, made, "order_id", "paid_at", "ordered_at", minutes=10)
     drain(joined, f"{path}/out", f"{path}/checkpoint")
-    return t.spark.read.parquet(f"{path}/out").select(
-        "payment_id", "order_id", "order_event", F.col("order_event").isNull().alias("dead_letter")
-    )
+    out = t.spark.read.parquet(f"{path}/out").select(
+        "payment_id", "order_id", "order_event", F.when(F.col("order_event").isNull(), "dead_letter").otherwise("joined").alias("bucket"))
+    every = t.events.filter(F.col("event_type") == "purchase").select(
+        F.col("event_id").alias("payment_id"), F.expr(ORDER_REF).alias("order_id"), F.lit(None).cast("bigint").alias("order_event"), F.lit("waiting").alias("bucket"))
+    return out.unionByName(every.join(out, "payment_id", "left_anti").select(*out.columns))
 
 
 @query("gold_partition_counts", """
@@ -226,19 +233,20 @@ def manifest(t):
 
 
 @query("merge_history", """
-WITH h AS (SELECT o_orderkey AS id, o_custkey AS customer_id, 'archived' AS status, CAST(o_totalprice AS DECIMAL(12,2)) AS total_amount FROM orders),
-c AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY __source_ts_ms DESC) AS rn FROM cdc_orders WHERE __op <> 'c'),
+WITH h AS (SELECT o_orderkey + i.n AS id, o_custkey AS customer_id, 'archived' AS status, CAST(o_totalprice AS DECIMAL(12,2)) AS total_amount
+  FROM orders, (SELECT unnest([0, 1000000000000]) AS n) i),
+c AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY __source_ts_ms DESC) AS rn FROM cdc_orders),
 n AS (SELECT * FROM c WHERE rn = 1)
 SELECT h.id, h.customer_id, coalesce(n.status, h.status) AS status, CAST(h.total_amount AS DOUBLE) AS total_amount,
   CASE WHEN n.id IS NULL THEN 'historical' ELSE 'cdc' END AS _load_type
 FROM h LEFT JOIN n ON h.id = n.id WHERE n.__op IS NULL OR n.__op <> 'd'""", uses=("cdc_orders",))
 def merged(t):
-    """The snapshot already holds every creation; the log adds what came after it."""
-    history = t.orders.select(
-        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("customer_id"), F.lit("archived").alias("status"),
+    """The log repeats creations that the snapshot holds and adds what came after; older rows are in the snapshot only."""
+    history = t.orders.withColumn("n", F.explode(F.array(F.lit(0), F.lit(1000000000000)))).select(
+        (F.col("o_orderkey") + F.col("n")).alias("id"), F.col("o_custkey").alias("customer_id"), F.lit("archived").alias("status"),
         F.col("o_totalprice").cast("decimal(12,2)").alias("total_amount"),
     )
-    changes = t.cdc_orders.filter(F.col("__op") != "c").drop("order_date")
+    changes = t.cdc_orders.drop("order_date")
     return merge_history(history, changes, ["id"]).select(
         "id", "customer_id", "status", F.col("total_amount").cast("double").alias("total_amount"), "_load_type"
     )
@@ -261,21 +269,62 @@ def guarded(t):
     return guarded_sql(t.spark, GUARDED + ";")
 
 
-@query("describe_schema")
-def described(t):
-    for name in ("orders", "customer", "part", "lineitem"):
-        getattr(t, name).createOrReplaceTempView(name)
-    return describe_schema(t.spark, tables=("orders", "customer", "part", "lineitem"))
+@query("csv_multiline", "SELECT doc_id, md5(text) AS digest FROM documents WHERE trim(text) <> ''")
+def csv_multiline(t):
+    """Texts with line breaks written as CSV and read back whole."""
+    path = scratch_folder(t.spark, "csv")
+    t.documents.filter(F.trim("text") != "").select("doc_id", "text").write.csv(path, header=True, escape='"', quoteAll=True)
+    clean, _ = split_corrupt(read_csv(t.spark, path, "doc_id bigint, text string"))
+    return clean.select("doc_id", F.md5("text").alias("digest"))
+
+
+@query("json_array", "SELECT CAST(p_partkey AS BIGINT) AS id, p_name AS name, p_size AS size FROM part")
+def json_array(t):
+    """Files of one array each, for every thousand parts, read back."""
+    path = scratch_folder(t.spark, "json")
+    arrays = t.part.groupBy(F.floor(F.col("p_partkey") / 1000).alias("batch")).agg(F.to_json(F.collect_list(F.struct(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_size").alias("size")))).alias("value"))
+    arrays.write.partitionBy("batch").text(path)
+    return read_json_array(t.spark, f"{path}/batch=*", "id bigint, name string, size int")
+
+
+@query("read_or_empty", "SELECT 'missing' AS place, 0 AS rows UNION ALL SELECT 'written', count(*) FROM part")
+def read_or_empty_counts(t):
+    path, shape = scratch_folder(t.spark, "parts"), "p_partkey bigint"
+    t.part.select(F.col("p_partkey").cast("bigint")).write.parquet(f"{path}/written")
+    counts = [read_or_empty(t.spark, f"{path}/{p}", shape).agg(F.lit(p).alias("place"), F.count(F.lit(1)).alias("rows")) for p in ("missing", "written")]
+    return counts[0].unionByName(counts[1])
+
+
+@query("list_tables", "SELECT 'parts' AS table_name, 'EXTERNAL' AS table_type, count(*) AS rows FROM part")
+def listed(t):
+    folder = scratch_folder(t.spark, "listed")
+    database = f"siltstone_{folder[-12:]}"
+    ensure_database(t.spark, database, f"{folder}/db")
+    rows = publish(t.part, database, "parts", f"{folder}/parts").agg(F.lit("parts").alias("table_name"), F.count(F.lit(1)).alias("rows"))
+    return list_tables(t.spark, database).join(rows, "table_name")
+
+
+@query("duplicate_txn", "SELECT event_id, count(*) OVER (PARTITION BY txn) > 1 AS duplicate_txn_id FROM gateway WHERE kind = 'payment.created'", uses=("gateway",))
+def duplicate_txn(t):
+    made = t.gateway.filter(F.col("kind") == "payment.created")
+    return with_repeat_flag(made, ["txn"], "duplicate_txn_id").select("event_id", "duplicate_txn_id")
+
+
+@query("mismatched_order_ref", """
+SELECT event_id, NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = user_id) AS mismatched_order_ref FROM gateway""", uses=("gateway",))
+def mismatched_order_ref(t):
+    return with_orphan_flag(t.gateway, "user_id", t.orders, "o_orderkey", "mismatched_order_ref").select("event_id", "mismatched_order_ref")
 
 
 # `late_arrival` in batch form shares the order reference above.
 @query("late_arrival", f"""
 WITH p AS (SELECT event_id AS payment_id, ts AS paid_at, {ORDER_REF} AS order_id FROM events WHERE event_type = 'purchase'),
 o AS (SELECT event_id AS order_id, ts AS ordered_at FROM events WHERE event_type = 'view'),
-j AS (SELECT p.*, o.ordered_at, CAST(floor(epoch(p.paid_at)) AS BIGINT) - CAST(floor(epoch(o.ordered_at)) AS BIGINT) AS lag FROM p LEFT JOIN o USING (order_id))
+j AS (SELECT p.*, o.ordered_at, (epoch_us(p.paid_at) - epoch_us(o.ordered_at)) / 1e6 AS lag FROM p LEFT JOIN o USING (order_id))
 SELECT payment_id, order_id, lag AS _join_lag_sec,
   CASE WHEN ordered_at IS NULL THEN 'waiting' WHEN abs(lag) <= 10 * 60 THEN 'joined' ELSE 'late' END AS _join_result,
-  CASE WHEN ordered_at IS NOT NULL AND abs(lag) > 10 * 60 THEN concat('payment ', CAST(abs(lag) AS VARCHAR), 's ',
+  CASE WHEN ordered_at IS NOT NULL AND abs(lag) > 10 * 60 THEN concat('payment ', CAST(CAST(abs(lag) AS DECIMAL(20,3)) AS VARCHAR), 's ',
     CASE WHEN lag < 0 THEN 'before' ELSE 'after' END, ' its order, allowed 10 min') END AS _dlq_reason
 FROM j""")
 def late_arrival(t):

@@ -9,7 +9,6 @@ from siltstone.functions import numbers, text, times
 from siltstone.operators import quality as q
 from siltstone.operators import status as st
 from siltstone.operators.missing import placeholders_to_null
-from siltstone.operators.skew import skew_join
 from siltstone.plans.cleaning import CleaningConfig, clean_table
 from workload.cleaning import BLANKED, CLEAN_NUMBER, DATES, TYPO_CASE
 from workload.registry import query
@@ -61,7 +60,7 @@ def tag_order_rules(t):
         "order_date": times.parse_date_formats(F.col("order_date")),
     })
     rows = q.with_orphan_flag(rows, "customer_id", t.customer, "c_custkey", "mismatched_customer_ref")
-    rows = q.with_orphan_flag(rows, "id", t.lineitem, "l_orderkey", "missing_items", counted=t.dirty_orders)
+    rows = q.with_orphan_flag(rows, "id", t.lineitem, "l_orderkey", "missing_items")
     rules = [
         q.status_typo(), q.future_order_date(as_of), q.negative("amount"), q.flagged("mismatched_customer_ref"),
         q.flagged("missing_items"), q.implausible_year("order_date", as_of),
@@ -147,16 +146,18 @@ def dlq_replay(t):
 
 # --- state --------------------------------------------------------------------------------------
 
-STEP_OF = "CASE event_type WHEN 'signup' THEN 'pending' WHEN 'view' THEN 'picked_up' WHEN 'click' THEN 'in_transit' WHEN 'purchase' THEN 'delivered' ELSE 'returned' END"
+# Some steps carry no status, some no key.
+STEP_OF = "CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_type = 'signup' THEN 'pending' WHEN event_type = 'view' THEN 'picked_up' WHEN event_type = 'click' THEN 'in_transit' WHEN event_type = 'purchase' THEN 'delivered' ELSE 'returned' END"
+STEP_KEY = "CASE WHEN event_id % 17 <> 0 THEN user_id END"
 
 
 def _steps(t):
-    return t.events.select("event_id", "ts", "user_id", F.expr(STEP_OF).alias("status_to"))
+    return t.events.select("event_id", "ts", F.expr(STEP_KEY).alias("user_id"), F.expr(STEP_OF).alias("status_to"))
 
 
 @query("status_fold", f"""
-WITH s AS (SELECT event_id, ts, user_id, {STEP_OF} AS status_to FROM events),
-f AS (SELECT user_id, arg_max(status_to, (ts, event_id)) AS status, min(ts) FILTER (WHERE status_to = 'picked_up') AS shipped_at,
+WITH s AS (SELECT event_id, ts, {STEP_KEY} AS user_id, {STEP_OF} AS status_to FROM events),
+f AS (SELECT user_id, arg_max(status_to, (ts, event_id)) FILTER (WHERE status_to IS NOT NULL) AS status, min(ts) FILTER (WHERE status_to = 'picked_up') AS shipped_at,
   min(ts) FILTER (WHERE status_to = 'delivered') AS delivered_at FROM s GROUP BY 1)
 SELECT c_custkey AS user_id, coalesce(f.status, 'none') AS status, shipped_at, delivered_at FROM customer LEFT JOIN f ON c_custkey = user_id""")
 def status_fold(t):
@@ -166,7 +167,7 @@ def status_fold(t):
 
 
 @query("illegal_transitions", f"""
-WITH s AS (SELECT event_id, ts, user_id, {STEP_OF} AS status_to FROM events),
+WITH s AS (SELECT event_id, ts, {STEP_KEY} AS user_id, {STEP_OF} AS status_to FROM events),
 l AS (SELECT *, lag(status_to) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM s)
 SELECT event_id, user_id, prev AS status_from, status_to FROM l WHERE prev IS NOT NULL AND prev <> status_to
   AND NOT ((prev = 'pending' AND status_to = 'picked_up') OR (prev = 'picked_up' AND status_to = 'in_transit')
@@ -226,22 +227,33 @@ CHECKS = {
 }
 
 
+#: `a` is an earlier near twin of `b`.
+TWIN = """a.id < b.id AND a.customer_id = b.customer_id AND a.raw_date = b.raw_date
+  AND lower(trim(a.status)) IS NOT DISTINCT FROM lower(trim(b.status)) AND abs(a.amount - b.amount) <= 0.01 + 1e-9"""
+
+
 @query("expectations", f"""
 WITH d AS (SELECT b.id, b.customer_id, {TYPO_CASE.replace('status', 'b.status')} AS status, {CLEAN_NUMBER.replace('total_amount', 'b.total_amount')} AS amount,
   {DATES.replace('order_date', 'b.order_date')} AS dated, b.order_date AS raw_date, c.c_custkey IS NOT NULL AS known
-  FROM ({BLANKED}) b LEFT JOIN customer c ON c.c_custkey = b.customer_id)
+  FROM ({BLANKED.replace("dirty_orders", "crowded_orders")}) b LEFT JOIN customer c ON c.c_custkey = b.customer_id),
+u AS (SELECT DISTINCT * FROM d)
+SELECT 'no_exact_duplicate' AS "check", count(*) - (SELECT count(*) FROM u) AS failed, count(*) AS total, count(*) = (SELECT count(*) FROM u) AS passed FROM d
+UNION ALL SELECT 'no_near_duplicate', count(*) FILTER (WHERE twin), count(*), count(*) FILTER (WHERE twin) = 0
+FROM (SELECT EXISTS (SELECT 1 FROM u a WHERE {TWIN}) AS twin FROM u b) x UNION ALL
 """ + " UNION ALL ".join(f"""
 SELECT '{n}' AS "check", count(*) FILTER (WHERE NOT coalesce({c}, false)) AS failed, count(*) AS total,
-  count(*) FILTER (WHERE NOT coalesce({c}, false)) = 0 AS passed FROM d""" for n, c in CHECKS.items()), uses=("dirty_orders",))
+  count(*) FILTER (WHERE NOT coalesce({c}, false)) = 0 AS passed FROM d""" for n, c in CHECKS.items()), uses=("crowded_orders",))
 def expectations(t):
-    rows = placeholders_to_null(t.dirty_orders).withColumns({
+    rows = placeholders_to_null(t.crowded_orders).withColumns({
         "status": text.fix_typos(F.col("status")),
         "amount": numbers.clean_number(F.col("total_amount")),
         "dated": times.parse_date_formats(F.col("order_date")),
         "raw_date": F.col("order_date"),
     })
     rows = q.with_orphan_flag(rows, "customer_id", t.customer, "c_custkey", "_orphan").withColumn("known", ~F.col("_orphan"))
-    return q.expectations(rows, {n: F.expr(c) for n, c in CHECKS.items()})
+    return q.expectations(
+        rows, {n: F.expr(c) for n, c in CHECKS.items()}, unique=rows.columns,
+        near_keys=("id", ["customer_id", "raw_date"], ["status"], "amount"))
 
 
 @query("conversion_failures", f"""
@@ -254,22 +266,31 @@ def conversion_failures(t):
     })
 
 
-@query("cross_checks", """
-WITH j AS (SELECT *, CAST(l_extendedprice / l_quantity AS DECIMAL(14,4)) AS unit FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
-SELECT 'item_total' AS "check", count(*) FILTER (WHERE NOT coalesce(abs(l_quantity * CAST(unit AS DOUBLE) - l_extendedprice) <= 0.01, false)) AS failed, count(*) AS total,
-  count(*) FILTER (WHERE NOT coalesce(abs(l_quantity * CAST(unit AS DOUBLE) - l_extendedprice) <= 0.01, false)) = 0 AS passed FROM j
-UNION ALL SELECT 'shipped_before_delivered', count(*) FILTER (WHERE NOT coalesce(o_orderdate <= l_shipdate, false)), count(*),
-  count(*) FILTER (WHERE NOT coalesce(o_orderdate <= l_shipdate, false)) = 0 FROM j""")
+IDENTITIES = {
+    "order_total": "abs(subtotal - discount_amount + tax_amount + shipping_cost - total_amount) <= 0.01",
+    "item_total": "abs(quantity * unit_price - total_price) <= 0.01",
+    "cost_below_price": "cost <= price",
+    "shipped_before_delivered": "shipped_at <= delivered_at",
+    "delivered_by_estimate": "delivered_at <= estimated",
+}
+#: Some unit prices are off by two cents, some totals by five, some lines are shipped before the order or late.
+SOLD = """SELECT l_extendedprice AS subtotal, l_linenumber * 1.0 AS discount_amount, l_linenumber * 2.0 AS tax_amount, 3.0 AS shipping_cost,
+  l_extendedprice + l_linenumber + 3.0 + CASE WHEN l_partkey % 9 = 0 THEN 0.05 ELSE 0.0 END AS total_amount,
+  l_quantity AS quantity, CAST(CAST(l_extendedprice / l_quantity AS DECIMAL(14,4)) AS DOUBLE) + CASE WHEN l_suppkey % 7 = 0 THEN 0.02 ELSE 0.0 END AS unit_price, l_extendedprice AS total_price,
+  l_discount AS cost, l_tax AS price, o_orderdate AS shipped_at, l_shipdate AS delivered_at, l_shipdate + INTERVAL 3 DAY * (l_suppkey % 4 - 1) AS estimated
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+
+
+@query("cross_checks", f"WITH s AS ({SOLD}) " + " UNION ALL ".join(f"""
+SELECT '{n}' AS "check", count(*) FILTER (WHERE NOT coalesce({c}, false)) AS failed, count(*) AS total,
+  count(*) FILTER (WHERE NOT coalesce({c}, false)) = 0 AS passed FROM s""" for n, c in IDENTITIES.items()))
 def cross_checks(t):
-    heads = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
-    rows = skew_join(t.lineitem, heads, ["l_orderkey"], "inner").select(
-        "o_orderdate", "l_shipdate", F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("total_price"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).cast("decimal(14,4)").cast("double").alias("unit_price"))
-    return q.expectations(rows, q.cross_checks(item_total=True, shipped=("o_orderdate", "l_shipdate")))
+    checks = q.cross_checks(order_total=True, item_total=True, cost=True, shipped=("shipped_at", "delivered_at"), estimated=("delivered_at", "estimated"))
+    return q.expectations(t.sql(SOLD), checks)
 
 
 @query("defect_matrix", f"""
-WITH d AS (SELECT * FROM dirty_orders), w AS (SELECT {', '.join(f"'{x}'" for x in vocab.PLACEHOLDERS if x)}),
+WITH d AS (SELECT * FROM crowded_orders), u AS (SELECT DISTINCT *, order_date AS raw_date, {CLEAN_NUMBER} AS amount FROM d), w AS (SELECT {', '.join(f"'{x}'" for x in vocab.PLACEHOLDERS if x)}),
 a AS (SELECT *, {CLEAN_NUMBER} AS num, {DATES} AS dated FROM d),
 m AS (SELECT
   sum((id IS NULL)::INT + (customer_id IS NULL)::INT + (status IS NULL)::INT + (total_amount IS NULL)::INT + (order_date IS NULL)::INT + (category IS NULL)::INT + (_quality_flag IS NULL)::INT) AS "null",
@@ -283,11 +304,11 @@ m AS (SELECT
   count(*) FILTER (WHERE status <> lower(status)) AS casing,
   count(*) FILTER (WHERE status <> trim(status)) + count(*) FILTER (WHERE order_date <> trim(order_date)) AS hidden_space,
   count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM d) x) AS duplicate,
-  0 AS near_duplicate,
+  (SELECT count(*) FROM u b WHERE EXISTS (SELECT 1 FROM u a WHERE {TWIN})) AS near_duplicate,
   count(*) FILTER (WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT c_custkey FROM customer)) AS orphan_customer_id FROM a)
-SELECT 'orders' AS table_name, defect, CAST(cells AS BIGINT) AS cells FROM (SELECT COLUMNS(*)::BIGINT FROM m) UNPIVOT (cells FOR defect IN (COLUMNS(*)))""", uses=("dirty_orders",))
+SELECT 'orders' AS table_name, defect, CAST(cells AS BIGINT) AS cells FROM (SELECT COLUMNS(*)::BIGINT FROM m) UNPIVOT (cells FOR defect IN (COLUMNS(*)))""", uses=("crowded_orders",))
 def defect_matrix(t):
-    rows = t.dirty_orders
+    rows = t.crowded_orders
     return q.defect_matrix(
         rows, "orders", text_columns=["status", "order_date"], dates={"order_date": times.parse_date_formats(F.col("order_date"))},
         numbers=["total_amount"], typos=["status"], ranges={"total_amount": (0, 400000)}, unique=rows.columns,

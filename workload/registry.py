@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,7 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self._seen: dict[str, DataFrame] = {}
+        self._mark = uuid.uuid4().hex[:8]
         spark.conf.set("spark.sql.session.timeZone", "UTC")  # results are compared as UTC
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -42,14 +44,17 @@ class Tables:
     def sql(self, statement: str) -> DataFrame:
         """A statement over the base tables, analysed now against this folder.
 
-        The statements are heavy on text; a table that comes as one split is spread first.
+        Tables are named after FROM or JOIN; each becomes a view of its own name, so that no view of the caller is replaced.
+        The statements are heavy on text; a table that comes in fewer splits than there are cores is spread first.
         """
         for table in TABLES:
-            if re.search(rf"\b{table}\b", statement):
-                key = f"{table} (spread)"
-                if key not in self._seen:
-                    self._seen[key] = spread_scan(getattr(self, table))
-                self._seen[key].createOrReplaceTempView(table)
+            named = rf"(?<=\bFROM ){table}\b|(?<=\bJOIN ){table}\b"
+            if re.search(named, statement):
+                view = f"{table}_{self._mark}"
+                if view not in self._seen:
+                    self._seen[view] = spread_scan(getattr(self, table), self.spark.sparkContext.defaultParallelism)
+                    self._seen[view].createOrReplaceTempView(view)
+                statement = re.sub(named, view, statement)
         return self.spark.sql(statement)
 
     def stream(self, name: str) -> DataFrame:
@@ -66,7 +71,7 @@ def query(name: str, oracle: str | None = None, uses: tuple[str, ...] = ()):
     def register(build: Callable[[Tables], DataFrame]):
         QUERIES[name] = lambda spark, folder: build(Tables(spark, folder))
         if oracle is not None:
-            ctes = [f"{v} AS ({views.VIEWS[v]})" for v in views.closure(uses)]
+            ctes = [f"{v} AS ({views.VIEWS[v]})" for v in uses]
             body = oracle.strip()
             if ctes and body.upper().startswith("WITH "):
                 body = "WITH " + ", ".join(ctes) + ", " + body[5:]

@@ -98,7 +98,7 @@ def silver_orders(t):
 
 
 def silver_items(t):
-    return spread_scan(t.lineitem).select(
+    return spread_scan(t.lineitem, t.spark.sparkContext.defaultParallelism).select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"), F.col("l_quantity").cast("int").alias("quantity"),
         F.floor(F.col("l_extendedprice") / F.col("l_quantity")).cast(MONEY).alias("unit_price"),

@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from siltstone.operators.quality import dead_letters
 from siltstone.operators.reports import monthly_revenue
-from siltstone.plans import gold, silver
+from siltstone.plans import gold, lakehouse, silver
 from siltstone.session import scratch_folder
-from siltstone.sources.tables import overwrite_table
 from workload import reports
 from workload.registry import query
 
@@ -152,34 +151,93 @@ def gateway_bronze(t):
     return rows.select(*_message(
         "payment.events", F.lit("payment_gw").alias("_source_system"), F.concat(F.lit("e-"), "event_id").alias("_event_id"),
         F.col("kind").alias("_event_type"), F.lit("c").alias("_op_type"), F.col("at").alias("_ingested_at"),
-        F.lit("CLEAN").alias("_quality_flag"), payload.alias("payload")))
+        F.when(~created & (F.col("event_id") % 11 == 0), "DIRTY").otherwise("CLEAN").alias("_quality_flag"), payload.alias("payload")))
+
+
+# Steps that are flagged, and steps of keys without a creation, move nothing and are dead letters.
+FLAGGED = "kind LIKE '%.status_updated' AND event_id % 11 = 0"
+
+
+def _lost_steps(kind: str, key: str) -> str:
+    return f"""FROM (SELECT *, {FLAGGED} AS flagged FROM gateway) s WHERE kind = '{kind}.status_updated' AND (flagged OR NOT EXISTS
+  (SELECT 1 FROM gateway c WHERE c.kind = '{kind}.created' AND c.{key} = s.{key}))"""
 
 
 @query("silver_payments", f"""
 WITH c AS (SELECT * FROM (SELECT *, {METHODS} AS m, CAST(value - 5 AS DECIMAL(12,2)) AS amount, row_number() OVER (PARTITION BY txn ORDER BY ts, concat('e-', event_id)) AS rn
   FROM gateway WHERE kind = 'payment.created') x WHERE rn = 1),
-u AS (SELECT txn, min(ts) AS paid_at FROM gateway WHERE kind = 'payment.status_updated' GROUP BY 1)
+u AS (SELECT txn, min(ts) AS paid_at FROM gateway WHERE kind = 'payment.status_updated' AND NOT ({FLAGGED}) GROUP BY 1)
 SELECT event_id AS id, txn AS transaction_id, user_id AS order_id, CAST(amount AS DOUBLE) AS amount,
   CASE m WHEN 'Credit Card' THEN 'CREDIT_CARD' WHEN 'paypal' THEN 'PAYPAL' WHEN 'APPLE_PAY' THEN 'APPLE_PAY' END AS payment_method,
   CASE WHEN u.txn IS NULL THEN 'PENDING' ELSE 'COMPLETED' END AS status, paid_at,
-  CASE WHEN amount <= 0 THEN 'dead_letter' ELSE 'silver' END AS route FROM c LEFT JOIN u USING (txn)""", uses=("gateway",))
+  CASE WHEN amount <= 0 THEN 'dead_letter' ELSE 'silver' END AS route,
+  concat_ws(',', CASE WHEN amount <= 0 THEN 'non_positive_amount' END, CASE WHEN m = 'bitcoin' THEN 'invalid_payment_method' END) AS reasons
+FROM c LEFT JOIN u USING (txn)
+UNION ALL SELECT NULL, txn, user_id, CAST(CAST(value - 5 AS DECIMAL(12,2)) AS DOUBLE), NULL, NULL, NULL, 'dead_letter',
+  CASE WHEN flagged THEN 'dirty_step' ELSE 'unmatched_step' END {_lost_steps('payment', 'txn')}""", uses=("gateway",))
 def silver_payments(t):
     out = silver.payments(gateway_bronze(t))
     return out.select("id", "transaction_id", "order_id", F.col("amount").cast("double").alias("amount"), "payment_method", "status",
-                      F.col("paid_at").cast("timestamp_ntz").alias("paid_at"), F.col("_route").alias("route"))
+                      F.col("paid_at").cast("timestamp_ntz").alias("paid_at"), F.col("_route").alias("route"), F.array_join("_reasons", ",").alias("reasons"))
 
 
-@query("silver_shipping", """
+@query("silver_shipping", f"""
 WITH c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, concat('e-', event_id)) AS rn
   FROM gateway WHERE kind = 'shipping.created') x WHERE rn = 1),
-s AS (SELECT user_id, ts, event_id, CASE WHEN event_id % 2 = 0 THEN 'PICKED_UP' ELSE 'DELIVERED' END AS st FROM gateway WHERE kind = 'shipping.status_updated'),
+s AS (SELECT user_id, ts, event_id, CASE WHEN event_id % 2 = 0 THEN 'PICKED_UP' ELSE 'DELIVERED' END AS st FROM gateway WHERE kind = 'shipping.status_updated' AND NOT ({FLAGGED})),
 u AS (SELECT user_id, arg_max(st, (ts, concat('e-', event_id))) AS st, min(ts) FILTER (WHERE st = 'PICKED_UP') AS shipped_at, min(ts) FILTER (WHERE st = 'DELIVERED') AS delivered_at FROM s GROUP BY 1)
-SELECT event_id AS id, concat('TRK', user_id) AS tracking_number, user_id AS order_id, coalesce(st, 'PENDING') AS status, shipped_at, delivered_at, 'silver' AS route
-FROM c LEFT JOIN u USING (user_id)""", uses=("gateway",))
+SELECT event_id AS id, concat('TRK', user_id) AS tracking_number, user_id AS order_id, coalesce(st, 'PENDING') AS status, shipped_at, delivered_at, 'silver' AS route, '' AS reasons
+FROM c LEFT JOIN u USING (user_id)
+UNION ALL SELECT NULL, concat('TRK', user_id), user_id, NULL, NULL, NULL, 'dead_letter',
+  CASE WHEN flagged THEN 'dirty_step' ELSE 'unmatched_step' END {_lost_steps('shipping', 'user_id')}""", uses=("gateway",))
 def silver_shipping(t):
     out = silver.shipping(gateway_bronze(t))
     return out.select("id", "tracking_number", "order_id", "status", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("shipped_at", "delivered_at")],
-                      F.col("_route").alias("route"))
+                      F.col("_route").alias("route"), F.array_join("_reasons", ",").alias("reasons"))
+
+
+@query("gateway_balance", f"""
+WITH g AS (SELECT split_part(kind, '.', 1) AS entity, kind LIKE '%.created' AS created, {FLAGGED} AS flagged,
+  CASE WHEN kind LIKE 'payment%' THEN txn ELSE CAST(user_id AS VARCHAR) END AS k FROM gateway WHERE kind NOT LIKE 'order%'),
+m AS (SELECT DISTINCT entity, k FROM g WHERE created)
+SELECT entity, count(*) AS events, count(DISTINCT CASE WHEN created THEN g.k END) AS current_rows,
+  count(*) FILTER (WHERE NOT created AND NOT flagged AND m.k IS NOT NULL) AS folded,
+  count(*) FILTER (WHERE NOT created AND (flagged OR m.k IS NULL)) AS lost_steps,
+  count(*) FILTER (WHERE created) - count(DISTINCT CASE WHEN created THEN g.k END) AS superseded
+FROM g LEFT JOIN m USING (entity, k) GROUP BY 1""", uses=("gateway",))
+def gateway_balance(t):
+    """Every event is a current row, folded into one, superseded by an earlier creation, or a dead letter."""
+    bronze = gateway_bronze(t)
+    parts = []
+    for entity, recipe in (("payment", silver.payments), ("shipping", silver.shipping)):
+        lost = F.array_contains("_reasons", "dirty_step") | F.array_contains("_reasons", "unmatched_step")
+        out = recipe(bronze).agg(F.count_if(~lost).alias("current_rows"), F.count_if(lost).alias("lost_steps"))
+        made = F.count_if(F.col("kind") == f"{entity}.created")
+        steps = F.count_if(F.col("kind") == f"{entity}.status_updated")
+        counts = t.gateway.agg((made + steps).alias("events"), made.alias("made"), steps.alias("steps"))
+        both = counts.withColumn("one", F.lit(1)).join(out.withColumn("one", F.lit(1)), "one")
+        parts.append(both.select(
+            F.lit(entity).alias("entity"), "events", "current_rows", (F.col("steps") - F.col("lost_steps")).alias("folded"), "lost_steps",
+            (F.col("made") - F.col("current_rows")).alias("superseded")))
+    return parts[0].unionByName(parts[1])
+
+
+@query("silver_incremental", """
+SELECT id, customer_id, upper(status) AS status, CAST(total_amount AS DOUBLE) AS total_amount, 'silver' AS route
+FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY __source_ts_ms DESC) AS rn FROM cdc_orders) c WHERE rn = 1 AND __op <> 'd'""", uses=("cdc_orders",))
+def silver_incremental(t):
+    """A full run over the first landing and a merging run over the second, in which the log's later changes arrive, deletes
+    and late creations among them, leave what one run over both would."""
+    root = scratch_folder(t.spark, "incremental")
+    late = (F.col("__op") == "d") | (F.col("id") % 5 == 0)
+    rows = t.cdc_orders.withColumn("order_date", _ms("order_date"))
+    for day, part in (("2024-03-01", rows.filter(~late)), ("2024-03-02", rows.filter(late))):
+        landed = part.select(*_message("erp.public.orders", "*"), F.lit(day).cast("date").alias("ingest_date"), F.lit(None).cast("string").alias("kafka_key"),
+                             F.lit(None).cast("timestamp").alias("_kafka_timestamp"))
+        landed.write.mode("append").partitionBy("_source_topic", "ingest_date").parquet(f"{root}/bronze/erp_raw")
+        lakehouse.run_silver(t.spark, root, F.expr(AT), since=None if day.endswith("01") else day, entities=("orders",))
+    out = t.spark.read.parquet(f"{root}/silver/orders")
+    return out.select("id", "customer_id", "status", F.col("total_amount").cast("double").alias("total_amount"), F.col("_route").alias("route"))
 
 
 @query("silver_dead_letters", r"""
@@ -203,15 +261,10 @@ i AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY __sou
 SELECT CAST(year(o.order_date) AS INTEGER) AS order_year, CAST(month(o.order_date) AS INTEGER) AS order_month, count(*) AS total_items,
   CAST(sum(i.total_price) AS DOUBLE) AS total_revenue FROM i JOIN o ON i.order_id = o.id GROUP BY 1, 2""", uses=("cdc_orders", "cdc_items"))
 def revenue(t):
-    """Messages -> stored silver tables -> star schema -> report."""
-    root = scratch_folder(t.spark, "revenue")
+    """Messages -> silver frames -> star schema -> report, in one plan."""
     bronze = erp_bronze(t)
     recipes = {"orders": silver.orders, "customers": silver.customers, "order_items": silver.order_items, "products": silver.products}
-    tables = {}
-    for entity, recipe in recipes.items():
-        routed = recipe(bronze)
-        overwrite_table(routed, f"{root}/{entity}", ["_route"])
-        tables[entity] = silver.accepted(t.spark.read.schema(routed.schema).parquet(f"{root}/{entity}"))
+    tables = {entity: silver.accepted(recipe(bronze)) for entity, recipe in recipes.items()}
     fact = gold.fact_sales(
         tables["order_items"], tables["orders"], gold.dim_customers(tables["customers"]), gold.dim_products(tables["products"]),
         gold.dim_payments(t.sql(reports.PAYMENTS)), gold.dim_shipping(t.sql(reports.SHIPMENTS)))

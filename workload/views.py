@@ -33,16 +33,21 @@ r AS (
     CASE o_orderkey % 20 WHEN 1 THEN 'DIRTY' WHEN 2 THEN 'QUARANTINE' WHEN 3 THEN NULL ELSE 'CLEAN' END AS _quality_flag
   FROM b)
 SELECT * FROM r UNION ALL SELECT * FROM r WHERE id % 20 = 0""",
-    # 2% near duplicates under a new id: a blank after the status, the amount one cent higher.
+    # Near duplicates under a new id: a blank after the status, dressed amounts a cent or less away, amounts of three
+    # decimals that are near one copy but not the other, and copies without a customer, which have no twins.
     "near_orders": """
-SELECT o_orderkey AS id, o_custkey AS customer_id, o_orderstatus AS status, o_orderdate AS order_date,
-       CAST(o_totalprice AS DECIMAL(12,2)) AS total_amount FROM orders
+WITH b AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 25 = 3 THEN NULL ELSE o_custkey END AS customer_id, o_orderstatus AS status,
+  o_orderdate AS order_date, CAST(o_totalprice AS DECIMAL(12,3)) AS amt FROM orders)
+SELECT id, customer_id, status, order_date, CAST(amt AS STRING) AS total_amount FROM b
 UNION ALL
-SELECT o_orderkey + 1000000000000000, o_custkey, concat(lower(o_orderstatus), ' '), o_orderdate,
-       CAST(CAST(o_totalprice AS DECIMAL(12,2)) + 0.01 AS DECIMAL(12,2)) FROM orders WHERE o_orderkey % 50 = 0
+SELECT id + 1000000000000000, customer_id, concat(lower(status), ' '), order_date,
+  concat('$', CAST(CAST(amt + 0.01 AS DECIMAL(12,3)) AS STRING)) FROM b WHERE id % 50 = 0 OR id % 25 = 3
 UNION ALL
-SELECT o_orderkey + 2000000000000000, o_custkey, o_orderstatus, o_orderdate,
-       CAST(CAST(o_totalprice AS DECIMAL(12,2)) + 0.02 AS DECIMAL(12,2)) FROM orders WHERE o_orderkey % 50 = 1""",
+SELECT id + 2000000000000000, customer_id, status, order_date, CAST(CAST(amt + 0.02 AS DECIMAL(12,3)) AS STRING) FROM b WHERE id % 50 = 1
+UNION ALL
+SELECT id + 3000000000000000, customer_id, status, order_date, concat(CAST(CAST(amt + 0.004 AS DECIMAL(12,3)) AS STRING), 'USD') FROM b WHERE id % 50 = 2
+UNION ALL
+SELECT id + 4000000000000000, customer_id, status, order_date, CAST(CAST(amt + 0.014 AS DECIMAL(12,3)) AS STRING) FROM b WHERE id % 50 = 2""",
     "dirty_parts": """
 SELECT p_partkey AS id, p_name AS name, p_brand AS brand,
   CASE p_partkey % 7 WHEN 0 THEN concat('SKU-AB', k) WHEN 1 THEN concat('SKUAB', k) WHEN 2 THEN concat('sku_ab', k)
@@ -84,14 +89,9 @@ SELECT event_id, ts, user_id, event_type, value,
 FROM events""",
 }
 
-_NEEDS: dict[str, tuple[str, ...]] = {}
-
-
-def closure(names: tuple[str, ...]) -> list[str]:
-    """The named views, each preceded by the views it reads."""
-    out: list[str] = []
-    for name in names:
-        for n in (*closure(_NEEDS.get(name, ())), name):
-            if n not in out:
-                out.append(n)
-    return out
+# The dirty orders, and near duplicates of some under a new id with a dressed amount.
+VIEWS["crowded_orders"] = f"""
+WITH dirty AS ({VIEWS["dirty_orders"]})
+SELECT * FROM dirty UNION ALL
+SELECT id + 1000000000000000, customer_id, status, concat('$', total_amount), order_date, category, _quality_flag
+FROM (SELECT DISTINCT * FROM dirty) x WHERE id % 11 > 7 AND id % 8 = 1"""
