@@ -2,8 +2,8 @@
 
 A long text is cut into chunks that overlap. Each chunk is split into pre-tokens on its own, from wherever it happens to start;
 where two neighbours have a pre-token boundary in common inside the overlap, they agree from there on, because the pattern
-never looks back. The text is stitched at those places, and the pieces between them are encoded apart from each other. Where
-an overlap holds no common boundary (one pre-token fills it), the two chunks stay in one piece. Ids are held as little-endian
+never looks back. The text is stitched at those places, and the pieces between them are encoded apart from each other. From an
+overlap without a common boundary (one pre-token fills it) to the end, the text stays in one piece. Ids are held as little-endian
 unsigned 32-bit integers; decoding joins the bytes of the ids.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 from collections.abc import Callable, Iterator
 from functools import cache
 
@@ -25,8 +26,9 @@ from siltstone.llm.frames import slices, stored, typed
 CHUNK = 32_768  # characters
 OVERLAP = 512
 _AHEAD = 4  # characters that the pattern may look at beyond a boundary
-_KEPT = 200_000  # pre-tokens that a worker remembers
+_KEPT = 200_000  # words that a worker remembers
 _NONE = 1 << 62
+_GAP, _SINGLE = re.compile(r"\s | \s"), re.compile(r"(?<=\S) (?=\S)")
 
 
 def _merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -75,25 +77,47 @@ def _merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return found
 
 
-class Codec(dict):
-    """Remembers pre-tokens with their packed ids."""
+class _Spaced(dict):
+    """Packed ids of words with the space before them."""
+
+    def __init__(self, codec: Codec):
+        self.codec = codec
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.codec.plain(f" {word}")
+        if len(word) <= 64:
+            if len(self) >= _KEPT:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
+class Codec:
+    """Encodes and decodes by one file of ranks; remembers words.
+
+    A match of the pattern never goes on past a single space between two characters that are no white space, and starts with
+    it if it holds it at all: with `apart` such a text is encoded word by word. That holds for patterns whose only
+    spaces are an optional one in front and runs of white space.
+    """
 
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.pieces = {v: k for k, v in self.ranks.items()}
         self.split = regex.compile(pattern)
+        self.spaced = _Spaced(self)
+        self.apart = all(len(self.split.findall(f"{a} {b}")) > 1 and self.split.match(f"{a} {b}").end() == len(a)
+                         for a in ("a", "1", "!", "'", "é", "'s") for b in ("b", "2", "?", "'", "漢", "'s", "'re"))
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(_merge(piece.encode(), self.ranks), "<u4").tobytes()
-        if len(piece) <= 64:
-            if len(self) >= _KEPT:
-                self.clear()
-            self[piece] = ids
-        return ids
+    def plain(self, text: str) -> bytes:
+        return b"".join([np.array(_merge(p.encode(), self.ranks), "<u4").tobytes() for p in self.split.findall(text)])
 
     def encode(self, text: str) -> bytes:
-        return b"".join([self[p] for p in self.split.findall(text)])
+        if not self.apart:
+            return self.plain(text)
+        first, *rest = _SINGLE.split(text) if _GAP.search(text) else text.split(" ")
+        spaced = self.spaced
+        return self.plain(first) + b"".join([spaced[w] for w in rest])
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -111,15 +135,18 @@ def codec(path: str, pattern: str) -> Codec:
 Batches = Iterator[pa.RecordBatch]
 
 
-def _encode(path: str, pattern: str) -> Callable[[Batches], Batches]:
-    """Replaces the first column, texts, by their ids."""
+def _encode(path: str, pattern: str, decoded: bool = False) -> Callable[[Batches], Batches]:
+    """Replaces the first column, texts, by their ids, and if `decoded` the bytes of these."""
 
     def run(batches: Batches) -> Batches:
         own = codec(path, pattern)
         for batch in batches:
             for part in slices(batch):
-                ids = pa.array([own.encode(t.as_py() or "") for t in part.column(0)], pa.binary())
-                yield pa.RecordBatch.from_arrays([ids, *part.columns[1:]], ["ids", *part.schema.names[1:]])
+                found = [own.encode(t.as_py() or "") for t in part.column(0)]
+                back = [pa.array(map(own.decode, found), pa.binary())] if decoded else []
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found, pa.binary()), *back, *part.columns[1:]],
+                    ["ids", *["decoded"] * decoded, *part.schema.names[1:]])
 
     return run
 
@@ -151,7 +178,9 @@ def _edges(path: str, pattern: str, chunk: int, overlap: int):
                 text = text.as_py()
                 at = own.boundaries(text)
                 heads.append([p for p in at if p < overlap])
-                tails.append([] if last.as_py() else [p - chunk for p in at if chunk <= p <= len(text) - _AHEAD])
+                # Not after white space: the match before would look different at the end of a piece.
+                tails.append([] if last.as_py() else [
+                    p - chunk for p in at if chunk <= p <= len(text) - _AHEAD and not text[p - 1].isspace()])
             kind = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), batch.column(2), pa.array(heads, kind), pa.array(tails, kind)], ["row", "k", "heads", "tails"])
@@ -159,24 +188,36 @@ def _edges(path: str, pattern: str, chunk: int, overlap: int):
     return run
 
 
-def _joined(batches: Batches) -> Batches:
-    for batch in batches:
-        ids = pa.array([b"".join(parts.as_py()) for parts in batch.column(0)], pa.binary())
-        yield pa.RecordBatch.from_arrays([ids, batch.column(1)], ["ids", "row"])
+def _joined(path: str, pattern: str, decoded: bool):
+    def run(batches: Batches) -> Batches:
+        own = codec(path, pattern)
+        for batch in batches:
+            found = [b"".join(parts.as_py()) for parts in batch.column(0)]
+            back = [pa.array(map(own.decode, found), pa.binary())] if decoded else []
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.binary()), *back, batch.column(1)], ["ids", *["decoded"] * decoded, "row"])
+
+    return run
 
 
-def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+def encode(
+    docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP, decoded: bool = False,
+) -> DataFrame:
     """The columns of `docs` but text, after a first column `token_ids`: binary, 4 bytes for each id.
 
+    With `decoded`, a column of that name follows with the bytes that the ids decode to.
+
     The ids are those of whole texts: each match of `pattern` is merged on its own, without special tokens. `path` is a
     file of ranks that every executor has. A null or empty text has no ids. Repeated rows are encoded alike. A column of
     the name `token_ids` is replaced; an empty table gives an empty result.
     """
-    columns = [c for c in docs.columns if c not in ("text", "token_ids")]
+    back = ["decoded"] * decoded
+    columns = [c for c in docs.columns if c not in ("text", "token_ids", *back)]
     rows = docs.select(F.coalesce("text", F.lit("")).alias("own_text"), F.struct(F.lit(0).alias("_"), *columns).alias("own_row"))
     length = F.length("own_text")
     kind = rows.schema["own_row"].dataType
-    short = rows.where(length <= chunk).mapInArrow(_encode(path, pattern), typed(ids="binary", own_row=kind))
+    both = {c: "binary" for c in ("ids", *back)}
+    short = rows.where(length <= chunk).mapInArrow(_encode(path, pattern, decoded), typed(**both, own_row=kind))
 
     # Only long texts are shuffled.
     long = stored(rows.where(length > chunk).withColumn("row", F.monotonically_increasing_id()), "long")
@@ -188,20 +229,22 @@ def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap
         "row", "k", F.array_min(F.array_intersect("tails", "heads")).alias("cut"))
     opens = chunks.join(cuts, ["row", "k"], "left")
     closes = opens.join(cuts.select("row", (F.col("k") - 1).alias("k"), F.col("cut").alias("next")), ["row", "k"], "left")
-    begin = F.coalesce("cut", F.lit(0))
-    upto = F.when(F.col("last"), F.length("chunk")).otherwise(chunk + F.coalesce("next", F.lit(0)))
-    parts = closes.select("row", "k", "cut", F.substring("chunk", begin + 1, upto - begin).alias("part"))
-    # A chunk without a cut belongs to the piece that the chunk before it is in.
-    lead = cuts.where("cut is not null").groupBy("row").agg(F.array_sort(F.collect_list("k")).alias("starts"))
-    pieces = parts.join(lead, "row", "left").withColumn(
-        "piece", F.coalesce(F.size(F.filter("starts", lambda s: s <= F.col("k"))), F.lit(0)))
+    # A chunk is known to have found the true boundaries if it and all before it have a cut; the others go on in one piece.
+    found = cuts.where("cut is not null").groupBy("row").agg(F.array_sort(F.collect_list("k")).alias("starts")).select(
+        "row", F.size(F.filter("starts", lambda s, i: s == i + 1)).alias("sure"))
+    closes = closes.join(found, "row", "left").withColumn("sure", F.coalesce("sure", F.lit(0)))
+    begin = F.when(F.col("k") <= F.col("sure"), F.coalesce("cut", F.lit(0))).otherwise(0)
+    upto = F.when(F.col("last"), F.length("chunk")).otherwise(
+        chunk + F.when(F.col("k") < F.col("sure"), F.col("next")).otherwise(0))
+    pieces = closes.select(
+        "row", "k", F.least("k", "sure").alias("piece"), F.substring("chunk", begin + 1, upto - begin).alias("part"))
     pieces = pieces.groupBy("row", "piece").agg(F.array_sort(F.collect_list(F.struct("k", "part"))).alias("p")).select(
         F.array_join(F.transform("p", lambda x: x["part"]), "").alias("text"), "row", "piece")
     encoded = stored(pieces.mapInArrow(_encode(path, pattern), "ids binary, row bigint, piece int"), "pieces")
     whole = encoded.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("piece", "ids"))).alias("p")).select(
-        F.transform("p", lambda x: x["ids"]).alias("parts"), "row").mapInArrow(_joined, "ids binary, row bigint")
-    long = whole.join(long.select("row", "own_row"), "row").select("ids", "own_row")
-    return short.union(long).select(F.col("ids").alias("token_ids"), *[F.col("own_row").getField(c).alias(c) for c in columns])
+        F.transform("p", lambda x: x["ids"]).alias("parts"), "row").mapInArrow(_joined(path, pattern, decoded), typed(**both, row="bigint"))
+    long = whole.join(long.select("row", "own_row"), "row").select(*both, "own_row")
+    return short.union(long).select(F.col("ids").alias("token_ids"), *back, *[F.col("own_row").getField(c).alias(c) for c in columns])
 
 
 def _decode(path: str, pattern: str):

@@ -47,18 +47,19 @@ def remove_repeated_lines(docs: DataFrame) -> DataFrame:
         "own_id", "own_print", F.explode_outer("chunks").alias("c")).where("c.lines > 1").select(
         "own_id", "own_print", F.col("c.at").alias("at"), F.col("c.body").alias("body"), F.xxhash64("c.body").alias("hash"))
     repeated = chunks.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
-    suspects = stored(chunks.join(repeated.select("hash"), "hash"), "suspects")
+    # Both sides of each join here grow with the corpus: none is broadcast, at any size.
+    suspects = stored(chunks.join(repeated.select("hash").hint("merge"), "hash"), "suspects")
     place = F.struct("own_id", "own_print", "at")
     firsts = suspects.groupBy("hash", "body").agg(F.min(place).alias("first"))
     gone = (
-        suspects.join(firsts, ["hash", "body"]).where(~place.eqNullSafe(F.col("first")))
+        suspects.join(firsts.hint("merge"), ["hash", "body"]).where(~place.eqNullSafe(F.col("first")))
         .groupBy("own_id", "own_print").agg(F.collect_set("at").alias("gone"))
     )
     gone = stored(gone, "gone", small=True).withColumnsRenamed({"own_id": "gone_id", "own_print": "gone_print"})
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed_lines")]
     rows = docs.select(
         F.struct(F.lit(0).alias("_"), *[c for c in columns if c != "text"]).alias("row"), F.col("text"), F.col("doc_id").alias("own_id"), row_print(F.col("text")).alias("own_print"))
-    marked = rows.join(gone, rows.own_id.eqNullSafe(gone.gone_id) & (rows.own_print == gone.gone_print), "left")
+    marked = rows.join(gone.hint("merge"), rows.own_id.eqNullSafe(gone.gone_id) & (rows.own_print == gone.gone_print), "left")
     marked = _chunked(marked.select("row", "text", "gone"))
     stay = F.filter("chunks", lambda c: ~F.array_contains("gone", c["at"]))
     marked = marked.withColumn("stay", F.when(F.col("gone").isNotNull(), stay))

@@ -211,14 +211,14 @@ def learn(
 def learned_rules(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **options) -> list[Rule]:
     """A decision list from at most `sample` of the rows of `docs` that `labels` (doc_id, quality: 0 or 1) covers.
 
-    The sample is taken by a hash of the id. A row labelled more than once has its lowest label; null ids and labels are left out.
+    Rows that fail the base rules are decided already and teach nothing. The sample is taken by a hash of the id. A row labelled more than once has its lowest label; null ids and labels are left out.
     Without rows of either label the list is empty.
     """
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).withColumnRenamed("doc_id", "known_id")
     rows = docs.select("text", "doc_id").join(F.broadcast(known), F.col("doc_id") == F.col("known_id")).select(
         "text", "quality", F.xxhash64("doc_id", row_print(F.col("text"))).alias("order"))
-    rows = measured(rows, "quality", "order").select("own_row.*", *[share(n).alias(n) for n in SHARES])
+    rows = measured(rows, "quality", "order").where(~base_failed()).select("own_row.*", *[share(n).alias(n) for n in SHARES])
     rows = rows.orderBy("order", *SHARES).limit(sample).collect()
     bad = np.array([r["quality"] == 0 for r in rows], bool)
     if not bad.any() or bad.all():

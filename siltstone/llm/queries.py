@@ -154,8 +154,7 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     path, pattern = _tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    coded = bpe.encode(_table(spark, folder, "documents").select("doc_id", "text"), path, pattern)
-    found = bpe.decode(coded.select("token_ids", "doc_id"), path, pattern)
+    found = bpe.encode(_table(spark, folder, "documents").select("doc_id", "text"), path, pattern, decoded=True)
     return found.select(
         "doc_id", F.expr("cast(octet_length(token_ids) div 4 as bigint)").alias("n_tokens"),
         F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
