@@ -40,7 +40,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The columns of `docs`, text being what the ids decode to, then token_ids (4 bytes for each id) and n_tokens."""
-    found = bpe.decode(bpe.encode(docs, TOKENIZER, PATTERN), TOKENIZER, PATTERN).withColumn("text", F.col("decoded").cast("string"))
+    found = bpe.encode(docs, TOKENIZER, PATTERN, decoded=True).withColumn("text", F.col("decoded").cast("string"))
     return found.select(*docs.columns, "token_ids", F.expr("cast(octet_length(token_ids) div 4 as bigint)").alias("n_tokens"))
 
 
