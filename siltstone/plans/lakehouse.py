@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from siltstone import schemas, vocab
 from siltstone.functions.text import blank_to_null, sku_simple
+from siltstone.operators import quality as q
 from siltstone.operators.quality import dead_letters
 from siltstone.operators.reports import monthly_revenue
+from siltstone.operators.status import apply_delivery_notices, apply_stock_updates
 from siltstone.plans import gold, silver
 from siltstone.sources.bronze import read_topics, to_bronze
 from siltstone.sources.files import read_or_empty
@@ -27,6 +29,8 @@ KEYS: dict[str, tuple[str, str, bool]] = {
     "warehouse_events": ("sku", "string", False),
     "payments": ("transaction_id", "string", True),
     "shipping": ("tracking_number", "string", True),
+    "reviews": ("review_id", "bigint", True),
+    "feedback": ("feedback_id", "bigint", True),
 }
 
 # silver table -> (landing table, recipe, label in the dead-letter table)
@@ -38,6 +42,8 @@ ENTITIES: dict[str, tuple[str, Callable[[DataFrame], DataFrame], str]] = {
     "warehouse_events": ("wh_raw", silver.warehouse_products, "warehouse.products"),
     "payments": ("pay_raw", silver.payments, "payment.payments"),
     "shipping": ("pay_raw", silver.shipping, "payment.shipping"),
+    "reviews": ("pay_raw", silver.reviews, "payment.reviews"),
+    "feedback": ("pay_raw", silver.feedback, "payment.feedback"),
 }
 
 
@@ -115,6 +121,30 @@ def run_silver(
     overwrite_table(dead_letters(rejects, now), f"{root}/silver/dlq")
 
 
+def current_orders(spark: SparkSession, root: str) -> DataFrame:
+    """Accepted orders with the delivery notices of the gateway applied; the orders themselves stay as their source has them."""
+    notices = silver.delivery_notices(read_bronze(spark, root, "pay_raw"))
+    orders = read_routed(spark, root, "orders", silver.SILVER)
+    return apply_delivery_notices(orders, notices.withColumnRenamed("order_id", "id"), "id", delivered="DELIVERED")
+
+
+def current_products(spark: SparkSession, root: str) -> DataFrame:
+    """Accepted products with the newest stock and price that the warehouse reports for each."""
+    updates = silver.stock_updates(read_bronze(spark, root, "wh_raw")).withColumnRenamed("product_id", "id")
+    products = read_routed(spark, root, "products", silver.SILVER)
+    return apply_stock_updates(products, updates, "id", "updated_at", ["_event_id"])
+
+
+def replay_products(spark: SparkSession, root: str, now: Column, max_retries: int = 3) -> DataFrame:
+    """Dead product rows tried again: those that can be repaired come back as silver, the others as dead letters with a retry more."""
+    dead = read_routed(spark, root, "products", silver.DEAD_LETTER).withColumn("_quality_flag", F.lit(vocab.DIRTY))
+    if "_retry_count" not in dead.columns:
+        dead = dead.withColumn("_retry_count", F.lit(0))
+    rules = [q.sku_format_variant(), *[q.null_rule(c) for c in ("id", "sku", "name", "price")], q.not_positive("price")]
+    accepted = read_routed(spark, root, "products", silver.SILVER).select("id")
+    return q.replay_dead_letters(dead, rules, ["id", "sku", "price"], accepted, ["id"], now, max_retries)
+
+
 def build_gold(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The star schema from silver frames."""
     dims = {

@@ -235,3 +235,44 @@ def shipping(bronze: DataFrame, schema: str = schemas.PAYLOAD["shipping"], *, fo
     }).drop("shipping_id")
     rules = [q.null_rule("order_id"), q.null_rule("tracking_number")]
     return _current_state(typed, rules, "tracking_number", SHIPPING_STAMPS, fold)
+
+
+def _gateway_records(bronze: DataFrame, prefix: str, schema: str) -> DataFrame:
+    """Events of a kind that is only ever created, typed as far as all kinds are."""
+    events = parse_payload(parse_nested_envelope(bronze, raw=True), prefix, schema)
+    return events.withColumn("_ingested_at", iso_ts(F.col("_ingested_at")))
+
+
+def _latest_event() -> list[Column]:
+    return [F.col("_ingested_at").desc_nulls_last(), F.col("_event_id").desc_nulls_last()]
+
+
+def reviews(bronze: DataFrame, schema: str = schemas.PAYLOAD["review"]) -> DataFrame:
+    """Product reviews, newest event per review."""
+    rows = placeholders_to_null(_gateway_records(bronze, "review.", schema), ["title", "comment"])
+    rules = [q.null_rule(c) for c in ("review_id", "product_id", "rating")]
+    rules.append(q.Rule("rating_out_of_range", ~F.col("rating").between(1, 5), 2))
+    return _resolve(rows, rules, "review_id", _latest_event())
+
+
+def feedback(bronze: DataFrame, schema: str = schemas.PAYLOAD["feedback"]) -> DataFrame:
+    """Customer feedback, newest event per ticket."""
+    rows = placeholders_to_null(_gateway_records(bronze, "feedback.", schema), ["type", "subject", "priority", "status"])
+    return _resolve(rows, [q.null_rule("feedback_id"), q.null_rule("customer_id")], "feedback_id", _latest_event())
+
+
+def delivery_notices(bronze: DataFrame, schema: str = schemas.PAYLOAD["delivery_notice"]) -> DataFrame:
+    """Notices that an order was delivered, for `apply_delivery_notices`; flagged ones are left out."""
+    rows = _gateway_records(bronze, "order.delivered_notification", schema)
+    good = ~F.coalesce(F.col("_quality_flag").isin(vocab.DIRTY, vocab.QUARANTINE), F.lit(False))
+    return rows.filter(good & F.col("order_id").isNotNull()).select("order_id", "shipping_id", "_event_id", "_ingested_at")
+
+
+def stock_updates(bronze: DataFrame, schema: str = schemas.WAREHOUSE_STOCK) -> DataFrame:
+    """Stock and price updates, for `apply_stock_updates`; flagged ones and unusable numbers are left out."""
+    rows = keep_event_types(parse_flat_envelope(bronze, schema), ["product.stock_updated"])
+    good = ~F.coalesce(F.col("_quality_flag").isin(vocab.DIRTY, vocab.QUARANTINE), F.lit(False))
+    price = to_money(F.col("new_price"))
+    return rows.filter(good & F.col("product_id").isNotNull()).select(
+        "product_id", iso_ts(F.col("updated_at")).alias("updated_at"), "_event_id",
+        F.when(F.col("new_stock") >= 0, F.col("new_stock")).alias("new_stock"), F.when(price > 0, price).alias("new_price"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+# --- fixed values: names and types of the messages' and tables' fields, as the sources send them --
+
 # --- landing ------------------------------------------------------------------------------------
 
 MESSAGE = (

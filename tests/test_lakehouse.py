@@ -124,6 +124,13 @@ def test_later_landings_are_merged(spark, lake, tmp_path):
         ("payment.events", envelope("payment.status_updated", "p8", "2024-03-05T01:00:00", {"transaction_id": "T1", "status_to": "failed"}, "DIRTY")),
         ("payment.events", envelope("payment.status_updated", "p9", "2024-03-05T01:00:00", {"transaction_id": "T9", "status_to": "completed"})),
         ("payment.events", envelope("payment.status_updated", "p10", "2024-03-05T01:00:00", {"transaction_id": "T1"})),
+        ("payment.events", envelope("review.created", "r1", "2024-03-05T01:00:00", {"review_id": 1, "product_id": 7, "rating": 4})),
+        ("payment.events", envelope("review.created", "r2", "2024-03-05T02:00:00", {"review_id": 2, "product_id": 7, "rating": 9})),
+        ("payment.events", envelope("feedback.created", "f1", "2024-03-05T02:00:00", {"feedback_id": 3, "customer_id": 1, "type": "N/A"})),
+        ("payment.events", envelope("order.delivered_notification", "n1", "2024-03-05T02:00:00", {"order_id": 5, "shipping_id": 3})),
+        ("payment.events", envelope("order.delivered_notification", "n2", "2024-03-05T02:00:00", {"order_id": 7}, "DIRTY")),
+        ("warehouse.events", {"_event_id": "w10", "_event_type": "product.stock_updated", "product_id": 7, "updated_at": "2024-03-05T00:00:00", "new_stock": 4, "new_price": "30"}),
+        ("warehouse.events", {"_event_id": "w11", "_event_type": "product.stock_updated", "product_id": 7, "updated_at": "2024-03-06T00:00:00", "new_stock": 3, "new_price": "-1"}),
     ]
     root, late = str(tmp_path / "lake"), timedelta(days=5)
     first = [message(t, b, i) for i, (t, b) in enumerate(MESSAGES)]
@@ -138,7 +145,7 @@ def test_later_landings_are_merged(spark, lake, tmp_path):
     def content():
         found = {}
         for entity in lakehouse.ENTITIES:
-            df = spark.read.parquet(f"{root}/silver/{entity}")
+            df = lakehouse.read_or_empty(spark, f"{root}/silver/{entity}", lakehouse.ENTITIES[entity][1](spark.createDataFrame([], schemas.BRONZE)).schema)
             found[entity] = sorted(str(sorted(r.asDict().items())) for r in df.collect())
         return found
 
@@ -151,6 +158,15 @@ def test_later_landings_are_merged(spark, lake, tmp_path):
         "p8": ["dirty_step"], "p9": ["unmatched_step"], "p10": ["step_without_status"]}
     kept = {r["id"] for r in spark.read.parquet(f"{root}/silver/orders").filter("_route = 'silver'").collect()}
     assert kept == {3, 5, 7}
+    assert silver_rows(spark, root, "reviews", "review_id", "rating") == [(1, 4)]
+    assert lakehouse.read_routed(spark, root, "reviews", silver.DEAD_LETTER).first()["_reasons"] == ["rating_out_of_range"]
+    assert silver_rows(spark, root, "feedback", "feedback_id", F.col("type").isNull()) == [(3, True)]
+    orders = {r["id"]: r["status"] for r in lakehouse.current_orders(spark, root).collect()}
+    assert orders[5] == "DELIVERED" and orders[7] == "PENDING"
+    product = lakehouse.current_products(spark, root).first()
+    assert (product["id"], product["stock_quantity"], str(product["price"])) == (7, 3, "25.00")
+    again = lakehouse.replay_products(spark, root, F.lit(T0)).collect()
+    assert [(r["id"], r["_route"], r["_retry_count"]) for r in again] == [(8, "dead_letter", 1)]
 
 
 def test_gold(spark, lake):
