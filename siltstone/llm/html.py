@@ -44,10 +44,11 @@ select table tbody td tfoot th thead tr ul""".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Words in class, id and role that name a part outside the article.
 _NAMED = re.compile(
-    r"""(?:^|[\s_-])(?:ad|ads|advert|advertisement|advertising|adbox|banner|breadcrumbs?|byline-links|comments?|comment-list|respond|
+    r"""(?:^|[\s_-])(?:ad|ads|advert|advertisement|advertising|adbox|adslot|adunit|adsbygoogle|banner|breadcrumbs?|byline-links|comments?|comment-list|respond|
     replies|consent|cookies?|disqus|footer|gdpr|header|menu|masthead|modal|nav|navbar|navigation|newsletter|notices?|pagination|
     pager|popup|promo|promoted|recommended|related|share|sharing|sidebar|signup|skip|social|sponsor(?:ed)?|subscribe|subscription|
     tags|toc|toolbar|topbar|widgets?|complementary|contentinfo|search|alert|dialog)(?=$|[\s_-])""", re.I | re.X)
+_HEADING = re.compile(r"\bheader\b", re.I)
 _COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|respond|replies|disqus)(?=$|[\s_-])", re.I)
 _QUOTED = r"""(?:[^<>"']|"[^"<]{0,4000}"|'[^'<]{0,4000}')*+"""
 _TOKEN = re.compile(
@@ -141,7 +142,7 @@ def blocks_of(html: str) -> list[Block]:
                         while stack and stack[-1][1] == "out":
                             stack.pop()
                         around = stack[-1][1] if stack else ""
-                    if name == "header" and around == "main" and own == "out" and not m["attrs"].strip():
+                    if around == "main" and own == "out" and _HEADING.search(name + m["attrs"]) and not _NAMED.search(_HEADING.sub(" ", m["attrs"])):
                         own = ""  # the article's own heading
                     inner = around if around in ("out", "comments") else own or around
                     stack.append((name, inner))

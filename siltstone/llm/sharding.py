@@ -20,11 +20,15 @@ OVERFULL = 2  # times the mean of the ranges
 _KEY = ("digest", "doc_id", "row")
 
 
-def _draw(rows: DataFrame, sample: int) -> list[tuple]:
-    """A weighted sample without replacement: the smallest -ln(u) / size, with u from a hash of the key."""
+def _draw(rows: DataFrame, sample: int, total: int) -> list[tuple]:
+    """A weighted sample without replacement of `rows` with `total` bytes: the smallest -ln(u) / size, with u from a hash of the key.
+
+    About twice as many as are wanted lie below the cutoff, so that no more than that leaves the tasks.
+    """
     u = (F.shiftrightunsigned(F.xxhash64(*_KEY), 11) + 1) / F.lit(float(1 << 53) + 1)
-    drawn = rows.orderBy(-F.log(u) / F.col("size"), *_KEY).limit(sample).select(*_KEY)
-    return [tuple(r) for r in drawn.collect()]
+    lot = -F.log(u) / F.col("size")
+    near = rows.withColumn("lot", lot).where(F.col("lot") <= 2.0 * sample / max(total, 1) + 1e-300)
+    return [tuple(r) for r in near.orderBy("lot", *_KEY).limit(sample).select(*_KEY).collect()]
 
 
 def _sort_key(key: tuple):
@@ -59,7 +63,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES,
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
         F.md5(text).alias("digest"), F.monotonically_increasing_id().alias("row")), "records")
     total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    drawn = sorted(_draw(rows, sample), key=_sort_key)
+    drawn = sorted(_draw(rows, sample, total), key=_sort_key)
     splitters = sorted({drawn[len(drawn) * k // ranges] for k in range(1, ranges)}, key=_sort_key) if drawn else []
     while True:
         ranged = rows.withColumn("range", _range_of(splitters, rows))
@@ -68,7 +72,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES,
         overfull = [k for k, (size, n) in held.items() if n > 1 and size * ranges > OVERFULL * total + ranges * size / n]
         if not overfull:
             break
-        drawn = sorted(_draw(ranged.where(F.col("range").isin(overfull)), sample), key=_sort_key)
+        drawn = sorted(_draw(ranged.where(F.col("range").isin(overfull)), sample, sum(held[k][0] for k in overfull)), key=_sort_key)
         step = max(1, len(drawn) // (2 * OVERFULL * len(overfull)))
         more = set(drawn[step::step]) | set(drawn[len(drawn) // 2:][:1])
         if more <= set(splitters):

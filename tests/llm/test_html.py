@@ -15,7 +15,7 @@ def test_parts_of_a_page():
     page = f"""<!DOCTYPE html><html><head><title>Not this</title><style>p > b {{ }}</style><script>if (a<b) x("</p>");</script></head>
     <body class="page header-fixed"><!-- <p>{LONG}</p> --><header><a href="/">Home</a><p>{LONG}</p></header><nav><ul><li><a href=/a>A</a><li>B</ul></nav>
     <div id="cookie-notice">{LONG}</div><div class="ad">{LONG}</div>
-    <article><header><h1>A &amp; B &lt;3</h1></header><p>{LONG}</p><p>Short.<p>With <a href="x">a link</a> and&nbsp;
+    <article><header class="entry-header"><h1>A &amp; B &lt;3</h1></header><p>{LONG}</p><p>Short.<p>With <a href="x">a link</a> and&nbsp;
        white   space &#x2014; <b>bold<br>next</b><aside>{LONG}</aside><ul><li>One</li><li>Two</li></ul><div hidden>{LONG}</div>
     <form><p>{LONG}</p><input></form><script>document.write("<p>no</p>")</script><blockquote>{LONG}</blockquote>
     <div class="share-buttons"><a href=1>Share</a></div></article>
