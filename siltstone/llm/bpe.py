@@ -14,6 +14,7 @@ import heapq
 import re
 from collections.abc import Callable, Iterator
 from functools import cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,9 @@ from siltstone.llm.frames import slices, stored, typed
 CHUNK = 32_768  # characters
 OVERLAP = 512
 _AHEAD = 4  # characters that the pattern may look at beyond a boundary
-_KEPT = 200_000  # words that a worker remembers
+_KEPT = 400_000  # words that a worker remembers
 _NONE = 1 << 62
+_BYTES = [bytes([b]) for b in range(256)]
 _GAP, _SINGLE = re.compile(r"\s | \s"), re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -35,19 +37,24 @@ def _merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The ids of one pre-token: the pair of lowest rank is merged first, of equal ones the leftmost."""
     if piece in ranks:
         return [ranks[piece]]
-    if len(piece) <= 64:
-        parts = [piece[i:i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            best, at = _NONE, -1
-            for i in range(len(parts) - 1):
-                rank = ranks.get(parts[i] + parts[i + 1], _NONE)
-                if rank < best:
-                    best, at = rank, i
-            if at < 0:
+    count = len(piece)
+    if count <= 64:
+        get, parts = ranks.get, [_BYTES[b] for b in piece]
+        pairs = [get(piece[i:i + 2], _NONE) for i in range(count - 1)]
+        while pairs:
+            best = min(pairs)
+            if best == _NONE:
                 break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            at = pairs.index(best)
+            joined = parts[at] + parts.pop(at + 1)
+            parts[at] = joined
+            del pairs[at]
+            if at < len(pairs):
+                pairs[at] = get(joined + parts[at + 1], _NONE)
+            if at:
+                pairs[at - 1] = get(parts[at - 1] + joined, _NONE)
         return [ranks[p] for p in parts]
-    count = len(piece)  # long ones: a heap of pairs over linked parts
+    # Long ones: a heap of pairs over linked parts.
     ends, after, before = list(range(1, count + 1)), list(range(1, count + 1)), list(range(-1, count - 1))
     heap: list[tuple[int, int, int]] = []
 
@@ -110,7 +117,15 @@ class Codec:
                          for a in ("a", "1", "!", "'", "é", "'s") for b in ("b", "2", "?", "'", "漢", "'s", "'re"))
 
     def plain(self, text: str) -> bytes:
-        return b"".join([np.array(_merge(p.encode(), self.ranks), "<u4").tobytes() for p in self.split.findall(text)])
+        ids, ranks = [], self.ranks
+        for piece in self.split.findall(text):
+            piece = piece.encode()
+            rank = ranks.get(piece)
+            if rank is None:
+                ids += _merge(piece, ranks)
+            else:
+                ids.append(rank)
+        return pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         if not self.apart:

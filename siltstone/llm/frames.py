@@ -13,24 +13,34 @@ from siltstone.session import scratch_folder
 
 SLICE_BYTES = 8 << 20
 FILES_PER_CORE = 3
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings of a step's write.
+_STEP = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}
 
 
 def stored(frame: DataFrame, label: str, small: bool = False) -> DataFrame:
     """The rows written to the shared folder and read back: lineage ends here, and an executor
     that is lost later takes nothing with it. The shuffle files behind them are then of no use, and go.
 
+    Nothing is broadcast unless it is marked so: the sides of a join in such a step grow with the corpus, and the size of a
+    compressed file says little of what it holds (38 MB were sent for 256 kB).
+
     A `small` table, of counts or links, gets a few files for each core at most, in however many partitions it came.
     """
     spark, path = frame.sparkSession, scratch_folder(frame.sparkSession, label)
     if small:
         frame = frame.coalesce(FILES_PER_CORE * spark.sparkContext.defaultParallelism)
-    before = spark.conf.get(_CLEANUP)
-    spark.conf.set(_CLEANUP, "true")
+    before = {key: spark.conf.get(key, None) for key in _STEP}
+    for key, value in _STEP.items():
+        spark.conf.set(key, value)
     try:
         frame.select("*").write.parquet(path)
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -262,7 +262,7 @@ def near_duplicates(
     left = stored(_split_by_component(joined, ["post"]), "mixed", small=True)
     sets = _shingles_of(left.select("node"), classes, texts, width)
     tried = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    rest = _across(left, hubs, sets, similarity).join(tried, ["a", "b"], "left_anti")
+    rest = stored(_across(left, hubs, sets, similarity).join(tried, ["a", "b"], "left_anti"), "pairs", small=True)
     more = _links(_colliding(rest, classes, matches, similarity), sets, similarity)
     links = links.union(more)
     named = components(named.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
