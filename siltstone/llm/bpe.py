@@ -197,8 +197,9 @@ def _edges(path: str, pattern: str, chunk: int, overlap: int):
                 tails.append([] if last.as_py() else [
                     p - chunk for p in at if chunk <= p <= len(text) - _AHEAD and not text[p - 1].isspace()])
             kind = pa.list_(pa.int32())
+            sizes = pa.array([len(t.as_py()) for t in batch.column(0)], pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), batch.column(2), pa.array(heads, kind), pa.array(tails, kind)], ["row", "k", "heads", "tails"])
+                [*batch.columns[1:4], sizes, pa.array(heads, kind), pa.array(tails, kind)], ["row", "k", "last", "size", "heads", "tails"])
 
     return run
 
@@ -239,26 +240,29 @@ def encode(
     chunks = stored(long.select("own_text", "row").mapInArrow(
         _cut(chunk, overlap), "chunk string, row bigint, k int, last boolean").repartition("row", "k"), "chunks")
     edges = stored(chunks.mapInArrow(
-        _edges(path, pattern, chunk, overlap), "row bigint, k int, heads array<int>, tails array<int>"), "edges")
+        _edges(path, pattern, chunk, overlap), "row bigint, k int, last boolean, size int, heads array<int>, tails array<int>"), "edges", small=True)
     cuts = edges.select("row", (F.col("k") + 1).alias("k"), "tails").join(edges.select("row", "k", "heads"), ["row", "k"]).select(
         "row", "k", F.array_min(F.array_intersect("tails", "heads")).alias("cut"))
-    opens = chunks.join(cuts, ["row", "k"], "left")
-    closes = opens.join(cuts.select("row", (F.col("k") - 1).alias("k"), F.col("cut").alias("next")), ["row", "k"], "left")
     # A chunk is known to have found the true boundaries if it and all before it have a cut; the others go on in one piece.
-    found = cuts.where("cut is not null").groupBy("row").agg(F.array_sort(F.collect_list("k")).alias("starts")).select(
+    sure = cuts.where("cut is not null").groupBy("row").agg(F.array_sort(F.collect_list("k")).alias("starts")).select(
         "row", F.size(F.filter("starts", lambda s, i: s == i + 1)).alias("sure"))
-    closes = closes.join(found, "row", "left").withColumn("sure", F.coalesce("sure", F.lit(0)))
+    plan = edges.select("row", "k", "last", "size").join(cuts, ["row", "k"], "left").join(
+        cuts.select("row", (F.col("k") - 1).alias("k"), F.col("cut").alias("next")), ["row", "k"], "left").join(
+        sure, "row", "left").withColumn("sure", F.coalesce("sure", F.lit(0)))
     begin = F.when(F.col("k") <= F.col("sure"), F.coalesce("cut", F.lit(0))).otherwise(0)
-    upto = F.when(F.col("last"), F.length("chunk")).otherwise(
-        chunk + F.when(F.col("k") < F.col("sure"), F.col("next")).otherwise(0))
-    pieces = closes.select(
-        "row", "k", F.least("k", "sure").alias("piece"), F.substring("chunk", begin + 1, upto - begin).alias("part"))
-    pieces = pieces.groupBy("row", "piece").agg(F.array_sort(F.collect_list(F.struct("k", "part"))).alias("p")).select(
-        F.array_join(F.transform("p", lambda x: x["part"]), "").alias("text"), "row", "piece")
+    upto = F.when(F.col("last"), F.col("size")).otherwise(chunk + F.when(F.col("k") < F.col("sure"), F.col("next")).otherwise(0))
+    whole = (F.col("k") < F.col("sure")) | (F.col("k") == F.col("sure")) & F.col("last")
+    plan = stored(plan.select(
+        "row", "k", F.least("k", "sure").alias("piece"), begin.alias("begin"), (upto - begin).alias("length"), whole.alias("whole")), "plan", small=True)
+    parts = chunks.join(plan.hint("merge"), ["row", "k"]).select(
+        F.expr("substring(chunk, begin + 1, length)").alias("text"), "row", "k", "piece", "whole")
+    joined = parts.where("not whole").groupBy("row", "piece").agg(F.array_sort(F.collect_list(F.struct("k", "text"))).alias("p")).select(
+        F.array_join(F.transform("p", lambda x: x["text"]), "").alias("text"), "row", "piece")
+    pieces = parts.where("whole").select("text", "row", "piece").union(joined)
     encoded = stored(pieces.mapInArrow(_encode(path, pattern), "ids binary, row bigint, piece int"), "pieces")
-    whole = encoded.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("piece", "ids"))).alias("p")).select(
+    long_ids = encoded.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("piece", "ids"))).alias("p")).select(
         F.transform("p", lambda x: x["ids"]).alias("parts"), "row").mapInArrow(_joined(path, pattern, decoded), typed(**both, row="bigint"))
-    long = whole.join(long.select("row", "own_row"), "row").select(*both, "own_row")
+    long = long_ids.join(long.select("row", "own_row").hint("merge"), "row").select(*both, "own_row")
     return short.union(long).select(F.col("ids").alias("token_ids"), *back, *[F.col("own_row").getField(c).alias(c) for c in columns])
 
 
