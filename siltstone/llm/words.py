@@ -80,11 +80,3 @@ def window_hashes(hashes: np.ndarray, size: int, base: int = _BASE) -> np.ndarra
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(hashes * powers, out=sums[1:])
         return mix((sums[size:] - sums[:-size]) * inverse)
-
-
-def starts_inside(offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where windows of `size` words start that lie in one text: (positions in all words, rows)."""
-    room = np.maximum(np.diff(offsets) - size + 1, 0)
-    rows = np.repeat(np.arange(len(room)), room)
-    first = np.cumsum(room) - room
-    return np.arange(len(rows)) - first[rows] + offsets[:-1][rows], rows

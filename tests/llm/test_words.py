@@ -3,7 +3,7 @@ import pyarrow as pa
 import pytest
 
 from siltstone.llm.frames import slices
-from siltstone.llm.words import hash_words, mix, split_words, starts_inside, window_hashes
+from siltstone.llm.words import hash_words, mix, split_words, window_hashes
 from tests.llm.cases import prose
 
 TEXTS = [None, "", " \t\r\n\x0b\x0c", "one", " two words ", "Ä É x A", *(" ".join(prose(k, k)) for k in range(60)), None]
@@ -42,8 +42,6 @@ def test_windows_are_equal_where_their_words_are(size):
     assert all(len(v) == 1 for v in by_words.values()) and len(set(hashes.tolist())) == len(by_words)
 
 
-def test_starts_and_mixing():
-    at, rows = starts_inside(np.array([0, 0, 3, 10]), 3)
-    assert at.tolist() == [0, 3, 4, 5, 6, 7] and rows.tolist() == [1, 2, 2, 2, 2, 2]
+def test_short_input_and_mixing():
     assert len(window_hashes(np.zeros(3, np.uint64), 4)) == 0
     assert len(np.unique(mix(np.arange(10_000, dtype=np.uint64)))) == 10_000
