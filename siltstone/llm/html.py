@@ -1,7 +1,7 @@
 """Main text of web pages, by rules on their blocks.
 
 A page is cut into blocks at block-level tags. The first pass decides each block by itself: by the part of the page it stands
-in, the share of its characters that are links, its length and the density of stop words. Short blocks and middling ones stay
+in, known by its elements and by whole class names that are taken back where they wrap most of the page, the share of its characters that are links, its length and the density of stop words. Short blocks and middling ones stay
 open. In the second pass they take the label of their nearest decided neighbours, where these agree; where they do not, a
 middling block is kept and a short one is left out. A short block inside the article has only neighbours inside it.
 """
@@ -42,14 +42,27 @@ td textarea tfoot th thead title tr ul""".split())
 _NESTED = frozenset("""article aside body button details dialog div dl fieldset figure footer form header html li main menu nav ol section
 select table tbody td tfoot th thead tr ul""".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Words in class, id and role that name a part outside the article.
-_NAMED = re.compile(
-    r"""(?:^|[\s_-])(?:ad|ads|advert|advertisement|advertising|adbox|adslot|adunit|adsbygoogle|banner|breadcrumbs?|byline-links|comments?|comment-list|respond|
-    replies|consent|cookies?|disqus|footer|gdpr|header|menu|masthead|modal|nav|navbar|navigation|newsletter|notices?|pagination|
-    pager|popup|promo|promoted|recommended|related|share|sharing|sidebar|signup|skip|social|sponsor(?:ed)?|subscribe|subscription|
-    tags|toc|toolbar|topbar|widgets?|complementary|contentinfo|search|alert|dialog)(?=$|[\s_-])""", re.I | re.X)
+#: Elements that may also wrap a whole page.
+_WRAPPERS = frozenset("nav form header menu dialog".split())
+#: Words that name a part outside the article, where they make up a whole class, id or role with the common words around them.
+_PARTS = r"""ad|ads|advert|advertisement|advertising|adbox|adslot|adunit|adsbygoogle|banner|breadcrumbs?|byline-links|footer|header|menu|
+    masthead|modal|nav|navbar|navigation|newsletter|notices?|pagination|pager|popup|promo|promoted|recommended|related|share|sharing|
+    sidebar|signup|skip|social|sponsor(?:ed)?|subscribe|subscription|tags|toc|toolbar|topbar|widgets?|complementary|contentinfo|search|
+    alert|dialog"""
+_REMARKS = "comments?|comment-list|respond|replies|disqus"
+_CONSENT = "consent|cookies?|gdpr"
+_BEFORE = """site|page|main|global|top|bottom|left|right|upper|lower|primary|secondary|mobile|desktop|sticky|fixed|floating|js|blog|post|posts|
+    entry|article|story|user|author|email|inline|block"""
+_AFTER = """container|wrapper|wrap|outer|inner|box|bar|area|block|section|panel|row|group|list|items?|links?|buttons?|icons?|form|message|
+    overlay|content|text|title|posts?|articles?|stories|thread|top|bottom|left|right|main|primary|secondary|policy|unit|slot|label|[0-9]+"""
+
+
+def _named(words: str) -> re.Pattern[str]:
+    return re.compile(rf"(?:(?:{_BEFORE})[_-]+)*(?:{words})(?:[_-]+(?:{_PARTS}|{_REMARKS}|{_CONSENT}|{_AFTER}))*", re.I | re.X)
+
+
 _HEADING = re.compile(r"\bheader\b", re.I)
-_COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|respond|replies|disqus)(?=$|[\s_-])", re.I)
+_NAMED, _COMMENTS, _NOTICE = _named(_PARTS), _named(_REMARKS), _named(_CONSENT)
 _QUOTED = r"""(?:[^<>"']|"[^"<]{0,4000}"|'[^'<]{0,4000}')*+"""
 _TOKEN = re.compile(
     rf"""<!--.*?(?:-->|\Z) | <(?P<silent>{_SILENT})\b[^>]*+(?<!/)>.*?(?:</(?P=silent)\s*>|(?=<body\b)|\Z)
@@ -62,35 +75,45 @@ _LINKS = 0.33
 
 
 class Block:
-    __slots__ = ("text", "linked", "zone", "heading", "label")
+    __slots__ = ("text", "linked", "zone", "named", "heading", "label")
 
-    def __init__(self, text: str, linked: int, zone: str, heading: bool):
-        self.text, self.linked, self.zone, self.heading, self.label = text, linked, zone, heading, ""
+    def __init__(self, text: str, linked: int, zone: str, named: tuple[int, ...], heading: bool):
+        self.text, self.linked, self.zone, self.named, self.heading, self.label = text, linked, zone, named, heading, ""
 
 
-def _zone(name: str, attrs: str) -> str:
-    """`out`, `comments` or `main` if the element opens such a part of the page."""
+def _zone(name: str, attrs: str) -> tuple[str, bool, bool]:
+    """`out`, `comments` or `main` if the element opens such a part of the page; whether it is named as a part outside the article, which
+    holds unless most of the page stands in it; and whether it is so named as a heading alone."""
+    zone, parts, plain = "main" if name in _MAIN else "", name in _WRAPPERS, name == "header"
     if attrs.strip(" /"):
         for key, a, b, c in _ATTR.findall(attrs):
             key, value = key.lower(), a or b or c
             if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-                return "out"
+                return "out", False, False
             if key == "style":
                 if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                    return "out"
-            elif name not in ("body", "html", "main") and _NAMED.search(value):
-                return "comments" if _COMMENTS.search(value) else "out"
-            elif key == "role" and value.lower() in ("main", "article"):
-                return "main"
-    if name in _OUTSIDE:
-        return "out"
-    return "main" if name in _MAIN else ""
+                    return "out", False, False
+            elif name not in ("body", "html", "main"):
+                for word in value.split() if key in ("class", "id", "role") else ():
+                    if _COMMENTS.fullmatch(word):
+                        return "comments", False, False
+                    if _NOTICE.fullmatch(word):
+                        return "out", False, False
+                    if _NAMED.fullmatch(word):
+                        plain = bool(_HEADING.search(word)) and (plain or not parts)
+                        parts = True
+                if key == "role" and value.lower() in ("main", "article"):
+                    zone = "main"
+    if name in _OUTSIDE and name not in _WRAPPERS:
+        return "out", False, False
+    return zone, parts, plain
 
 
 def blocks_of(html: str) -> list[Block]:
     """The page's blocks in order, each with the part of the page it stands in."""
     found: list[Block] = []
-    stack: list[tuple[str, str]] = []  # open elements that nest, with the part that holds inside
+    stack: list[tuple[str, str, tuple[int, ...]]] = []  # open elements that nest, with the part that holds inside and the named ones around
+    names = 0
     texts: list[tuple[str, bool]] = []
     link = heading = breaks = 0
 
@@ -100,7 +123,7 @@ def blocks_of(html: str) -> list[Block]:
             joined = " ".join(unescape("".join(t for t, _ in texts)).split())
             if joined:
                 linked = len(" ".join(unescape(" ".join(t for t, a in texts if a)).split()))
-                found.append(Block(joined, linked, stack[-1][1] if stack else "", bool(heading)))
+                found.append(Block(joined, linked, *(stack[-1][1:] if stack else ("", ())), bool(heading)))
         texts, link, breaks = [], 0, 0
 
     at = 0
@@ -133,22 +156,26 @@ def blocks_of(html: str) -> list[Block]:
                 heading = 0
             if name in _NESTED:
                 if m["close"]:
-                    if any(n == name for n, _ in stack):
+                    if any(x[0] == name for x in stack):
                         while stack.pop()[0] != name:
                             pass
                 elif not m["attrs"].endswith("/"):
-                    own, around = _zone(name, m["attrs"]), stack[-1][1] if stack else ""
-                    if own == "main" and around == "out":  # a part that was never closed
-                        while stack and stack[-1][1] == "out":
+                    (own, parts, plain), (around, named) = _zone(name, m["attrs"]), stack[-1][1:] if stack else ("", ())
+                    if own == "main" and not parts and (around == "out" or named and around != "comments"):  # a part that was never closed
+                        while stack and (stack[-1][1] == "out" or stack[-1][2]):
                             stack.pop()
-                        around = stack[-1][1] if stack else ""
-                    if around == "main" and own == "out" and _HEADING.search(name + m["attrs"]) and not _NAMED.search(_HEADING.sub(" ", m["attrs"])):
-                        own = ""  # the article's own heading
-                    inner = around if around in ("out", "comments") else own or around
-                    stack.append((name, inner))
-        elif not m["close"] and name not in _VOID and m["attrs"].strip(" /") and _zone(name, m["attrs"]) == "out":
-            end()
-            stack.append((name, "out"))
+                        around, named = stack[-1][1:] if stack else ("", ())
+                    if parts and not (around == "main" and plain):  # the article's own heading isn't one
+                        names += 1
+                        named += (names,)
+                    stack.append((name, around if around in ("out", "comments") else own or around, named))
+        elif not m["close"] and name not in _VOID and m["attrs"].strip(" /"):
+            own, parts, _ = _zone(name, m["attrs"])
+            if own == "out" or parts:
+                end()
+                around, named = stack[-1][1:] if stack else ("", ())
+                names += 1
+                stack.append((name, "out" if own == "out" else around, (*named, names) if parts else named))
         elif m["close"] and stack and stack[-1][0] == name:
             end()
             stack.pop()
@@ -158,13 +185,38 @@ def blocks_of(html: str) -> list[Block]:
     return found
 
 
+def _leave_wrappers(blocks: list[Block]) -> None:
+    """A named part with more than half of the page's text that isn't linked, or of its article's, is a wrapper: its name counts for nothing."""
+    for inside in (False, True):
+        held: dict[int, int] = {}
+        whole = 0
+        for b in blocks:
+            if b.zone == "main" or not inside and b.zone == "":
+                size = max(len(b.text) - b.linked, 0)
+                whole += size
+                for k in b.named:
+                    held[k] = held.get(k, 0) + size
+        wrappers = {k for k, size in held.items() if 2 * size > whole}
+        for b in blocks:
+            b.named = tuple(k for k in b.named if k not in wrappers)
+
+
 def classify(blocks: list[Block]) -> None:
-    """Labels every block `good` or `bad`."""
+    """Labels every block `good` or `bad`. Names count for nothing if they would leave no block."""
+    _leave_wrappers(blocks)
+    _label(blocks)
+    if any(b.named for b in blocks) and not any(b.label == "good" for b in blocks):
+        for b in blocks:
+            b.named = ()
+        _label(blocks)
+
+
+def _label(blocks: list[Block]) -> None:
     for b in blocks:  # first pass: each by itself
         size = len(b.text)
         links = b.linked / size
         words = b.text.lower().split()
-        if b.zone in ("out", "comments"):
+        if b.zone in ("out", "comments") or b.named:
             b.label = "bad"
         elif b.zone == "main":
             b.label = "bad" if links > 0.9 and size > 1 and len(words) < 12 else "good" if size >= _SHORT else "short"

@@ -32,6 +32,16 @@ def test_blocks_alone_decide_where_no_part_is_named():
     assert main_text(page).split("\n\n") == ["Head", LONG, "Yes.", LONG]
 
 
+@pytest.mark.parametrize("around", [
+    "<div id=page class='site no-sidebar'>%s</div>", "<div class='sticky-header'>%s</div>", "<div class='has-header widget'>%s</div>",
+    "<main><article class='post category-social tag-search'>%s</article></main>", "<article class='widget'>%s</article>",
+    "<form id=aspnetForm><div>%s</div></form>", "<div class=sidebar><div class=popup>%s</div></div>",
+    "<main><div class=banner>%s</div></main>"])
+def test_a_wrapper_of_the_article_is_no_part_outside_it(around):
+    page = f"<p>{LONG}</p><div class=promo><p>{SENTENCE}</p></div><p>{LONG}</p><div class='comments'><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div>"
+    assert main_text(f"<body><nav><a href=a>A</a></nav>{around % page}<footer>{LONG}</footer></body>").split("\n\n") == [LONG, LONG]
+
+
 @pytest.mark.parametrize("page", [
     "", "   ", "<", "<p", "<!--", "<script>", "<html></html>", "a < b > c &amp", "<div class='x\" y'>z</div>", '<p title="' + "x" * 9000,
     "<nav>" * 3000, "</div>" * 3000, "<a href='" * 2000, "<" * 20_000, "<b><br>" * 3000])
