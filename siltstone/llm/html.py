@@ -1,8 +1,10 @@
 """Main text of web pages, by rules on their blocks.
 
 A page is cut into blocks at block-level tags. The first pass decides each block by itself: by the part of the page it stands
-in, known by its elements and by whole class names that are taken back where they wrap most of the page, the share of its characters that are links, its length and the density of stop words. Short blocks and middling ones stay
-open. In the second pass they take the label of their nearest decided neighbours, where these agree; where they do not, a
+in, known by its elements and by whole class names that are taken back where they wrap most of the page, the share of its
+characters that are links, its length and the density of stop words. A page without that density over all its text is in a
+language that isn't listed: there length and links decide alone. Short blocks and middling ones, and those of few stop words,
+stay open. In the second pass they take the label of their nearest decided neighbours, where these agree; where they do not, a
 middling block is kept and a short one is left out. A short block inside the article has only neighbours inside it.
 """
 
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.frames import slices, typed
 
-#: Common words of English, German, French and Spanish prose.
+#: Common words of English, German, French, Spanish, Italian, Portuguese, Dutch, Swedish, Polish and Russian prose.
 STOP_WORDS = frozenset("""
 a about after all also an and any are as at be because been but by can could did do for from had has have he her him his how
 i if in into is it its just like more most my no not of on one only or other our out over she so some such than that the
@@ -30,6 +32,18 @@ au aux avec ce ces cette comme dans de des du elle en est et être eux il ils je
 on ont ou où par pas pour plus que qui sa se ses son sont sur ta te tu un une vous y
 al como con cuando de del desde donde el ella ellos en entre era es esta este fue ha hay la las le lo los más me mi muy no
 nos o para pero por porque que se ser si sin sobre son su sus también te tiene todo un una uno y ya
+alla anche che chi ci come con da dal dalla degli dei del della delle di e è gli ha hanno ho i il in io la le lo loro ma mi
+nel nella non o per più quando questa questo se si sono sua suo tra un una uno
+ao aos as até com como da das de do dos e ela ele em entre era essa esse está eu foi já mais mas me muito na nas não nem no nos
+o os ou para pela pelo por quando que se sem ser seu sua também um uma
+aan als bij daar dan dat de deze die dit door een en er had heeft het hij ik in is je kan maar me met mijn naar niet nog of om
+onder ook op over te tot uit van veel voor want was wat we werd wie wij worden ze zich zijn zo
+att av blev de den denna det dig din du efter ej eller en ett från för ha hade han har hon i inte jag kan men med mot när
+och om på sig sin som så till under upp ut var vi vid är över
+a aby ale bo by być był była było były ci co czy dla do gdy go i ich ja jak jako je jego jej jest już który która które lub ma
+mi może na nad nie niż o od po pod przez przy się są ta tak tam te tego tej ten to tu tym w we więc z za ze że
+а без бы был была были было быть в вам вас во вот все вы где да для до его ее если есть еще же за и из или им их к как
+когда кто ли мне мы на над не него нет ни но о об он она они от по под при с со так там то только у уже что чтобы это я
 """.split())
 
 #: Elements without any text of the page, and those whose text is never the article's.
@@ -72,13 +86,15 @@ _ATTR = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:
 _SHORT, _LONG = 70, 200
 _SOME, _MANY = 0.15, 0.25  # of the words are stop words
 _LINKS = 0.33
+#: Scripts that write a word in a few characters, without spaces; such a character counts as three.
+_DENSE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 class Block:
-    __slots__ = ("text", "linked", "zone", "named", "heading", "label")
+    __slots__ = ("text", "linked", "zone", "named", "heading", "code", "label")
 
-    def __init__(self, text: str, linked: int, zone: str, named: tuple[int, ...], heading: bool):
-        self.text, self.linked, self.zone, self.named, self.heading, self.label = text, linked, zone, named, heading, ""
+    def __init__(self, text: str, linked: int, zone: str, named: tuple[int, ...], heading: bool, code: bool):
+        self.text, self.linked, self.zone, self.named, self.heading, self.code, self.label = text, linked, zone, named, heading, code, ""
 
 
 def _zone(name: str, attrs: str) -> tuple[str, bool, bool]:
@@ -115,7 +131,7 @@ def blocks_of(html: str) -> list[Block]:
     stack: list[tuple[str, str, tuple[int, ...]]] = []  # open elements that nest, with the part that holds inside and the named ones around
     names = 0
     texts: list[tuple[str, bool]] = []
-    link = heading = breaks = 0
+    link = heading = code = breaks = 0
 
     def end() -> None:
         nonlocal texts, link, breaks
@@ -123,7 +139,7 @@ def blocks_of(html: str) -> list[Block]:
             joined = " ".join(unescape("".join(t for t, _ in texts)).split())
             if joined:
                 linked = len(" ".join(unescape(" ".join(t for t, a in texts if a)).split()))
-                found.append(Block(joined, linked, *(stack[-1][1:] if stack else ("", ())), bool(heading)))
+                found.append(Block(joined, linked, *(stack[-1][1:] if stack else ("", ())), bool(heading), bool(code)))
         texts, link, breaks = [], 0, 0
 
     at = 0
@@ -154,6 +170,8 @@ def blocks_of(html: str) -> list[Block]:
                 heading = 0 if m["close"] else 1
             elif not m["close"]:
                 heading = 0
+            if name == "pre":
+                code = 0 if m["close"] else 1
             if name in _NESTED:
                 if m["close"]:
                     if any(x[0] == name for x in stack):
@@ -204,43 +222,68 @@ def _leave_wrappers(blocks: list[Block]) -> None:
 def classify(blocks: list[Block]) -> None:
     """Labels every block `good` or `bad`. Names count for nothing if they would leave no block."""
     _leave_wrappers(blocks)
-    _label(blocks)
-    if any(b.named for b in blocks) and not any(b.label == "good" for b in blocks):
+    if not _label(blocks) and any(b.named for b in blocks):
         for b in blocks:
             b.named = ()
         _label(blocks)
 
 
-def _label(blocks: list[Block]) -> None:
-    for b in blocks:  # first pass: each by itself
+def _measured(b: Block) -> tuple[int, float]:
+    """The block's length, and the share of its words that are stop words."""
+    words = b.text.lower().split()
+    return len(b.text) + 2 * len(_DENSE.findall(b.text)), sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
+
+
+def _label(blocks: list[Block]) -> bool:
+    """Labels every block; whether any is good."""
+    main = [b for b in blocks if b.zone == "main"]
+    for b in main:
         size = len(b.text)
-        links = b.linked / size
-        words = b.text.lower().split()
-        if b.zone in ("out", "comments") or b.named:
-            b.label = "bad"
-        elif b.zone == "main":
-            b.label = "bad" if links > 0.9 and size > 1 and len(words) < 12 else "good" if size >= _SHORT else "short"
-        elif links > _LINKS or "©" in b.text and size < _LONG:
+        links = b.linked > 0.9 * size and size > 1 and len(b.text.split()) < 12
+        b.label = "bad" if b.named or links else "good" if size >= _SHORT else "short"
+    if any(b.label != "bad" for b in main):
+        for b in blocks:
+            b.label = b.label if b.zone == "main" else "bad"
+        _settle(main)
+        if any(b.label == "good" for b in main):
+            return True
+    loose = [b for b in blocks if not b.zone and not b.named and b.linked <= _LINKS * len(b.text)]
+    measured = {id(b): _measured(b) for b in loose}
+    prose = [x for x in measured.values() if x[0] >= _SHORT]
+    # Where the whole page falls short of the density that prose has, its language isn't listed.
+    listed = sum(size * stops for size, stops in prose) >= _SOME * sum(size for size, _ in prose)
+    for b in blocks:  # first pass: each by itself
+        if id(b) not in measured or "©" in b.text and len(b.text) < _LONG:
             b.label = "bad"
-        elif size < _SHORT:
-            b.label = "bad" if b.linked else "short"
+            continue
+        size, stops = measured[id(b)]
+        if size < _SHORT:
+            b.label = "near" if b.code else "bad" if b.linked else "short"
+        elif size > _LONG and (stops >= _MANY or not listed):
+            b.label = "good"
         else:
-            stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
-            b.label = "bad" if stops < _SOME else "good" if stops >= _MANY and size > _LONG else "near"
+            b.label = "near" if stops >= _SOME or size > _LONG or b.code or not listed else "few"
+    if not any(b.label == "good" for b in blocks):  # a page of middling blocks is judged by these
+        for b in blocks:
+            b.label = "good" if b.label == "near" else b.label
+    _settle(blocks)
+    return any(b.label == "good" for b in blocks)
+
+
+def _settle(blocks: list[Block]) -> None:
+    """The second pass: open blocks follow their neighbours; `blocks` are the article's alone, or the whole page's."""
     decided = [b.label if b.label in ("good", "bad") else "" for b in blocks]
     near = [b.label == "near" for b in blocks]
-    has_main = any(b.zone == "main" for b in blocks)
 
     def neighbours(step: int) -> list[tuple[str, bool]]:
-        """The nearest decided label on one side, and whether a middling block is nearer; the article's blocks see each other only."""
-        held, out = {True: ("", False), False: ("", False)}, [("", False)] * len(blocks)
+        """The nearest decided label on one side, and whether a middling block is nearer."""
+        held, out = ("", False), [("", False)] * len(blocks)
         for i in range(len(blocks))[::step]:
-            inside = blocks[i].zone == "main"
-            out[i] = held[inside]
+            out[i] = held
             if decided[i]:
-                held[inside] = decided[i], False
+                held = decided[i], False
             elif near[i]:
-                held[inside] = held[inside][0], True
+                held = held[0], True
         return out
 
     for i, (b, (left, left_near), (right, right_near)) in enumerate(zip(blocks, neighbours(1), neighbours(-1))):
@@ -248,19 +291,15 @@ def _label(blocks: list[Block]) -> None:
             continue
         if b.zone == "main":
             b.label = "bad" if left == right == "bad" else "good"
-        elif has_main:
-            b.label = "bad"
         elif b.label == "near":
             b.label = "good" if "good" in (left, right) or not (left or right) else "bad"
         elif left == right == "good":
             b.label = "good"
+        elif b.label == "few":
+            b.label = "bad"
         else:
             close = right == "good" or right_near if b.heading else left_near and left == "good" or right_near and right == "good"
             b.label = "good" if close else "bad"
-    if has_main and any(b.zone == "main" and b.label == "good" for b in blocks):
-        for b in blocks:
-            if b.zone != "main":
-                b.label = "bad"
 
 
 def main_text(html: str) -> str:

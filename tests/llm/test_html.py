@@ -32,6 +32,32 @@ def test_blocks_alone_decide_where_no_part_is_named():
     assert main_text(page).split("\n\n") == ["Head", LONG, "Yes.", LONG]
 
 
+RUSSIAN = "Река поднялась высоко, и жители города стояли на берегах весь день. "
+GREEK = "Το ποτάμι ήταν ψηλά και οι κάτοικοι της πόλης στέκονταν στις όχθες όλη τη μέρα. "
+JAPANESE = "川の水位が高く、町の人々は一日中岸辺に立っていた。昼も夜も雨は降り続いていた。"
+
+
+@pytest.mark.parametrize("text", [RUSSIAN, GREEK, JAPANESE], ids=["listed", "unlisted", "unspaced"])
+def test_articles_in_any_language_without_article_or_main(text):
+    long, middling = (text * 5).strip(), (text * 2).strip()
+    page = "<body><div><a href=a>{0}</a></div><h1>{1}</h1><div>{2}</div><div>{3}</div><div>{2}</div><div><a href=b>{0}</a></div><div>© 2024</div></body>"
+    assert main_text(page.format(text[:20], text[:15].strip(), long, middling)).split("\n\n") == [text[:15].strip(), long, middling, long]
+
+
+def test_code_tables_and_names_in_an_article_without_article_or_main():
+    names, code = ", ".join(f"Xaver{k} Quill{k}" for k in range(20)), "let counted = rows.map(parse).filter(Boolean).reduce(add, zero);"
+    cells = [f"Quill{k}" for k in range(6)]
+    table = "<table><tr>" + "".join(f"<td>{c}" for c in cells) + "</table>"
+    page = f"<body><div>{LONG}</div><div>{names}</div><div>{names[:120]}</div>{table}<div>{LONG}</div><pre>{code}{code}</pre><div><a href=a>A</a></div></body>"
+    assert main_text(page).split("\n\n") == [LONG, names, names[:120].strip(), *cells, LONG, code + code]
+
+
+def test_a_page_of_middling_blocks_between_links_is_kept():
+    middling = SENTENCE.strip()
+    page = f"<body><div><a href=a>News</a></div><p>{middling}</p><p>{middling}</p><div><a href=b>More</a></div></body>"
+    assert main_text(page).split("\n\n") == [middling] * 2
+
+
 @pytest.mark.parametrize("around", [
     "<div id=page class='site no-sidebar'>%s</div>", "<div class='sticky-header'>%s</div>", "<div class='has-header widget'>%s</div>",
     "<main><article class='post category-social tag-search'>%s</article></main>", "<article class='widget'>%s</article>",
