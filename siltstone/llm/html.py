@@ -47,12 +47,13 @@ mi może na nad nie niż o od po pod przez przy się są ta tak tam te tego tej
 """.split())
 
 #: Elements without any text of the page, and those whose text is never the article's.
-_SILENT = "script|style|noscript|template|svg|math|iframe|object|canvas|head"
+_SILENT = frozenset("script style title noscript template svg math iframe object canvas".split())
+_RAW = ("script", "style", "title")  # hold no elements
 _OUTSIDE = frozenset("nav footer aside form header menu dialog button select".split())
 _MAIN = frozenset(("article", "main"))
 _BLOCKS = frozenset("""address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption
-figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre section select summary table tbody
-td textarea tfoot th thead title tr ul""".split())
+figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup option p pre section select summary table tbody
+td textarea tfoot th thead tr ul""".split())
 _NESTED = frozenset("""article aside body button details dialog div dl fieldset figure footer form header html li main menu nav ol section
 select table tbody td tfoot th thead tr ul""".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -77,11 +78,16 @@ def _named(words: str) -> re.Pattern[str]:
 
 _HEADING = re.compile(r"\bheader\b", re.I)
 _NAMED, _COMMENTS, _NOTICE = _named(_PARTS), _named(_REMARKS), _named(_CONSENT)
-_QUOTED = r"""(?:[^<>"']|"[^"<]{0,4000}"|'[^'<]{0,4000}')*+"""
+#: Quoted values are read in whole; where one with tags in it ends inside a word, its closing quote is missing and `>` ends the tag.
+_ENDED = r"""(?=[\s/>]|[a-z][a-z-]*+=["'])"""
+_ATTRS = rf"""(?:[^>=]++|=\s*+(?:"[^"<>]*+"|"[^"]*+"{_ENDED}|'[^'<>]*+'|'[^']*+'{_ENDED}|[^\s>"'][^\s>]*+)|=)*+"""
 _TOKEN = re.compile(
-    rf"""<!--.*?(?:-->|\Z) | <(?P<silent>{_SILENT})\b[^>]*+(?<!/)>.*?(?:</(?P=silent)\s*>|(?=<body\b)|\Z)
-    | <(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*+)(?P<attrs>{_QUOTED}|[^>]*+)> | <[!?/][^>]*+>""", re.I | re.S | re.X)
-_ATTR = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+    rf"""<!--.*?(?:-->|\Z) | <(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*+)(?P<attrs>{_ATTRS}(?=>)|[^>]*+)> | <[!?/][^>]*+>""", re.I | re.S | re.X)
+_ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_QUIET = re.compile(rf"<!--|<(/?)({'|'.join(sorted(_SILENT))})(?=[\s/>])", re.I)
+_CLOSING = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*+>", re.I) for name in _RAW}
+_BLOCK = re.compile(rf"""(?<!["'`])</?(?:{'|'.join(sorted(_BLOCKS))})(?=[\s/>])""", re.I)
+_NEXT_SCRIPT = re.compile(r"<body[\s>].*?<script[\s>]", re.I | re.S)
 
 _SHORT, _LONG = 70, 200
 _SOME, _MANY = 0.15, 0.25  # of the words are stop words
@@ -125,6 +131,38 @@ def _zone(name: str, attrs: str) -> tuple[str, bool, bool]:
     return zone, parts, plain
 
 
+def _silent_ends(html: str) -> dict[int, int]:
+    """Where each silent element ends, by where it starts. One that is never closed has no end here."""
+    ends: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    closings: dict[str, re.Match[str] | None] = {}
+    at = 0
+    while m := _QUIET.search(html, at):
+        at = m.end()
+        if not m[2]:
+            end = html.find("-->", at)
+            at = end + 3 if end >= 0 else len(html)
+            continue
+        tag, name = _TOKEN.match(html, m.start()), m[2].lower()
+        if not tag:
+            continue
+        at = tag.end()
+        if m[1]:
+            if opened.get(name):
+                ends[opened[name].pop()] = at
+        elif tag["attrs"].endswith("/"):
+            continue
+        elif name not in _RAW:
+            opened.setdefault(name, []).append(m.start())
+        else:
+            if name not in closings or closings[name] and closings[name].start() < at:
+                closings[name] = _CLOSING[name].search(html, at)
+            closing = closings[name]
+            if closing and not (_NEXT_SCRIPT if name == "script" else _BLOCK).search(html, at, closing.start()):
+                ends[m.start()] = at = closing.end()
+    return ends
+
+
 def blocks_of(html: str) -> list[Block]:
     """The page's blocks in order, each with the part of the page it stands in."""
     found: list[Block] = []
@@ -142,8 +180,8 @@ def blocks_of(html: str) -> list[Block]:
                 found.append(Block(joined, linked, *(stack[-1][1:] if stack else ("", ())), bool(heading), bool(code)))
         texts, link, breaks = [], 0, 0
 
-    at = 0
-    for m in _TOKEN.finditer(html):
+    at, ends = 0, None
+    while m := _TOKEN.search(html, at):
         if m.start() > at:
             piece = html[at:m.start()]
             texts.append((piece, bool(link)))
@@ -152,10 +190,19 @@ def blocks_of(html: str) -> list[Block]:
         at = m.end()
         name = m["name"]
         if not name:
-            if m["silent"] and m["silent"].lower() == "head":
-                end()
             continue
         name = name.lower()
+        if name in _SILENT:
+            if name == "title":
+                end()
+            if not m["close"] and not m["attrs"].endswith("/"):
+                ends = _silent_ends(html) if ends is None else ends
+                if m.start() in ends:
+                    at = ends[m.start()]
+                else:  # never closed
+                    following = _BLOCK.search(html, at)
+                    at = following.start() if following else len(html)
+            continue
         if name == "a":
             link = 0 if m["close"] else 1
         elif name == "br":

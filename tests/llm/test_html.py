@@ -58,6 +58,23 @@ def test_a_page_of_middling_blocks_between_links_is_kept():
     assert main_text(page).split("\n\n") == [middling] * 2
 
 
+def test_attribute_values_are_read_in_whole():
+    long = '{"a": "' + "b > c, <p>" * 2000 + '"}'
+    page = f"""<article><div data-caption="<b>x</b>" data-more='class="ad" hidden'>{LONG}</div><p data-json='{long}'>{LONG}</p>
+    <iframe srcdoc="<p>in</iframe>a > b"></iframe><p title = "a > b"class='x'>One</p><p title="not closed>Two</p><p id="next">Three</p></article>"""
+    assert main_text(page).split("\n\n") == [LONG, LONG, "One", "Two", "Three"]
+
+
+@pytest.mark.parametrize("start", [
+    "<head><title>Not this</title><meta name=a><link rel=b>", "<html><head><title>Not this", "<title>Not this</title>",
+    "<head><style>p > b { }<body>", "<head><script>a()<body><script>b()</script>", "<head><noscript><img></noscript>",
+    "<p><iframe src=a>", "<svg><path d=a>", "<object data=a><param>", "<noscript><img>", "<svg><path><div><svg></svg></div>", "<canvas>"])
+def test_elements_that_are_never_closed_end_at_the_next_block(start):
+    page = f"{start}<article><p>{LONG}</p><svg><g><svg><text>no</text></svg><text>no</text></g></svg><script>x('<p>no')</script><p>{LONG}</p></article>"
+    assert main_text(page).split("\n\n") == [LONG, LONG]
+    assert main_text(page + "<iframe></iframe><noscript>no</noscript><object><p>no</p></object><style>no</style>").split("\n\n") == [LONG, LONG]
+
+
 @pytest.mark.parametrize("around", [
     "<div id=page class='site no-sidebar'>%s</div>", "<div class='sticky-header'>%s</div>", "<div class='has-header widget'>%s</div>",
     "<main><article class='post category-social tag-search'>%s</article></main>", "<article class='widget'>%s</article>",
