@@ -4,17 +4,35 @@ A host's share of bad pages is shrunk towards that of its registered domain, the
 suffix's towards the share overall. Each level has a beta prior around its parent's estimate, with a concentration fitted to
 the labelled counts by moments of the beta-binomial. A host is blocked if the lower bound of its posterior is above a limit.
 Only built-in functions; one row per level comes to the driver.
+
+Names are registered under the suffixes of the public suffix list (publicsuffix.org, under the Mozilla Public License 2.0), its
+wildcards, exceptions and private domains included. The copy beside this module is the one of February 2023. An address in
+numbers has no registered domain: its share is shrunk towards the share overall.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Suffixes of two labels under which names are registered; others have one label.
-LONG_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "net.au", "co.jp", "co.nz", "co.za", "com.br", "com.cn", "co.in", "com.mx")
+
+
+def _listed() -> frozenset[str]:
+    """The rules of the public suffix list, names in other scripts as they are and in ASCII."""
+    lines = Path(__file__).with_name("public_suffix_list.dat").read_text("utf-8").splitlines()
+    rules = {x.split()[0] for x in lines if x.strip() and not x.startswith("//")}
+    return frozenset(rules | {x.encode("idna").decode() for x in rules if not x.isascii()})
+
+
+SUFFIX_RULES = _listed()
+MOST_LABELS = max(x.count(".") for x in SUFFIX_RULES) + 1
+#: Suffixes of several labels under which names are registered; others have one label.
+LONG_SUFFIXES = frozenset(x for x in SUFFIX_RULES if "." in x and x[0] not in "*!")
+ADDRESS = r"^(?:[0-9]{1,3}(?:\.[0-9]{1,3}){3}|\[.*\])$"
 LIMIT = 0.5
 DEVIATIONS = 1.645
 CONCENTRATION = (1.0, 10_000.0)
@@ -44,12 +62,28 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tup
     return rule, verdict
 
 
-def _levels(host: Column) -> tuple[Column, Column]:
-    """The registered domain and the suffix of a host; the port is left out."""
-    labels = F.split(F.regexp_replace(host, r":[0-9]*$", ""), r"\.")
-    last = lambda n: F.array_join(F.slice(labels, F.greatest(F.size(labels) - n + 1, F.lit(1)), n), ".")
-    long = last(2).isin(*LONG_SUFFIXES)
-    return F.when(long, last(3)).otherwise(last(2)), F.when(long, last(2)).otherwise(last(1))
+def _levels(hosts: DataFrame) -> DataFrame:
+    """`hosts` (host, n, bad), one row for each host, with the registered domain and the suffix; the port is left out.
+
+    The suffix is that of the rule with the most labels, an exception before all others; without any it is the last label. A host
+    that is a suffix is its own domain. An address is its own domain and has no suffix.
+    """
+    name = F.regexp_replace("host", r":[0-9]*$", "")
+    labels = F.split(name, r"\.")
+    last = lambda k: F.array_join(F.slice(labels, F.greatest(F.size(labels) - k + 1, F.lit(1)), k), ".")
+    tails = F.transform(F.sequence(F.lit(1), F.least(F.size(labels), F.lit(MOST_LABELS))), lambda k: F.array(
+        F.struct(last(k).alias("rule"), F.lit(False).alias("excepted"), k.alias("labels")),
+        F.struct(F.concat(F.lit("*."), last(k - 1)).alias("rule"), F.lit(False).alias("excepted"), k.alias("labels")),
+        F.struct(F.concat(F.lit("!"), last(k)).alias("rule"), F.lit(True).alias("excepted"), (k - 1).alias("labels"))))
+    rules = hosts.sparkSession.createDataFrame(pa.table({"rule": sorted(SUFFIX_RULES)})).withColumn("listed", F.lit(True))
+    tried = hosts.select("host", "n", "bad", F.explode(F.flatten(tails)).alias("t")).select("host", "n", "bad", "t.*")
+    found = tried.join(F.broadcast(rules), "rule", "left").groupBy("host", "n", "bad").agg(
+        F.max(F.when(F.col("listed"), F.struct("excepted", "labels"))).alias("best"))
+    address = name.rlike(ADDRESS)
+    found = found.withColumn("k", F.coalesce("best.labels", F.lit(1)))
+    return found.select(
+        "host", "n", "bad", F.when(address, name).otherwise(last(F.col("k") + 1)).alias("domain"),
+        F.when(~address, last(F.col("k"))).alias("suffix"))
 
 
 def _concentration(units: DataFrame) -> float:
@@ -69,16 +103,14 @@ def reputations(outcomes: DataFrame, hosts: DataFrame) -> DataFrame:
     `mean` is the posterior share of bad pages, `lower` its lower bound. A host without outcomes has its domain's share.
     Rows with a null outcome count for nothing; without any outcome the share is one half.
     """
-    domain, suffix = _levels(F.col("host"))
     seen = outcomes.where(F.col("host").isNotNull() & F.col("bad").isNotNull()).groupBy("host").agg(
         F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
-    counts = hosts.select("host").distinct().join(seen, "host", "full").select(
-        "host", F.coalesce("n", F.lit(0).cast("long")).alias("n"), F.coalesce("bad", F.lit(0).cast("long")).alias("bad"),
-        domain.alias("domain"), suffix.alias("suffix"))
+    counts = _levels(hosts.select("host").distinct().join(seen, "host", "full").select(
+        "host", F.coalesce("n", F.lit(0).cast("long")).alias("n"), F.coalesce("bad", F.lit(0).cast("long")).alias("bad")))
     n, bad = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0))).first()
     mean = F.lit((bad + 0.5) / (n + 1.0))
 
-    domains = counts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    domains = counts.where("suffix is not null").groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).withColumn("mean", mean)
 
     def posterior(units: DataFrame) -> tuple[DataFrame, float]:
@@ -87,7 +119,8 @@ def reputations(outcomes: DataFrame, hosts: DataFrame) -> DataFrame:
 
     suffixes, _ = posterior(suffixes)
     domains, _ = posterior(domains.join(suffixes.select("suffix", "mean"), "suffix"))
-    found, k = posterior(counts.join(domains.select("domain", "mean"), "domain"))
+    within = counts.join(domains.select("domain", F.col("mean").alias("own_mean")), "domain", "left")
+    found, k = posterior(within.withColumn("mean", F.coalesce("own_mean", mean)))
     width = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (k + F.col("n") + 1))
     return found.select("host", "n", "bad", "mean", (F.col("mean") - DEVIATIONS * width).alias("lower"))
 

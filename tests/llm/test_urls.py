@@ -81,6 +81,28 @@ def test_reputations(spark, no_broadcast):
     assert found["new0.bad.co.uk"][0] > 0.5 > found["new.good.org"][0]
 
 
+def test_registered_domains(spark):
+    want = {
+        "a.b.example.com": ("example.com", "com"), "www.shop.com.tr": ("shop.com.tr", "com.tr"), "x.or.jp": ("x.or.jp", "or.jp"),
+        "a.shop.com.sg:80": ("shop.com.sg", "com.sg"), "me.github.io": ("me.github.io", "github.io"), "github.io": ("github.io", "github.io"),
+        "a.b.c.kobe.jp": ("b.c.kobe.jp", "c.kobe.jp"), "x.city.kobe.jp": ("city.kobe.jp", "kobe.jp"), "a.www.ck": ("www.ck", "ck"),
+        "a.b.xn--55qx5d.cn": ("b.xn--55qx5d.cn", "xn--55qx5d.cn"), "a.b.公司.cn": ("b.公司.cn", "公司.cn"),
+        "a.b.nosuchsuffix": ("b.nosuchsuffix", "nosuchsuffix"), "localhost": ("localhost", "localhost"), "": ("", ""),
+        "10.2.3.4:8080": ("10.2.3.4", None), "[2001:db8::1]:80": ("[2001:db8::1]", None), "3.4": ("3.4", "4")}
+    rows = spark.createDataFrame([(h, 2, 1) for h in want], "host string, n long, bad long")
+    assert {r["host"]: tuple(r)[1:] for r in urls._levels(rows).collect()} == {h: (2, 1, *x) for h, x in want.items()}
+
+
+def test_sites_under_one_suffix_or_network_are_not_pooled(spark, no_broadcast):
+    outcomes = [(f"bad{k}.{s}", True) for k in range(3) for s in ("com.tr", "github.io") for _ in range(80)]
+    outcomes += [(f"10.0.3.{k}", True) for k in range(3) for _ in range(80)] + [(f"good{k}.org", False) for k in range(40) for _ in range(40)]
+    outcomes += [(f"good{k}.{s}", False) for k in range(6) for s in ("com.tr", "github.io") for _ in range(5)]
+    hosts = ["a.good1.com.tr", "b.good2.github.io", "10.9.3.9", "a.bad1.com.tr", "bad1.github.io", "10.0.3.1:80", "10.0.3.1", "10.0.3.2"]
+    pages = pages_of(spark, [f"http://{h}/" for h in hosts])
+    found = {r["host"]: r["verdict"] for r in urls.judge(pages, spark.createDataFrame(outcomes, "host string, bad boolean")).collect()}
+    assert found == dict(zip(hosts, ["allow", "allow", "allow", "block", "block", "allow", "block", "block"]))
+
+
 def test_a_bad_host_is_blocked_and_a_small_sample_is_not(spark):
     outcomes = [("a.bad.org", True)] * 60 + [("good.net", False)] * 400 + [("new.net", True)]
     frame = spark.createDataFrame(outcomes, "host string, bad boolean")
