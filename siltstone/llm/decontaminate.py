@@ -4,7 +4,8 @@ Windows and items are sets of word shingles weighted by how often they occur in
 multi-index of the items' fingerprints: eight blocks of eight bits, where a fingerprint within the radius must come within an
 eighth of it in at least one block. What the index returns is verified by the exact weighted similarity,
 sum of the smaller counts / sum of the larger ones. A window that shares no shingle with an item has similarity 0 to it; only
-windows with one of the item's shingles are looked at.
+windows with one of the item's shingles are looked at. That lookup does the narrowing: at this radius the index lets nearly all
+pairs through.
 
 The work is a pass over the documents without a shuffle. Items are taken in blocks of a bounded size, one pass each.
 """
