@@ -165,7 +165,7 @@ def _across(left: DataFrame, hubs: DataFrame, sets: DataFrame, similarity: int)
     Sets near the same hub have most shingles in common with it, rare ones too; what tells them apart lies outside it. A set
     with `c` shingles of its hub shares at most those inside it with another, so t = o - c of the common ones are outside: of
     its `p` outer shingles that several components have, the first p - t + 1 must hold one. Only two sets that both have c >= o
-    need no outer one in common; these meet by their classes.
+    need no outer one in common; these meet as sets of different hubs do, with rarity counted among the hub's sets of that kind.
     """
     owners = left.select("node", "component").distinct()
     near = left.join(hubs, "post").groupBy("node").agg(F.max(F.struct("weight", "hub")).alias("h")).select("node", "h.hub")
@@ -210,8 +210,14 @@ def _across(left: DataFrame, hubs: DataFrame, sets: DataFrame, similarity: int)
     beside = prefixes(rows.join(outer, "node"), "outer", first, "beside")
     same = F.col("hub") == F.col("hub_y")
     found = found.union(_facing(beside, ["shingle"], same & ~(F.col("free") & F.col("free_y"))))
-    inner = rows.where("free").select("node", "component", "own", "other", "hub", "free", F.col("hub").alias("group"))
-    return found.union(_facing(inner, ["group"], same)).distinct()
+    free = rows.where("free")
+    within = ranked.join(free.select("node").distinct(), "node").select("node", "component", "hub", F.explode("ranked.shingle").alias("shingle"))
+    common = within.groupBy("hub", "shingle").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("held")).where("low < high")
+    inner = within.join(common.select("hub", "shingle", "held"), ["hub", "shingle"]).groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("inner"))
+    inner = prefixes(free.join(inner, "node"), "inner", F.size("inner") - F.col("o") + 1, "inner").withColumn("group", F.col("hub"))
+    return found.union(_facing(inner, ["group", "shingle"], same)).distinct()
 
 
 def near_duplicates(

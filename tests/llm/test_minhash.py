@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from siltstone.llm.minhash import keep_one, near_duplicates
+from siltstone.llm.minhash import _across, keep_one, near_duplicates
 from tests.llm.cases import messy, nothing, prose, split, texts_of
 
 
@@ -74,6 +74,18 @@ def test_a_large_group_of_copies_at_the_threshold(spark):
     assert found == {r[0]: r[2] for r in expected(texts_of(frame), 4) if (r[0] or 0) >= 100}
 
 
+def test_parts_of_one_hub_are_not_paired_without_common_shingles(spark, no_broadcast):
+    sets = {0: list(range(4000))} | {k: list(range(100 * k, 100 * k + 100)) for k in range(1, 31)}
+    sets |= {31: [*range(105, 205)], 32: [*range(204, 295), *range(3900, 3909)], 33: [*range(300, 391), *range(5000, 5003)]}
+    left = spark.createDataFrame([(1, k, k) for k in sets], "post long, node long, component long")
+    hubs = spark.createDataFrame([(1, 9, 0)], "post long, weight long, hub long")
+    found = _across(left, hubs, spark.createDataFrame(list(sets.items()), "node long, shingles array<long>"), 80)
+    pairs = {(r["a"], r["b"]) for r in found.collect()}
+    alike = {(a, b) for a in sets for b in sets if a > b and 180 * len({*sets[a]} & {*sets[b]}) >= 80 * (len(sets[a]) + len(sets[b]))}
+    assert alike == {(31, 1), (32, 2), (33, 3)} and alike <= pairs
+    assert len(pairs) < 10
+
+
 def test_keep_one_and_empty_table(spark):
     frame = messy(spark, near_copies())
     kept = keep_one(frame)
