@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, decontaminate, html, lines, minhash, passages, quality, sharding, unigram, urls
+from siltstone.llm import bpe, decontaminate, html, lines, minhash, passages, quality, sharding, spelling, unigram, urls
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -187,6 +187,37 @@ def op10_block_rules(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def _crc32(text: str) -> str:
+    """The unsigned crc32 of a text, bit by bit."""
+    return f"""xor(list_reduce(flatten(list_transform(regexp_extract_all(hex({text}), '..'), lambda h: list_transform(range(8), lambda k: (('0x' || h)::BIGINT >> k) & 1))),
+    lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1)), 4294967295), 4294967295)::BIGINT"""
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, folder, "documents"))
+
+
+_OP13 = rf"""
+WITH RECURSIVE
+r AS (SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{{C0}}-\x{{FF}}]{{7,}}')) AS run FROM documents),
+c AS (SELECT run, count(*) AS n, {_crc32("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM r GROUP BY doc_id, run),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT n, CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM c)
+    WHERE length(word) >= 7 GROUP BY 1 HAVING sum(n) >= 2),
+e AS (SELECT word, left(word, i - 1) || '?' || substr(word, i + 1) AS hole, left(word, i - 1) || substr(word, i + 1) AS less
+    FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+p AS (SELECT a.word AS a, b.word AS b FROM e a JOIN e b ON a.hole = b.hole AND a.word != b.word
+    UNION SELECT e.word, v.word FROM e JOIN v ON e.less = v.word UNION SELECT v.word, e.word FROM e JOIN v ON e.less = v.word),
+q AS (SELECT a AS word, b, n AS bn, count(*) OVER (PARTITION BY a) AS n_near FROM p JOIN v ON v.word = b
+    QUALIFY row_number() OVER (PARTITION BY a ORDER BY n DESC, b) = 1),
+f AS (SELECT v.word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN bn >= 10 * n THEN b END AS form, CASE WHEN bn >= 10 * n THEN bn END AS form_n
+    FROM v LEFT JOIN q USING (word)),
+t AS (SELECT word, word AS at FROM f UNION ALL SELECT t.word, f.form FROM t JOIN f ON f.word = t.at WHERE f.form IS NOT NULL)
+SELECT t.word, o.form, t.at AS root, o.n, o.n_near, o.form_n FROM t JOIN f ON f.word = t.at AND f.form IS NULL JOIN f o ON o.word = t.word
+"""
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -198,6 +229,7 @@ QUERIES = {
     "op8_difference_cover": op8_difference_cover,
     "op9_decision_list": op9_decision_list,
     "op10_block_rules": op10_block_rules,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLES = {
@@ -207,4 +239,5 @@ ORACLES = {
     "op4_host_reputation": _OP4,
     "op6_simhash_decontamination": _OP6,
     "op8_difference_cover": _OP8,
+    "op13_spelling_variants": _OP13,
 }
