@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, decontaminate, html, lines, minhash, passages, quality, sharding, spelling, unigram, urls
+from siltstone.llm import bpe, decontaminate, html, lines, minhash, passages, quality, sharding, spelling, tokenfiles, trie, unigram, urls
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -193,6 +193,35 @@ def _crc32(text: str) -> str:
     lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1)), 4294967295), 4294967295)::BIGINT"""
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(*trie.with_shared_heads(trie.ordered(_table(spark, folder, "conversations"))))
+
+
+_OP11 = f"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+    coalesce(role, ''), md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS k FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, {_crc32("conv_id::VARCHAR")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, k, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND k < h
+    UNION ALL SELECT conv_id, k, role, text FROM t JOIN c USING (conv_id) WHERE k >= h),
+s AS (SELECT conv_id, row_number() OVER w AS depth, length(text) AS chars, md5(string_agg(md5(role) || md5(text), '') OVER w) AS node
+    FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY k) UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+m AS (SELECT *, lag(node) OVER w AS up, lead(node) OVER w IS NULL AS ends FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY depth)),
+n AS (SELECT depth, node, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(chars) AS saved, bool_and(ends) AS leaf,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM m GROUP BY 1, 2),
+b AS (SELECT DISTINCT a.depth, a.node, d.depth AS below_depth, d.node AS below FROM m a JOIN m d ON a.conv_id = d.conv_id AND d.depth >= a.depth),
+x AS (SELECT b.depth, b.node, sum(leaf::INT) AS leaves, sum(saved) AS saved_tokens FROM b JOIN n ON n.depth = below_depth AND n.node = below GROUP BY 1, 2),
+k AS (SELECT depth - 1 AS depth, up AS node, count(*) AS children FROM n WHERE depth > 0 GROUP BY 1, 2)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(children, 0)::BIGINT AS n_children, leaves::BIGINT AS n_leaves,
+    saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM n JOIN x USING (depth, node) LEFT JOIN k USING (depth, node) LEFT JOIN n p ON p.depth = n.depth - 1 AND p.node = n.up
+"""
+
+
+def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    found = tokenfiles.token_table(_table(spark, folder, "documents"), _tokenizer("byte_bpe_50k.json"), end_id=2)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("token_ids").alias("ids_crc32"))
+
+
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.spelling_variants(_table(spark, folder, "documents"))
 
@@ -229,6 +258,8 @@ QUERIES = {
     "op8_difference_cover": op8_difference_cover,
     "op9_decision_list": op9_decision_list,
     "op10_block_rules": op10_block_rules,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_token_files": op12_token_files,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
@@ -239,5 +270,6 @@ ORACLES = {
     "op4_host_reputation": _OP4,
     "op6_simhash_decontamination": _OP6,
     "op8_difference_cover": _OP8,
+    "op11_prefix_trie": _OP11,
     "op13_spelling_variants": _OP13,
 }
