@@ -11,25 +11,25 @@ from pyspark.sql import functions as F
 from siltstone import vocab
 
 
+#: The largest epoch value that a timestamp (64-bit microseconds), or a date (32-bit days), can hold.
+_EPOCH_MAX = {"s": (1 << 63) // 10**6 - 1, "ms": (1 << 63) // 10**3 - 1, "us": (1 << 63) - 1, "d": (1 << 31) - 1}
+
+
 def epoch_to_ts(c: Column, unit: str = "ms") -> Column:
-    """Integer since the epoch -> timestamp (`s`, `ms`, `us`) or date (`d`)."""
+    """Integer since the epoch -> timestamp (`s`, `ms`, `us`) or date (`d`); NULL beyond what these can hold, of either sign."""
     makers = {
         "s": F.timestamp_seconds,
         "ms": F.timestamp_millis,
         "us": F.timestamp_micros,
         "d": lambda x: F.date_from_unix_date(x.cast("int")),
     }
-    return makers[unit](c.try_cast("bigint"))
-
-
-#: The largest epoch value that a timestamp (64-bit microseconds) can hold.
-_EPOCH_MAX = {"s": (1 << 63) // 10**6 - 1, "ms": (1 << 63) // 10**3 - 1, "us": (1 << 63) - 1}
+    value = c.try_cast("bigint")
+    return makers[unit](F.when(value.between(-_EPOCH_MAX[unit], _EPOCH_MAX[unit]), value))
 
 
 def _epoch_text(c: Column, unit: str = "s") -> Column:
     """Timestamp from text made of digits only, counted in `unit`; NULL beyond what a timestamp can hold."""
-    value = F.when(F.rlike(c, F.lit(r"^\d+$")), c.try_cast("bigint"))
-    return epoch_to_ts(F.when(value <= _EPOCH_MAX[unit], value), unit)
+    return epoch_to_ts(F.when(F.rlike(c, F.lit(r"^\d+$")), c), unit)
 
 
 _TOKEN_SHAPES = {

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone import schemas, vocab
-from siltstone.functions.text import blank_to_null, sku_simple
 from siltstone.operators import quality as q
 from siltstone.operators.quality import dead_letters
 from siltstone.operators.reports import monthly_revenue
@@ -16,21 +15,23 @@ from siltstone.operators.status import apply_delivery_notices, apply_stock_updat
 from siltstone.plans import gold, silver
 from siltstone.sources.bronze import read_topics, to_bronze
 from siltstone.sources.files import read_or_empty
-from siltstone.session import scratch_folder
-from siltstone.sources.tables import ensure_database, overwrite_table, publish
+from siltstone.sources.tables import ensure_database, publish
+from siltstone.sources.versions import VersionedTable
 from siltstone.streaming.flows import append_bronze
 
-# silver table -> (key of its rows, type of the key, whether records carry it in their payload)
-KEYS: dict[str, tuple[str, str, bool]] = {
-    "orders": ("id", "bigint", False),
-    "customers": ("id", "bigint", False),
-    "order_items": ("id", "bigint", False),
-    "products": ("id", "bigint", False),
-    "warehouse_events": ("sku", "string", False),
-    "payments": ("transaction_id", "string", True),
-    "shipping": ("tracking_number", "string", True),
-    "reviews": ("review_id", "bigint", True),
-    "feedback": ("feedback_id", "bigint", True),
+BUCKETS = 64
+
+# silver table -> (key of its rows, type of the key, whether records carry it in their payload, its event types or how they begin)
+KEYS: dict[str, tuple[str, str, bool, str | Sequence[str] | None]] = {
+    "orders": ("id", "bigint", False, None),
+    "customers": ("id", "bigint", False, None),
+    "order_items": ("id", "bigint", False, None),
+    "products": ("id", "bigint", False, None),
+    "warehouse_events": ("sku", "string", False, vocab.PRODUCT_LIFECYCLE_EVENTS),
+    "payments": ("transaction_id", "string", True, "payment."),
+    "shipping": ("tracking_number", "string", True, "shipping."),
+    "reviews": ("review_id", "bigint", True, "review."),
+    "feedback": ("feedback_id", "bigint", True, "feedback."),
 }
 
 # silver table -> (landing table, recipe, label in the dead-letter table)
@@ -62,63 +63,101 @@ def read_bronze(spark: SparkSession, root: str, sink: str, since: str | None = N
     return rows.filter(F.col("ingest_date") >= F.lit(since).cast("date")) if since else rows
 
 
-def read_routed(spark: SparkSession, root: str, entity: str, route: str) -> DataFrame:
-    """One branch of a silver entity. `_route` is a partition column: other branches are not read."""
+def silver_table(spark: SparkSession, root: str, entity: str) -> VersionedTable:
+    return VersionedTable(spark, f"{root}/silver/{entity}")
+
+
+def history_table(spark: SparkSession, root: str, entity: str) -> VersionedTable:
+    """The landing records of an entity by key bucket and day."""
+    return VersionedTable(spark, f"{root}/silver_history/{entity}")
+
+
+def read_silver(spark: SparkSession, root: str, entity: str) -> DataFrame:
+    """All rows of a silver entity, of whatever route; none before its first run."""
     _, recipe, _ = ENTITIES[entity]
     shape = recipe(spark.createDataFrame([], schemas.BRONZE)).schema
-    rows = read_or_empty(spark, f"{root}/silver/{entity}", shape)
-    return rows.filter(F.col("_route") == route)
+    return silver_table(spark, root, entity).read(shape).select(*shape.names)
+
+
+def read_routed(spark: SparkSession, root: str, entity: str, route: str) -> DataFrame:
+    """One branch of a silver entity. `_route` is a partition column: other branches are not read."""
+    return read_silver(spark, root, entity).filter(F.col("_route") == route)
+
+
+def entity_records(bronze: DataFrame, entity: str) -> DataFrame:
+    """The landing records that an entity's recipe reads, those without a key included."""
+    sink, _, _ = ENTITIES[entity]
+    if sink == "erp_raw":
+        return bronze.filter(F.col("_source_topic") == f"erp.public.{entity}")
+    kind, types = F.from_json("raw_data", "_event_type string")["_event_type"], KEYS[entity][3]
+    return bronze.filter(F.startswith(kind, F.lit(types)) if isinstance(types, str) else kind.isin(*types))
 
 
 def record_key(entity: str) -> Column:
     """The key that a landing record gives the entity, spelled as in the entity; NULL where it has none."""
-    key, kind, nested = KEYS[entity]
+    key, kind, nested, _ = KEYS[entity]
     record = F.col("raw_data")
     if nested:
         record = F.from_json(record, "payload string")["payload"]
-    value = F.from_json(record, f"{key} {kind}")[key]
-    if kind == "string":
-        value = blank_to_null(value)
-    return sku_simple(value) if key == "sku" else value
+    return silver.clean_key(key, F.from_json(record, f"{key} {kind}")[key])
+
+
+def key_bucket(key: Column, buckets: int) -> Column:
+    """The same for equal keys however they are typed; records without a key share one."""
+    return F.pmod(F.xxhash64(key.cast("string")), F.lit(buckets)).cast("int")
 
 
-def merge_silver(spark: SparkSession, root: str, entity: str, since: str) -> DataFrame:
-    """The entity after the landing folders from `since` on: rows of keys that these mention are worked out again, from
-    the whole history of those keys; all other stored rows stay as they are."""
+def _signatures(history: dict | None) -> dict[str, str]:
+    """What each bucket holds, by count and checksum of its days."""
+    found: dict[str, list[str]] = {}
+    for part in history["parts"] if history else []:
+        found.setdefault(str(part["at"]["_bucket"]), []).append(f"{part['at']['ingest_date']}:{part['rows']}:{part['checksum']}")
+    return {bucket: "/".join(sorted(days)) for bucket, days in found.items()}
+
+
+def update_silver(spark: SparkSession, root: str, entity: str, since: str | None = None, buckets: int = BUCKETS) -> list[int]:
+    """Brings an entity up to date with the landing folders, all of them or those from `since` (a day) on; the buckets worked out again.
+
+    Landing records go to the entity's history, by bucket of their key and by day; only folders from `since` on are read,
+    and their days replace the same days there, so that a repeated run adds nothing. Then each bucket whose history isn't what
+    the stored entity was made of is worked out anew from its whole history, and replaces that bucket of the entity. A run that
+    died between the two steps is made good by the next one. Other buckets are neither read nor written. Without
+    `since`, or with another number of buckets than before, every bucket is worked out.
+    """
     sink, recipe, _ = ENTITIES[entity]
-    history = read_bronze(spark, root, sink).withColumn("_touched", record_key(entity))
-    topics = {"erp_raw": F.col("_source_topic") == f"erp.public.{entity}"}
-    if sink in topics:
-        history = history.filter(topics[sink])
-    fresh = history.filter(F.col("ingest_date") >= F.lit(since).cast("date"))
-    keys = fresh.select(F.col("_touched").alias("_key")).distinct()
-    again = recipe(history.join(keys, F.col("_touched").eqNullSafe(F.col("_key")), "left_semi").drop("_touched"))
-    stored = read_or_empty(spark, f"{root}/silver/{entity}", again.schema)
-    kept = stored.join(keys, F.col(KEYS[entity][0]).eqNullSafe(F.col("_key")), "left_anti")
-    return kept.unionByName(again.select(*kept.columns))
+    history, table = history_table(spark, root, entity), silver_table(spark, root, entity)
+    known, made = history.manifest(), table.manifest()
+    if not known or not made or known["about"]["buckets"] != buckets:
+        since = None
+    records = entity_records(read_bronze(spark, root, sink, since), entity).withColumn("_bucket", key_bucket(record_key(entity), buckets))
+    later = (lambda at: True) if since is None else (lambda at: at["ingest_date"] is not None and at["ingest_date"] >= since)
+    history.replace(records, ["_bucket", "ingest_date"], gone=later, about={"buckets": buckets})
+
+    now = _signatures(history.manifest())
+    before = {} if since is None else made["about"]["history"]
+    touched = {int(b) for b in now.keys() | before.keys() if now.get(b) != before.get(b)}
+    if since is not None and not touched:
+        return []
+    changed = recipe(history.read(only=lambda at: at["_bucket"] in touched).drop("_bucket"))
+    changed = changed.withColumn("_bucket", key_bucket(F.col(KEYS[entity][0]), buckets))
+    table.replace(changed, ["_bucket"], ["_route"], gone=lambda at: since is None or at["_bucket"] in touched, about={"history": now})
+    return sorted(touched)
 
 
 def run_silver(
     spark: SparkSession, root: str, now: Column | None = None, since: str | None = None, entities: Sequence[str] = tuple(ENTITIES),
-) -> None:
-    """Rebuild the silver entities and the dead-letter table; with `since` (a day) only what later landings touch.
+    buckets: int = BUCKETS,
+) -> dict[str, list[int]]:
+    """Rebuild the silver entities and the dead-letter table; with `since` (a day) only the key buckets that later landings touch.
 
     Each entity is computed once and written once, split into `_route` folders; the dead-letter
-    table is then assembled from the (small) rejected folders. A merged entity is written beside the stored one first,
-    as it is read from it.
+    table is then assembled from the (small) rejected folders. Returns the buckets worked out of each entity.
     """
     now = F.current_timestamp() if now is None else now
-    for entity in entities:
-        sink, recipe, _ = ENTITIES[entity]
-        path = f"{root}/silver/{entity}"
-        if since is None:
-            overwrite_table(recipe(read_bronze(spark, root, sink)), path, ["_route"])
-            continue
-        merged, beside = merge_silver(spark, root, entity, since), scratch_folder(spark, entity)
-        overwrite_table(merged, beside, ["_route"])
-        overwrite_table(spark.read.schema(merged.schema).parquet(beside), path, ["_route"])
+    touched = {entity: update_silver(spark, root, entity, since, buckets) for entity in entities}
     rejects = {label: read_routed(spark, root, e, silver.DEAD_LETTER) for e, (_, _, label) in ENTITIES.items()}
-    overwrite_table(dead_letters(rejects, now), f"{root}/silver/dlq")
+    VersionedTable(spark, f"{root}/silver/dlq").overwrite(dead_letters(rejects, now))
+    return touched
 
 
 def current_orders(spark: SparkSession, root: str) -> DataFrame:

@@ -28,6 +28,22 @@ SILVER, DEAD_LETTER, QUARANTINE = "silver", "dead_letter", "quarantine"
 STEP_WEIGHT = 3  # of a status event that moves nothing
 
 
+def clean_key(key: str, value: Column) -> Column:
+    """The key of an entity as its rows have it: placeholders are NULL, SKUs have one spelling. Recipes and records share it."""
+    if key in ("sku", "transaction_id", "tracking_number"):
+        value = text.blank_to_null(value)
+    return text.sku_simple(value) if key == "sku" else value
+
+
+def _times(*columns: str, date: Sequence[str] = ()) -> tuple[dict[str, Column], list[q.Rule], list[str]]:
+    """Epoch columns typed; the rules that report values which no time can hold, and the columns that these need."""
+    typed = {c: epoch_to_ts(F.col(c), "ms") for c in columns}
+    lost = {f"_lost_{c}": F.col(c).isNotNull() & t.isNull() for c, t in typed.items()}
+    dates = {c: typed[c].cast("date") for c in date}
+    rules = [q.Rule(f"unreadable_{c}", F.col(f"_lost_{c}"), 1, rejects=False) for c in columns]
+    return {**typed, **dates, **lost}, rules, list(lost)
+
+
 def _is_bad(df: DataFrame, rules: Sequence[q.Rule]) -> Column:
     bad = q.any_rejects(rules)
     if "_quality_flag" in df.columns:
@@ -71,30 +87,29 @@ def rejected(routed: DataFrame) -> DataFrame:
 def orders(bronze: DataFrame, topic: str = "erp.public.orders", schema: str = schemas.CDC["orders"]) -> DataFrame:
     rows = placeholders_to_null(parse_cdc(bronze, topic, schema, raw=True), ["status", "total_amount"])
     amounts = ["subtotal", "discount_amount", "tax_amount", "shipping_cost", "total_amount"]
+    times, unreadable, lost = _times("order_date", "created_at")
     typed = rows.withColumns({
-        **{c: to_money(F.col(c)) for c in amounts},
-        **{c: epoch_to_ts(F.col(c), "ms") for c in ("order_date", "created_at")},
+        **{c: to_money(F.col(c)) for c in amounts}, **times,
     })
     rules = [
         q.null_rule("id"), q.null_rule("customer_id"), q.null_rule("total_amount"),
-        q.not_positive("total_amount"), q.status_typo(),
+        q.not_positive("total_amount"), q.status_typo(), *unreadable,
     ]
-    current = drop_deletes(_resolve(typed, rules, "id", _newest(typed)))
+    current = drop_deletes(_resolve(typed, rules, "id", _newest(typed))).drop(*lost)
     return current.withColumn("status", text.enum_or_null(F.col("status"), vocab.ORDER_STATUSES))
 
 
 def customers(bronze: DataFrame, topic: str = "erp.public.customers", schema: str = schemas.CDC["customers"]) -> DataFrame:
     rows = placeholders_to_null(parse_cdc(bronze, topic, schema, raw=True), ["email", "phone"])
+    times, unreadable, lost = _times("date_of_birth", "created_at", date=["date_of_birth"])
     typed = rows.withColumns({
         "email": text.lower_trim(F.col("email")),
         "first_name": text.title_trim(F.col("first_name")),
         "last_name": text.title_trim(F.col("last_name")),
-        "gender": text.upper_trim(F.col("gender")),
-        "date_of_birth": epoch_to_ts(F.col("date_of_birth"), "ms").cast("date"),
-        "created_at": epoch_to_ts(F.col("created_at"), "ms"),
+        "gender": text.upper_trim(F.col("gender")), **times,
     })
-    rules = [q.null_rule("id"), q.null_rule("email"), q.invalid_email()]
-    return drop_deletes(_resolve(typed, rules, "id", _newest(typed)))
+    rules = [q.null_rule("id"), q.null_rule("email"), q.invalid_email(), *unreadable]
+    return drop_deletes(_resolve(typed, rules, "id", _newest(typed))).drop(*lost)
 
 
 def order_items(bronze: DataFrame, topic: str = "erp.public.order_items", schema: str = schemas.CDC["order_items"]) -> DataFrame:
@@ -109,25 +124,25 @@ def order_items(bronze: DataFrame, topic: str = "erp.public.order_items", schema
 
 def products(bronze: DataFrame, topic: str = "erp.public.products", schema: str = schemas.CDC["products"]) -> DataFrame:
     rows = placeholders_to_null(parse_cdc(bronze, topic, schema, raw=True), ["name", "sku", "brand"])
+    times, unreadable, lost = _times("created_at", "updated_at")
     typed = rows.withColumns({
         "sku": text.sku_simple(F.col("sku")),
         "name": F.trim("name"),
         "brand": text.title_trim(F.col("brand")),
         **{c: to_money(F.col(c)) for c in ("price", "cost")},
-        "weight": F.col("weight").try_cast("double"),
-        **{c: epoch_to_ts(F.col(c), "ms") for c in ("created_at", "updated_at")},
+        "weight": F.col("weight").try_cast("double"), **times,
     })
-    rules = [q.null_rule(c) for c in ("id", "sku", "name", "price")] + [q.not_positive("price")]
-    return drop_deletes(_resolve(typed, rules, "id", _newest(typed)))
+    rules = [q.null_rule(c) for c in ("id", "sku", "name", "price")] + [q.not_positive("price"), *unreadable]
+    return drop_deletes(_resolve(typed, rules, "id", _newest(typed))).drop(*lost)
 
 
 def warehouse_products(bronze: DataFrame, schema: str = schemas.WAREHOUSE_LIFECYCLE) -> DataFrame:
     """Product lifecycle events, newest per SKU. A redelivered event repeats its SKU, so keeping
     one row per SKU also removes redeliveries."""
     events = keep_event_types(parse_flat_envelope(bronze, schema, raw=True), vocab.PRODUCT_LIFECYCLE_EVENTS)
-    rows = placeholders_to_null(events, ["name", "sku", "brand"])
+    rows = placeholders_to_null(events, ["name", "brand"])
     typed = rows.withColumns({
-        "sku": text.sku_simple(F.col("sku")),
+        "sku": clean_key("sku", F.col("sku")),
         "name": F.trim("name"),
         "brand": text.title_trim(F.col("brand")),
         **{c: to_money(F.col(c)) for c in ("price", "cost")},
@@ -207,9 +222,10 @@ def _current_state(
 def payments(bronze: DataFrame, schema: str = schemas.PAYLOAD["payment"], *, fold: bool = True) -> DataFrame:
     """Payments: the earliest creation per transaction, moved forward by its status events."""
     events = placeholders_to_null(
-        _gateway_events(bronze, "payment.", schema), ["payment_method", "status", "transaction_id"]
+        _gateway_events(bronze, "payment.", schema), ["payment_method", "status"]
     )
     typed = events.withColumns({
+        "transaction_id": clean_key("transaction_id", F.col("transaction_id")),
         "id": F.coalesce("id", "payment_id"),
         "amount": to_money(F.col("amount")),
         "paid_at": iso_ts(F.col("paid_at")),
@@ -229,6 +245,7 @@ def shipping(bronze: DataFrame, schema: str = schemas.PAYLOAD["shipping"], *, fo
     """Shipments: the earliest creation per tracking number, moved forward by its status events."""
     typed = _gateway_events(bronze, "shipping.", schema).withColumns({
         "id": F.coalesce("id", "shipping_id"),
+        "tracking_number": clean_key("tracking_number", F.col("tracking_number")),
         "status": text.enum_or_null(F.col("status"), vocab.SHIPPING_STATUSES),
         **{c: iso_ts(F.col(c)) for c in ("shipped_at", "delivered_at")},
         "estimated_delivery": iso_ts(F.col("estimated_delivery")).cast("date"),

@@ -16,6 +16,8 @@ SETTINGS = {
     # Split a skewed join side even where the split costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Folders say which partitions a table has, so that a table moves to new files by its location alone.
+    "spark.sql.hive.manageFilesourcePartitions": "false",
     # Stream state larger than the heap lives on local disk, its changes in the checkpoint.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }

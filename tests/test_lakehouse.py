@@ -13,6 +13,7 @@ from siltstone.operators.reports import layer_counts, quality_counts
 from siltstone.plans import cleaning, gold, lakehouse, silver
 from siltstone.sources import csv_drops
 from siltstone.sources.bronze import read_topics, to_bronze
+from siltstone.sources.versions import VersionedTable
 from siltstone.streaming import flows
 
 T0 = datetime(2024, 3, 1)
@@ -104,7 +105,7 @@ def test_silver_tables(spark, lake):
 
 
 def test_dead_letters_keep_reason_and_message(spark, lake):
-    dlq = spark.read.parquet(f"{lake[0]}/silver/dlq")
+    dlq = VersionedTable(spark, f"{lake[0]}/silver/dlq").read()
     got = {(r["_source"], r["id"]): r for r in dlq.collect()}
     assert set(got) == {("erp.orders", "3"), ("erp.orders", "4"), ("erp.orders", None), ("erp.customers", "2"),
                         ("erp.order_items", "12"), ("erp.products", "8"), ("payment.payments", "9")}
@@ -145,18 +146,18 @@ def test_later_landings_are_merged(spark, lake, tmp_path):
     def content():
         found = {}
         for entity in lakehouse.ENTITIES:
-            df = lakehouse.read_or_empty(spark, f"{root}/silver/{entity}", lakehouse.ENTITIES[entity][1](spark.createDataFrame([], schemas.BRONZE)).schema)
+            df = lakehouse.read_silver(spark, root, entity)
             found[entity] = sorted(str(sorted(r.asDict().items())) for r in df.collect())
         return found
 
     merged = content()
     lakehouse.run_silver(spark, root, F.lit(T0))
     assert merged == content()
-    pay = {r["_event_id"]: r for r in spark.read.parquet(f"{root}/silver/payments").collect()}
+    pay = {r["_event_id"]: r for r in lakehouse.read_silver(spark, root, "payments").collect()}
     assert pay["p1"]["status"] == "REFUNDED"
     assert {e: pay[e]["_reasons"] for e in ("p8", "p9", "p10")} == {
         "p8": ["dirty_step"], "p9": ["unmatched_step"], "p10": ["step_without_status"]}
-    kept = {r["id"] for r in spark.read.parquet(f"{root}/silver/orders").filter("_route = 'silver'").collect()}
+    kept = {r["id"] for r in lakehouse.read_silver(spark, root, "orders").filter("_route = 'silver'").collect()}
     assert kept == {3, 5, 7}
     assert silver_rows(spark, root, "reviews", "review_id", "rating") == [(1, 4)]
     assert lakehouse.read_routed(spark, root, "reviews", silver.DEAD_LETTER).first()["_reasons"] == ["rating_out_of_range"]

@@ -360,13 +360,17 @@ def to_bool(t):
 
 @query("epoch_ms", """
 SELECT id, __op, make_timestamp(__source_ts_ms * 1000) AS changed_at, make_timestamp((__source_ts_ms // 1000) * 1000000) AS changed_s,
-  CAST(make_timestamp(__source_ts_ms * 1000) AS DATE) AS changed_on FROM cdc_orders""", uses=("cdc_orders",))
+  CAST(make_timestamp(__source_ts_ms * 1000) AS DATE) AS changed_on, CASE WHEN id % 3 = 0 THEN NULL ELSE make_timestamp(__source_ts_ms * 1000) END AS odd_ms,
+  CASE WHEN id % 3 = 1 THEN NULL ELSE make_timestamp((__source_ts_ms // 1000) * 1000000) END AS odd_s FROM cdc_orders""", uses=("cdc_orders",))
 def epoch_ms(t):
-    ms = F.col("__source_ts_ms")
+    """Numbers that no time can hold, of either sign, are NULL."""
+    ms, s = F.col("__source_ts_ms"), F.floor(F.col("__source_ts_ms") / 1000)
+    far = F.lit((1 << 63) - 1)
     return t.cdc_orders.select(
-        "id", "__op", _ntz(times.epoch_to_ts(ms)).alias("changed_at"),
-        _ntz(times.epoch_to_ts(F.floor(ms / 1000), "s")).alias("changed_s"),
+        "id", "__op", _ntz(times.epoch_to_ts(ms)).alias("changed_at"), _ntz(times.epoch_to_ts(s, "s")).alias("changed_s"),
         times.epoch_to_ts(F.floor(ms / 86400000), "d").alias("changed_on"),
+        _ntz(times.epoch_to_ts(F.when(F.col("id") % 3 == 0, far - F.col("id")).otherwise(ms))).alias("odd_ms"),
+        _ntz(times.epoch_to_ts(F.when(F.col("id") % 3 == 1, F.col("id") - far).otherwise(s), "s")).alias("odd_s"),
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from siltstone.sources.csv_drops import read_csv_drops
 from siltstone.sources.files import read_csv, read_json_array, read_or_empty, split_corrupt
 from siltstone.sources.snapshots import merge_history, snapshot_manifest, tag_snapshot
 from siltstone.sources.tables import ensure_database, list_tables, publish
+from siltstone.sources.versions import VersionedTable
 from siltstone.streaming.flows import (
     append_bronze, dedup_stream, dlq_route, drain, event_counts, late_arrival_stream, split_stream,
 )
@@ -278,6 +281,28 @@ def csv_multiline(t):
     return clean.select("doc_id", F.md5("text").alias("digest"))
 
 
+PRICE = "CAST(o_totalprice AS DECIMAL(18,2))"
+
+
+@query("table_versions", f"""
+SELECT 1 AS version, count(*) AS rows, CAST(sum({PRICE}) AS DOUBLE) AS total FROM orders WHERE o_orderstatus = 'O'
+UNION ALL SELECT 2, count(*), CAST(sum({PRICE}) AS DOUBLE) FROM orders
+UNION ALL SELECT 3, count(*), CAST(sum(CASE WHEN o_orderkey % 8 IN (2, 5) THEN 2 ELSE 1 END * {PRICE}) AS DOUBLE) FROM orders WHERE o_orderkey % 8 <> 7""")
+def table_versions(t):
+    """A table rewritten twice, the second time in three of its eight parts only, one of which is left without rows; and read
+    in each of its versions."""
+    table = VersionedTable(t.spark, f"{scratch_folder(t.spark, 'versions')}/orders")
+    rows = t.orders.withColumns({"part": (F.col("o_orderkey") % 8).cast("int"), "price": F.col("o_totalprice").cast("decimal(18,2)")})
+    table.overwrite(rows.filter("o_orderstatus = 'O'"))
+    table.replace(rows, ["part"])
+    # Reads the version that it replaces parts of.
+    doubled = table.read(only=lambda at: at["part"] in (2, 5)).withColumn("price", (F.col("price") * 2).cast("decimal(18,2)"))
+    table.replace(doubled, ["part"], gone=lambda at: at["part"] in (2, 5, 7))
+    counts = [table.read(version=v).agg(F.lit(v).alias("version"), F.count(F.lit(1)).alias("rows"), F.sum("price").cast("double").alias("total"))
+              for v in table.versions()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query("json_array", "SELECT CAST(p_partkey AS BIGINT) AS id, p_name AS name, p_size AS size FROM part")
 def json_array(t):
     """Files of one array each, for every thousand parts, read back."""
