@@ -66,15 +66,15 @@ def dedup_events(
     """K4. One event per business key: the earliest, after redeliveries of one event are dropped.
 
     An event id that reappears, under another business key too, is a redelivery: the earliest delivery of each event is taken
-    first. With `redelivered_as_is=True` the caller vouches that redeliveries are copies and share the business key; the
+    first. An event without an id (NULL or empty) is no other event's redelivery. With `redelivered_as_is=True` the caller vouches that redeliveries are copies and share the business key; the
     earliest-per-key step then removes them too, with one shuffle less.
     """
-    known = df.filter(F.col(business_key).isNotNull() & (F.col(business_key) != ""))
+    named = F.col(business_key).isNotNull() & (F.col(business_key) != "")
+    known = df.filter(named)
     if not redelivered_as_is:
-        ties = [business_key]
-        known = earliest_per_key(df, [event_id], seen_at, ties).filter(
-            F.col(business_key).isNotNull() & (F.col(business_key) != "")
-        )
+        # Without an id no two events are known to be one; they meet under their business key alone.
+        rows = df.withColumn("_alone", F.when(F.coalesce(F.col(event_id).cast("string"), F.lit("")) == "", F.col(business_key)))
+        known = earliest_per_key(rows, [event_id, "_alone"], seen_at, [business_key]).drop("_alone").filter(named)
     return earliest_per_key(known, [business_key], seen_at, [event_id])
 
 

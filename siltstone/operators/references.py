@@ -90,7 +90,7 @@ def unreviewed_items(
     """J10. Distinct (order, product) pairs of delivered orders without a review."""
     delivered = orders.filter(F.lower(status) == "delivered").select(order_id)
     pairs = items.select(order_id, product_id).dropna().distinct()
-    # One order may hold many of the pairs, so this join salts hot orders.
+    # One order may hold many of the pairs; Spark splits such a partition at run time.
     return without_match(skew_join(pairs, delivered, [order_id], "left_semi"), reviews, [order_id, product_id])
 
 

@@ -47,11 +47,16 @@ def dim_shipping(shipping: DataFrame) -> DataFrame:
 
 
 def dim_date(df: DataFrame, column: str, first: str = "1900-01-01", last: str = "2199-12-31") -> DataFrame:
-    """G5. Every calendar day from the first to the last date of `column` that lies between `first` and `last`."""
+    """G5. Every calendar day from the first to the last date of `column` between `first` and `last`, and those dates outside that occur.
+
+    So every dated row has its day, while a date that is wrong by centuries doesn't bring all the days up to it.
+    """
     day = F.col("date")
-    dated = df.select(F.col(column).cast("date").alias("d")).filter(F.col("d").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
-    span = dated.agg(F.min("d").alias("a"), F.max("d").alias("b"))
-    return span.select(F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 DAY"))).alias("date")).select(
+    dated = df.select(F.col(column).cast("date").alias("d")).filter(F.col("d").isNotNull())
+    usual = F.col("d").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    span = dated.agg(F.min(F.when(usual, F.col("d"))).alias("a"), F.max(F.when(usual, F.col("d"))).alias("b"))
+    days = span.select(F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 DAY"))).alias("date"))
+    return days.union(dated.filter(~usual).distinct()).select(
         (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).alias("date_key"),
         "date",
         F.year(day).alias("year"), F.quarter(day).alias("quarter"), F.month(day).alias("month"),

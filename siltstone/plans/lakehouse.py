@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltstone import schemas, vocab
@@ -14,7 +14,7 @@ from siltstone.operators.reports import monthly_revenue
 from siltstone.operators.status import apply_delivery_notices, apply_stock_updates
 from siltstone.plans import gold, silver
 from siltstone.sources.bronze import read_topics, to_bronze
-from siltstone.sources.files import read_or_empty
+from siltstone.sources.compaction import TARGET_BYTES, compact, read_packed
 from siltstone.sources.tables import ensure_database, publish
 from siltstone.sources.versions import VersionedTable
 from siltstone.streaming.flows import append_bronze
@@ -58,9 +58,13 @@ def run_bronze(spark: SparkSession, root: str, *, servers: str | None = None, fi
 
 
 def read_bronze(spark: SparkSession, root: str, sink: str, since: str | None = None) -> DataFrame:
-    """A landing table, from `since` (a day) on: older folders are not listed or read."""
-    rows = read_or_empty(spark, f"{root}/bronze/{sink}", schemas.BRONZE)
-    return rows.filter(F.col("ingest_date") >= F.lit(since).cast("date")) if since else rows
+    """A landing table, packed or not, from `since` (a day) on: older folders are not read."""
+    return read_packed(spark, f"{root}/bronze/{sink}", f"{root}/bronze_packed/{sink}", since)
+
+
+def compact_bronze(spark: SparkSession, root: str, target: int = TARGET_BYTES) -> dict[str, int | None]:
+    """Packs what has landed since the last time; the new version of each landing table that has anything new."""
+    return {sink: compact(spark, f"{root}/bronze/{sink}", f"{root}/bronze_packed/{sink}", target) for sink in vocab.TOPIC_ROUTES}
 
 
 def silver_table(spark: SparkSession, root: str, entity: str) -> VersionedTable:
@@ -163,25 +167,74 @@ def run_silver(
 def current_orders(spark: SparkSession, root: str) -> DataFrame:
     """Accepted orders with the delivery notices of the gateway applied; the orders themselves stay as their source has them."""
     notices = silver.delivery_notices(read_bronze(spark, root, "pay_raw"))
-    orders = read_routed(spark, root, "orders", silver.SILVER)
+    orders = read_accepted(spark, root, "orders")
     return apply_delivery_notices(orders, notices.withColumnRenamed("order_id", "id"), "id", delivered="DELIVERED")
 
 
 def current_products(spark: SparkSession, root: str) -> DataFrame:
     """Accepted products with the newest stock and price that the warehouse reports for each."""
     updates = silver.stock_updates(read_bronze(spark, root, "wh_raw")).withColumnRenamed("product_id", "id")
-    products = read_routed(spark, root, "products", silver.SILVER)
+    products = read_accepted(spark, root, "products")
     return apply_stock_updates(products, updates, "id", "updated_at", ["_event_id"])
 
 
-def replay_products(spark: SparkSession, root: str, now: Column, max_retries: int = 3) -> DataFrame:
-    """Dead product rows tried again: those that can be repaired come back as silver, the others as dead letters with a retry more."""
-    dead = read_routed(spark, root, "products", silver.DEAD_LETTER).withColumn("_quality_flag", F.lit(vocab.DIRTY))
-    if "_retry_count" not in dead.columns:
-        dead = dead.withColumn("_retry_count", F.lit(0))
-    rules = [q.sku_format_variant(), *[q.null_rule(c) for c in ("id", "sku", "name", "price")], q.not_positive("price")]
-    accepted = read_routed(spark, root, "products", silver.SILVER).select("id")
-    return q.replay_dead_letters(dead, rules, ["id", "sku", "price"], accepted, ["id"], now, max_retries)
+#: silver table -> rules that a dead row is judged by again; the columns that it needs are those of the null rules.
+REPLAYED: dict[str, tuple[str, ...]] = {
+    "products": ("id", "sku", "name", "price"),
+    "warehouse_events": ("sku", "name", "price"),
+}
+
+
+def retry_table(spark: SparkSession, root: str, entity: str) -> VersionedTable:
+    """What replays have made of an entity's dead letters, one row for each message, by its digest."""
+    return VersionedTable(spark, f"{root}/silver_retries/{entity}")
+
+
+def _dead(spark: SparkSession, root: str, entity: str) -> DataFrame:
+    """An entity's dead letters with the digest of their message and the retries they have had."""
+    dead = read_routed(spark, root, entity, silver.DEAD_LETTER).withColumn("_digest", F.sha2("raw_data", 256))
+    tried = retry_table(spark, root, entity).read("_digest string, _retry_count int, _route string").select(
+        "_digest", F.col("_retry_count"), (F.col("_route") == silver.SILVER).alias("_recovered"))
+    return dead.join(tried, "_digest", "left").withColumns({
+        "_retry_count": F.coalesce("_retry_count", F.lit(0)), "_recovered": F.coalesce("_recovered", F.lit(False))})
+
+
+def run_replay(spark: SparkSession, root: str, entity: str, now: Column, max_retries: int = 3) -> None:
+    """Q6. Tries an entity's dead letters again and stores the outcome.
+
+    A row that can be repaired comes back as silver from then on (see `read_accepted`). The others stay dead with one retry more; after
+    `max_retries` they are retired. Rows whose key has been accepted meanwhile aren't tried. A row that the
+    entity no longer has, as a newer version came, loses its entry.
+    """
+    needed, key = REPLAYED[entity], KEYS[entity][0]
+    rules = [q.sku_format_variant(), *[q.null_rule(c) for c in needed], q.not_positive("price")]
+    dead = _dead(spark, root, entity)
+    accepted = read_routed(spark, root, entity, silver.SILVER).select(key)
+    due = dead.filter(~F.col("_recovered")).withColumn("_quality_flag", F.lit(vocab.DIRTY)).drop("_recovered")
+    again = q.replay_dead_letters(due, rules, list(needed), accepted, [key], now, max_retries).drop("_dlq_ingested_at")
+    table = retry_table(spark, root, entity)
+    kept = table.read(again.schema).join(dead.select("_digest").distinct(), "_digest", "left_semi").join(again.select("_digest"), "_digest", "left_anti")
+    table.overwrite(again.unionByName(kept.select(*again.columns)))
+
+
+def dead_letter_states(spark: SparkSession, root: str, entity: str, max_retries: int = 3) -> DataFrame:
+    """An entity's dead letters with `_retry_count` and `_state`: recovered, retired, or waiting."""
+    state = F.when(F.col("_recovered"), "recovered").when(F.col("_retry_count") >= max_retries, "retired").otherwise("waiting")
+    return _dead(spark, root, entity).withColumn("_state", state).drop("_recovered")
+
+
+def read_accepted(spark: SparkSession, root: str, entity: str) -> DataFrame:
+    """Accepted rows of an entity, those included that a replay has repaired and whose key no accepted row has."""
+    rows = read_routed(spark, root, entity, silver.SILVER)
+    if entity not in REPLAYED:
+        return rows
+    key, table = KEYS[entity][0], retry_table(spark, root, entity)
+    if table.manifest() is None:
+        return rows
+    still = read_routed(spark, root, entity, silver.DEAD_LETTER).select(F.sha2("raw_data", 256).alias("_digest")).distinct()
+    repaired = table.read().filter(F.col("_route") == silver.SILVER).join(still, "_digest", "left_semi")
+    first = repaired.withColumn("_place", F.row_number().over(Window.partitionBy(key).orderBy("_digest"))).filter("_place = 1")
+    return rows.unionByName(first.join(rows.select(key), key, "left_anti").select(*rows.columns))
 
 
 def build_gold(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -201,9 +254,10 @@ def build_gold(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def run_gold(spark: SparkSession, root: str, database: str = "gold") -> DataFrame:
-    """Publish the star schema; returns the monthly revenue report over the published fact."""
-    names = ("orders", "customers", "order_items", "products", "payments", "shipping")
-    tables = {n: read_routed(spark, root, n, silver.SILVER) for n in names}
+    """Publish the star schema, of orders and products in their current state; returns the monthly revenue report over the published fact."""
+    names = ("customers", "order_items", "payments", "shipping")
+    tables = {n: read_accepted(spark, root, n) for n in names}
+    tables |= {"orders": current_orders(spark, root), "products": current_products(spark, root)}
     ensure_database(spark, database)
     for name, df in build_gold(tables).items():
         parts = ["order_year", "order_month"] if name == "fact_sales" else []

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -47,3 +47,10 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
         root = tempfile.mkdtemp(prefix="siltstone-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to a scratch folder and read back, so that lineage ends here."""
+    path = scratch_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -23,12 +23,14 @@ def read_or_empty(spark: SparkSession, path: str, schema: str | StructType) -> D
         raise
 
 
-def read_csv(spark: SparkSession, path: str, schema: str, *, multiline: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: str, *, multiline: bool = True, null: str = "") -> DataFrame:
     """S9. CSV with a header and a declared schema; a row that does not fit keeps its text.
 
     Quoted line breaks need `multiline`, which reads each file in one task: keep files moderate, or
     switch it off for files known to have none, so that they split.
 
+    A field that reads `null` is NULL: by default an empty one. With another spelling, empty and blank text stays what it is.
+
     A row is judged by all declared columns, whichever of them the query goes on to use: Spark
     converts only the columns a plan reads, so the corrupt-row column is tied to every one of them.
     """
@@ -39,6 +41,7 @@ def read_csv(spark: SparkSession, path: str, schema: str, *, multiline: bool = T
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("multiLine", multiline)
         .option("escape", '"')
+        .option("nullValue", null)
         .csv(path)
     )
     everything = F.concat_ws("", *[F.col(c).cast("string") for c in rows.columns if c != CORRUPT])

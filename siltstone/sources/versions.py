@@ -1,7 +1,7 @@
 """Parquet tables in versions: each is a manifest of folders, and one rename makes it the table.
 
 Below the table's path, `data/` holds one folder for each write and is only ever added to; `_versions/<n>.json` names the
-folders that make up version n, with the rows and an order-free checksum of each. A write that dies leaves folders that no
+folders that make up version n, with the rows, files, bytes and an order-free checksum of each. A write that dies leaves folders that no
 manifest names; readers go on with the version they have resolved. Of two writers that start from the same version, one fails.
 """
 
@@ -81,35 +81,39 @@ class VersionedTable:
             raise ConcurrentWrite(f"version {manifest['version']} of {self.path} is there already") from problem
         return manifest["version"]
 
-    def _written(self, df: DataFrame, part_by: Sequence[str], sub_by: Sequence[str]) -> list[Part]:
+    def _written(self, df: DataFrame, part_by: Sequence[str], sub_by: Sequence[str], rebalance: bool) -> list[Part]:
         """Writes a folder of its own, and reads back what each part of it holds."""
         by, write = [*part_by, *sub_by], f"{_WRITE}={uuid.uuid4().hex}"
-        shaped = df.hint("rebalance", *[F.col(c) for c in by]) if by else df
+        shaped = df.hint("rebalance", *[F.col(c) for c in by]) if by and rebalance else df
         shaped.write.partitionBy(*by).parquet(f"{self.path}/data/{write}")
         back = self.spark.read.schema(df.schema).parquet(f"{self.path}/data/{write}")
-        counts = back.groupBy(*part_by).agg(F.count(F.lit(1)).alias("rows"), checksum(df.columns).alias("checksum")).collect()
-        found = []
-        for row in counts:
+        back = back.select(*df.columns, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_size").alias("_size"))
+        files = back.groupBy(*part_by, "_file").agg(
+            F.count(F.lit(1)).alias("_rows"), checksum(df.columns).alias("_checksum"), F.max("_size").alias("_size")).collect()
+        found: dict[str, Part] = {}
+        for row in files:
             at = {c: None if row[c] is None else row[c] if isinstance(row[c], int) else str(row[c]) for c in part_by}
             folder = "/".join([write, *[f"{c}={_NULL if v is None else v}" for c, v in at.items()]])
-            if row["rows"]:
-                found.append({"at": at, "folder": folder, "rows": row["rows"], "checksum": row["checksum"]})
-        return found
+            part = found.setdefault(folder, {"at": at, "folder": folder, "rows": 0, "checksum": 0, "files": 0, "bytes": 0})
+            for name, more in (("rows", row["_rows"]), ("checksum", int(row["_checksum"])), ("files", 1), ("bytes", row["_size"])):
+                part[name] += more
+        return [{**part, "checksum": str(part["checksum"])} for part in found.values()]
 
     def replace(
         self, df: DataFrame, part_by: Sequence[str] = (), sub_by: Sequence[str] = (),
-        gone: Callable[[dict[str, Any]], bool] = lambda at: True, about: dict[str, Any] | None = None,
+        gone: Callable[[dict[str, Any]], bool] = lambda at: True, about: dict[str, Any] | None = None, rebalance: bool = True,
     ) -> int:
         """A new version: the parts that `gone` holds for are replaced by the rows of `df`, the others stay as they are.
 
-        A part is a combination of the integers or dates in `part_by`; `sub_by` are partition columns below it. All rows of `df` must
-        belong to parts that are replaced. `about` is kept in the manifest. `df` may read this table.
+        A part is a combination of the values in `part_by`: integers, dates, or names made of letters, digits, `.`, `_` and `-`; `sub_by` are partition columns below it. All rows of `df` must
+        belong to parts that are replaced. `about` is kept in the manifest. `df` may read this table. Rows are evened out over the partition
+        columns before they are written, unless `rebalance` is false: then each task's rows of a partition become a file.
         """
         before = self.manifest()
         kept = [p for p in before["parts"] if not gone(p["at"])] if before else []
         if kept and (before["part_by"] != list(part_by) or StructType.fromJson(before["schema"]).simpleString() != df.schema.simpleString()):
             raise ValueError("parts that stay have other columns; replace them all")
-        parts = self._written(df, part_by, sub_by)
+        parts = self._written(df, part_by, sub_by, rebalance)
         if odd := [p["at"] for p in parts if not gone(p["at"])]:
             raise ValueError(f"rows outside the replaced parts: {odd[:3]}")
         return self._commit({

@@ -166,8 +166,10 @@ def test_later_landings_are_merged(spark, lake, tmp_path):
     assert orders[5] == "DELIVERED" and orders[7] == "PENDING"
     product = lakehouse.current_products(spark, root).first()
     assert (product["id"], product["stock_quantity"], str(product["price"])) == (7, 3, "25.00")
-    again = lakehouse.replay_products(spark, root, F.lit(T0)).collect()
-    assert [(r["id"], r["_route"], r["_retry_count"]) for r in again] == [(8, "dead_letter", 1)]
+    for tries in (1, 2, 3, 3):
+        lakehouse.run_replay(spark, root, "products", F.lit(T0))
+        again = lakehouse.dead_letter_states(spark, root, "products").collect()
+        assert [(r["id"], r["_retry_count"], r["_state"]) for r in again] == [(8, tries, "retired" if tries == 3 else "waiting")]
 
 
 def test_gold(spark, lake):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.keys import surrogate_key
 from siltstone.functions.times import elapsed_days
+from siltstone.operators.hierarchy import hierarchy
 from siltstone.operators import dedup, references
 from siltstone.operators.skew import skew_join
 from workload.registry import query
@@ -222,3 +223,24 @@ def delivery_days(t):
     joined = skew_join(t.lineitem, heads, ["l_orderkey"], "inner")
     return joined.select(
         "l_orderkey", "l_linenumber", "l_partkey", elapsed_days(F.col("o_orderdate"), F.col("l_shipdate")).alias("days"))
+
+
+# Parts under the part of a third of their number, so that the chains are as long as its logarithm; some references point nowhere, some
+# pairs of parts are each other's parents, and one part is its own.
+PARENT = """CASE WHEN p_partkey % 50 = 7 THEN p_partkey + 1000000000 WHEN p_partkey % 101 = 5 THEN p_partkey + 1 WHEN p_partkey % 101 = 6 THEN p_partkey - 1
+  WHEN p_partkey = 44 THEN 44 WHEN p_partkey < 3 THEN NULL ELSE CAST(floor(p_partkey / 3) AS BIGINT) END"""
+
+
+@query("category_tree", f"""
+WITH RECURSIVE c AS (SELECT p_partkey AS id, {PARENT} AS parent FROM part),
+u AS (SELECT id, parent AS above FROM c WHERE parent IS NOT NULL UNION SELECT u.id, c.parent FROM u JOIN c ON c.id = u.above WHERE c.parent IS NOT NULL),
+y AS (SELECT id FROM u WHERE above = id),
+x AS (SELECT u.id, bool_or(y.id IS NOT NULL) AS into_cycle, bool_or(k.id IS NULL) AS lost, count(k.id) AS depth,
+    max(CASE WHEN k.id IS NOT NULL AND (k.parent IS NULL OR k.parent NOT IN (SELECT id FROM c)) THEN k.id END) AS root
+  FROM u LEFT JOIN c k ON k.id = u.above LEFT JOIN y ON y.id = u.above GROUP BY 1)
+SELECT c.id, c.parent, CASE WHEN into_cycle THEN NULL ELSE coalesce(depth, 0) END AS depth, CASE WHEN into_cycle THEN NULL ELSE coalesce(root, c.id) END AS root,
+  CASE WHEN c.id IN (SELECT id FROM y) THEN 'cycle' WHEN into_cycle THEN 'into_cycle' WHEN lost THEN 'orphaned' ELSE 'ok' END AS state
+FROM c LEFT JOIN x ON x.id = c.id""")
+def category_tree(t):
+    """The parent edge checked beyond a count of orphans: cycles, depths, roots, subtrees that hang in the air."""
+    return hierarchy(t.part.select(F.col("p_partkey").alias("id"), F.expr(PARENT).alias("parent")), "id", "parent")

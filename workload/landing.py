@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -14,6 +15,7 @@ from siltstone.operators.quality import with_orphan_flag, with_repeat_flag
 from siltstone.plans.guarded import guarded_sql
 from siltstone.session import scratch_folder
 from siltstone.sources.bronze import read_topics, route_topic, to_bronze
+from siltstone.sources.compaction import compact, read_packed
 from siltstone.sources.csv_drops import read_csv_drops
 from siltstone.sources.files import read_csv, read_json_array, read_or_empty, split_corrupt
 from siltstone.sources.snapshots import merge_history, snapshot_manifest, tag_snapshot
@@ -22,6 +24,8 @@ from siltstone.sources.versions import VersionedTable
 from siltstone.streaming.flows import (
     append_bronze, dedup_stream, dlq_route, drain, event_counts, late_arrival_stream, split_stream,
 )
+from siltstone.streaming.state import payment_desk_stream, status_stream
+from workload.quality import STEP_KEY, STEP_OF
 from workload.registry import TABLES, query
 
 TOPIC_OF = {
@@ -268,19 +272,41 @@ GUARDED = "SELECT o_orderpriority, count(*) AS updated_rows, max(o_orderkey) AS
 
 @query("guarded_sql", GUARDED)
 def guarded(t):
-    t.orders.createOrReplaceTempView("orders")
-    return guarded_sql(t.spark, GUARDED + ";")
+    view = f"orders_{uuid.uuid4().hex}"
+    t.orders.createOrReplaceTempView(view)
+    try:
+        return guarded_sql(t.spark, GUARDED.replace("FROM orders", f"FROM {view}") + ";", tables=[view])
+    finally:
+        t.spark.catalog.dropTempView(view)
 
 
-@query("csv_multiline", "SELECT doc_id, md5(text) AS digest FROM documents WHERE trim(text) <> ''")
+@query("csv_multiline", """
+SELECT doc_id, CASE WHEN doc_id % 10 = 3 THEN NULL ELSE md5(CASE doc_id % 10 WHEN 1 THEN '' WHEN 2 THEN '  ' ELSE text END) END AS digest FROM documents""")
 def csv_multiline(t):
-    """Texts with line breaks written as CSV and read back whole."""
+    """Texts with line breaks, empty ones, blank ones and NULLs written as CSV and read back whole."""
     path = scratch_folder(t.spark, "csv")
-    t.documents.filter(F.trim("text") != "").select("doc_id", "text").write.csv(path, header=True, escape='"', quoteAll=True)
-    clean, _ = split_corrupt(read_csv(t.spark, path, "doc_id bigint, text string"))
+    last = F.col("doc_id") % 10
+    text = F.when(last == 1, "").when(last == 2, "  ").when(last != 3, F.col("text"))
+    t.documents.select("doc_id", text.alias("text")).write.csv(path, header=True, escape='"', quoteAll=True, nullValue="\\N", emptyValue="",
+                                                                      ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    clean, _ = split_corrupt(read_csv(t.spark, path, "doc_id bigint, text string", null="\\N"))
     return clean.select("doc_id", F.md5("text").alias("digest"))
 
 
+@query("bronze_compacted", BRONZE_DAILY)
+def bronze_compacted(t):
+    """Messages landed in four parts as small files, packed after the second and the third; the fourth is still in landing files."""
+    path = scratch_folder(t.spark, "packed")
+    landing, packed = f"{path}/bronze", f"{path}/packed"
+    for part in range(4):
+        as_messages(t.events.filter(F.least(F.floor(F.col("event_id") * 4 / F.lit(t.events.count())), F.lit(3)) == part)).repartition(4).write.mode("append").parquet(f"{path}/in")
+        messages = read_topics(t.spark, ".*", files=f"{path}/in")
+        append_bronze(to_bronze(messages), landing, f"{path}/checkpoint")
+        if part in (1, 2):
+            compact(t.spark, landing, packed, target=1 << 20)
+    return _daily(read_packed(t.spark, landing, packed))
+
+
 PRICE = "CAST(o_totalprice AS DECIMAL(18,2))"
 
 
@@ -342,6 +368,56 @@ def mismatched_order_ref(t):
     return with_orphan_flag(t.gateway, "user_id", t.orders, "o_orderkey", "mismatched_order_ref").select("event_id", "mismatched_order_ref")
 
 
+@query("stream_status_fold", f"""
+WITH s AS (SELECT event_id, ts, {STEP_KEY} AS user_id, {STEP_OF} AS status_to FROM events),
+f AS (SELECT user_id, arg_max(status_to, (ts, event_id)) FILTER (WHERE status_to IS NOT NULL) AS status, min(ts) FILTER (WHERE status_to = 'picked_up') AS shipped_at,
+  min(ts) FILTER (WHERE status_to = 'delivered') AS delivered_at FROM s GROUP BY 1)
+SELECT c_custkey AS user_id, coalesce(f.status, 'none') AS status, shipped_at, delivered_at FROM customer LEFT JOIN f ON c_custkey = user_id""")
+def stream_status_fold(t):
+    """The status of each key as a state machine on the stream has it, the same as the fold of the whole table."""
+    return _moved(t, "state", lambda rows: t.customer.select(F.col("c_custkey").alias("user_id")).join(
+        rows.filter(F.col("user_id").isNotNull()).groupBy("user_id").agg(F.max_by(F.struct("status_to", "shipped_at", "delivered_at"), "changes").alias("s")), "user_id", "left").select(
+        "user_id", F.coalesce("s.status_to", F.lit("none")).alias("status"), *[F.col(f"s.{c}").cast("timestamp_ntz").alias(c) for c in ("shipped_at", "delivered_at")]))
+
+
+@query("stream_illegal_steps", f"""
+WITH s AS (SELECT event_id, ts, {STEP_KEY} AS user_id, {STEP_OF} AS status_to FROM events),
+l AS (SELECT *, lag(status_to) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM s)
+SELECT event_id, user_id, prev AS status_from, status_to FROM l WHERE prev IS NOT NULL AND prev <> status_to
+  AND NOT ((prev = 'pending' AND status_to = 'picked_up') OR (prev = 'picked_up' AND status_to = 'in_transit')
+  OR (prev = 'in_transit' AND status_to = 'out_for_delivery') OR (prev = 'out_for_delivery' AND status_to = 'delivered'))""")
+def stream_illegal_steps(t):
+    """Steps that the state machine turns down as they come."""
+    return _moved(t, "illegal", lambda rows: rows.select("event_id", "user_id", "status_from", "status_to"))
+
+
+def _moved(t, kind, finish):
+    path = scratch_folder(t.spark, "moved")
+    events = t.stream("events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.expr(STEP_KEY).alias("user_id"), F.expr(STEP_OF).alias("status_to"))
+    drain(status_stream(events, "user_id", "ts", "event_id"), f"{path}/out", f"{path}/checkpoint")
+    return finish(t.spark.read.parquet(f"{path}/out").filter(F.col("kind") == kind))
+
+
+@query("stream_payment_desk", f"""
+WITH p AS (SELECT event_id AS payment_id, ts AS paid_at, {ORDER_REF} AS order_id FROM events WHERE event_type = 'purchase'),
+o AS (SELECT event_id AS order_id, ts AS ordered_at FROM events WHERE event_type = 'view'),
+w AS (SELECT greatest((SELECT max(paid_at) FROM p), (SELECT max(ordered_at) FROM o)) - INTERVAL 10 MINUTE AS wm)
+SELECT payment_id, order_id, CASE WHEN ordered_at IS NOT NULL AND abs(epoch_us(paid_at) - epoch_us(ordered_at)) <= 600000000 THEN 'joined'
+  WHEN ordered_at IS NOT NULL THEN 'late' WHEN paid_at + INTERVAL 10 MINUTE <= wm THEN 'no_order' ELSE 'waiting' END AS result
+FROM p LEFT JOIN o USING (order_id), w""")
+def stream_payment_desk(t):
+    """Payments with the reason for each: matched, late against their order, or without any; those that wait are not told yet."""
+    path = scratch_folder(t.spark, "desk")
+    events = t.stream("events").withColumn("ts", F.col("ts").cast("timestamp"))
+    paid = events.filter(F.col("event_type") == "purchase").select(F.col("event_id").alias("payment_id"), F.col("ts").alias("paid_at"), F.expr(ORDER_REF).alias("order_id"))
+    made = events.filter(F.col("event_type") == "view").select(F.col("ts").alias("ordered_at"), F.col("event_id").alias("order_id"))
+    drain(payment_desk_stream(paid, made, "order_id", "payment_id", "paid_at", "ordered_at", minutes=10), f"{path}/out", f"{path}/checkpoint")
+    out = t.spark.read.parquet(f"{path}/out").select("payment_id", "order_id", "result")
+    every = t.events.filter(F.col("event_type") == "purchase").select(
+        F.col("event_id").alias("payment_id"), F.expr(ORDER_REF).alias("order_id"), F.lit("waiting").alias("result"))
+    return out.unionByName(every.join(out, "payment_id", "left_anti").select(*out.columns))
+
+
 # `late_arrival` in batch form shares the order reference above.
 @query("late_arrival", f"""
 WITH p AS (SELECT event_id AS payment_id, ts AS paid_at, {ORDER_REF} AS order_id FROM events WHERE event_type = 'purchase'),

@@ -47,15 +47,21 @@ class Tables:
         Tables are named after FROM or JOIN; each becomes a view of its own name, so that no view of the caller is replaced.
         The statements are heavy on text; a table that comes in fewer splits than there are cores is spread first.
         """
+        views_made = []
         for table in TABLES:
             named = rf"(?<=\bFROM ){table}\b|(?<=\bJOIN ){table}\b"
             if re.search(named, statement):
                 view = f"{table}_{self._mark}"
                 if view not in self._seen:
                     self._seen[view] = spread_scan(getattr(self, table), self.spark.sparkContext.defaultParallelism)
-                    self._seen[view].createOrReplaceTempView(view)
+                self._seen[view].createOrReplaceTempView(view)
+                views_made.append(view)
                 statement = re.sub(named, view, statement)
-        return self.spark.sql(statement)
+        try:
+            return self.spark.sql(statement)
+        finally:
+            for view in views_made:
+                self.spark.catalog.dropTempView(view)
 
     def stream(self, name: str) -> DataFrame:
         """A base table as a file stream."""

@@ -235,7 +235,7 @@ def silver_incremental(t):
         landed = part.select(*_message("erp.public.orders", "*"), F.lit(day).cast("date").alias("ingest_date"), F.lit(None).cast("string").alias("kafka_key"),
                              F.lit(None).cast("timestamp").alias("_kafka_timestamp"))
         landed.write.mode("append").partitionBy("_source_topic", "ingest_date").parquet(f"{root}/bronze/erp_raw")
-        lakehouse.run_silver(t.spark, root, F.expr(AT), since=None if day.endswith("01") else day, entities=("orders",))
+        lakehouse.run_silver(t.spark, root, F.expr(AT), since=None if day.endswith("01") else day, entities=("orders",), buckets=16)
     out = lakehouse.read_silver(t.spark, root, "orders")
     return out.select("id", "customer_id", "status", F.col("total_amount").cast("double").alias("total_amount"), F.col("_route").alias("route"))
 
@@ -272,6 +272,30 @@ def silver_odd_keys(t):
     return parts[0].unionByName(parts[1])
 
 
+@query("replay_states", """
+WITH d AS (SELECT p_partkey AS id, p_partkey % 7 = 6 OR p_partkey % 5 < 2 AS broken, p_partkey % 3 = 0 AS flagged, p_partkey % 7 IN (1, 3, 4, 5) AS variant FROM part)
+SELECT id, CASE WHEN NOT (broken OR flagged) THEN 'silver' WHEN flagged AND variant AND NOT broken THEN 'recovered' ELSE 'retired' END AS state,
+  CASE WHEN broken OR flagged THEN CASE WHEN flagged AND variant AND NOT broken THEN 0 ELSE 3 END END AS retries FROM d""")
+def replay_states(t):
+    """Flagged and broken product events replayed four times: those that only had an odd SKU come back, the others are retired after three."""
+    root = scratch_folder(t.spark, "replay")
+    landed = t.dirty_parts.select(*_message(
+        "warehouse.events", F.col("id").cast("string").alias("_event_id"), F.lit("product.created").alias("_event_type"), F.lit("2024-03-01T00:00:00").alias("_ingested_at"),
+        F.when(F.col("id") % 3 == 0, "DIRTY").otherwise("CLEAN").alias("_quality_flag"), "name", "sku", F.col("price").cast("decimal(12,2)").alias("price"), "brand"))
+    landed.withColumns({
+        "ingest_date": F.lit("2024-03-01").cast("date"), "kafka_key": F.lit(None).cast("string"), "_kafka_timestamp": F.lit(None).cast("timestamp"),
+    }).write.partitionBy("_source_topic", "ingest_date").parquet(f"{root}/bronze/wh_raw")
+    lakehouse.update_silver(t.spark, root, "warehouse_events", buckets=4)
+    for _ in range(4):
+        lakehouse.run_replay(t.spark, root, "warehouse_events", F.expr(AT))
+    dead = lakehouse.dead_letter_states(t.spark, root, "warehouse_events").select("_event_id", F.col("_state").alias("state"), F.col("_retry_count").alias("retries"))
+    accepted = lakehouse.read_accepted(t.spark, root, "warehouse_events").select("_event_id").distinct()
+    both = accepted.withColumn("_in", F.lit(True)).join(dead, "_event_id", "full")
+    # A recovered row must be among the accepted ones, no other dead row may be.
+    told = F.when(F.col("_in") & F.col("state").isNull(), "silver").when(F.col("_in").isNotNull() == (F.col("state") == "recovered"), F.col("state")).otherwise("wrong")
+    return both.select(F.col("_event_id").cast("bigint").alias("id"), told.alias("state"), "retries")
+
+
 @query("silver_dead_letters", r"""
 WITH c AS (SELECT id, lower(trim(CASE WHEN trim(email) = '' THEN NULL ELSE email END)) AS email FROM dirty_customers),
 p AS (SELECT id, CASE WHEN trim(sku) = '' THEN NULL ELSE sku END AS sku, CAST(price AS DECIMAL(12,2)) AS price FROM dirty_parts)
