@@ -1,12 +1,14 @@
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from siltstone.llm.decontaminate import Items, contaminated, remove_contaminated
-from siltstone.llm.words import mix
+from siltstone.llm.decontaminate import Items, _search, contaminated, remove_contaminated
+from siltstone.llm.words import hash_words, mix, split_words
 from tests.llm.cases import messy, nothing, prose, split, texts_of
 
 BENCHMARK = StructType([StructField("item_id", LongType()), StructField("text", StringType()), StructField("doc_id", LongType())])
@@ -79,12 +81,44 @@ def test_the_index_returns_all_within_the_radius():
     for row in flips:
         row[draw.choice(64, draw.integers(0, 40), replace=False)] = 1
     prints = items.prints[draw.integers(0, 40, 3000)] ^ np.packbits(flips, axis=1)
-    window, item = items.within(20, prints)
-    near = np.bitwise_count(prints[:, None] ^ items.prints[None]).sum(axis=2) <= 24
-    assert sorted(zip(window.tolist(), item.tolist())) == sorted(zip(*(x.tolist() for x in np.nonzero(near))))
+    for item in range(40):
+        near = np.bitwise_count(prints ^ items.prints[item]).sum(axis=1) <= 24
+        assert items.within(item, prints).tolist() == np.flatnonzero(near).tolist()
     assert mix(np.arange(3, dtype=np.uint64)).dtype == np.uint64
 
 
+def test_items_as_arrays():
+    texts = ["a b a b a b a b", "", "one two", " ".join(prose(1, 30)), "ONE  Two", "x"]
+    items = Items(list(range(6)), texts, 3, 24, 80)
+    assert items.ids == [0, 2, 3, 4, 5] and items.totals.tolist() == [6, 1, 28, 1, 1] and items.kinds.tolist() == [3, 2, 3, 2, 1]
+    assert items.counts[items.starts[0]:items.starts[1]].tolist() == [3, 3]
+    for kind, (values, starts, posts) in items.tables.items():
+        for item in np.flatnonzero(items.kinds == kind):
+            own = slice(items.starts[item], items.starts[item + 1])
+            under = {v for v, a, b in zip(values.tolist(), starts, starts[1:]) if item in posts[a:b]}
+            weight = sum(n for s, n in zip(items.shingles[own].tolist(), items.counts[own].tolist()) if s in under)
+            assert under and 100 * weight > 20 * items.totals[item], "more than an item may lack"
+    assert Items([], [], 3, 24).tables == {}
+
+
+def test_very_many_items_of_one_size_take_little_memory():
+    """As arrays, and a text is held against the items that it has shingles of, not against all of their size."""
+    base = prose(5, 50, 100_000)
+    texts = [" ".join(base[:25] + prose(k, 25, 100_000)) for k in range(20_000)]
+    tracemalloc.start()
+    items = Items(list(range(20_000)), texts, 5, 24)
+    text = " ".join(prose(10**6, 3000, 100_000) + texts[777].split() + prose(10**6 + 1, 3000, 100_000) + base[:25])
+    tracemalloc.reset_peak()
+    pairs = []
+    words, offsets = split_words(pa.array([text], pa.large_string()), lower=True)
+    hashes = hash_words(words)
+    found = list(_search(items, hashes, lambda *n: pairs.append(n)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(f[0], f[1], f[3], f[4]) for f in found] == [(777, 3000, 46, 46)], found
+    assert len(pairs) <= 2 and peak < 400 << 20  # item 5 repeats what all begin with
+
+
 def test_empty_tables(spark):
     items, texts = benchmark_and_texts()
     bench = spark.createDataFrame([(i, t, 7) for i, t in items], BENCHMARK)
