@@ -1,11 +1,14 @@
 """Main text of web pages, by rules on their blocks.
 
-A page is cut into blocks at block-level tags. The first pass decides each block by itself: by the part of the page it stands
-in, known by its elements and by whole class names that are taken back where they wrap most of the page, the share of its
-characters that are links, its length and the density of stop words. A page without that density over all its text is in a
+A page is cut into blocks at block-level tags. The first pass decides each block by itself: by the share of its characters that are
+links, its length and the density of stop words, and by the part of the page it stands in as evidence, known by its
+elements and by whole class names that are taken back where they wrap most of the page. A page without that density over all its text is in a
 language that isn't listed: there length and links decide alone. Short blocks and middling ones, and those of few stop words,
 stay open. In the second pass they take the label of their nearest decided neighbours, where these agree; where they do not, a
-middling block is kept and a short one is left out. A short block inside the article has only neighbours inside it.
+middling block is kept and a short one is left out. Inside the article, which is the `article` with the most text that isn't linked,
+open blocks are kept unless both neighbours are out; one that is all link stays only between two good ones, so that lists of links in
+it are kept and those at its end aren't. Of other articles those with less than half of its text are out, and on pages without any article
+so are cards: siblings of one class that each begin with a short block.
 """
 
 from __future__ import annotations
@@ -64,10 +67,10 @@ _PARTS = r"""ad|ads|advert|advertisement|advertising|adbox|adslot|adunit|adsbygo
     masthead|modal|nav|navbar|navigation|newsletter|notices?|pagination|pager|popup|promo|promoted|recommended|related|share|sharing|
     sidebar|signup|skip|social|sponsor(?:ed)?|subscribe|subscription|tags|toc|toolbar|topbar|widgets?|complementary|contentinfo|search|
     alert|dialog"""
-_REMARKS = "comments?|comment-list|respond|replies|disqus"
+_REMARKS = "comments?|comment-list|respond|responses?|reactions?|replies|disqus"
 _CONSENT = "consent|cookies?|gdpr"
 _BEFORE = """site|page|main|global|top|bottom|left|right|upper|lower|primary|secondary|mobile|desktop|sticky|fixed|floating|js|blog|post|posts|
-    entry|article|story|user|author|email|inline|block"""
+    entry|article|story|user|reader|readers|visitor|author|email|inline|block"""
 _AFTER = """container|wrapper|wrap|outer|inner|box|bar|area|block|section|panel|row|group|list|items?|links?|buttons?|icons?|form|message|
     overlay|content|text|title|posts?|articles?|stories|thread|top|bottom|left|right|main|primary|secondary|policy|unit|slot|label|[0-9]+"""
 
@@ -83,12 +86,17 @@ _ENDED = r"""(?=[\s/>]|[a-z][a-z-]*+=["'])"""
 _ATTRS = rf"""(?:[^>=]++|=\s*+(?:"[^"<>]*+"|"[^"]*+"{_ENDED}|'[^'<>]*+'|'[^']*+'{_ENDED}|[^\s>"'][^\s>]*+)|=)*+"""
 _TOKEN = re.compile(
     rf"""<!--.*?(?:-->|\Z) | <(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*+)(?P<attrs>{_ATTRS}(?=>)|[^>]*+)> | <[!?/][^>]*+>""", re.I | re.S | re.X)
+_CLASS = re.compile(r"""(?<![^\s"'])class\s*=\s*(?:"([^"]+)"|'([^']+)'|([^\s>"']+))""", re.I)
 _ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _QUIET = re.compile(rf"<!--|<(/?)({'|'.join(sorted(_SILENT))})(?=[\s/>])", re.I)
 _CLOSING = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*+>", re.I) for name in _RAW}
 _BLOCK = re.compile(rf"""(?<!["'`])</?(?:{'|'.join(sorted(_BLOCKS))})(?=[\s/>])""", re.I)
 _NEXT_SCRIPT = re.compile(r"<body[\s>].*?<script[\s>]", re.I | re.S)
 
+#: How a call to subscribe begins, in the languages that its words are known of.
+_CALL = re.compile(r"""(?:please\s+)?(?:sign\s+up|subscribe|register|join\s+us|abonnieren|melden\s+sie\s+sich|jetzt\s+anmelden|abonnez-vous|inscrivez-vous|suscr[ií]be(?:te|se)|
+    ap[uú]nt(?:ate|ese)|inscr[ií]bete)\b.{0,120}?\b(?:newsletters?|mailing\s+list|inbox|updates|rundbrief|lettre|bolet[ií]n|correo)\b""", re.I | re.S | re.X)
+
 _SHORT, _LONG = 70, 200
 _SOME, _MANY = 0.15, 0.25  # of the words are stop words
 _LINKS = 0.33
@@ -97,10 +105,25 @@ _DENSE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400
 
 
 class Block:
-    __slots__ = ("text", "linked", "zone", "named", "heading", "code", "label")
+    """`named` are the numbers of named parts around it, `articles` those of articles, `cards` (kind, number) of elements that have a class.
+
+    `frame` is set for what stands in `main` beside the articles there.
+    """
+
+    __slots__ = ("text", "linked", "zone", "named", "articles", "cards", "heading", "code", "frame", "label")
 
-    def __init__(self, text: str, linked: int, zone: str, named: tuple[int, ...], heading: bool, code: bool):
-        self.text, self.linked, self.zone, self.named, self.heading, self.code, self.label = text, linked, zone, named, heading, code, ""
+    def __init__(self, text: str, linked: int, zone: str, named: tuple = (), articles: tuple = (), cards: tuple = (), heading=False, code=False):
+        self.text, self.linked, self.zone, self.named, self.articles, self.cards = text, linked, zone, named, articles, cards
+        self.heading, self.code, self.frame, self.label = heading, code, False, ""
+
+    @property
+    def plain(self) -> int:
+        """Characters that aren't linked."""
+        return max(len(self.text) - self.linked, 0)
+
+    @property
+    def is_link(self) -> bool:
+        return self.linked > 0.9 * len(self.text) and len(self.text) > 1 and len(self.text.split()) < 12
 
 
 def _zone(name: str, attrs: str) -> tuple[str, bool, bool]:
@@ -166,7 +189,9 @@ def _silent_ends(html: str) -> dict[int, int]:
 def blocks_of(html: str) -> list[Block]:
     """The page's blocks in order, each with the part of the page it stands in."""
     found: list[Block] = []
-    stack: list[tuple[str, str, tuple[int, ...]]] = []  # open elements that nest, with the part that holds inside and the named ones around
+    # Open elements that nest, with the part that holds inside, and the named ones, articles and cards around.
+    stack: list[tuple[str, str, tuple, tuple, tuple]] = []
+    outside = ("", (), (), ())
     names = 0
     texts: list[tuple[str, bool]] = []
     link = heading = code = breaks = 0
@@ -177,7 +202,7 @@ def blocks_of(html: str) -> list[Block]:
             joined = " ".join(unescape("".join(t for t, _ in texts)).split())
             if joined:
                 linked = len(" ".join(unescape(" ".join(t for t, a in texts if a)).split()))
-                found.append(Block(joined, linked, *(stack[-1][1:] if stack else ("", ())), bool(heading), bool(code)))
+                found.append(Block(joined, linked, *(stack[-1][1:] if stack else outside), bool(heading), bool(code)))
         texts, link, breaks = [], 0, 0
 
     at, ends = 0, None
@@ -225,22 +250,26 @@ def blocks_of(html: str) -> list[Block]:
                         while stack.pop()[0] != name:
                             pass
                 elif not m["attrs"].endswith("/"):
-                    (own, parts, plain), (around, named) = _zone(name, m["attrs"]), stack[-1][1:] if stack else ("", ())
+                    (own, parts, plain), (around, named, articles, cards) = _zone(name, m["attrs"]), stack[-1][1:] if stack else outside
                     if own == "main" and not parts and (around == "out" or named and around != "comments"):  # a part that was never closed
                         while stack and (stack[-1][1] == "out" or stack[-1][2]):
                             stack.pop()
-                        around, named = stack[-1][1:] if stack else ("", ())
+                        around, named, articles, cards = stack[-1][1:] if stack else outside
+                    names += 1
                     if parts and not (around == "main" and plain):  # the article's own heading isn't one
-                        names += 1
                         named += (names,)
-                    stack.append((name, around if around in ("out", "comments") else own or around, named))
+                    if name == "article":
+                        articles += (names,)
+                    if kind := _CLASS.search(m["attrs"]):
+                        cards += (((cards[-1][1] if cards else 0, name, kind[1] or kind[2] or kind[3]), names),)
+                    stack.append((name, around if around in ("out", "comments") else own or around, named, articles, cards))
         elif not m["close"] and name not in _VOID and m["attrs"].strip(" /"):
             own, parts, _ = _zone(name, m["attrs"])
             if own == "out" or parts:
                 end()
-                around, named = stack[-1][1:] if stack else ("", ())
+                around, named, *others = stack[-1][1:] if stack else outside
                 names += 1
-                stack.append((name, "out" if own == "out" else around, (*named, names) if parts else named))
+                stack.append((name, "out" if own == "out" else around, (*named, names) if parts else named, *others))
         elif m["close"] and stack and stack[-1][0] == name:
             end()
             stack.pop()
@@ -257,18 +286,52 @@ def _leave_wrappers(blocks: list[Block]) -> None:
         whole = 0
         for b in blocks:
             if b.zone == "main" or not inside and b.zone == "":
-                size = max(len(b.text) - b.linked, 0)
-                whole += size
+                whole += b.plain
                 for k in b.named:
-                    held[k] = held.get(k, 0) + size
+                    held[k] = held.get(k, 0) + b.plain
         wrappers = {k for k, size in held.items() if 2 * size > whole}
         for b in blocks:
             b.named = tuple(k for k in b.named if k not in wrappers)
 
 
+def _leave_other_articles(blocks: list[Block]) -> None:
+    """Of several articles, apart or one in another, those with less than half of the largest one's text that isn't linked are out."""
+    held: dict[tuple, int] = {}
+    for b in blocks:
+        if b.zone == "main" and b.articles and not b.named:
+            held[b.articles] = held.get(b.articles, 0) + b.plain
+    most = max(held.values(), default=0)
+    for b in blocks:
+        if b.zone == "main" and b.articles and 2 * held.get(b.articles, 0) < most:
+            # An article whose text lies in the articles inside it is their frame.
+            if not any(len(k) > len(b.articles) and k[:len(b.articles)] == b.articles and 2 * n >= most for k, n in held.items()):
+                b.zone = "out"
+    inside = any(b.zone == "main" and b.articles for b in blocks)
+    for b in blocks:
+        b.frame = inside and b.zone == "main" and not b.articles
+
+
+def _leave_cards(blocks: list[Block]) -> None:
+    """Siblings of one class, two or more, that each begin with a short block before others are no prose, unless most of the page is made of them."""
+    members: dict[tuple, dict[int, list[Block]]] = {}
+    for b in blocks:
+        for kind, number in b.cards:
+            members.setdefault(kind, {}).setdefault(number, []).append(b)
+    whole = sum(b.plain for b in blocks if not b.zone)
+    for group in members.values():
+        if len(group) > 1 and all(len(own) > 1 and len(own[0].text) < _SHORT and not own[0].heading for own in group.values()):
+            if 2 * sum(b.plain for own in group.values() for b in own if not b.zone) <= whole:
+                for own in group.values():
+                    for b in own:
+                        b.zone = b.zone or "out"
+
+
 def classify(blocks: list[Block]) -> None:
     """Labels every block `good` or `bad`. Names count for nothing if they would leave no block."""
     _leave_wrappers(blocks)
+    _leave_other_articles(blocks)
+    if not any(b.zone == "main" for b in blocks):
+        _leave_cards(blocks)
     if not _label(blocks) and any(b.named for b in blocks):
         for b in blocks:
             b.named = ()
@@ -281,14 +344,32 @@ def _measured(b: Block) -> tuple[int, float]:
     return len(b.text) + 2 * len(_DENSE.findall(b.text)), sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
 
 
+def _is_listed(measured: list[tuple[int, float]]) -> bool:
+    """Whether blocks have the density of prose over all their text; where they fall short of it, their language isn't listed."""
+    prose = [x for x in measured if x[0] >= _SHORT]
+    return sum(size * stops for size, stops in prose) >= _SOME * sum(size for size, _ in prose)
+
+
+def _label_article(main: list[Block]) -> None:
+    """The first pass inside the article, where a block is taken for prose unless something tells against it."""
+    measured = [_measured(b) for b in main]
+    listed = _is_listed(measured)
+    for b, (size, stops) in zip(main, measured):
+        if b.named or size < _LONG and _CALL.match(b.text):
+            b.label = "bad"
+        elif b.is_link:
+            b.label = "link"
+        elif size < _SHORT:
+            b.label = "short"
+        else:
+            b.label = "good" if stops >= _SOME or size > _LONG or not listed else "near"
+
+
 def _label(blocks: list[Block]) -> bool:
     """Labels every block; whether any is good."""
     main = [b for b in blocks if b.zone == "main"]
-    for b in main:
-        size = len(b.text)
-        links = b.linked > 0.9 * size and size > 1 and len(b.text.split()) < 12
-        b.label = "bad" if b.named or links else "good" if size >= _SHORT else "short"
-    if any(b.label != "bad" for b in main):
+    _label_article(main)
+    if any(b.label not in ("bad", "link") for b in main):
         for b in blocks:
             b.label = b.label if b.zone == "main" else "bad"
         _settle(main)
@@ -296,11 +377,9 @@ def _label(blocks: list[Block]) -> bool:
             return True
     loose = [b for b in blocks if not b.zone and not b.named and b.linked <= _LINKS * len(b.text)]
     measured = {id(b): _measured(b) for b in loose}
-    prose = [x for x in measured.values() if x[0] >= _SHORT]
-    # Where the whole page falls short of the density that prose has, its language isn't listed.
-    listed = sum(size * stops for size, stops in prose) >= _SOME * sum(size for size, _ in prose)
+    listed = _is_listed(list(measured.values()))
     for b in blocks:  # first pass: each by itself
-        if id(b) not in measured or "©" in b.text and len(b.text) < _LONG:
+        if id(b) not in measured or len(b.text) < _LONG and ("©" in b.text or _CALL.match(b.text)):
             b.label = "bad"
             continue
         size, stops = measured[id(b)]
@@ -333,11 +412,24 @@ def _settle(blocks: list[Block]) -> None:
                 held = held[0], True
         return out
 
+    if any(b.label == "link" for b in blocks):  # links of the article, by what they stand between
+        prose = [i for i, b in enumerate(blocks) if b.label in ("good", "near") and not b.heading] or [0]
+        for i, b in enumerate(blocks):
+            if b.label == "link":
+                b.label = decided[i] = "good" if prose[0] < i < prose[-1] else "bad"
+        only_links = False  # whether there is nothing but left-out links from here to the next heading
+        for i in range(len(blocks) - 1, -1, -1):
+            b = blocks[i]
+            if not b.heading:
+                following = i + 1 < len(blocks) and not blocks[i + 1].heading
+                only_links = b.is_link and b.label == "bad" and not b.named and (only_links or not following)
+            elif only_links and i + 1 < len(blocks) and not blocks[i + 1].heading:  # goes with the links under it
+                b.label = decided[i] = "bad"
     for i, (b, (left, left_near), (right, right_near)) in enumerate(zip(blocks, neighbours(1), neighbours(-1))):
         if decided[i]:
             continue
         if b.zone == "main":
-            b.label = "bad" if left == right == "bad" else "good"
+            b.label = "bad" if left == right == "bad" or b.frame and right != "good" else "good"
         elif b.label == "near":
             b.label = "good" if "good" in (left, right) or not (left or right) else "bad"
         elif left == right == "good":

@@ -1,9 +1,11 @@
+import random
 import re
+from collections import Counter
 
 import duckdb
 import pytest
 
-from siltstone.llm.html import extract, main_text
+from siltstone.llm.html import STOP_WORDS, Block, _label, extract, main_text
 from tests.llm.cases import prose
 
 PAGES = "page_id long, url string, html string, text string, own_row int"
@@ -85,6 +87,142 @@ def test_a_wrapper_of_the_article_is_no_part_outside_it(around):
     assert main_text(f"<body><nav><a href=a>A</a></nav>{around % page}<footer>{LONG}</footer></body>").split("\n\n") == [LONG, LONG]
 
 
+def test_the_largest_article_is_the_page_s():
+    teaser = "<article class=card><h3>Another story</h3><p>It is the story of a town that was lost in the hills, and of all that came to look for it.</p><a href=x>More</a></article>"
+    page = f"<body><main>{teaser}<article><h1>Head</h1><p>{LONG}</p><p>{LONG}</p>{teaser}</article><h2>Read next</h2>{teaser}{teaser}</main></body>"
+    assert main_text(page).split("\n\n") == ["Head", LONG, LONG]
+    assert main_text(f"<main><h1>Head</h1><p>By someone</p><article><p>{LONG}</p></article></main>").split("\n\n") == ["Head", "By someone", LONG]
+
+
+def test_parts_of_one_article_are_all_kept():
+    page = f"<main><article><h2>One</h2><p>{LONG}</p></article><article><h2>Two</h2><p>{LONG}</p></article></main>"
+    assert main_text(page).split("\n\n") == ["One", LONG, "Two", LONG]
+    assert main_text(f"<article><section><article><p>{LONG}</p></article><article><p>{LONG}</p></article></section></article>").split("\n\n") == [LONG, LONG]
+
+
+@pytest.mark.parametrize("call", [
+    "Sign up for our newsletter and get the best of the week.", "Subscribe to our mailing list", "Inscrivez-vous à notre lettre du matin.",
+    "Suscríbete a nuestro boletín semanal"])
+def test_a_call_to_subscribe_inside_the_article_is_left_out(call):
+    page = f"<article><p>{LONG}</p><div class='c-box'>{call}</div><p>{LONG}</p></article>"
+    assert main_text(page).split("\n\n") == [LONG, LONG]
+    assert main_text(page.replace("article>", "div>")).split("\n\n") == [LONG, LONG]
+    prose = f"<article><p>{LONG}</p><p>They had to sign up for the war, and no newsletter told of it.</p></article>"
+    assert "sign up for the war" in main_text(prose)
+
+
+def test_lists_of_links_inside_the_article_and_at_its_end():
+    links = "<ul><li><a href=a>First tool we recommend</a><li><a href=b>Second tool</a></ul>"
+    page = f"<article><ul><li><a href=h>Home</a></ul><h1>Head</h1><p>{LONG}</p><h2>Tools</h2>{links}<p>{LONG}</p><h2>Related</h2>{links}</article>"
+    assert main_text(page).split("\n\n") == ["Head", LONG, "Tools", "First tool we recommend", "Second tool", LONG]
+    assert main_text("<article><h1>Head</h1>" + links * 8000 + "</article>") == ""
+
+
+@pytest.mark.parametrize("name", ["reader-responses", "x17"])
+def test_comments_under_any_name_on_a_page_without_an_article(name):
+    remarks = "".join(f"<div class=r><div>Reader {k}, today</div><div>{SENTENCE}</div></div>" for k in range(4))
+    page = f"<body><h1>Head</h1><div>{LONG}</div><div>{LONG}</div><div>{LONG}</div><div id={name}>{remarks}</div></body>"
+    assert main_text(page).split("\n\n") == ["Head", LONG, LONG, LONG]
+
+
+def test_paragraphs_of_one_class_are_no_cards():
+    page = "<body>" + f"<div class=para>{LONG}</div>" * 5 + "".join(f"<section class=s><h2>Part {k}</h2><div>{LONG}</div></section>" for k in range(3)) + "</body>"
+    assert main_text(page).split("\n\n") == [LONG] * 5 + [x for k in range(3) for x in (f"Part {k}", LONG)]
+
+
+def by_rules(blocks):
+    """The two passes as the module states them, block by block."""
+    words = lambda b: b.text.lower().split()
+    density = lambda b: sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words(b)) / len(words(b))
+
+    def listed(some):
+        some = [b for b in some if len(b.text) >= 70]
+        return sum(len(b.text) * density(b) for b in some) >= 0.15 * sum(len(b.text) for b in some)
+
+    def nearest(labels, order):
+        return next((labels[k] for k in order if labels[k] in ("good", "bad")), None)
+
+    main = [b for b in blocks if b.zone == "main"]
+    known = listed(main)
+    first = []
+    for b in main:
+        if b.named:
+            first.append("bad")
+        elif b.is_link:
+            first.append("link")
+        elif len(b.text) < 70:
+            first.append("short")
+        else:
+            first.append("good" if density(b) >= 0.15 or len(b.text) > 200 or not known else "near")
+    if any(x not in ("bad", "link") for x in first):
+        solid = [i for i, (b, x) in enumerate(zip(main, first)) if x in ("good", "near") and not b.heading]
+        then = ["good" if x == "link" and solid and solid[0] < i < solid[-1] else "bad" if x == "link" else x for i, x in enumerate(first)]
+        for i, b in enumerate(main):
+            under = [k for k in range(i + 1, len(main)) if not any(main[j].heading for j in range(i + 1, k + 1))]
+            if b.heading and under and "link" in first and all(first[k] == "link" and then[k] == "bad" for k in under):
+                then[i] = "bad"
+        last = []
+        for i, x in enumerate(then):
+            sides = [nearest(then, range(i - 1, -1, -1)), nearest(then, range(i + 1, len(main)))]
+            last.append(x if x in ("good", "bad") else "bad" if sides == ["bad", "bad"] else "good")
+        if "good" in last:
+            told = dict(zip(map(id, main), last))
+            return [told.get(id(b), "bad") for b in blocks]
+
+    loose = [b for b in blocks if not b.zone and not b.named and b.linked <= 0.33 * len(b.text)]
+    known = listed(loose)
+    first = []
+    for b in blocks:
+        size = len(b.text)
+        if not any(b is x for x in loose) or "©" in b.text and size < 200:
+            first.append("bad")
+        elif size < 70:
+            first.append("near" if b.code else "bad" if b.linked else "short")
+        elif size > 200 and (density(b) >= 0.25 or not known):
+            first.append("good")
+        else:
+            first.append("near" if density(b) >= 0.15 or size > 200 or b.code or not known else "few")
+    if "good" not in first:
+        first = ["good" if x == "near" else x for x in first]
+    last = []
+    for i, (b, x) in enumerate(zip(blocks, first)):
+        left, right = range(i - 1, -1, -1), range(i + 1, len(blocks))
+        sides = [nearest(first, left), nearest(first, right)]
+        # A side is close if a middling block comes before its nearest good one.
+        close = [s == "good" and "near" in [first[k] for k in way if k in way[:next(n for n, k in enumerate(way) if first[k] == "good")]]
+                 for s, way in zip(sides, (left, right))]
+        if x in ("good", "bad"):
+            last.append(x)
+        elif x == "near":
+            last.append("good" if "good" in sides or sides == [None, None] else "bad")
+        elif sides == ["good", "good"]:
+            last.append("good")
+        elif x == "few":
+            last.append("bad")
+        else:
+            middling = next((first[k] for k in right if first[k] in ("good", "bad", "near")), None) == "near"
+            last.append("good" if (sides[1] == "good" or middling if b.heading else any(close)) else "bad")
+    return last
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_both_passes_against_their_rules(seed):
+    draw = random.Random(seed)
+    kinds = [SENTENCE.strip(), LONG, "Short", "Two words", "qwe rty uio " * 8, "qwe rty uio " * 20, "© 2024 someone", "the " + "zzz " * 25]
+    seen = Counter()
+    for _ in range(400):
+        blocks = []
+        for _ in range(draw.randrange(1, 12)):
+            text = draw.choice(kinds).strip()
+            blocks.append(Block(text, draw.choice([0, 0, 0, len(text), len(text) // 2]), draw.choice(["", "", "out", "main"] if seed % 2 else ["", "", "", "out"]),
+                                draw.choice([(), (), (), (1,)]), heading=draw.random() < 0.2, code=draw.random() < 0.1))
+        want = by_rules(blocks)
+        _label(blocks)
+        assert [b.label for b in blocks] == want, [(b.text[:20], b.linked, b.zone, b.named, b.heading, b.code) for b in blocks]
+        seen.update(want)
+    assert min(seen.values()) > 300
+
+
 @pytest.mark.parametrize("page", [
     "", "   ", "<", "<p", "<!--", "<script>", "<html></html>", "a < b > c &amp", "<div class='x\" y'>z</div>", '<p title="' + "x" * 9000,
     "<nav>" * 3000, "</div>" * 3000, "<a href='" * 2000, "<" * 20_000, "<b><br>" * 3000])
