@@ -1,8 +1,11 @@
 """Line dedup: content-defined chunks of lines, removed where the same chunk of several lines stands earlier.
 
-A number is made of each line's digest; where the rolling sum over the last two lines falls on a multiple of `SPREAD`, a chunk
-ends. The cut depends on the lines near it alone, so a passage gives the same chunks wherever it stands. Chunks of two lines or
-more whose hash occurs more than once are grouped by their bytes; all but the first of each group go. Only built-in functions.
+A number is made of each line's digest; where the rolling sum over the last two lines is lower than both sums beside it, a chunk
+begins. The cut depends on the lines near it alone, so a passage gives the same chunks wherever it stands, and two cuts are never
+next to each other: with the first and last line kept from standing alone, every chunk of a text of several lines has two lines or
+more. Lines that alternate with period 2 have every second sum lower, and are cut into pairs; runs of one line, whose sums are all
+equal, are cut into pairs as well. Chunks whose hash occurs more than once are grouped by their bytes; all but the first of
+each group go. Only built-in functions.
 """
 
 from __future__ import annotations
@@ -12,7 +15,6 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.frames import row_print, stored
 
-SPREAD = 3
 FACTOR = 31
 
 
@@ -20,16 +22,19 @@ def _chunked(rows: DataFrame) -> DataFrame:
     """`rows` (with `text`) with `chunks`: array of (at, lines, body), `at` being the chunk's number."""
     rows = rows.withColumn("lines", F.split("text", "\n", -1))
     rows = rows.withColumn("marks", F.transform("lines", lambda x: F.conv(F.substring(F.md5(x), 1, 7), 16, 10).cast("long")))
+    rows = rows.withColumn("sums", F.transform("marks", lambda x, i: F.when(i > 1, F.get("marks", i - 1) + FACTOR * F.get("marks", i - 2))))
 
-    def opens(_: Column, i: Column) -> Column:
-        before = F.get("marks", i - 1) + FACTOR * F.coalesce(F.get("marks", i - 2), F.lit(0))
-        return (i == 0) | (before % SPREAD == 0)
+    def opens(own: Column, i: Column) -> Column:
+        low = (own < F.coalesce(F.get("sums", i - 1), own + 1)) & (own < F.get("sums", i + 1))
+        # Of a run of one line, by whose marks it is told, every second place; not next to its ends, where sums differ.
+        run = (i % 2 == 0) & (i > 2) & F.forall(F.array(F.lit(-3), F.lit(-2), F.lit(-1), F.lit(1)), lambda k: F.get("lines", i + k) == F.get("lines", i))
+        return (i == 0) | (i > 1) & (i < F.size("lines") - 1) & (low | run)
 
-    numbered = F.transform("marks", lambda x, i: F.when(opens(x, i), i))
+    numbered = F.transform("sums", lambda x, i: F.when(opens(x, i), i))
     rows = rows.withColumn("opens", F.filter(numbered, lambda x: x.isNotNull()))
     length = lambda k: F.coalesce(F.get("opens", k + 1), F.size("lines")) - F.get("opens", k)
     return rows.withColumn("chunks", F.transform("opens", lambda o, k: F.struct(
-        k.alias("at"), length(k).alias("lines"), F.array_join(F.slice("lines", o + 1, length(k)), "\n").alias("body")))).drop("marks", "opens")
+        k.alias("at"), length(k).alias("lines"), F.array_join(F.slice("lines", o + 1, length(k)), "\n").alias("body")))).drop("marks", "sums", "opens")
 
 
 def remove_repeated_lines(docs: DataFrame) -> DataFrame:
@@ -37,7 +42,7 @@ def remove_repeated_lines(docs: DataFrame) -> DataFrame:
 
     The occurrence with the smallest doc_id stays, and of several in one text the first; a null doc_id comes before all others.
     Rows that are equal in doc_id and text count as one, and are treated alike. Lines are split at line feeds alone. A null
-    text stays null with no lines; an empty one is a single empty line. A column that clashes with the two counts is
+    text stays null with no lines; an empty one is a single empty line. A text of one line is left alone. A column that clashes with the two counts is
     replaced; an empty table gives an empty result.
     """
     rows = docs.select(

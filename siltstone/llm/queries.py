@@ -28,8 +28,11 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 _OP1 = """
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
 m AS (SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS mark FROM l),
-o AS (SELECT *, i = 1 OR (lag(mark, 1) OVER w + 31 * coalesce(lag(mark, 2) OVER w, 0)) % 3 = 0 AS opens
+r AS (SELECT *, lag(mark, 1) OVER w + 31 * lag(mark, 2) OVER w AS r, count(*) OVER (PARTITION BY doc_id) AS n,
+    i % 2 = 1 AND line = lag(line, 1) OVER w AND line = lag(line, 2) OVER w AND line = lag(line, 3) OVER w AND line = lead(line) OVER w AS run
     FROM m WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+o AS (SELECT *, i = 1 OR (i BETWEEN 3 AND n - 1 AND ((coalesce(r < lag(r) OVER w, true) AND r < lead(r) OVER w) OR coalesce(run, false))) AS opens
+    FROM r WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 c AS (SELECT *, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM o),
 b AS (SELECT doc_id, k, count(*) AS lines, string_agg(line, chr(10) ORDER BY i) AS body FROM c GROUP BY 1, 2),
 f AS (SELECT *, lines > 1 AND row_number() OVER (PARTITION BY body ORDER BY doc_id, k) > 1 AS gone FROM b)

@@ -1,16 +1,21 @@
 import hashlib
+import random
 from collections import Counter
 
-from siltstone.llm.lines import FACTOR, SPREAD, remove_repeated_lines
+from siltstone.llm.lines import FACTOR, remove_repeated_lines
 from tests.llm.cases import messy, nothing, prose, texts_of
 
 
 def chunks(text):
     lines = text.split("\n")
     marks = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in lines]
+    sums = [None, None, *(marks[i - 1] + FACTOR * marks[i - 2] for i in range(2, len(lines)))]
     found = []
     for i, line in enumerate(lines):
-        if i == 0 or (marks[i - 1] + FACTOR * (marks[i - 2] if i > 1 else 0)) % SPREAD == 0:
+        inner = 2 <= i <= len(lines) - 2
+        low = inner and (i == 2 or sums[i] < sums[i - 1]) and sums[i] < sums[i + 1]
+        run = inner and i > 2 and i % 2 == 0 and len(set(lines[i - 3:i + 2])) == 1
+        if i == 0 or low or run:
             found.append([])
         found[-1].append(line)
     return found
@@ -66,6 +71,30 @@ def test_a_passage_gives_the_same_chunks_wherever_it_stands():
     assert sum(map(len, common)) > 30
 
 
+def test_no_chunk_is_a_single_line():
+    draw = random.Random(4)
+    for _ in range(300):
+        lines = [f"line {draw.randrange(draw.choice([1, 2, 3, 50]))}" for _ in range(draw.randrange(1, 40))]
+        sizes = [len(c) for c in chunks("\n".join(lines))]
+        assert sum(sizes) == len(lines) and (min(sizes) > 1 or sizes == [1])
+
+
+def test_copies_of_several_lines_lose_them_all(spark):
+    draw = random.Random(6)
+    texts = ["\n".join(" ".join(prose(draw.randrange(10**6), 5)) for _ in range(draw.randrange(2, 30))) for _ in range(40)]
+    rows = {r[0]: r for r in found(messy(spark, texts + texts))}
+    for k in range(40):
+        assert rows[100 + k][1] == texts[k] and rows[140 + k][1] == "" and rows[140 + k][2] == rows[140 + k][3]
+
+
+def test_lines_that_alternate_or_repeat_are_cut_into_pairs():
+    for period in (["a"], ["a", "b"], ["b", "a"]):
+        for lead in range(4):
+            found = chunks("\n".join([*(f"x{k}" for k in range(lead)), *period * 20, "end", "of it"]))
+            pairs = Counter(tuple(c) for c in found)
+            assert max(pairs.values()) >= 7 and len(max(pairs, key=pairs.get)) == 2
+
+
 def test_columns_and_empty_table(spark):
     frame = messy(spark)
     assert remove_repeated_lines(frame).columns == [*frame.columns, "n_lines", "n_removed_lines"]
