@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -103,6 +104,27 @@ def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
 
 
+def _twin_rows(
+    df: DataFrame, exact: Sequence[str], text: Sequence[str], amount: str, tolerance: str,
+) -> tuple[DataFrame, list[str], float, float]:
+    """The rows with what near twins have in common beside them (and the names of these columns), the reach and the width of a band."""
+    reach = float(tolerance) * (1 + 1e-6)
+    folded = {f"_t{i}": F.struct(F.regexp_replace(lower_trim(F.col(t)), r"\s+", " ").alias("t")) for i, t in enumerate(text)}  # a struct key matches on NULL
+    numeric = isinstance(df.schema[amount].dataType, NumericType)
+    value = F.col(amount).cast("double") if numeric else clean_number(F.col(amount))
+    return df.withColumns({**folded, "_amount": value}), [*exact, *folded], reach, max(reach, 1e-300) * 1000
+
+
+def _around(steps: DataFrame, group: Sequence[str], reach: float, band: float) -> DataFrame:
+    """Steps (with `_n` rows and the lowest id `_low`) with `near_rows` and `twin_id` of the amounts within `reach`."""
+    home = F.floor(F.col("_amount") / band)
+    bands = F.array_distinct(F.array(home, F.floor((F.col("_amount") - reach) / band), F.floor((F.col("_amount") + reach) / band)))
+    copied = steps.withColumn("_home", home).withColumn("_band", F.explode(bands))
+    near = f"OVER (PARTITION BY {', '.join(f'`{g}`' for g in group)}, _band ORDER BY _amount RANGE BETWEEN {reach!r}D PRECEDING AND {reach!r}D FOLLOWING)"
+    around = copied.withColumns({"near_rows": F.expr(f"sum(_n) {near}"), "twin_id": F.expr(f"min(_low) {near}")})
+    return around.filter(F.col("_band").eqNullSafe(F.col("_home"))).drop("_home", "_band")
+
+
 def near_duplicates(
     df: DataFrame, row_id: str, exact: Sequence[str], text: Sequence[str], amount: str, tolerance: str = "0.01",
 ) -> DataFrame:
@@ -116,20 +138,30 @@ def near_duplicates(
     No pairs are formed. Equal amounts are counted once; a range window then sums the counts around each amount. Its
     partitions are bands of a thousand tolerances, into which the amounts near a band's edge are copied.
     """
-    reach = float(tolerance) * (1 + 1e-6)
-    band = max(reach, 1e-300) * 1000
-    folded = {f"_t{i}": F.regexp_replace(lower_trim(F.col(t)), r"\s+", " ") for i, t in enumerate(text)}
-    group = [*exact, *folded]
-    numeric = isinstance(df.schema[amount].dataType, NumericType)
-    value = F.col(amount).cast("double") if numeric else clean_number(F.col(amount))
-    rows = df.withColumns({**folded, "_amount": value}).dropna(subset=["_amount", *exact])
-    rows = rows.withColumns({f"_t{i}": F.struct(f"_t{i}") for i in range(len(text))})  # a struct key matches on NULL
+    rows, group, reach, band = _twin_rows(df, exact, text, amount, tolerance)
+    rows = rows.dropna(subset=["_amount", *exact])
     steps = rows.groupBy(*group, "_amount").agg(F.count(F.lit(1)).alias("_n"), F.min(row_id).alias("_low"))
-    home = F.floor(F.col("_amount") / band)
-    bands = F.array_distinct(F.array(home, F.floor((F.col("_amount") - reach) / band), F.floor((F.col("_amount") + reach) / band)))
-    copied = steps.withColumn("_home", home).withColumn("_band", F.explode(bands))
-    near = f"OVER (PARTITION BY {', '.join(f'`{g}`' for g in group)}, _band ORDER BY _amount RANGE BETWEEN {reach!r}D PRECEDING AND {reach!r}D FOLLOWING)"
-    around = copied.withColumns({"near_rows": F.expr(f"sum(_n) {near}"), "twin_id": F.expr(f"min(_low) {near}")}).filter(
-        (F.col("_band") == F.col("_home")) & (F.col("near_rows") > 1)
-    ).select(*group, "_amount", "near_rows", "twin_id")
+    around = _around(steps, group, reach, band).filter("near_rows > 1").select(*group, "_amount", "near_rows", "twin_id")
     return rows.join(around, [*group, "_amount"]).filter(F.col("twin_id") < F.col(row_id)).select(*df.columns, "twin_id", "near_rows")
+
+
+def near_twin_sums(
+    df: DataFrame, sums: Mapping[str, Column], row_id: str, exact: Sequence[str], text: Sequence[str], amount: str, tolerance: str = "0.01",
+) -> DataFrame:
+    """The sums of `near_duplicates` without its rows: `sums` of all rows in parts, with `_twins`, how many of a part's rows have an earlier near twin.
+
+    `df` is read once, and only its ids, amounts, keys and what is summed are shuffled.
+    """
+    rows, group, reach, band = _twin_rows(df, exact, text, amount, tolerance)
+    rows = rows.select(*group, "_amount", F.col(row_id).alias("_id"), *[c.alias(k) for k, c in sums.items()])
+    by_id = rows.groupBy(*group, "_amount", "_id").agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(k).alias(k) for k in sums])
+    # The rows with the lowest id have no earlier twin among their own step.
+    first = F.min(F.when(F.col("_id").isNotNull(), F.struct("_id", "_rows")))
+    steps = by_id.groupBy(*group, "_amount").agg(
+        F.coalesce(F.sum(F.when(F.col("_id").isNotNull(), F.col("_rows"))), F.lit(0)).alias("_named"), F.sum("_rows").alias("_n"),
+        first.alias("_first"), *[F.sum(k).alias(k) for k in sums])
+    around = _around(steps.withColumn("_low", F.col("_first._id")), group, reach, band)
+    known = reduce(lambda a, c: a & F.col(c).isNotNull(), exact, F.col("_amount").isNotNull())
+    own = F.when(F.col("_first._id") == F.col("twin_id"), F.col("_first._rows")).otherwise(0)
+    twins = F.when(known & (F.col("near_rows") > 1), F.col("_named") - own).otherwise(0)
+    return around.select(*sums, twins.cast("bigint").alias("_twins"))

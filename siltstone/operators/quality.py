@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from siltstone import vocab
 from siltstone.functions import text
 from siltstone.functions.numbers import clean_number
-from siltstone.operators.dedup import near_duplicates
+from siltstone.operators.dedup import near_twin_sums
 from siltstone.operators.skew import skew_join
 
 
@@ -282,32 +282,58 @@ def replay_dead_letters(
 # --- checks -------------------------------------------------------------------------------------
 
 
+def _tallied(
+    df: DataFrame, tallies: Mapping[str, Sequence[Column]], references: Mapping[str, tuple[DataFrame, str]], near_keys: tuple | None,
+) -> DataFrame:
+    """One row of counts over `df`, which is read once: `_total` rows, `_distinct` ones, for each tally how often its conditions hold
+    in all, for each reference the rows without a parent (`orphan_<column>`), and `_twins`, the distinct rows with an earlier near twin.
+
+    Whole rows are grouped first, combined map-side; everything else is worked out from the groups, weighted by their size. They
+    keep what is counted and the twins' keys, no other columns.
+    """
+    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    for fk, (parent, parent_key) in references.items():
+        known = parent.select(F.col(parent_key).alias(fk)).dropna().distinct().withColumn(f"_has_{fk}", F.lit(True))
+        rows = skew_join(rows, known, [fk], "left")
+    held = {name: reduce(lambda x, c: x + F.when(c, 1).otherwise(0), conditions, F.lit(0)) for name, conditions in tallies.items()}
+    held |= {f"orphan_{fk}": F.when(F.col(fk).isNotNull() & F.col(f"_has_{fk}").isNull(), 1).otherwise(0) for fk in references}
+    names = {name: f"_c{k}" for k, name in enumerate(held)}
+    counts = {"_total": F.col("_n"), "_distinct": F.lit(1).cast("bigint"), **{names[k]: c * F.col("_n") for k, c in held.items()}}
+    if near_keys:
+        flat = near_twin_sums(rows, counts, *near_keys)
+    else:
+        flat = rows.select(*[c.alias(k) for k, c in counts.items()], F.lit(0).cast("bigint").alias("_twins"))
+    sums = flat.agg(*[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in (*counts, "_twins")])
+    return sums.withColumnsRenamed({v: k for k, v in names.items()})
+
+
 def expectations(
     df: DataFrame, checks: Mapping[str, Column], *, unique: Sequence[str] = (), near_keys: tuple | None = None,
 ) -> DataFrame:
     """Q11. `(check, failed, total, passed)`; a check is a Column true on passing rows.
 
-    All checks share one pass. A NULL outcome is a failure. Two checks are about rows together: with `unique`,
+    All checks share one pass over `df`. A NULL outcome is a failure. Two checks are about rows together: with `unique`,
     `no_exact_duplicate` fails rows that repeat an earlier one in these columns; with `near_keys` (the arguments of
-    `near_duplicates`), `no_near_duplicate` fails distinct rows with an earlier near twin.
+    `near_duplicates`), `no_near_duplicate` fails distinct rows with an earlier near twin. Only `unique` columns that aren't all columns take
+    a pass of their own.
     """
-    names = list(checks)
-    tallies = [
-        F.count_if(~F.coalesce(checks[n], F.lit(False))).alias(n) for n in names
-    ]
-    one = df.agg(F.count(F.lit(1)).alias("total"), *tallies)
-    found = one.unpivot(["total"], names, "check", "failed").select("check", "failed", "total")
-    if unique:
+    broken = {n: [~F.coalesce(c, F.lit(False))] for n, c in checks.items()}
+    whole = set(unique) == set(df.columns)
+    if near_keys or whole:
+        one = _tallied(df, broken, {}, near_keys)
+    else:
+        one = df.agg(F.count(F.lit(1)).alias("_total"), *[F.count_if(c).alias(n) for n, (c,) in broken.items()])
+    rows = [F.struct(F.lit(n).alias("check"), F.col(n).cast("bigint").alias("failed"), F.col("_total").alias("total")) for n in checks]
+    if whole:
+        rows.append(F.struct(F.lit("no_exact_duplicate").alias("check"), (F.col("_total") - F.col("_distinct")).alias("failed"), F.col("_total").alias("total")))
+    if near_keys:
+        rows.append(F.struct(F.lit("no_near_duplicate").alias("check"), F.col("_twins").alias("failed"), F.col("_distinct").alias("total")))
+    found = one.select(F.inline(F.array(*rows)))
+    if unique and not whole:
         copies = df.groupBy(*unique).agg(F.count(F.lit(1)).alias("_n"))
         found = found.unionByName(copies.agg(
             F.lit("no_exact_duplicate").alias("check"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("failed"),
             F.coalesce(F.sum("_n"), F.lit(0)).alias("total")))
-    if near_keys:
-        rows = df.dropDuplicates()
-        twins = near_duplicates(rows, *near_keys).select(F.lit(1).alias("twin"), F.lit(0).alias("row"))
-        found = found.unionByName(rows.select(F.lit(0).alias("twin"), F.lit(1).alias("row")).unionByName(twins).agg(
-            F.lit("no_near_duplicate").alias("check"), F.coalesce(F.sum("twin"), F.lit(0)).alias("failed"),
-            F.coalesce(F.sum("row"), F.lit(0)).alias("total")))
     return found.withColumn("passed", F.col("failed") == 0)
 
 
@@ -349,50 +375,44 @@ def defect_matrix(
     unique: Sequence[str] = (), references: Mapping[str, tuple[DataFrame, str]] | None = None,
     near_keys: tuple | None = None,
 ) -> DataFrame:
-    """A8. `(table_name, defect, cells)`: one pass of conditional sums for cell defects, plus
-    aggregates for row defects (exact and near duplicates, orphans)."""
-    def many(conditions: list[Column]) -> Column:
-        return reduce(lambda a, c: a + F.count_if(c), conditions, F.lit(0).cast("bigint"))
+    """A8. `(table_name, defect, cells)`: defects of cells, and of rows (exact and near duplicates, orphans), in one pass over `df`.
 
+    Only `unique` columns that aren't all columns take a pass of their own.
+    """
     words = [w for w in vocab.PLACEHOLDERS if w]
-    everything = [F.col(c) for c in df.columns]
     texts = [F.col(c) for c in text_columns]
     number_text = [F.col(c) for c in numbers]
     present = [c.isNotNull() & ~F.trim(c).isin(*vocab.PLACEHOLDERS) for c in number_text]
     plain = [F.rlike(F.trim(c), F.lit(r"^-?\d+\.?\d*$")) for c in number_text]
     parsed = [clean_number(c) for c in number_text]
     cells = {
-        "null": many([c.isNull() for c in everything]),
-        "empty": many([F.trim(c) == "" for c in texts]),
-        "placeholder": many([F.trim(c).isin(*words) for c in texts]),
-        "bad_date": many([
+        "null": [F.col(c).isNull() for c in df.columns],
+        "empty": [F.trim(c) == "" for c in texts],
+        "placeholder": [F.trim(c).isin(*words) for c in texts],
+        "bad_date": [
             F.col(c).isNotNull() & ~F.trim(F.col(c)).isin(*vocab.PLACEHOLDERS) & v.isNull()
             for c, v in (dates or {}).items()
-        ]),
-        "bad_number": many([p & ~s & n.isNotNull() for p, s, n in zip(present, plain, parsed)]),
-        "mixed_type": many([p & n.isNull() for p, n in zip(present, parsed)]),
-        "typo": many([text.lower_trim(F.col(c)).isin(*vocab.STATUS_TYPOS) for c in typos]),
-        "out_of_range": many([
+        ],
+        "bad_number": [p & ~s & n.isNotNull() for p, s, n in zip(present, plain, parsed)],
+        "mixed_type": [p & n.isNull() for p, n in zip(present, parsed)],
+        "typo": [text.lower_trim(F.col(c)).isin(*vocab.STATUS_TYPOS) for c in typos],
+        "out_of_range": [
             ~clean_number(F.col(c)).between(low, high) for c, (low, high) in (ranges or {}).items()
-        ]),
-        "casing": many([F.col(c) != F.lower(F.col(c)) for c in typos]),
-        "hidden_space": many([text.has_hidden_space(c) for c in texts]),
+        ],
+        "casing": [F.col(c) != F.lower(F.col(c)) for c in typos],
+        "hidden_space": [text.has_hidden_space(c) for c in texts],
     }
-    wide = df.agg(*[c.cast("bigint").alias(n) for n, c in cells.items()])
-    parts = [wide.unpivot([], list(cells), "defect", "cells")]
-    if unique:
-        copies = df.groupBy(*unique).agg(F.count(F.lit(1)).alias("_n"))
-        parts.append(copies.agg(
-            F.lit("duplicate").alias("defect"),
-            F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("cells"),
-        ))
+    references = references or {}
+    whole = set(unique) == set(df.columns)
+    one = _tallied(df, cells, references, near_keys)
+    rows = {n: F.col(n) for n in (*cells, *(f"orphan_{fk}" for fk in references))}
+    if whole:
+        rows["duplicate"] = F.col("_total") - F.col("_distinct")
     if near_keys:
-        twins = near_duplicates(df.dropDuplicates(), *near_keys)
-        parts.append(twins.agg(F.lit("near_duplicate").alias("defect"), F.count(F.lit(1)).alias("cells")))
-    for fk, (parent, parent_key) in (references or {}).items():
-        refs = df.groupBy(F.col(fk).alias("_ref")).agg(F.count(F.lit(1)).alias("_n")).dropna(subset=["_ref"])
-        known = parent.select(F.col(parent_key).alias("_ref")).dropna().distinct()
-        parts.append(refs.join(known, "_ref", "left_anti").agg(
-            F.lit(f"orphan_{fk}").alias("defect"), F.coalesce(F.sum("_n"), F.lit(0)).alias("cells"),
-        ))
-    return reduce(DataFrame.unionByName, parts).select(F.lit(table).alias("table_name"), "defect", "cells")
+        rows["near_duplicate"] = F.col("_twins")
+    found = one.select(F.inline(F.array(*[F.struct(F.lit(n).alias("defect"), c.cast("bigint").alias("cells")) for n, c in rows.items()])))
+    if unique and not whole:
+        copies = df.groupBy(*unique).agg(F.count(F.lit(1)).alias("_n"))
+        found = found.unionByName(copies.agg(
+            F.lit("duplicate").alias("defect"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("cells")))
+    return found.select(F.lit(table).alias("table_name"), "defect", "cells")

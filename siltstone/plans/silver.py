@@ -22,6 +22,7 @@ from siltstone.operators.parse import (
     LINEAGE, drop_deletes, keep_event_types, parse_cdc, parse_flat_envelope, parse_nested_envelope,
     parse_payload,
 )
+from siltstone.operators.skew import skew_join
 from siltstone.operators.status import PAYMENT_STAMPS, SHIPPING_STAMPS
 
 SILVER, DEAD_LETTER, QUARANTINE = "silver", "dead_letter", "quarantine"
@@ -208,14 +209,15 @@ def _current_state(
             "status": F.coalesce("_status", "status"), **{n: F.coalesce(n, f"_{n}") for n in stamps}
         })
     out = out.drop("_status", *[f"_{n}" for n in stamps])
-    steps = events.filter(~F.col("_created"))
-    lost = merged.filter(~known & F.col(key).isNotNull()).select(key)
-    unmatched = steps.filter(~unusable).join(lost, key, "left_semi").withColumn("_reasons", F.array(F.lit("unmatched_step")))
+    # The steps once more, against the keys that have a creation.
+    made = events.filter(F.col("_created") & F.col(key).isNotNull()).select(key).distinct().withColumn("_made", F.lit(True))
+    steps = skew_join(events.filter(~F.col("_created")), made, [key], "left")
     why = F.filter(F.array(
         F.when(flagged, "dirty_step"), F.when(F.col(key).isNull(), "step_without_key"),
-        F.when(F.col("status_to").isNull(), "step_without_status")), lambda x: x.isNotNull())
-    rejects = steps.filter(unusable).withColumn("_reasons", why).unionByName(unmatched).withColumns({
-        "_dirty_score": F.lit(STEP_WEIGHT), "_route": F.lit(DEAD_LETTER)})
+        F.when(F.col("status_to").isNull(), "step_without_status"),
+        F.when(~unusable & F.col("_made").isNull(), "unmatched_step")), lambda x: x.isNotNull())
+    rejects = steps.filter(unusable | F.col("_made").isNull()).withColumns({
+        "_reasons": why, "_dirty_score": F.lit(STEP_WEIGHT), "_route": F.lit(DEAD_LETTER)})
     return out.unionByName(rejects.select(*out.columns))
 
 
