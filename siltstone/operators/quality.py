@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -337,6 +337,64 @@ def expectations(
     return found.withColumn("passed", F.col("failed") == 0)
 
 
+@dataclass(frozen=True)
+class Checklist:
+    """What the checks after cleaning are to look at. Checks whose columns aren't given are left out."""
+
+    required: Sequence[str] = ()
+    dates: Sequence[str] = ()
+    numbers: Sequence[str] = ()
+    positive: Sequence[str] = ()
+    rating: str | None = None
+    categories: Sequence[str] = ()
+    texts: Sequence[str] = ()
+    unique: bool = False
+    near_keys: tuple | None = None
+    references: Mapping[str, tuple[DataFrame, str]] = field(default_factory=dict)
+    total: tuple[str, str, str, str, str] | None = None
+    times: tuple[str, str] | None = None
+
+
+def checklist(df: DataFrame, about: Checklist) -> DataFrame:
+    """Q11. The twelve checks after cleaning, `(check, failed, total, passed)` in their order, from one pass over `df`.
+
+    required_present, dates_formatted, numbers_numeric, no_negative, rating_in_range, lower_case, no_exact_duplicate, no_near_duplicate,
+    references_exist, no_extra_space, totals_add_up, times_in_order. A row fails a check if any of its columns does; a missing value fails only
+    `required_present`, and `totals_add_up` where a part of the total is missing. `total` names subtotal, discount, tax,
+    shipping and their total, `times` the earlier and the later time. A row whose reference has no parent counts once for each such reference.
+    """
+    def any_of(conditions: Sequence[Column]) -> list[Column]:
+        return [F.coalesce(reduce(lambda a, c: a | F.coalesce(c, F.lit(False)), conditions, F.lit(False)), F.lit(False))]
+
+    words = lambda c: F.trim(F.col(c).cast("string"))
+    cells: dict[str, Sequence[Column]] = {
+        "required_present": any_of([F.col(c).isNull() | words(c).isin(*vocab.PLACEHOLDERS) for c in about.required]),
+        "dates_formatted": any_of([~F.rlike(F.col(c).cast("string"), F.lit(r"^\d{4}-\d{2}-\d{2}( \d{2}:\d{2}:\d{2})?$")) for c in about.dates]),
+        "numbers_numeric": any_of([~F.rlike(words(c), F.lit(r"^-?\d+(\.\d*)?$")) for c in about.numbers]),
+        "no_negative": any_of([clean_number(F.col(c).cast("string")) < 0 for c in about.positive]),
+        "lower_case": any_of([F.col(c) != F.lower(F.col(c)) for c in about.categories]),
+        "no_extra_space": any_of([text.has_hidden_space(F.col(c)) for c in about.texts]),
+    }
+    given = {
+        "required_present": about.required, "dates_formatted": about.dates, "numbers_numeric": about.numbers, "no_negative": about.positive,
+        "rating_in_range": about.rating, "lower_case": about.categories, "no_exact_duplicate": about.unique, "no_near_duplicate": about.near_keys,
+        "references_exist": about.references, "no_extra_space": about.texts, "totals_add_up": about.total, "times_in_order": about.times}
+    if about.rating:
+        cells["rating_in_range"] = any_of([~F.col(about.rating).between(1, 5)])
+    if about.total:
+        subtotal, discount, tax, shipping, total = map(F.col, about.total)
+        cells["totals_add_up"] = [~F.coalesce(near(subtotal - discount + tax + shipping, total), F.lit(False))]
+    if about.times:
+        cells["times_in_order"] = any_of([F.col(about.times[0]) > F.col(about.times[1])])
+    one = _tallied(df, cells, about.references, about.near_keys)
+    failed = {n: F.col(n) for n in cells} | {
+        "no_exact_duplicate": F.col("_total") - F.col("_distinct"), "no_near_duplicate": F.col("_twins"),
+        "references_exist": reduce(lambda a, fk: a + F.col(f"orphan_{fk}"), about.references, F.lit(0))}
+    rows = [F.struct(F.lit(n).alias("check"), failed[n].cast("bigint").alias("failed"),
+                     F.col("_distinct" if n == "no_near_duplicate" else "_total").alias("total")) for n, columns in given.items() if columns]
+    return one.select(F.inline(F.array(*rows))).withColumn("passed", F.col("failed") == 0)
+
+
 def conversion_failures(df: DataFrame, typed: Mapping[str, Column]) -> DataFrame:
     """A9. Per column: values present as text that the typing expression turns into NULL."""
     one = df.agg(*[

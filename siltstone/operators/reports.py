@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from siltstone import vocab
@@ -125,6 +126,27 @@ def quality_counts(tagged: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def write_observed(frames: Mapping[str, DataFrame], folder: str, metrics: Mapping[str, Mapping[str, Column]]) -> dict[str, dict[str, object]]:
+    """A7, D8, Q11 without a scan of their own: writes each frame below `folder`, split by `_route` where it has one, and returns the
+    aggregates in `metrics` of its rows as the write itself has seen them."""
+    seen = {}
+    for name, df in frames.items():
+        watch = Observation(f"{name}-{uuid.uuid4().hex}")
+        split = ["_route"] if "_route" in df.columns else []
+        df.observe(watch, *[c.alias(m) for m, c in metrics[name].items()]).write.partitionBy(*split).parquet(f"{folder}/{name}")
+        seen[name] = watch.get
+    return seen
+
+
+def observed_quality_counts(tagged: Mapping[str, DataFrame], folder: str, routes: Sequence[str] = ("silver", "dead_letter", "quarantine")) -> DataFrame:
+    """A7 as `quality_counts`, from the writes of the routed frames: each is read once, and written."""
+    counts = {r: F.count_if(F.col("_route") == r) for r in routes}
+    seen = write_observed(tagged, folder, {name: counts for name in tagged})
+    rows = [(name, r, n[r], n[r] / sum(n.values())) for name, n in seen.items() for r in routes if n[r]]
+    spark = next(iter(tagged.values())).sparkSession
+    return spark.createDataFrame(rows, "entity string, route string, row_count bigint, share double")
+
+
 def coupon_usage(coupons: DataFrame, orders: DataFrame, coupon_id: str = "coupon_id", coupon_key: str = "id") -> DataFrame:
     """A11. Uses per coupon counted from orders, and what is left of `max_uses`."""
     used = orders.groupBy(F.col(coupon_id).alias(coupon_key)).agg(F.count(F.lit(1)).alias("_used"))

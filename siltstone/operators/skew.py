@@ -4,76 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
 
-# A key is hot when it holds more than 1/HOT_SHARE of the rows, so there are fewer than HOT_SHARE
-# hot keys whatever the size of the data.
-HOT_SHARE = 1000
+#: Pieces that a key's rows are dealt to where a key is worked on in pieces.
 SALTS = 64
-_LANES = 256
-_TRACKED = 4096
 
 
-def _hash(keys: Sequence[str], kinds: Sequence[DataType]) -> Column:
-    """Hash of the keys read as the given types, so that both sides of a join agree on it."""
-    return F.xxhash64(*[F.col(k).try_cast(kind) for k, kind in zip(keys, kinds)])
-
-
-def _kinds(df: DataFrame, keys: Sequence[str]) -> list[DataType]:
-    return [df.schema[k].dataType for k in keys]
-
-
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE, kinds: Sequence[DataType] | None = None
-) -> list[int]:
-    """Hashes of the keys that hold more than 1/share of the rows: fewer than `share` numbers.
-
-    One pass over the key columns with a frequent-items sketch, so the keys themselves are not
-    shuffled. Input partitions are folded into lanes first, to keep any one task from merging the
-    sketches of all of them. A missing key counts as a key.
-    """
-    hashes = df.select(
-        _hash(keys, kinds or _kinds(df, keys)).alias("_hash"),
-        F.pmod(F.spark_partition_id(), F.lit(_LANES)).alias("_lane"),
-    )
-    lanes = hashes.groupBy("_lane").agg(
-        F.expr(f"approx_top_k(_hash, {share}, {_TRACKED})").alias("_top"), F.count(F.lit(1)).alias("_rows")
-    )
-    merged = lanes.agg(F.sum("_rows").alias("_total"), F.flatten(F.collect_list("_top")).alias("_top"))
-    found = (
-        merged.select("_total", F.inline("_top"))
-        .groupBy("item")
-        .agg(F.sum("count").alias("_n"), F.max("_total").alias("_total"))
-        .filter(F.col("_n") * share > F.col("_total"))
-    )
-    return [row["item"] for row in found.collect()]
-
-
-def skew_join(
-    big: DataFrame, unique: DataFrame, keys: Sequence[str], how: str = "inner", *,
-    hot: Sequence[int] = (), salts: int = SALTS,
-) -> DataFrame:
+def skew_join(big: DataFrame, unique: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join `big` with a side that has one row per key.
 
-    `how` is any join that keeps or drops rows of `big`: inner, left, left_semi, left_anti. Missing keys never match.
-
-    By itself this is a plain join: Spark broadcasts a small `unique`, and at run time splits the partitions of `big` in which
-    a hot key lies. Where that is not enough (a key whose rows outgrow a split, or adaptive execution switched off), give
-    the keys that `hot_keys` found: their rows in `big` get a salt taken from the row's own content, stable under
-    retries, and their rows in `unique` are repeated once per salt. The list enters the plan as a literal, so both sides always
-    agree on it; it decides only how work is spread, never the result.
+    `how` is any join that keeps or drops rows of `big`: inner, left, left_semi, left_anti. Missing keys never match. It is a plain join: Spark
+    broadcasts a small `unique`, and at run time splits the partitions of `big` in which a hot key lies.
     """
-    keys = list(keys)
-    if not hot:
-        return big.join(unique, keys, how)
-    crowded = _hash(keys, _kinds(big, keys)).isin(*hot)
-    own = F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")
-    salted_big = big.withColumn("_salt", F.when(crowded, own).otherwise(0))
-    copies = F.when(crowded, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_unique = unique.withColumn("_salt", F.explode(copies))
-    return salted_big.join(salted_unique, [*keys, "_salt"], how).drop("_salt")
+    return big.join(unique, list(keys), how)
 
 
 def previous_value(

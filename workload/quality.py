@@ -256,6 +256,35 @@ def expectations(t):
         near_keys=("id", ["customer_id", "raw_date"], ["status"], "amount"))
 
 
+_WORDS = ", ".join(f"'{w}'" for w in vocab.PLACEHOLDERS)
+#: Conditions under which a row fails.
+FAILS = {
+    "required_present": f"id IS NULL OR customer_id IS NULL OR status IS NULL OR trim(status) IN ({_WORDS})",
+    "dates_formatted": r"NOT regexp_full_match(order_date, '\d{4}-\d{2}-\d{2}( \d{2}:\d{2}:\d{2})?')",
+    "numbers_numeric": r"NOT regexp_full_match(trim(total_amount), '-?\d+(\.\d*)?')",
+    "no_negative": "num < 0", "rating_in_range": "rating NOT BETWEEN 1 AND 5", "lower_case": "status <> lower(status)",
+    "references_exist": "customer_id IS NOT NULL AND customer_id NOT IN (SELECT c_custkey FROM customer)",
+    "no_extra_space": "status <> trim(status) OR order_date <> trim(order_date)",
+    "totals_add_up": "abs(subtotal - discount_amount + tax_amount + shipping_cost - total) > 0.01", "times_in_order": "shipped_at > delivered_at",
+}
+
+
+@query("cleaning_checklist", f"""
+WITH d AS (SELECT *, {CLEAN_NUMBER} AS num FROM checked_orders), u AS (SELECT DISTINCT *, order_date AS raw_date, num AS amount FROM d)
+SELECT 'no_exact_duplicate' AS "check", count(*) - (SELECT count(*) FROM u) AS failed, count(*) AS total, count(*) = (SELECT count(*) FROM u) AS passed FROM d
+UNION ALL SELECT 'no_near_duplicate', count(*) FILTER (WHERE EXISTS (SELECT 1 FROM u a WHERE {TWIN})), count(*), count(*) FILTER (WHERE EXISTS (SELECT 1 FROM u a WHERE {TWIN})) = 0 FROM u b
+UNION ALL """ + " UNION ALL ".join(f"""
+SELECT '{n}', count(*) FILTER (WHERE {c}), count(*), count(*) FILTER (WHERE {c}) = 0 FROM d""" for n, c in FAILS.items()), uses=("checked_orders",))
+def cleaning_checklist(t):
+    """The checks that follow cleaning, on orders that haven't been cleaned."""
+    rows = t.checked_orders
+    return q.checklist(rows, q.Checklist(
+        required=["id", "customer_id", "status"], dates=["order_date"], numbers=["total_amount"], positive=["total_amount"], rating="rating",
+        categories=["status"], texts=["status", "order_date"], unique=True, near_keys=("id", ["customer_id", "order_date"], ["status"], "total_amount"),
+        references={"customer_id": (t.customer, "c_custkey")}, total=("subtotal", "discount_amount", "tax_amount", "shipping_cost", "total"),
+        times=("shipped_at", "delivered_at")))
+
+
 @query("conversion_failures", f"""
 SELECT 'total_amount' AS column_name, count(*) FILTER (WHERE total_amount IS NOT NULL AND {CLEAN_NUMBER} IS NULL) AS failures FROM dirty_orders
 UNION ALL SELECT 'order_date', count(*) FILTER (WHERE order_date IS NOT NULL AND {DATES} IS NULL) FROM dirty_orders""", uses=("dirty_orders",))

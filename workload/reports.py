@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from siltstone import vocab
 from siltstone.operators import quantiles, reports
 from siltstone.operators.dedup import latest_per_key
+from siltstone.operators.history import as_of, validity
 from siltstone.operators.quality import Rule, any_rejects, not_positive, null_rule
+from siltstone.operators.reconcile import reconcile_rows as reconcile_by_rows
+from siltstone.operators.sketches import merged_quantiles, rank_error, update_sketches
 from siltstone.operators.skew import skew_join
+from siltstone.operators.typos import learn_typos
 from siltstone.plans import gold
+from siltstone.session import scratch_folder
 from siltstone.sources.bronze import to_bronze
 from siltstone.sources.files import spread_scan
+from siltstone.sources.versions import VersionedTable
 from workload.landing import TOPIC_SQL, as_messages
-from workload.registry import TABLES, query
+from workload.registry import ORACLES, TABLES, query
 
 MONEY = "decimal(12,2)"
 
@@ -221,16 +229,26 @@ WITH o AS (SELECT 'orders' AS entity, CASE WHEN total_amount IS NULL OR coalesce
 n AS (SELECT entity, route, count(*) AS row_count FROM o GROUP BY ALL)
 SELECT entity, route, row_count, row_count / sum(row_count) OVER (PARTITION BY entity) AS share FROM n""", uses=("dirty_orders", "dirty_customers"))
 def quality_counts(t):
+    return reports.quality_counts(_routed_tables(t))
+
+
+def _routed_tables(t):
     def routed(df, rules: list[Rule], flag=None):
         bad = any_rejects(rules)
         if flag:
             bad = bad | (F.coalesce(F.col(flag), F.lit(vocab.CLEAN)) != vocab.CLEAN)
         return df.withColumn("_route", F.when(bad, "dead_letter").otherwise("silver"))
 
-    return reports.quality_counts({
+    return {
         "orders": routed(t.dirty_orders, [null_rule("total_amount")], "_quality_flag"),
         "customers": routed(t.dirty_customers, [null_rule("email"), not_positive("balance")]),
-    })
+    }
+
+
+@query("observed_quality", ORACLES["quality_counts"])
+def observed_quality(t):
+    """The same counts, as the writes of the routed tables have seen them."""
+    return reports.observed_quality_counts(_routed_tables(t), scratch_folder(t.spark, "observed"))
 
 
 @query("iqr_outliers", """
@@ -281,3 +299,80 @@ def expire_flags(t):
 SELECT order_id, id, shipped_at FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY shipped_at DESC, id DESC) AS rn FROM ({SHIPMENTS}) s) x WHERE rn = 1""")
 def latest_shipment(t):
     return latest_per_key(t.sql(SHIPMENTS), ["order_id"], "shipped_at", ["id"]).select("order_id", "id", "shipped_at")
+
+
+@query("reconcile_rows", """
+WITH c AS (SELECT CASE WHEN o_orderkey % 101 = 5 THEN o_orderkey + 1000000000000 ELSE o_orderkey END AS o_orderkey, o_custkey,
+  CASE WHEN o_orderkey % 83 = 1 THEN NULL ELSE o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 89 = 7 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders WHERE o_orderkey % 97 <> 3
+  UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 211 = 9),
+l AS (SELECT o_orderkey, count(*) AS n, min(o_custkey) AS c, min(o_orderstatus) AS s, min(o_totalprice) AS p FROM orders GROUP BY 1),
+r AS (SELECT o_orderkey, count(*) AS n, min(o_custkey) AS c, min(o_orderstatus) AS s, min(o_totalprice) AS p FROM c GROUP BY 1)
+SELECT o_orderkey, CASE WHEN r.n IS NULL THEN 'missing' WHEN l.n IS NULL THEN 'extra' ELSE 'changed' END AS state, coalesce(l.n, 0) AS source_rows, coalesce(r.n, 0) AS copy_rows,
+  CASE WHEN l.n = 1 AND r.n = 1 THEN concat_ws(',', CASE WHEN l.c IS DISTINCT FROM r.c THEN 'o_custkey' END, CASE WHEN l.s IS DISTINCT FROM r.s THEN 'o_orderstatus' END,
+    CASE WHEN l.p IS DISTINCT FROM r.p THEN 'o_totalprice' END) END AS columns
+FROM l FULL JOIN r USING (o_orderkey) WHERE l.n IS DISTINCT FROM r.n OR l.c IS DISTINCT FROM r.c OR l.s IS DISTINCT FROM r.s OR l.p IS DISTINCT FROM r.p""")
+def reconciled_rows(t):
+    """A copy of the orders with some lost, some moved to other keys, some twice, and some with other values, against the orders."""
+    key, source = F.col("o_orderkey"), t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    copy = source.filter(key % 97 != 3).select(
+        F.when(key % 101 == 5, key + 1000000000000).otherwise(key).alias("o_orderkey"), "o_custkey", F.when(key % 83 != 1, F.col("o_orderstatus")).alias("o_orderstatus"),
+        F.when(key % 89 == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("o_totalprice"))
+    out = reconcile_by_rows(source, copy.unionByName(source.filter(key % 211 == 9)), ["o_orderkey"])
+    return out.withColumn("columns", F.array_join("columns", ","))
+
+
+@query("iqr_bounds_merged", """
+SELECT p AS probability, (SELECT count(value) FROM events) AS n, true AS within FROM (VALUES (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE)) v(p)""")
+def iqr_bounds_merged(t):
+    """Quantiles over all days from sketches kept by day and brought up to date twice, held against the ranks in the whole table: within
+    the stated error or not."""
+    table = VersionedTable(t.spark, f"{scratch_folder(t.spark, 'sketches')}/value")
+    rows = t.events.select("value", F.col("ts").cast("date").alias("day"))
+    update_sketches(table, rows.filter("day < DATE '2024-01-20'"), "value", "day")
+    update_sketches(table, rows, "value", "day", since=datetime.date(2024, 1, 15))
+    wanted = (0.25, 0.5, 0.75)
+    found = merged_quantiles(table.read(), wanted)
+    values, n, error = found.select("quantiles").scalar(), found.select("n").scalar(), rank_error()
+    ranks = rows.withColumn("q", values).agg(*[
+        F.struct(F.lit(p).alias("probability"), (F.count_if(F.col("value") < F.col("q")[k]) / F.count("value")).alias("below"),
+                 (F.count_if(F.col("value") <= F.col("q")[k]) / F.count("value")).alias("upto")).alias(f"p{k}") for k, p in enumerate(wanted)])
+    return ranks.select(F.inline(F.array(*[f"p{k}" for k in range(len(wanted))]))).select(
+        "probability", n.alias("n"), ((F.col("below") - error <= F.col("probability")) & (F.col("probability") <= F.col("upto") + error)).alias("within"))
+
+
+@query("fact_as_of", """
+WITH v AS (SELECT o_custkey, o_orderdate AS valid_from, o_orderpriority AS tier, o_orderkey, lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS valid_to
+  FROM orders WHERE o_orderkey % 3 = 0),
+u AS (SELECT * FROM v WHERE tier <> '5-LOW' AND (valid_to IS NULL OR valid_to > valid_from))
+SELECT f.o_orderkey, f.o_custkey, u.tier FROM orders f LEFT JOIN u ON u.o_custkey = f.o_custkey AND u.valid_from <= f.o_orderdate AND (u.valid_to IS NULL OR u.valid_to > f.o_orderdate)
+WHERE f.o_orderkey % 3 = 1""")
+def fact_as_of(t):
+    """Orders with the tier that their customer was in at the time, from a log of changes in which one tier stands for a deletion."""
+    log = t.orders.filter("o_orderkey % 3 = 0").select("o_custkey", "o_orderdate", F.col("o_orderpriority").alias("tier"), "o_orderkey")
+    states = validity(log, "o_custkey", "o_orderdate", ["o_orderkey"], deleted="tier = '5-LOW'").select("o_custkey", "tier", "valid_from", "valid_to")
+    facts = t.orders.filter("o_orderkey % 3 = 1").select("o_orderkey", "o_custkey", "o_orderdate")
+    return as_of(facts, states, "o_custkey", "o_orderdate").select("o_orderkey", "o_custkey", "tier")
+
+
+@query("dim_customers_history", """
+WITH l AS (SELECT id, __op, __source_ts_ms, status, lead(__source_ts_ms) OVER (PARTITION BY id ORDER BY __source_ts_ms) AS valid_to FROM cdc_orders)
+SELECT id, status, __source_ts_ms AS valid_from, valid_to, valid_to IS NULL AS is_current FROM l WHERE __op <> 'd'""", uses=("cdc_orders",))
+def dim_history(t):
+    """The states that each row of a change log was in; a deletion ends the last."""
+    return validity(t.cdc_orders, "id", "__source_ts_ms", deleted="__op = 'd'").select("id", "status", "valid_from", "valid_to", "is_current")
+
+
+# A tenth of the names misspelt, each in its own way.
+SPELT = """CASE WHEN p_partkey % 40 = 7 THEN concat(substr(w, 1, 3), substr(w, 5)) WHEN p_partkey % 40 = 9 THEN concat(substr(w, 1, 4), 'x', substr(w, 5))
+  WHEN p_partkey % 40 = 11 THEN concat(substr(w, 1, 2), 'q', substr(w, 4)) WHEN p_partkey % 40 = 13 THEN concat(' ', upper(substr(w, 2)), 'z') ELSE w END"""
+
+
+@query("typo_map_learned", f"""
+WITH n AS (SELECT lower(trim(v)) AS value, count(*) AS rows FROM (SELECT {SPELT} AS v FROM (SELECT p_partkey, concat(p_brand, ' ', p_type) AS w FROM part) q) p WHERE trim(v) <> '' GROUP BY 1),
+c AS (SELECT a.value, a.rows, b.value AS fixed, b.rows AS fixed_rows, levenshtein(a.value, b.value) AS distance FROM n a JOIN n b ON b.rows >= 4 * a.rows AND a.value <> b.value)
+SELECT value, rows, fixed, fixed_rows, CAST(distance AS INTEGER) AS distance FROM c WHERE distance <= 2
+QUALIFY row_number() OVER (PARTITION BY value ORDER BY distance, fixed_rows DESC, fixed) = 1""")
+def typo_map_learned(t):
+    """Misspelt names and what they are taken for, learned from how often each spelling occurs."""
+    words = t.part.select("p_partkey", F.concat("p_brand", F.lit(" "), "p_type").alias("w"))
+    return learn_typos(words.select(F.expr(SPELT).alias("v")), "v", ratio=4)

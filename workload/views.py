@@ -95,3 +95,13 @@ WITH dirty AS ({VIEWS["dirty_orders"]})
 SELECT * FROM dirty UNION ALL
 SELECT id + 1000000000000000, customer_id, status, concat('$', total_amount), order_date, category, _quality_flag
 FROM (SELECT DISTINCT * FROM dirty) x WHERE id % 11 > 7 AND id % 8 = 1"""
+
+# Those with a rating, the parts of a total and two dates, some of them wrong.
+VIEWS["checked_orders"] = f"""
+WITH crowded AS ({VIEWS["crowded_orders"]})
+SELECT id, customer_id, status, total_amount, order_date, CAST(id % 8 AS INT) AS rating, CAST(id % 1000 AS DECIMAL(12,2)) AS subtotal,
+  CAST(id % 7 AS DECIMAL(12,2)) AS discount_amount, CAST(id % 5 AS DECIMAL(12,2)) AS tax_amount, CAST(id % 3 AS DECIMAL(12,2)) AS shipping_cost,
+  CAST(id % 1000 - id % 7 + id % 5 + id % 3 + CASE WHEN id % 90 = 4 THEN 1 ELSE 0 END AS DECIMAL(12,2)) AS total,
+  CAST(concat('2024-0', CAST(1 + id % 9 AS STRING), '-1', CAST(id % 9 AS STRING)) AS DATE) AS shipped_at,
+  CAST(concat('2024-0', CAST(1 + (id + CASE WHEN id % 40 = 3 THEN 8 ELSE 0 END) % 9 AS STRING), '-2', CAST(id % 9 AS STRING)) AS DATE) AS delivered_at
+FROM crowded"""
