@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +36,12 @@ def build_session(app_name: str = "siltstone", master: str | None = None, **extr
     return builder.getOrCreate()
 
 
+#: Temporary folders of local sessions that name none, by application.
+_LOCAL: dict[str, str] = {}
+#: The folder of the run that is under way, if there is one.
+_WORKING: ContextVar[str | None] = ContextVar("working", default=None)
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh path for intermediate tables, under the folder the cluster shares.
 
@@ -40,12 +49,12 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     back to a temporary folder; on a cluster the setting is required, because executors cannot see
     the driver's disk.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = _WORKING.get() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="siltstone-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        root = _LOCAL[app] = _LOCAL.get(app) or tempfile.mkdtemp(prefix="siltstone-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
@@ -54,3 +63,24 @@ def kept(df: DataFrame, label: str) -> DataFrame:
     path = scratch_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, wherever it is, with all that is in it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def working_folder(spark: SparkSession) -> Iterator[str]:
+    """Scratch folders asked for inside lie in one of their own, which goes when the block ends.
+
+    What is to outlive the block must be written to a folder that was asked for before; frames that read scratch folders don't.
+    """
+    root = scratch_folder(spark, "work")
+    held = _WORKING.set(root)
+    try:
+        yield root
+    finally:
+        _WORKING.reset(held)
+        remove_folder(spark, root)
