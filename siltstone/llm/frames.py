@@ -21,16 +21,17 @@ _STEP = {
 }
 
 
-def stored(frame: DataFrame, label: str, small: bool = False) -> DataFrame:
+def stored(frame: DataFrame, label: str, small: bool = False, path: str | None = None) -> DataFrame:
     """The rows written to the shared folder and read back: lineage ends here, and an executor
     that is lost later takes nothing with it. The shuffle files behind them are then of no use, and go.
 
     Nothing is broadcast unless it is marked so: the sides of a join in such a step grow with the corpus, and the size of a
     compressed file says little of what it holds (38 MB were sent for 256 kB).
 
-    A `small` table, of counts or links, gets a few files for each core at most, in however many partitions it came.
+    With `path` they are written there, else to a new scratch folder. A `small` table, of counts or links, gets a few files for each core at most, in however many partitions it came.
     """
-    spark, path = frame.sparkSession, scratch_folder(frame.sparkSession, label)
+    spark = frame.sparkSession
+    path = path or scratch_folder(spark, label)
     if small:
         frame = frame.coalesce(FILES_PER_CORE * spark.sparkContext.defaultParallelism)
     before = {key: spark.conf.get(key, None) for key in _STEP}

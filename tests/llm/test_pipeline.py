@@ -1,5 +1,6 @@
 """Every stage on what the one before it kept, against its operator's brute-force form."""
 
+import os
 from collections import Counter
 
 import numpy as np
@@ -63,5 +64,9 @@ def test_tokens(stages):
 
 
 def test_run(spark, stages):
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    before = set(os.listdir(shared))
     found = corpus_pipeline.run(spark, FOLDER)
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(shared)) - before}
+    assert "decontamination" in left and not left & {"work", "quality_rules", "line_dedup", "near_dedup"}, "earlier stages' folders go"
     assert sorted(r["doc_id"] for r in found.collect()) == sorted(r["doc_id"] for r in stages[5].collect())
