@@ -77,10 +77,12 @@ def history_table(spark: SparkSession, root: str, entity: str) -> VersionedTable
 
 
 def read_silver(spark: SparkSession, root: str, entity: str) -> DataFrame:
-    """All rows of a silver entity, of whatever route; none before its first run."""
+    """All rows of a silver entity, of whatever route, with the columns that its last run gave it; none before its first run."""
+    table = silver_table(spark, root, entity)
+    if newest := table.versions():
+        return table.read(version=newest[-1]).drop("_bucket")
     _, recipe, _ = ENTITIES[entity]
-    shape = recipe(spark.createDataFrame([], schemas.BRONZE)).schema
-    return silver_table(spark, root, entity).read(shape).select(*shape.names)
+    return spark.createDataFrame([], recipe(spark.createDataFrame([], schemas.BRONZE)).schema)
 
 
 def read_routed(spark: SparkSession, root: str, entity: str, route: str) -> DataFrame:
@@ -159,7 +161,8 @@ def run_silver(
     """
     now = F.current_timestamp() if now is None else now
     touched = {entity: update_silver(spark, root, entity, since, buckets) for entity in entities}
-    rejects = {label: read_routed(spark, root, e, silver.DEAD_LETTER) for e, (_, _, label) in ENTITIES.items()}
+    there = [e for e in ENTITIES if silver_table(spark, root, e).versions()]
+    rejects = {ENTITIES[e][2]: read_routed(spark, root, e, silver.DEAD_LETTER) for e in there}
     VersionedTable(spark, f"{root}/silver/dlq").overwrite(dead_letters(rejects, now))
     return touched
 
