@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from siltstone.llm.frames import stored
 
 SHARDS = 8
-RANGES = 256
-SAMPLE = 8192  # keys drawn at once, and so the most that the driver holds
+RANGES = 256  # at least
+RANGE_ROWS = 4_000_000  # of a range, which one task sorts
+SAMPLE = 8192  # keys drawn at once, at least
+PER_RANGE = 32  # keys drawn for each range; with the ranges' sums they are all that the driver holds
 OVERFULL = 2  # times the mean of the ranges
 _KEY = ("digest", "doc_id", "row")
 
@@ -50,19 +52,22 @@ def _range_of(splitters: list[tuple], rows: DataFrame) -> Column:
     return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda low, s: F.when(below(low + s), low + s).otherwise(low))
 
 
-def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES, sample: int = SAMPLE) -> DataFrame:
+def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES, sample: int = SAMPLE, range_rows: int = RANGE_ROWS) -> DataFrame:
     """For each row of `docs` (doc_id, text, anything else): doc_id, size, text_crc32, shard, slot.
 
     `size` is the text's UTF-8 bytes plus 1. Shards are consecutive in the order and differ in bytes by less than two
     records. `slot` counts from 0 in each shard without gaps. A null text has size 1 and the checksum of no bytes, 0; a null
-    doc_id sorts first among equal texts. Repeated rows are records of their own. Other columns are left out; an empty
+    doc_id sorts first among equal texts. Repeated rows are records of their own. There are as many ranges as it takes for one to hold
+    `range_rows` rows on average, `ranges` at least. Other columns are left out; an empty
     table gives an empty result.
     """
     text = F.coalesce("text", F.lit(""))
     rows = stored(docs.select(
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
         F.md5(text).alias("digest"), F.monotonically_increasing_id().alias("row")), "records")
-    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    total, count = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
+    ranges = max(ranges, -(-count // range_rows))
+    sample = max(sample, PER_RANGE * ranges)
     drawn = sorted(_draw(rows, sample, total), key=_sort_key)
     splitters = sorted({drawn[len(drawn) * k // ranges] for k in range(1, ranges)}, key=_sort_key) if drawn else []
     while True:

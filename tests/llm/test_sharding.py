@@ -7,7 +7,7 @@ from siltstone.llm.sharding import shard_by_bytes
 from tests.llm.cases import messy, nothing, prose, texts_of
 
 
-@pytest.mark.parametrize("options", [{}, {"shards": 5, "ranges": 7, "sample": 12}, {"shards": 3, "ranges": 40, "sample": 60}])
+@pytest.mark.parametrize("options", [{}, {"shards": 5, "ranges": 7, "sample": 12}, {"shards": 3, "ranges": 40, "sample": 60}, {"ranges": 3, "range_rows": 9}])
 def test_against_a_sorted_list(spark, options):
     texts = [" ".join(prose(k % 50, k % 90)) for k in range(300)] + ["a copy of a third of all rows"] * 150
     frame = messy(spark, texts)
