@@ -17,7 +17,6 @@ several, it keeps the documents with any posted shingle, found by a bit table of
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
