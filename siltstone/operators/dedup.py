@@ -115,14 +115,23 @@ def _twin_rows(
     return df.withColumns({**folded, "_amount": value}), [*exact, *folded], reach, max(reach, 1e-300) * 1000
 
 
+def _bands(reach: float, band: float) -> tuple[Column, Column]:
+    """The band of an amount, and all those that its reach touches."""
+    home = F.floor(F.col("_amount") / band)
+    return home, F.array_distinct(F.array(home, F.floor((F.col("_amount") - reach) / band), F.floor((F.col("_amount") + reach) / band)))
+
+
+def _near(steps: DataFrame, group: Sequence[str], reach: float) -> DataFrame:
+    """Steps in bands (with `_n` rows and the lowest id `_low`) with `near_rows` and `twin_id` of the amounts within `reach`."""
+    near = f"OVER (PARTITION BY {', '.join(f'`{g}`' for g in group)}, _band ORDER BY _amount RANGE BETWEEN {reach!r}D PRECEDING AND {reach!r}D FOLLOWING)"
+    return steps.withColumns({"near_rows": F.expr(f"sum(_n) {near}"), "twin_id": F.expr(f"min(_low) {near}")})
+
+
 def _around(steps: DataFrame, group: Sequence[str], reach: float, band: float) -> DataFrame:
     """Steps (with `_n` rows and the lowest id `_low`) with `near_rows` and `twin_id` of the amounts within `reach`."""
-    home = F.floor(F.col("_amount") / band)
-    bands = F.array_distinct(F.array(home, F.floor((F.col("_amount") - reach) / band), F.floor((F.col("_amount") + reach) / band)))
+    home, bands = _bands(reach, band)
     copied = steps.withColumn("_home", home).withColumn("_band", F.explode(bands))
-    near = f"OVER (PARTITION BY {', '.join(f'`{g}`' for g in group)}, _band ORDER BY _amount RANGE BETWEEN {reach!r}D PRECEDING AND {reach!r}D FOLLOWING)"
-    around = copied.withColumns({"near_rows": F.expr(f"sum(_n) {near}"), "twin_id": F.expr(f"min(_low) {near}")})
-    return around.filter(F.col("_band").eqNullSafe(F.col("_home"))).drop("_home", "_band")
+    return _near(copied, group, reach).filter(F.col("_band").eqNullSafe(F.col("_home"))).drop("_home", "_band")
 
 
 def near_duplicates(
@@ -150,18 +159,26 @@ def near_twin_sums(
 ) -> DataFrame:
     """The sums of `near_duplicates` without its rows: `sums` of all rows in parts, with `_twins`, how many of a part's rows have an earlier near twin.
 
-    `df` is read once, and only its ids, amounts, keys and what is summed are shuffled.
+    `df` is read once, and only its ids, amounts, keys and what is summed are shuffled: once, by key and band, into all of the session's shuffle
+    partitions. They aren't put together again by their size in bytes, of which a shuffle file says little: 64 MB of it took 2 GB in a task.
+    Rows that can't have a twin are dealt out by their id.
     """
     rows, group, reach, band = _twin_rows(df, exact, text, amount, tolerance)
     rows = rows.select(*group, "_amount", F.col(row_id).alias("_id"), *[c.alias(k) for k, c in sums.items()])
-    by_id = rows.groupBy(*group, "_amount", "_id").agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(k).alias(k) for k in sums])
+    known = reduce(lambda a, c: a & F.col(c).isNotNull(), exact, F.col("_amount").isNotNull())
+    home, bands = _bands(reach, band)
+    dealt = F.pmod(F.xxhash64("_id"), F.lit(SALTS))
+    copied = rows.withColumn("_home", F.when(known, home).otherwise(dealt)).withColumn(
+        "_band", F.explode(F.when(known, bands).otherwise(F.array("_home"))))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    copied = copied.repartition(parts, *group, "_band")
+    step = [*group, "_band", "_home", "_amount"]
+    by_id = copied.groupBy(*step, "_id").agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(k).alias(k) for k in sums])
     # The rows with the lowest id have no earlier twin among their own step.
-    first = F.min(F.when(F.col("_id").isNotNull(), F.struct("_id", "_rows")))
-    steps = by_id.groupBy(*group, "_amount").agg(
+    steps = by_id.groupBy(*step).agg(
         F.coalesce(F.sum(F.when(F.col("_id").isNotNull(), F.col("_rows"))), F.lit(0)).alias("_named"), F.sum("_rows").alias("_n"),
-        first.alias("_first"), *[F.sum(k).alias(k) for k in sums])
-    around = _around(steps.withColumn("_low", F.col("_first._id")), group, reach, band)
-    known = reduce(lambda a, c: a & F.col(c).isNotNull(), exact, F.col("_amount").isNotNull())
-    own = F.when(F.col("_first._id") == F.col("twin_id"), F.col("_first._rows")).otherwise(0)
+        F.min("_id").alias("_low"), F.min_by("_rows", "_id").alias("_lowest"), *[F.sum(k).alias(k) for k in sums])
+    around = _near(steps, group, reach).filter(F.col("_band").eqNullSafe(F.col("_home")))
+    own = F.when(F.col("_low") == F.col("twin_id"), F.col("_lowest")).otherwise(0)
     twins = F.when(known & (F.col("near_rows") > 1), F.col("_named") - own).otherwise(0)
     return around.select(*sums, twins.cast("bigint").alias("_twins"))

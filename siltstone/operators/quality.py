@@ -289,9 +289,10 @@ def _tallied(
     in all, for each reference the rows without a parent (`orphan_<column>`), and `_twins`, the distinct rows with an earlier near twin.
 
     Whole rows are grouped first, combined map-side; everything else is worked out from the groups, weighted by their size. They
-    keep what is counted and the twins' keys, no other columns.
+    keep what is counted and the twins' keys, no other columns. A whole row is one key, so that the grouping doesn't stay in partitions
+    that a join before it made by one column, whatever rows a hot value of it has.
     """
-    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    rows = df.groupBy(F.struct(*df.columns).alias("_row")).agg(F.count(F.lit(1)).alias("_n")).select("_row.*", "_n")
     for fk, (parent, parent_key) in references.items():
         known = parent.select(F.col(parent_key).alias(fk)).dropna().distinct().withColumn(f"_has_{fk}", F.lit(True))
         rows = skew_join(rows, known, [fk], "left")

@@ -151,3 +151,23 @@ def test_checks_are_left_out_without_their_columns(spark):
     assert [tuple(r) for r in found.collect()] == [
         ("required_present", 0, 3, True), ("rating_in_range", 2, 3, False), ("lower_case", 2, 3, False), ("no_exact_duplicate", 1, 3, False), ("references_exist", 3, 3, False)]
     assert [r["check"] for r in quality.checklist(df.limit(0), quality.Checklist(required=["c"])).collect()] == ["required_present"]
+
+
+@pytest.mark.parametrize("amount", ["CAST(id * 7 AS DOUBLE)", "CASE WHEN id < 0 THEN 1.0D END"], ids=["amounts", "no amounts"])
+def test_twin_sums_of_one_key_are_worked_out_by_many_tasks(spark, amount):
+    df = spark.range(4000).selectExpr("id", "concat('a', id % 1) AS k", "concat('s', id % 2) AS s", f"{amount} AS amount").repartition(4, "k")
+    parts = near_twin_sums(df, {"rows": F.lit(1)}, "id", ["k"], ["s"], "amount")
+    plan = parts._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    held = parts.groupBy(F.spark_partition_id()).agg(F.sum("rows").alias("n")).collect()
+    assert sum(r["n"] for r in held) == 4000 and max(r["n"] for r in held) < 2000
+    assert parts.agg(F.sum("_twins")).first()[0] == 0
+
+
+def test_checks_of_rows_joined_by_one_key_are_worked_out_by_many_tasks(spark, no_broadcast):
+    rows = spark.range(4000).selectExpr("id", "7 AS k", "CAST(id * 7 AS DOUBLE) AS amount")
+    joined = rows.join(spark.createDataFrame([(7,)], "k int"), "k")
+    found = quality.expectations(joined, {"known": F.col("k").isNotNull()}, unique=joined.columns, near_keys=("id", ["k"], [], "amount"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(_groupingexpression") == 1 and plan.count("_band") > 0
+    assert sorted((r["check"], r["failed"]) for r in found.collect()) == [("known", 0), ("no_exact_duplicate", 0), ("no_near_duplicate", 0)]
