@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import LongType, StructType
 
 from siltstone import schemas
 from siltstone.operators.dedup import dedup_events
@@ -72,6 +72,67 @@ def test_payments_are_told_from_each_other_over_restarts(spark, tmp_path, salts)
     assert out.count() == len(found)
 
 
+def test_payments_due_at_the_watermark_have_no_order(spark, tmp_path):
+    schema, fine = "kind string, id bigint, order_id bigint, at timestamp", timedelta(microseconds=1)
+
+    def build(stream):
+        paid = stream.filter("kind = 'p'").select(F.col("id").alias("payment"), "order_id", F.col("at").alias("paid_at"))
+        made = stream.filter("kind = 'o'").select("order_id", F.col("at").alias("ordered_at"))
+        return state.payment_desk_stream(paid, made, "order_id", "payment", "paid_at", "ordered_at", minutes=10, buckets=2)
+
+    many = [("p", k, k, at(5)) for k in range(10, 40)]
+    out = drained(spark, tmp_path, schema, build, [("p", 1, 1, at(5)), ("p", 2, 2, at(5) - fine), ("p", 3, 3, at(5) + fine), ("o", None, 4, at(25)), *many])
+    found = {r["payment"]: (r["order_id"], r["result"]) for r in out.collect()}
+    assert found == {k: (k, "no_order") for k in (1, 2, *range(10, 40))}
+
+
+def test_the_desk_calls_its_store_once_for_a_bucket():
+    calls = []
+
+    class Store:
+        held = None
+
+        def get(self):
+            calls.append("get")
+            return self.held
+
+        def update(self, value):
+            calls.append("update")
+            self.held = value
+
+        def clear(self):
+            calls.append("clear")
+            self.held = None
+
+    class Handle:
+        def __init__(self):
+            self.store = Store()
+
+        def getValueState(self, name, schema):
+            return self.store
+
+        def registerTimer(self, at):
+            calls.append("timer")
+
+    class Times:
+        def __init__(self, now):
+            self.now = now
+
+        def getCurrentWatermarkInMs(self):
+            return self.now
+
+    bigint = StructType.fromDDL("x bigint")["x"]
+    desk = state.PaymentDesk(["order_id", "payment", "paid_at", "ordered_at", "result"], bigint, bigint, 10_000_000, 60_000_000)
+    desk.init(Handle())
+    rows = [{"order": k, "payment": None if k % 2 else 1000 + k, "at_us": k * 1000} for k in range(500)]
+    assert list(desk.handleInputRows((0, 0), iter(rows), Times(0))) == [] and len(calls) == 3
+    late = [{"order": k, "payment": k, "at_us": k * 1000} for k in range(1, 500, 2)]
+    assert [r["result"] for r in desk.handleInputRows((0, 0), iter(late), Times(0))] == ["joined"] * 250 and len(calls) == 4
+    told = list(desk.handleExpiredTimer((0, 0), Times(20_000), None))
+    assert len(told) == 250 and {r["result"] for r in told} == {"no_order"} and len(calls) == 7
+    assert list(desk.handleExpiredTimer((0, 0), Times(90_000), None)) == [] and calls[-1] == "clear" and desk.state.held is None
+
+
 # --- packed landing files -----------------------------------------------------------------------
 
 
