@@ -27,7 +27,7 @@ from siltstone.llm.frames import slices, stored, typed
 CHUNK = 32_768  # characters
 OVERLAP = 512
 _AHEAD = 4  # characters that the pattern may look at beyond a boundary
-_KEPT = 400_000  # words that a worker remembers
+_KEPT = 250_000  # words, and matches of the pattern, that a worker remembers, twice over
 _NONE = 1 << 62
 _BYTES = [bytes([b]) for b in range(256)]
 _GAP, _SINGLE = re.compile(r"\s | \s"), re.compile(r"(?<=\S) (?=\S)")
@@ -84,18 +84,21 @@ def _merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return found
 
 
-class _Spaced(dict):
-    """Packed ids of words with the space before them."""
+class _Memory(dict):
+    """Packed ids of texts by `find`. When it is full it is begun anew, and what is asked for again is taken over from the one before."""
 
-    def __init__(self, codec: Codec):
-        self.codec = codec
+    def __init__(self, find: Callable[[str], bytes]):
+        self.find, self.before = find, {}
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self.codec.plain(f" {word}")
-        if len(word) <= 64:
+    def __missing__(self, text: str) -> bytes:
+        ids = self.before.get(text)
+        if ids is None:
+            ids = self.find(text)
+        if len(text) <= 64:
             if len(self) >= _KEPT:
+                self.before = dict(self)
                 self.clear()
-            self[word] = ids
+            self[text] = ids
         return ids
 
 
@@ -110,32 +113,37 @@ class Codec:
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.pieces = {v: k for k, v in self.ranks.items()}
+        by_id = {v: k for k, v in self.ranks.items()}
+        self.pieces = pa.array([by_id.get(i) for i in range(max(by_id, default=-1) + 1)], pa.large_binary())
         self.split = regex.compile(pattern)
-        self.spaced = _Spaced(self)
+        self.matched = _Memory(self._match)  # words with other marks beside them have matches in common
+        self.spaced = _Memory(lambda word: self.plain(f" {word}"))
         self.apart = all(len(self.split.findall(f"{a} {b}")) > 1 and self.split.match(f"{a} {b}").end() == len(a)
                          for a in ("a", "1", "!", "'", "é", "'s") for b in ("b", "2", "?", "'", "漢", "'s", "'re"))
 
-    def plain(self, text: str) -> bytes:
-        ids, ranks = [], self.ranks
-        for piece in self.split.findall(text):
-            piece = piece.encode()
-            rank = ranks.get(piece)
-            if rank is None:
-                ids += _merge(piece, ranks)
-            else:
-                ids.append(rank)
+    def _match(self, match: str) -> bytes:
+        ids = _merge(match.encode(), self.ranks)
         return pack(f"<{len(ids)}I", *ids)
 
+    def plain(self, text: str) -> bytes:
+        return b"".join(map(self.matched.__getitem__, self.split.findall(text)))
+
     def encode(self, text: str) -> bytes:
         if not self.apart:
             return self.plain(text)
         first, *rest = _SINGLE.split(text) if _GAP.search(text) else text.split(" ")
-        spaced = self.spaced
-        return self.plain(first) + b"".join([spaced[w] for w in rest])
+        return self.plain(first) + b"".join(map(self.spaced.__getitem__, rest))
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        found = self.pieces.take(pa.array(np.frombuffer(ids, "<u4")))
+        if found.null_count:
+            raise KeyError("an id without an entry")
+        if not len(found):
+            return b""
+        _, offsets, data = found.buffers()
+        ends = np.frombuffer(offsets, "<i8")
+        first, last = int(ends[found.offset]), int(ends[found.offset + len(found)])
+        return data[first:last].to_pybytes()
 
     def boundaries(self, text: str) -> list[int]:
         return [m.start() for m in self.split.finditer(text)]

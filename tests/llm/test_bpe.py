@@ -62,3 +62,13 @@ def test_empty_table_and_no_ids(spark):
     assert decode(encode(nothing(spark), PATH, PATTERN), PATH, PATTERN).collect() == []
     none = spark.createDataFrame([(None, 1)], "token_ids binary, own_row int")
     assert [bytes(r["decoded"]) for r in decode(none, PATH, PATTERN).collect()] == [b""]
+
+
+def test_words_with_other_marks_share_their_matches(monkeypatch):
+    merged, own = [], bpe._merge
+    monkeypatch.setattr(bpe, "_merge", lambda piece, ranks: merged.append(piece) or own(piece, ranks))
+    monkeypatch.setattr(bpe, "_KEPT", 8)
+    codec = bpe.Codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    text = "first qzxwvut, qzxwvut. qzxwvut; qzxwvut: (qzxwvut) qzxwvut! qzxwvut? qzxwvut\n1"
+    ids = codec.encode(text)
+    assert merged.count(b" qzxwvut") == 1 and codec.decode(ids) == text.encode() and codec.decode(b"") == b""
