@@ -6,6 +6,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
+from siltstone.llm import bpe
 from siltstone.llm.bpe import Codec, _merge, decode, encode
 from tests.llm.cases import messy, nothing, prose
 
